@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagesieve import constants as K
-from pagesieve.functions.text import _c, decode_entities, normalize_ws, py_strip, py_title_case
+from pagesieve.functions.text import _c, decode_entities, let, normalize_ws, py_strip, py_title_case
 
 # Tokens, in priority order: comment; raw-text element (script/style/iframe,
 # content is never markup); RCDATA element (title/textarea, content is text);
@@ -118,7 +118,8 @@ def text_from_tokens(toks: Column, drop: Column | None = None, sep: str = "\n")
 
 def clean_tokens(toks: Column) -> Column:
     """Text of a token array after removing tags, ad blocks and whitespace noise."""
-    return normalize_ws(text_from_tokens(toks, _regions(toks, _is_removed)))
+    return let(toks, lambda t: let(_regions(t, _is_removed),
+                                   lambda drop: normalize_ws(text_from_tokens(t, drop))))
 
 
 def clean_html(html) -> Column:
@@ -183,21 +184,50 @@ def extract_title(html, url) -> Column:
 # Main content
 # --------------------------------------------------------------------------
 
-def _first_region(toks: Column, starts) -> Column:
-    return F.try_element_at(_regions(toks, starts, first_only=True), F.lit(1))
+def _element_end(tags: Column, start: Column) -> Column:
+    """Index of the tag closing the element opened at ``start`` (depth count
+    over same-name tags only); past the end when it is never closed."""
+    same = F.filter(tags, lambda x: (x["name"] == start["name"]) & (x["i"] >= start["i"]))
+    init = F.struct(F.lit(0).alias("d"), F.lit(None).cast("int").alias("e"))
 
+    def merge(acc, x):
+        d = acc["d"] + F.when(x["kind"] == "o", 1).otherwise(-1)
+        return F.struct(F.when(acc["e"].isNull(), d).otherwise(acc["d"]).alias("d"),
+                        F.when(acc["e"].isNull() & (d <= 0), x["i"]).otherwise(acc["e"]).alias("e"))
 
-def main_content_text(html) -> Column:
-    """Clean text of the main content: first <main>, else <article>, else the
+    return F.aggregate(same, init, merge, lambda acc: F.coalesce(acc["e"], F.lit(_BIG)))
+
+
+def _class_search(pattern: str):
+    def pred(x):
+        return (x["cls"] != "") & x["cls"].rlike("(?i)" + pattern)
+    return pred
+
+
+def main_content_tokens(toks: Column) -> Column:
+    """Tokens of the main content: first <main>, else <article>, else the
     first element whose class searches 'content' (then 'documentation'), else
     <body>, else the page without its head."""
-    toks = tokenize(html)
+    tags = F.filter(toks, lambda x: (x["kind"] == "o") | (x["kind"] == "c"))
+    opens = F.filter(tags, lambda x: x["kind"] == "o")
     cands = [lambda x: x["name"] == "main", lambda x: x["name"] == "article"]
-    for pat in K.CONTENT_CLASS_PATTERNS:
-        cands.append(lambda x, p=pat: (x["cls"] != "") & x["cls"].rlike("(?i)" + p))
+    cands += [_class_search(pat) for pat in K.CONTENT_CLASS_PATTERNS]
     cands.append(lambda x: x["name"] == "body")
-    region = F.coalesce(*[_first_region(toks, c) for c in cands])
-    head = _first_region(toks, lambda x: x["name"] == "head")
-    inside = F.filter(toks, lambda x: (x["i"] >= region["s"]) & (x["i"] <= region["e"]))
-    no_head = F.filter(toks, lambda x: (x["kind"] != "r") & (head.isNull() | (x["i"] < head["s"]) | (x["i"] > head["e"])))
-    return clean_tokens(F.when(region.isNotNull(), inside).otherwise(no_head))
+    first = F.coalesce(*[F.try_element_at(F.filter(opens, c), F.lit(1)) for c in cands])
+    first_head = F.try_element_at(F.filter(opens, lambda x: x["name"] == "head"), F.lit(1))
+
+    def pick(start, head):
+        def bounds(end, head_end):
+            inside = F.filter(toks, lambda x: (x["i"] >= start["i"]) & (x["i"] <= end))
+            no_head = F.filter(toks, lambda x: (x["kind"] != "r")
+                               & (head.isNull() | (x["i"] < head["i"]) | (x["i"] > head_end)))
+            return F.when(start.isNotNull(), inside).otherwise(no_head)
+        return let(_element_end(tags, start), lambda end: let(_element_end(tags, head),
+                                                                lambda head_end: bounds(end, head_end)))
+
+    return let(first, lambda start: let(first_head, lambda head: pick(start, head)))
+
+
+def main_content_text(html) -> Column:
+    """Clean text of the main content area of a page."""
+    return clean_tokens(main_content_tokens(tokenize(html)))

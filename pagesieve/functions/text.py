@@ -26,6 +26,15 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Lambda bodies are evaluated per array element; referring to a large
+    expression from inside one would recompute it for every element.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def py_strip(col) -> Column:
     """``str.strip()`` with Python's whitespace set."""
     return F.regexp_replace(_c(col), F.lit(rf"\A{WS_CLASS}+|{WS_CLASS}+\z"), F.lit(""))

@@ -43,7 +43,10 @@ def resolve_content(df: DataFrame, url_field: str = "url", html_field: str = "ht
         which = F.when(cond, F.lit(f)) if which is None else which.when(cond, F.lit(f))
     which = which if which is not None else F.lit(None).cast("string")
     url = F.col(url_field) if url_field in df.columns else F.lit(None).cast("string")
-    return df.withColumn("content", content).withColumn("content_field", which).withColumn("_url", url)
+    # Both derived in one projection: the input may itself have a "content" field.
+    out = df.select("*", content.alias("_resolved"), which.alias("_field"), url.alias("_url"))
+    return (out.drop("content", "content_field").withColumnRenamed("_resolved", "content")
+            .withColumnRenamed("_field", "content_field"))
 
 
 def with_default_url(df: DataFrame, ordinal: str) -> DataFrame:
@@ -108,7 +111,9 @@ def extract_titles(df: DataFrame, html_col: str = "html", url_col: str = "url",
 def main_content(df: DataFrame, html_col: str = "html", key: str = "page_id") -> DataFrame:
     """(key, main_text): clean text of the main content area."""
     base = spread(df.select(key, html_col), key)
-    return base.select(key, H.main_content_text(F.col(html_col)).alias("main_text"))
+    t = base.withColumn("_toks", H.tokenize(F.col(html_col)))
+    t = t.withColumn("_main", H.main_content_tokens(F.col("_toks")))
+    return t.select(key, H.clean_tokens(F.col("_main")).alias("main_text"))
 
 
 def build_documents(df: DataFrame, as_of, include_metadata: bool = True,

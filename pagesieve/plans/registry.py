@@ -15,9 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagesieve import constants as K
+from pagesieve.functions import html as H
+from pagesieve.functions.text import normalize_ws
 from pagesieve.operators import convert as CV
+from pagesieve.operators import corpus as CO
+from pagesieve.operators import fallback as FB
+from pagesieve.operators import policy as PO
+from pagesieve.operators import selection as SE
+from pagesieve.plans import jobs as JB
 from pagesieve.plans import sql as S
-from pagesieve.sources.tables import host_of, read_pages, read_table, table_path
+from pagesieve.sources import derive as DV
+from pagesieve.sources.tables import catalogue, host_of, read_pages, read_table, table_path
 
 AS_OF = dt.datetime(2024, 1, 1, 0, 0, 0)
 AS_OF_ISO = AS_OF.isoformat()
@@ -82,6 +90,547 @@ def q_convert_pages(spark, sf):
     return CV.convert_pages(pages(spark, sf), AS_OF)
 
 
+# ---------------------------------------------------------------------------
+# Shared SQL pieces (oracle side)
+# ---------------------------------------------------------------------------
+
+_CAT_COLS = ["ord", "id", "title", "description", "success_rate", "monthly_users", "rating", "best_for",
+             "output_format", "speed", "cost"]
+_CAT_SQL = S.values([(r[0], r[1], r[3], None, r[6], r[7], r[8], r[9], r[10], r[12], r[13]) for r in K.CATALOGUE],
+                    _CAT_COLS)
+_TYPES_SQL = S.values([(t,) for t in K.TARGET_TYPES], ["target_type"])
+_BUDGETS_SQL = S.values([(b,) for b in K.BUDGET_MODES], ["budget"])
+_PAGE_PATTERNS = K.BANNED_PATTERNS + K.PAGE_POLICY_EXTRA
+
+
+def _banned_sql(text: str, patterns=_PAGE_PATTERNS) -> str:
+    return "(" + " OR ".join(f"contains({text}, {S.q(p)})" for p in patterns) + ")"
+
+
+_SCORE_SQL = f"""
+cat AS (SELECT * FROM {_CAT_SQL}),
+tt AS (SELECT DISTINCT {S.host('url')} AS target FROM pages),
+targets AS (SELECT target, {S.classify('target')} AS target_type FROM tt),
+scored AS (
+  SELECT ty.target_type, b.budget, c.*,
+    round(c.success_rate * 40
+      + CASE WHEN c.monthly_users > 0 THEN least(20, 5 + log10(c.monthly_users) * 5) ELSE 0 END
+      + CASE WHEN c.cost = 'free' THEN 20 WHEN b.budget = 'premium' THEN 10 ELSE 0 END
+      + CASE WHEN list_contains(c.best_for, ty.target_type) THEN 10 ELSE 0 END
+      + CASE c.output_format WHEN 'markdown' THEN 10 WHEN 'text' THEN 7 WHEN 'html' THEN 5 ELSE 0 END, 1)
+      AS score,
+    least(CASE b.budget WHEN 'premium' THEN c.rating * 10 * 1.2 WHEN 'minimal' THEN c.rating * 10 * 0.9
+               ELSE c.rating * 10 END, 100) AS legacy_score
+  FROM cat c CROSS JOIN {_TYPES_SQL.replace(' AS t(', ' AS ty(')} CROSS JOIN {_BUDGETS_SQL.replace(' AS t(', ' AS b(')}),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY target_type, budget ORDER BY score DESC, ord) AS rank FROM scored
+  WHERE NOT {_banned_sql("lower(concat_ws(' ', id, title, coalesce(description, '')))", K.BANNED_PATTERNS)}),
+selected AS (
+  SELECT t.target, t.target_type, r.budget, r.rank, r.ord, r.id AS source_id, r.score
+  FROM targets t JOIN ranked r ON r.target_type = t.target_type AND r.budget = 'optimal' AND r.rank <= 3)"""
+
+_ATTEMPTS_SQL = _SCORE_SQL + f""",
+items AS (SELECT {S.host('url')} AS target, CAST(page_id % 3 + 1 AS INTEGER) AS rank, page_id, url, html FROM pages),
+counts AS (SELECT target, rank, count(*) AS n_items FROM items GROUP BY 1, 2),
+attempts AS (
+  SELECT s.target, s.rank, s.source_id,
+         CASE WHEN s.rank = 1 AND length(s.target) % 2 = 1 THEN 'failed' ELSE 'ok' END AS status,
+         coalesce(c.n_items, 0) AS n_items,
+         CASE WHEN s.rank = 1 AND length(s.target) % 2 = 1 THEN 'Run failed: ' || s.source_id END AS error
+  FROM selected s LEFT JOIN counts c ON c.target = s.target AND c.rank = s.rank),
+win AS (
+  SELECT a.target, a.rank, a.source_id FROM attempts a
+  JOIN (SELECT target, min(rank) AS rank FROM attempts WHERE status = 'ok' AND n_items > 0 GROUP BY 1) m
+    ON m.target = a.target AND m.rank = a.rank)"""
+
+_ITEMS_SQL = f"""
+items AS (
+  SELECT page_id,
+         CASE WHEN page_id % 7 = 3 THEN NULL ELSE url END AS url,
+         CASE page_id % 6 WHEN 0 THEN html WHEN 2 THEN '' END AS html,
+         CASE WHEN page_id % 6 = 2 THEN html END AS text,
+         CASE WHEN page_id % 6 = 3 THEN html END AS markdown,
+         CASE WHEN page_id % 6 IN (3, 4) THEN html END AS content,
+         CASE WHEN page_id % 6 = 5 THEN html END AS crawl_html,
+         {S.host('url')} AS target
+  FROM pages),
+resolved AS (
+  SELECT *,
+    coalesce(nullif(html, ''), nullif(text, ''), nullif(markdown, ''), nullif(content, ''), nullif(crawl_html, ''))
+      AS resolved,
+    CASE WHEN length(html) > 0 THEN 'html' WHEN length(text) > 0 THEN 'text'
+         WHEN length(markdown) > 0 THEN 'markdown' WHEN length(content) > 0 THEN 'content'
+         WHEN length(crawl_html) > 0 THEN 'crawl.html' END AS content_field
+  FROM items)"""
+
+_DOCS_CTE = f"""
+conv AS (
+  SELECT page_id, coalesce(url, 'unknown-' || page_id) AS url, {S.title('html')} AS title,
+         {S.clean_html('html')} AS text
+  FROM pages WHERE length(html) > 0),
+docs AS (
+  SELECT page_id, {S.host('url')} AS corpus, printf('doc_%04d.txt', page_id) AS doc_name, url, title, text,
+         {S.header('url', 'title', AS_OF_ISO)} || text AS document
+  FROM conv)"""
+
+
+def _targets(spark, sf):
+    return SE.targets_from_pages(pages(spark, sf))
+
+
+def _selected(spark, sf):
+    return SE.select_sources(_targets(spark, sf))
+
+
+def _attempts(spark, sf):
+    return DV.page_attempts(pages(spark, sf), _selected(spark, sf))
+
+
+def _items(spark, sf):
+    return CV.resolve_content(DV.scattered_items(pages(spark, sf)))
+
+
+def _docs(spark, sf):
+    return CV.convert_pages(pages(spark, sf), AS_OF)
+
+
+# ---------------------------------------------------------------------------
+# Classification, policy, catalogue, scores, selection
+# ---------------------------------------------------------------------------
+
+@register("classify_urls", f"SELECT page_id, url, {S.classify('url')} AS target_type FROM pages")
+def q_classify_urls(spark, sf):
+    return SE.classify_urls(pages(spark, sf).select("page_id", "url"))
+
+
+@register("target_type_counts", f"SELECT {S.classify('url')} AS target_type, count(*) AS pages FROM pages GROUP BY 1")
+def q_target_type_counts(spark, sf):
+    return SE.classify_urls(pages(spark, sf)).groupBy("target_type").agg(F.count(F.lit(1)).alias("pages"))
+
+
+@register("policy_allowed", f"SELECT page_id, url FROM pages WHERE NOT {_banned_sql('lower(url)')}")
+def q_policy_allowed(spark, sf):
+    return PO.apply_policy(pages(spark, sf).select("page_id", "url"), ("url",), _PAGE_PATTERNS)
+
+
+@register("policy_audit", f"""
+SELECT page_id, url, array_to_string(list_sort(list_filter({[p for p in _PAGE_PATTERNS]},
+       lambda p: contains(lower(url), p))), ',') AS patterns
+FROM pages WHERE {_banned_sql('lower(url)')}""")
+def q_policy_audit(spark, sf):
+    return PO.policy_audit(pages(spark, sf).select("page_id", "url"), ("url",), _PAGE_PATTERNS)
+
+
+@register("policy_counts", f"""
+SELECT CAST(count_if({_banned_sql('lower(url)')}) AS BIGINT) AS banned,
+       CAST(count_if(NOT {_banned_sql('lower(url)')}) AS BIGINT) AS allowed
+FROM pages""")
+def q_policy_counts(spark, sf):
+    return PO.policy_counts(pages(spark, sf), ("url",), _PAGE_PATTERNS)
+
+
+@register("catalog_by_budget", f"""
+WITH {_SCORE_SQL}
+SELECT t.target, t.target_type, b.budget, c.ord, c.id AS source_id
+FROM targets t CROSS JOIN {_BUDGETS_SQL.replace(' AS t(', ' AS b(')} JOIN cat c
+  ON CASE b.budget WHEN 'minimal' THEN c.cost = 'free' AND c.speed IN ('very_fast', 'fast')
+                   WHEN 'optimal' THEN c.cost = 'free' ELSE TRUE END""")
+def q_catalog_by_budget(spark, sf):
+    return SE.catalog_by_budget(_targets(spark, sf))
+
+
+@register("catalog_by_target", f"""
+WITH {_SCORE_SQL}
+SELECT t.target, t.target_type, c.ord, c.id AS source_id
+FROM targets t JOIN cat c ON list_contains(c.best_for, t.target_type)""")
+def q_catalog_by_target(spark, sf):
+    return SE.catalog_by_target(_targets(spark, sf))
+
+
+@register("source_scores", f"""
+WITH {_SCORE_SQL}
+SELECT t.target, t.target_type, s.budget, s.ord, s.id AS source_id, s.score
+FROM targets t JOIN scored s ON s.target_type = t.target_type""")
+def q_source_scores(spark, sf):
+    return SE.score_sources(_targets(spark, sf)).select(
+        "target", "target_type", "budget", "ord", F.col("id").alias("source_id"), "score")
+
+
+@register("source_scores_legacy", f"""
+WITH {_SCORE_SQL}
+SELECT t.target, s.budget, s.ord, s.id AS source_id, s.legacy_score
+FROM targets t JOIN scored s ON s.target_type = t.target_type""")
+def q_source_scores_legacy(spark, sf):
+    return SE.score_sources(_targets(spark, sf)).select(
+        "target", "budget", "ord", F.col("id").alias("source_id"), "legacy_score")
+
+
+@register("top_sources", f"""
+WITH {_SCORE_SQL},
+top AS (SELECT *, row_number() OVER (PARTITION BY target_type, budget ORDER BY score DESC, ord) AS rank FROM scored)
+SELECT t.target, t.target_type, p.budget, p.rank, p.ord, p.id AS source_id, p.score
+FROM targets t JOIN top p ON p.target_type = t.target_type AND p.rank <= 3""")
+def q_top_sources(spark, sf):
+    small = SE.rank_sources(SE.scored_catalogue(catalogue(spark)), K.DEFAULT_TOP_N)
+    t = SE.with_budgets(_targets(spark, sf))
+    return t.join(F.broadcast(small), ["target_type", "budget"]).select(
+        "target", "target_type", "budget", "rank", "ord", F.col("id").alias("source_id"), "score")
+
+
+@register("select_sources", f"WITH {_SCORE_SQL} SELECT * FROM selected")
+def q_select_sources(spark, sf):
+    return _selected(spark, sf)
+
+
+# ---------------------------------------------------------------------------
+# Fallback, status, caps
+# ---------------------------------------------------------------------------
+
+@register("source_fallback", f"""
+WITH {_ATTEMPTS_SQL}
+SELECT w.target, w.rank, w.source_id, i.page_id, i.url
+FROM win w JOIN items i ON i.target = w.target AND i.rank = w.rank""")
+def q_source_fallback(spark, sf):
+    attempts, items = _attempts(spark, sf)
+    return FB.first_successful_source(attempts, items).select("target", "rank", "source_id", "page_id", "url")
+
+
+@register("source_failures", f"""
+WITH {_ATTEMPTS_SQL},
+e AS (SELECT target, rank,
+             CASE WHEN status <> 'ok' THEN coalesce(error, 'All scrapers failed')
+                  WHEN n_items = 0 THEN 'No data returned from ' || source_id END AS err,
+             (status = 'ok' AND n_items > 0) AS ok
+      FROM attempts)
+SELECT target, count(*) AS attempts, coalesce(arg_max(err, rank), 'All scrapers failed') AS error
+FROM e GROUP BY target HAVING count_if(ok) = 0""")
+def q_source_failures(spark, sf):
+    attempts, _ = _attempts(spark, sf)
+    return FB.source_failures(attempts)
+
+
+@register("target_status", f"""
+WITH {_ATTEMPTS_SQL},
+content AS (SELECT w.target, count_if(length(i.html) > 0) AS n_content
+            FROM win w JOIN items i ON i.target = w.target AND i.rank = w.rank GROUP BY 1)
+SELECT t.target,
+  CASE WHEN NOT EXISTS (SELECT 1 FROM selected s WHERE s.target = t.target) THEN 'no_source'
+       WHEN NOT EXISTS (SELECT 1 FROM win w WHERE w.target = t.target) THEN 'all_failed'
+       WHEN coalesce((SELECT n_content FROM content c WHERE c.target = t.target), 0) = 0 THEN 'no_content'
+       ELSE 'ok' END AS status
+FROM targets t""")
+def q_target_status(spark, sf):
+    attempts, items = _attempts(spark, sf)
+    return FB.target_status(_targets(spark, sf), _selected(spark, sf), attempts, items)
+
+
+@register("page_cap", f"""
+SELECT target, page_id, url FROM (
+  SELECT {S.host('url')} AS target, page_id, url,
+         row_number() OVER (PARTITION BY {S.host('url')} ORDER BY page_id) AS rn FROM pages)
+WHERE rn <= 2""")
+def q_page_cap(spark, sf):
+    p = pages(spark, sf).select(host_of("url").alias("target"), "page_id", "url")
+    return CV.cap_pages(p, 2)
+
+
+# ---------------------------------------------------------------------------
+# Content resolution, ordinals, document variants
+# ---------------------------------------------------------------------------
+
+@register("resolve_content", f"""
+WITH {_ITEMS_SQL}
+SELECT page_id, url, content_field, resolved AS content FROM resolved""")
+def q_resolve_content(spark, sf):
+    return _items(spark, sf).select("page_id", F.col("_url").alias("url"), "content_field", "content")
+
+
+@register("skipped_items", f"""
+WITH {_ITEMS_SQL}
+SELECT page_id, coalesce(url, 'unknown-' || page_id) AS url FROM resolved WHERE resolved IS NULL""")
+def q_skipped_items(spark, sf):
+    return CV.skipped_items(DV.scattered_items(pages(spark, sf)))
+
+
+@register("doc_names", f"""
+WITH {_ITEMS_SQL},
+o AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY page_id) - 1 AS ordinal FROM resolved)
+SELECT page_id, target AS corpus, ordinal, printf('doc_%04d.txt', ordinal) AS doc_name,
+       coalesce(url, 'unknown-' || ordinal) AS url
+FROM o WHERE resolved IS NOT NULL""")
+def q_doc_names(spark, sf):
+    items = _items(spark, sf).withColumnRenamed("target", "corpus")
+    named = CV.doc_names(items, "corpus", "page_id")
+    named = CV.with_default_url(named, "ordinal").filter(F.col("content").isNotNull())
+    return named.select("page_id", "corpus", "ordinal", "doc_name", "url")
+
+
+@register("documents_with_header", f"""
+WITH {_ITEMS_SQL},
+c AS (SELECT page_id, coalesce(url, 'unknown-' || page_id) AS url, {S.title('resolved')} AS title,
+             {S.clean_html('resolved')} AS text FROM resolved WHERE resolved IS NOT NULL)
+SELECT page_id, url, content_field_dummy.f AS content_field, {S.header('url', 'title', AS_OF_ISO)} || text AS document
+FROM c JOIN (SELECT page_id AS pid, content_field AS f FROM resolved) content_field_dummy ON pid = page_id""")
+def q_documents_with_header(spark, sf):
+    return CV.convert_pages(DV.scattered_items(pages(spark, sf)), AS_OF).select(
+        "page_id", "url", "content_field", "document")
+
+
+@register("documents_plain", f"""
+WITH {_ITEMS_SQL}
+SELECT page_id, {S.clean_html('resolved')} AS document FROM resolved WHERE resolved IS NOT NULL""")
+def q_documents_plain(spark, sf):
+    return CV.convert_pages(DV.scattered_items(pages(spark, sf)), AS_OF, include_metadata=False).select(
+        "page_id", "document")
+
+
+_TITLE_VARIANTS_SQL = """
+v AS (
+  SELECT page_id, url, 'as_is' AS variant, html FROM pages
+  UNION ALL SELECT page_id, url, 'no_title', regexp_replace(html, '(?is)<title\\b[^>]*>.*?</title\\s*>', '', 'g') FROM pages
+  UNION ALL SELECT page_id, url, 'og_only', regexp_replace(regexp_replace(regexp_replace(html,
+      '(?is)<title\\b[^>]*>.*?</title\\s*>', '', 'g'), '(?is)<h1\\b[^>]*>.*?</h1\\s*>', '', 'g'), '(?i)<head>',
+      '<head><meta property="og:title" content=" Open Graph &amp; title ">', 'g') FROM pages
+  UNION ALL SELECT page_id, url, 'bare', regexp_replace(regexp_replace(html,
+      '(?is)<title\\b[^>]*>.*?</title\\s*>', '', 'g'), '(?is)<h1\\b[^>]*>.*?</h1\\s*>', '', 'g') FROM pages),
+base AS (
+  SELECT *, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1) AS t_raw,
+         regexp_matches(html, '(?i)<h1\\b') AS has_h1,
+         regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1', 1) AS h1_raw,
+         regexp_extract(html, '<meta property="og:title" content="([^"]*)"', 1) AS og_raw,
+         regexp_extract(regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?(?://[^/?#]*)?([^?#]*)', 1),
+                                       '/+$', ''), '([^/]*)$', 1) AS base
+  FROM v),
+titled AS (
+  SELECT page_id, variant,
+    CASE WHEN t_raw <> '' THEN {title}
+         WHEN has_h1 THEN array_to_string(list_filter(list_transform(string_split(regexp_replace(h1_raw, '<[^>]*>',
+              chr(10), 'g'), chr(10)), lambda l: {strip_l}), lambda l: l <> ''), '')
+         WHEN og_raw <> '' THEN {og}
+         WHEN base <> '' THEN array_to_string(list_transform(regexp_extract_all(translate(base, '-_', '  '),
+              '[\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+|[^\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+'), lambda w: upper(w[1]) || lower(w[2:])), '')
+         ELSE 'Untitled' END AS title,
+    CASE WHEN t_raw <> '' THEN 'title' WHEN has_h1 THEN 'h1' WHEN og_raw <> '' THEN 'og'
+         WHEN base <> '' THEN 'url' ELSE 'untitled' END AS title_source
+  FROM base)""".format(title=S.strip(S.decode_entities("t_raw")), strip_l=S.strip(S.decode_entities("l")),
+                       og=S.strip(S.decode_entities("og_raw")))
+
+
+@register("title_fallbacks", f"WITH {_TITLE_VARIANTS_SQL} SELECT page_id, variant, title, title_source FROM titled")
+def q_title_fallbacks(spark, sf):
+    v = DV.title_variants(pages(spark, sf))
+    tp = H.title_parts(F.col("html"), F.col("url"))
+    return v.select("page_id", "variant", tp["title"].alias("title"), tp["source"].alias("title_source"))
+
+
+@register("title_source_counts",
+          f"WITH {_TITLE_VARIANTS_SQL} SELECT title_source, count(*) AS pages FROM titled GROUP BY 1")
+def q_title_source_counts(spark, sf):
+    v = DV.title_variants(pages(spark, sf))
+    return (v.select(H.title_parts(F.col("html"), F.col("url"))["source"].alias("title_source"))
+            .groupBy("title_source").agg(F.count(F.lit(1)).alias("pages")))
+
+
+@register("main_content", f"""
+SELECT page_id, {S.clean_html("regexp_extract(html, '(?is)<article\\b[^>]*>.*?</article\\s*>', 0)")} AS main_text
+FROM pages""")
+def q_main_content(spark, sf):
+    return CV.main_content(pages(spark, sf))
+
+
+_AD_HTML_SQL = ("regexp_replace(replace(html, 'class=\"ad\"', 'class=\"ad-container sponsored\"'), '(?i)<article>', "
+                "'<article><div class=\"Popup\"><div>tracked</div> offer</div>', 'g')")
+_AD_BLOCK_RE = ("(?is)<div\\s+class=\"[^\"]*(?:" + "|".join(K.AD_CLASS_PATTERNS)
+                + ")[^\"]*\"[^>]*>(?:<div[^>]*>[^<]*</div>|[^<])*</div>")
+
+
+@register("strip_ad_blocks", f"""
+SELECT page_id, {S.clean_html(f"regexp_replace({_AD_HTML_SQL}, '{_AD_BLOCK_RE}', chr(10), 'g')")} AS text
+FROM pages""")
+def q_strip_ad_blocks(spark, sf):
+    return CV.clean_pages(DV.ad_class_pages(pages(spark, sf)))
+
+
+@register("normalize_documents", f"""
+SELECT doc_id, {S.normalize_ws("replace(text, '. ', '.  ' || chr(9) || '   ' || chr(10) || chr(10) || chr(10) || chr(10) || ' ')")}
+  AS text FROM documents""")
+def q_normalize_documents(spark, sf):
+    d = DV.dirty_documents(read_table(spark, sf, "documents"))
+    return d.select("doc_id", normalize_ws(F.col("text")).alias("text"))
+
+
+# ---------------------------------------------------------------------------
+# Tokens, costs, corpus summaries, manifests, run records
+# ---------------------------------------------------------------------------
+
+@register("token_estimates", "SELECT doc_id, length(text) AS n_chars, length(text) // 5 AS tokens FROM documents")
+def q_token_estimates(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    return CV.token_estimates(d).select("doc_id", F.length("text").alias("n_chars"), "tokens")
+
+
+@register("indexing_cost", """
+SELECT count(*) AS files, sum(length(text) // 5) AS total_tokens,
+       sum(length(text) // 5) / 1e6 * 0.15 AS cost_usd FROM documents""")
+def q_indexing_cost(spark, sf):
+    return CO.indexing_cost_chars(read_table(spark, sf, "documents"), "text")
+
+
+@register("indexing_cost_bytes", """
+SELECT count(*) AS files, sum(strlen(text)) AS total_size_bytes, sum(strlen(text)) // 5 AS estimated_tokens,
+       round((sum(strlen(text)) // 5) / 1e6 * 0.15, 4) AS cost_estimate_usd FROM documents""")
+def q_indexing_cost_bytes(spark, sf):
+    return CO.indexing_cost_bytes(read_table(spark, sf, "documents"), "text")
+
+
+@register("corpus_summary", f"""
+WITH d AS (SELECT source, doc_id, text, printf('doc_%04d.txt', doc_id) AS name FROM documents),
+a AS (SELECT source, count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM d GROUP BY 1),
+f AS (SELECT source, string_agg(name, ',' ORDER BY doc_id) AS first_files FROM (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM d) WHERE rn <= 10 GROUP BY 1)
+SELECT a.source AS corpus_name, files AS files_indexed, '{K.STORAGE_TYPE}' AS storage_type,
+       '{K.STORAGE_PERSISTENCE}' AS storage_persistence, TRUE AS globally_accessible,
+       '{AS_OF_ISO}' AS created_at, bytes AS total_size_bytes, bytes // 5 AS estimated_tokens,
+       round((bytes // 5) / 1e6 * 0.15, 4) AS cost_estimate_usd, round(bytes / 1024 / 1024, 2) AS total_size_mb,
+       first_files
+FROM a JOIN f ON f.source = a.source""")
+def q_corpus_summary(spark, sf):
+    d = read_table(spark, sf, "documents").select(
+        F.col("source").alias("corpus"), "doc_id", "text", CV.doc_name(F.col("doc_id")).alias("doc_name"))
+    return CO.corpus_summary(d, AS_OF, by="corpus", text_col="text", order="doc_id", name="doc_name")
+
+
+@register("page_pricing", f"""
+WITH {_ITEMS_SQL}
+SELECT target, count(*) AS pages_processed, 0.0015 AS price_per_page, 0.02 AS start_fee,
+       CAST(round(0.02 + count(*) * 0.0015, 2) AS DOUBLE) AS estimated_total
+FROM items GROUP BY 1""")
+def q_page_pricing(spark, sf):
+    counts = DV.scattered_items(pages(spark, sf)).groupBy("target").agg(F.count(F.lit(1)).alias("pages_processed"))
+    return CO.page_pricing(counts)
+
+
+@register("tier_pricing", f"""
+WITH {_ITEMS_SQL},
+c AS (SELECT target, count(*) AS n FROM items GROUP BY 1)
+SELECT c.target, c.n AS pages_processed, t.plan, t.discount,
+       CAST(0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))) AS DOUBLE) AS price_per_page,
+       CAST(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 2) AS DOUBLE) AS estimated_total
+FROM c CROSS JOIN {S.values(K.PRICE_TIERS, ['plan', 'discount'])}""")
+def q_tier_pricing(spark, sf):
+    counts = DV.scattered_items(pages(spark, sf)).groupBy("target").agg(F.count(F.lit(1)).alias("pages_processed"))
+    return CO.tier_pricing(counts)
+
+
+@register("run_counters", f"""
+WITH {_ITEMS_SQL}
+SELECT target, count(*) AS pages_scraped, CAST(count(resolved) AS BIGINT) AS documents_created,
+       CAST(count(resolved) AS BIGINT) AS files_indexed
+FROM resolved GROUP BY 1""")
+def q_run_counters(spark, sf):
+    return CO.run_counters(_items(spark, sf), "target", "content")
+
+
+@register("total_cost", f"""
+WITH {_DOCS_CTE},
+idx AS (SELECT corpus, round((sum(strlen(document)) // 5) / 1e6 * 0.15, 4) AS index_cost FROM docs GROUP BY 1),
+c AS (SELECT {S.host('url')} AS target, count(*) AS n FROM pages GROUP BY 1)
+SELECT c.target, t.plan, b.budget, c.n AS pages_processed,
+       CAST(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 2) AS DOUBLE) AS estimated_total,
+       CAST(round(c.n / 100 * CAST(b.rate AS DECIMAL(18, 6)), 4) AS DOUBLE) AS scraper_cost,
+       idx.index_cost,
+       CAST(round(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 2)
+             + round(c.n / 100 * CAST(b.rate AS DECIMAL(18, 6)), 4) + CAST(idx.index_cost AS DECIMAL(18, 6)), 4)
+            AS DOUBLE) AS total_usd
+FROM c JOIN idx ON idx.corpus = c.target
+CROSS JOIN {S.values(K.PRICE_TIERS, ['plan', 'discount']).replace(' AS t(', ' AS t(')}
+CROSS JOIN {S.values(K.SCRAPER_COST_PER_100_PAGES, ['budget', 'rate']).replace(' AS t(', ' AS b(')}""")
+def q_total_cost(spark, sf):
+    p = pages(spark, sf)
+    counts = p.groupBy(host_of("url").alias("target")).agg(F.count(F.lit(1)).alias("pages_processed"))
+    idx = (CO.indexing_cost_bytes(_docs(spark, sf), "document", by=["corpus"])
+           .select(F.col("corpus").alias("target"), F.col("cost_estimate_usd").alias("index_cost")))
+    t = CO.total_cost(counts.join(idx, "target"), F.col("index_cost"))
+    return t.select("target", "plan", "budget", "pages_processed", "estimated_total", "scraper_cost",
+                    "index_cost", "total_usd")
+
+
+_MANIFEST_SQL = f"""{_DOCS_CTE},
+manifest AS (
+  SELECT corpus, doc_name AS name, corpus || '/' || doc_name AS path, strlen(document) AS size,
+         '{AS_OF_ISO}' AS imported_at FROM docs)"""
+
+
+@register("upload_manifest", f"""
+WITH {_MANIFEST_SQL}
+SELECT corpus, name, path, size, imported_at, path AS source_path, imported_at AS upload_date,
+       CAST(size AS VARCHAR) AS file_size FROM manifest""")
+def q_upload_manifest(spark, sf):
+    m = CO.build_manifest(_docs(spark, sf), AS_OF)
+    return m.select("corpus", "name", "path", "size", "imported_at",
+                    F.col("custom_metadata")["source_path"].alias("source_path"),
+                    F.col("custom_metadata")["upload_date"].alias("upload_date"),
+                    F.col("custom_metadata")["file_size"].alias("file_size"))
+
+
+@register("list_corpora", f"""
+WITH {_MANIFEST_SQL}
+SELECT 'corpora/' || corpus AS name, corpus AS display_name, min(imported_at) AS created_time,
+       count(*) AS files, CAST(sum(size) AS BIGINT) AS total_size_bytes FROM manifest GROUP BY corpus""")
+def q_list_corpora(spark, sf):
+    return CO.list_corpora(CO.build_manifest(_docs(spark, sf), AS_OF))
+
+
+@register("drop_corpora", f"""
+WITH {_MANIFEST_SQL},
+banned AS (SELECT DISTINCT {S.host('url')} AS corpus FROM pages WHERE {_banned_sql('lower(url)')})
+SELECT corpus, name, size FROM manifest WHERE corpus NOT IN (SELECT corpus FROM banned)""")
+def q_drop_corpora(spark, sf):
+    m = CO.build_manifest(_docs(spark, sf), AS_OF)
+    banned = PO.policy_audit(pages(spark, sf).select("url"), ("url",), _PAGE_PATTERNS).select(host_of("url").alias("corpus"))
+    return CO.drop_corpora(m, banned).select("corpus", "name", "size")
+
+
+@register("run_record", f"""
+WITH {_ATTEMPTS_SQL},
+wi AS (SELECT w.target, w.source_id, i.page_id, i.url, i.html FROM win w JOIN items i
+         ON i.target = w.target AND i.rank = w.rank),
+conv AS (SELECT target, source_id, page_id, coalesce(url, 'unknown-' || page_id) AS url, {S.title('html')} AS title,
+                {S.clean_html('html')} AS text, length(html) > 0 AS has FROM wi),
+agg AS (SELECT target, any_value(source_id) AS scraper_used, count(*) AS pages_scraped,
+               CAST(count_if(has) AS BIGINT) AS documents_created,
+               CAST(sum(CASE WHEN has THEN strlen({S.header('url', 'title', AS_OF_ISO)} || text) ELSE 0 END) AS BIGINT)
+                 AS bytes
+        FROM conv GROUP BY 1)
+SELECT a.target, t.target_type, a.scraper_used, a.pages_scraped, a.documents_created,
+       'stores/' || a.target AS gemini_corpus_file_search_store_name, '{K.DEFAULT_CORPUS_NAME}' AS gemini_corpus_corpus_name,
+       a.documents_created AS gemini_corpus_files_indexed, '{K.STORAGE_TYPE}' AS gemini_corpus_storage_type,
+       '{K.STORAGE_PERSISTENCE}' AS gemini_corpus_storage_persistence, TRUE AS gemini_corpus_globally_accessible,
+       a.bytes // 5 AS gemini_corpus_estimated_tokens, round((a.bytes // 5) / 1e6 * 0.15, 4) AS gemini_corpus_cost_estimate_usd,
+       '{K.PRICING_MODEL}' AS pricing_model, a.pages_scraped AS pricing_pages_processed, 0.0015 AS pricing_price_per_page,
+       0.02 AS pricing_start_fee, CAST(round(0.02 + a.pages_scraped * 0.0015, 2) AS DOUBLE) AS pricing_estimated_total,
+       '{K.PRICING_NOTE}' AS pricing_note, '{AS_OF_ISO}' AS created_at,
+       '{K.QUERY_INSTRUCTIONS}' AS query_instructions
+FROM agg a JOIN targets t ON t.target = a.target""")
+def q_run_record(spark, sf):
+    attempts, items = _attempts(spark, sf)
+    return JB.flatten_record(JB.run_records(_targets(spark, sf), attempts, items, AS_OF))
+
+
+@register("incremental_append", f"""
+WITH existing AS (SELECT url, sha256(html) AS h FROM pages),
+incoming AS (
+  SELECT page_id, url, CASE WHEN contains(url, '/en/') THEN replace(html, '</article>', '<p>Updated.</p></article>')
+                            ELSE html END AS html FROM pages)
+SELECT page_id, url, sha256(html) AS content_sha256 FROM incoming i
+WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.url = i.url AND e.h = sha256(i.html))""")
+def q_incremental_append(spark, sf):
+    p = pages(spark, sf)
+    existing = p.select("url", F.col("html").alias("content"))
+    incoming = DV.second_crawl(p).withColumnRenamed("html", "content")
+    return CO.append_new_pages(existing, incoming).select("page_id", "url", "content_sha256")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
