@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pagesieve import constants as K
 from pagesieve.functions import html as H
 from pagesieve.functions.text import normalize_ws
+from pagesieve.operators import chunking as CH
 from pagesieve.operators import convert as CV
 from pagesieve.operators import corpus as CO
 from pagesieve.operators import fallback as FB
@@ -631,6 +632,33 @@ def q_incremental_append(spark, sf):
     return CO.append_new_pages(existing, incoming).select("page_id", "url", "content_sha256")
 
 
+# ---------------------------------------------------------------------------
+# Chunking
+# ---------------------------------------------------------------------------
+
+CHUNK_MAX, CHUNK_OVERLAP, CHUNK_SEP = 60, 15, "\n"
+
+
+def _chunks(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    return CH.chunk_documents(docs, "doc_id", "text", CHUNK_MAX, CHUNK_OVERLAP, CHUNK_SEP, keep=("source",))
+
+
+@register("chunk_documents", S.chunks(CHUNK_MAX, CHUNK_OVERLAP) + """
+SELECT doc_id, chunk_no, chunk, length(chunk) // 5 AS chunk_tokens FROM chunks""")
+def q_chunk_documents(spark, sf):
+    return _chunks(spark, sf).select("doc_id", "chunk_no", "chunk", "chunk_tokens")
+
+
+@register("chunk_stats", S.chunks(CHUNK_MAX, CHUNK_OVERLAP) + """,
+per_doc AS (SELECT source, doc_id, count(*) AS n, max(length(chunk) // 5) AS mx FROM chunks GROUP BY 1, 2)
+SELECT source, count(*) AS documents, CAST(sum(n) AS BIGINT) AS chunks,
+       CAST(count_if(n > 1) AS BIGINT) AS multi_chunk_documents, max(mx) AS max_chunk_tokens
+FROM per_doc GROUP BY 1""")
+def q_chunk_stats(spark, sf):
+    return CH.chunk_stats(_chunks(spark, sf), "source", "doc_id")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -106,3 +106,39 @@ def values(rows, cols) -> str:
         return q(str(v))
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"(VALUES {body}) AS t({', '.join(cols)})"
+
+
+def chunks(max_tokens: int, overlap: int, sep_sql: str = NL) -> str:
+    """WITH RECURSIVE ... defining ``chunks(doc_id, chunk_no, chunk)`` over
+    ``documents``. Paragraph prefix sums C(i); from state (start s, last
+    appended a) the next cut is the first i > a with C(i) - C(s-1) > max, and
+    the next start is the first j in [s, cut) with C(cut-1) - C(j-1) <= overlap
+    (else the cut itself)."""
+    return f"""
+WITH RECURSIVE
+d AS (SELECT doc_id, source, text, string_split(text, {sep_sql}) AS ps FROM documents),
+long_docs AS (SELECT * FROM d WHERE length(text) // 5 > {max_tokens}),
+cp AS MATERIALIZED (
+  SELECT doc_id, i, c, c - n AS cprev FROM (
+    SELECT doc_id, i, n, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM (
+      SELECT doc_id, i, length(ps[i]) // 5 AS n
+      FROM (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM long_docs)))),
+walk(doc_id, chunk_no, s, a, nxt) AS (
+  SELECT doc_id, 0, 1, 1, (SELECT min(q.i) FROM cp q WHERE q.doc_id = l.doc_id AND q.i > 1 AND q.c > {max_tokens})
+  FROM long_docs l
+  UNION ALL
+  SELECT doc_id, chunk_no + 1, s2, nxt,
+         (SELECT min(q.i) FROM cp q, cp z WHERE q.doc_id = w2.doc_id AND z.doc_id = w2.doc_id AND z.i = w2.s2
+                 AND q.i > w2.nxt AND q.c - z.cprev > {max_tokens})
+  FROM (SELECT w.doc_id, w.chunk_no, w.nxt,
+               coalesce((SELECT min(j.i) FROM cp j, cp b WHERE j.doc_id = w.doc_id AND b.doc_id = w.doc_id
+                           AND b.i = w.nxt AND j.i >= w.s AND j.i < w.nxt AND b.cprev - j.cprev <= {overlap}),
+                        w.nxt) AS s2
+        FROM walk w WHERE w.nxt IS NOT NULL) w2),
+chunks AS (
+  SELECT w.doc_id, l.source, CAST(w.chunk_no AS INTEGER) AS chunk_no,
+         array_to_string(list_slice(l.ps, w.s, coalesce(w.nxt - 1, len(l.ps))), {sep_sql}) AS chunk
+  FROM walk w JOIN long_docs l USING (doc_id)
+  UNION ALL
+  SELECT doc_id, source, 0, text FROM d WHERE length(text) // 5 <= {max_tokens})
+"""
