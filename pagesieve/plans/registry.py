@@ -22,6 +22,7 @@ from pagesieve.operators import convert as CV
 from pagesieve.operators import corpus as CO
 from pagesieve.operators import fallback as FB
 from pagesieve.operators import policy as PO
+from pagesieve.operators import retrieval as RT
 from pagesieve.operators import selection as SE
 from pagesieve.plans import jobs as JB
 from pagesieve.plans import sql as S
@@ -124,8 +125,8 @@ scored AS (
                ELSE c.rating * 10 END, 100) AS legacy_score
   FROM cat c CROSS JOIN {_TYPES_SQL.replace(' AS t(', ' AS ty(')} CROSS JOIN {_BUDGETS_SQL.replace(' AS t(', ' AS b(')}),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY target_type, budget ORDER BY score DESC, ord) AS rank FROM scored
-  WHERE NOT {_banned_sql("lower(concat_ws(' ', id, title, coalesce(description, '')))", K.BANNED_PATTERNS)}),
+  SELECT *, CAST(row_number() OVER (PARTITION BY target_type, budget ORDER BY score DESC, ord) AS INTEGER) AS rank
+  FROM scored WHERE NOT {_banned_sql("lower(concat_ws(' ', id, title, coalesce(description, '')))", K.BANNED_PATTERNS)}),
 selected AS (
   SELECT t.target, t.target_type, r.budget, r.rank, r.ord, r.id AS source_id, r.score
   FROM targets t JOIN ranked r ON r.target_type = t.target_type AND r.budget = 'optimal' AND r.rank <= 3)"""
@@ -268,7 +269,8 @@ def q_source_scores_legacy(spark, sf):
 
 @register("top_sources", f"""
 WITH {_SCORE_SQL},
-top AS (SELECT *, row_number() OVER (PARTITION BY target_type, budget ORDER BY score DESC, ord) AS rank FROM scored)
+top AS (SELECT *, CAST(row_number() OVER (PARTITION BY target_type, budget ORDER BY score DESC, ord) AS INTEGER) AS rank
+         FROM scored)
 SELECT t.target, t.target_type, p.budget, p.rank, p.ord, p.id AS source_id, p.score
 FROM targets t JOIN top p ON p.target_type = t.target_type AND p.rank <= 3""")
 def q_top_sources(spark, sf):
@@ -659,6 +661,82 @@ def q_chunk_stats(spark, sf):
     return CH.chunk_stats(_chunks(spark, sf), "source", "doc_id")
 
 
+# ---------------------------------------------------------------------------
+# Retrieval
+# ---------------------------------------------------------------------------
+
+_TERMS = "regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}]+')"
+
+
+def _bm25_sql(corpus_cte: str, key: str, text: str, k: int) -> str:
+    """BM25 top-k of benchmark questions over ``corpus(key, text)``."""
+    return f"""
+{corpus_cte},
+toks AS (SELECT {key} AS key, {_TERMS.format(x=text)} AS t FROM corpus),
+post AS (SELECT key, term, count(*) AS tf, max(dl) AS dl
+         FROM (SELECT key, len(t) AS dl, unnest(t) AS term FROM toks) GROUP BY 1, 2),
+stats AS (SELECT count(*) AS n, avg(len(t)) AS avgdl FROM toks),
+q AS (SELECT DISTINCT item_id, unnest(list_distinct({_TERMS.format(x='text')})) AS term FROM benchmark),
+df AS (SELECT term, count(*) AS df FROM post WHERE term IN (SELECT term FROM q) GROUP BY 1),
+sc AS (SELECT q.item_id, p.key,
+              round(sum(ln(1 + (s.n - df.df + 0.5) / (df.df + 0.5)) * p.tf * {K.BM25_K1 + 1}
+                        / (p.tf + {K.BM25_K1} * (1 - {K.BM25_B} + {K.BM25_B} * p.dl / s.avgdl))), 6) AS score
+       FROM q JOIN post p USING (term) JOIN df USING (term) CROSS JOIN stats s GROUP BY 1, 2),
+hits AS (SELECT item_id, CAST(rank AS INTEGER) AS rank, key AS {key}, score FROM (
+           SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, key) AS rank FROM sc)
+         WHERE rank <= {k})"""
+
+
+@register("term_index", S.chunks(CHUNK_MAX, CHUNK_OVERLAP) + f""",
+toks AS (SELECT doc_id, chunk_no, {_TERMS.format(x='chunk')} AS t FROM chunks),
+ex AS (SELECT doc_id, chunk_no, len(t) AS doc_len, unnest(t) AS term FROM toks)
+SELECT doc_id, chunk_no, term, count(*) AS tf, max(doc_len) AS doc_len FROM ex GROUP BY 1, 2, 3""")
+def q_term_index(spark, sf):
+    idx = RT.build_term_index(_chunks(spark, sf), ["doc_id", "chunk_no"], "chunk")
+    return idx.select("doc_id", "chunk_no", "term", "tf", F.col("doc_len").cast("long").alias("doc_len"))
+
+
+KEYWORD_K = 5
+
+
+@register("keyword_search", "WITH " + _bm25_sql("corpus AS (SELECT doc_id, text FROM documents)", "doc_id", "text",
+                                                KEYWORD_K) + " SELECT * FROM hits")
+def q_keyword_search(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    questions = read_table(spark, sf, "benchmark")
+    return RT.bm25_search(docs, ["doc_id"], "text", questions, "item_id", "text", k=KEYWORD_K)
+
+
+@register("vector_search", """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+dims AS (SELECT label, i, avg(v[i]) AS x FROM (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM e) GROUP BY 1, 2),
+cen AS (SELECT label, list(x ORDER BY i) AS q FROM dims GROUP BY 1),
+sims AS (SELECT c.label, e.vec_id,
+                round(list_dot_product(c.q, e.v) / (sqrt(list_dot_product(c.q, c.q)) * sqrt(list_dot_product(e.v, e.v))), 6)
+                  AS score
+         FROM cen c CROSS JOIN e)
+SELECT label, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM sims) WHERE rank <= 5""")
+def q_vector_search(spark, sf):
+    emb = read_table(spark, sf, "embeddings")
+    queries = RT.centroids(emb.select("label", "embedding"), "label", "embedding")
+    return RT.cosine_search(emb, "vec_id", "embedding", queries, "label", "embedding", k=5)
+
+
+CITATION_K = 3
+
+
+@register("citations", f"WITH {_DOCS_CTE}, " + _bm25_sql("corpus AS (SELECT page_id, text FROM docs)", "page_id",
+                                                          "text", CITATION_K).lstrip().lstrip(",") + """
+SELECT h.item_id, h.rank, h.page_id, d.url, d.title, h.score FROM hits h JOIN docs d USING (page_id)""")
+def q_citations(spark, sf):
+    docs = _docs(spark, sf)
+    questions = read_table(spark, sf, "benchmark")
+    hits = RT.bm25_search(docs.select("page_id", "text"), ["page_id"], "text", questions, "item_id", "text",
+                          k=CITATION_K)
+    return RT.citations(hits, docs, ["page_id"]).select("item_id", "rank", "page_id", "url", "title", "score")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
