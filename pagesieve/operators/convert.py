@@ -128,7 +128,7 @@ def build_documents(df: DataFrame, as_of, include_metadata: bool = True,
 
 def convert_pages(df: DataFrame, as_of, url_field: str = "url", html_field: str = "html",
                   ordinal: str = "page_id", include_metadata: bool = True,
-                  corpus: Column | str | None = None) -> DataFrame:
+                  corpus: Column | str | None = None, keep=()) -> DataFrame:
     """Scraped items -> documents.
 
     ``ordinal`` is the item's position in its scraped dataset (gaps are kept
@@ -140,12 +140,13 @@ def convert_pages(df: DataFrame, as_of, url_field: str = "url", html_field: str
     r = r.filter(F.col("content").isNotNull())
     corpus_col = (host_of(F.col("url")) if corpus is None
                   else (F.col(corpus) if isinstance(corpus, str) else corpus))
-    r = r.select(F.col(ordinal), corpus_col.alias("corpus"), "url", "content", "content_field")
+    r = r.select(F.col(ordinal), corpus_col.alias("corpus"), "url", "content", "content_field", *keep)
     r = _page_columns(r, "content", "url")
     r = build_documents(r, as_of, include_metadata)
-    return r.select(ordinal, "corpus", doc_name(F.col(ordinal)).alias("doc_name"), "url", "title",
+    return r.select(ordinal, *keep, "corpus", doc_name(F.col(ordinal)).alias("doc_name"), "url", "title",
                     "title_source", "content_field", "text", "document",
-                    F.length("document").alias("n_chars"), F.octet_length("document").alias("n_bytes"))
+                    F.length("document").cast("long").alias("n_chars"),
+                    F.octet_length("document").cast("long").alias("n_bytes"))
 
 
 def cap_pages(df: DataFrame, max_pages: int = K.DEFAULT_MAX_PAGES, target: str = "target",

@@ -27,6 +27,7 @@ from pagesieve.operators import selection as SE
 from pagesieve.plans import jobs as JB
 from pagesieve.plans import sql as S
 from pagesieve.sources import derive as DV
+from pagesieve.streaming import ingest as ST
 from pagesieve.sources.tables import catalogue, host_of, read_pages, read_table, table_path
 
 AS_OF = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -57,8 +58,8 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
 @register("scan_pages", """
 SELECT page_id, url, length(html) AS html_chars, strlen(html) AS html_bytes FROM pages""")
 def q_scan_pages(spark, sf):
-    return pages(spark, sf).select("page_id", "url", F.length("html").alias("html_chars"),
-                                   F.octet_length("html").alias("html_bytes"))
+    return pages(spark, sf).select("page_id", "url", F.length("html").cast("long").alias("html_chars"),
+                                   F.octet_length("html").cast("long").alias("html_bytes"))
 
 
 @register("clean_pages", f"SELECT page_id, {S.clean_html('html')} AS text FROM pages")
@@ -469,18 +470,19 @@ def q_normalize_documents(spark, sf):
 @register("token_estimates", "SELECT doc_id, length(text) AS n_chars, length(text) // 5 AS tokens FROM documents")
 def q_token_estimates(spark, sf):
     d = read_table(spark, sf, "documents").select("doc_id", "text")
-    return CV.token_estimates(d).select("doc_id", F.length("text").alias("n_chars"), "tokens")
+    return CV.token_estimates(d).select("doc_id", F.length("text").cast("long").alias("n_chars"), "tokens")
 
 
 @register("indexing_cost", """
-SELECT count(*) AS files, sum(length(text) // 5) AS total_tokens,
+SELECT count(*) AS files, CAST(sum(length(text) // 5) AS BIGINT) AS total_tokens,
        sum(length(text) // 5) / 1e6 * 0.15 AS cost_usd FROM documents""")
 def q_indexing_cost(spark, sf):
     return CO.indexing_cost_chars(read_table(spark, sf, "documents"), "text")
 
 
 @register("indexing_cost_bytes", """
-SELECT count(*) AS files, sum(strlen(text)) AS total_size_bytes, sum(strlen(text)) // 5 AS estimated_tokens,
+SELECT count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS total_size_bytes,
+       CAST(sum(strlen(text)) // 5 AS BIGINT) AS estimated_tokens,
        round((sum(strlen(text)) // 5) / 1e6 * 0.15, 4) AS cost_estimate_usd FROM documents""")
 def q_indexing_cost_bytes(spark, sf):
     return CO.indexing_cost_bytes(read_table(spark, sf, "documents"), "text")
@@ -737,6 +739,24 @@ def q_citations(spark, sf):
     return RT.citations(hits, docs, ["page_id"]).select("item_id", "rank", "page_id", "url", "title", "score")
 
 
+# ---------------------------------------------------------------------------
+# Streaming ingest
+# ---------------------------------------------------------------------------
+
+@register("stream_ingest", f"""
+WITH c AS (
+  SELECT page_id, coalesce(url, 'unknown-' || page_id) AS url, sha256(html) AS content_sha256,
+         {S.title('html')} AS title, {S.clean_html('html')} AS text
+  FROM pages WHERE length(html) > 0),
+d AS (SELECT *, {S.header('url', 'title', AS_OF_ISO)} || text AS document FROM c)
+SELECT page_id, {S.host('url')} AS corpus, printf('doc_%04d.txt', page_id) AS doc_name, url, title, document,
+       content_sha256
+FROM d""")
+def q_stream_ingest(spark, sf):
+    corpus = ST.run_ingest(spark, sf, AS_OF, glob="pages.parquet")
+    return corpus.select("page_id", "corpus", "doc_name", "url", "title", "document", "content_sha256")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
