@@ -45,12 +45,12 @@ def indexing_cost_bytes(docs: DataFrame, text_col: str = "text", by=()) -> DataF
                         F.round(F.col("estimated_tokens") / 1e6 * K.INDEXING_PRICE_PER_MILLION_TOKENS, 4)))
 
 
-def page_charge(pages_col: Column, discount: Column | None = None) -> Column:
-    """round(start fee + pages * price * (1 - discount), 2) in exact decimals."""
+def page_charge(pages_col: Column, discount: Column | None = None, decimals: int = 2) -> Column:
+    """round(start fee + pages * price * (1 - discount), decimals) in exact decimals."""
     price = _dec(K.PRICE_PER_PAGE)
     if discount is not None:
         price = price * (F.lit(1).cast("decimal(18,6)") - discount.cast("decimal(18,6)"))
-    return F.round(_dec(K.START_FEE) + pages_col.cast("decimal(18,0)") * price, 2).cast("double")
+    return F.round(_dec(K.START_FEE) + pages_col.cast("decimal(18,0)") * price, decimals).cast("double")
 
 
 def page_pricing(counts: DataFrame, pages_col: str = "pages_processed") -> DataFrame:
@@ -66,7 +66,7 @@ def tier_pricing(counts: DataFrame, pages_col: str = "pages_processed") -> DataF
     t = counts.withColumn("_t", F.explode(tiers)).select("*", "_t.plan", "_t.discount").drop("_t")
     per_page = (_dec(K.PRICE_PER_PAGE) * (F.lit(1).cast("decimal(18,6)") - F.col("discount").cast("decimal(18,6)")))
     return (t.withColumn("price_per_page", per_page.cast("double"))
-            .withColumn("estimated_total", page_charge(F.col(pages_col), F.col("discount"))))
+            .withColumn("estimated_total", page_charge(F.col(pages_col), F.col("discount"), 4)))
 
 
 def total_cost(counts: DataFrame, index_cost: Column, pages_col: str = "pages_processed") -> DataFrame:

@@ -520,7 +520,7 @@ WITH {_ITEMS_SQL},
 c AS (SELECT target, count(*) AS n FROM items GROUP BY 1)
 SELECT c.target, c.n AS pages_processed, t.plan, t.discount,
        CAST(0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))) AS DOUBLE) AS price_per_page,
-       CAST(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 2) AS DOUBLE) AS estimated_total
+       CAST(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 4) AS DOUBLE) AS estimated_total
 FROM c CROSS JOIN {S.values(K.PRICE_TIERS, ['plan', 'discount'])}""")
 def q_tier_pricing(spark, sf):
     counts = DV.scattered_items(pages(spark, sf)).groupBy("target").agg(F.count(F.lit(1)).alias("pages_processed"))
@@ -541,10 +541,10 @@ WITH {_DOCS_CTE},
 idx AS (SELECT corpus, round((sum(strlen(document)) // 5) / 1e6 * 0.15, 4) AS index_cost FROM docs GROUP BY 1),
 c AS (SELECT {S.host('url')} AS target, count(*) AS n FROM pages GROUP BY 1)
 SELECT c.target, t.plan, b.budget, c.n AS pages_processed,
-       CAST(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 2) AS DOUBLE) AS estimated_total,
+       CAST(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 4) AS DOUBLE) AS estimated_total,
        CAST(round(c.n / 100 * CAST(b.rate AS DECIMAL(18, 6)), 4) AS DOUBLE) AS scraper_cost,
        idx.index_cost,
-       CAST(round(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 2)
+       CAST(round(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 4)
              + round(c.n / 100 * CAST(b.rate AS DECIMAL(18, 6)), 4) + CAST(idx.index_cost AS DECIMAL(18, 6)), 4)
             AS DOUBLE) AS total_usd
 FROM c JOIN idx ON idx.corpus = c.target
