@@ -61,20 +61,21 @@ _COMMON_ENTITIES = [
 
 
 @lru_cache(maxsize=1)
-def _entity_table() -> tuple[list[str], list[str]]:
-    """Named character references from the standard library's HTML5 table."""
-    keys, values = [], []
-    for name, value in sorted(html.entities.html5.items()):
-        if name.endswith(";"):
-            keys.append("&" + name)
-            values.append(value)
-    return keys, values
+def _entity_table() -> str:
+    """Named character references from the standard library's HTML5 table,
+    packed into one string: \x01&name;\x02value\x01... A lookup is one
+    ``instr`` over a single literal, instead of a 2,000-entry map expression
+    copied into the plan at every use."""
+    parts = [f"&{name}\x02{value}" for name, value in sorted(html.entities.html5.items()) if name.endswith(";")]
+    return "\x01" + "\x01".join(parts) + "\x01"
 
 
-def _entity_map() -> Column:
-    keys, values = _entity_table()
-    return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                             F.array(*[F.lit(v) for v in values]))
+def _named_entity(p: Column) -> Column:
+    table = F.lit(_entity_table())
+    key = F.concat(F.lit("\x01"), p, F.lit("\x02"))
+    pos = F.instr(table, key)
+    value = F.substring_index(F.substring(table, pos + F.length(key), 64), "\x01", 1)
+    return F.when(pos > 0, value)
 
 
 _ENTITY_TOKEN = r"&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]{0,40});|[^&]+|&"
@@ -103,7 +104,7 @@ def decode_entities(col) -> Column:
         return (common
                 .when(F.startswith(p, F.lit("&#")), F.coalesce(numeric, p))
                 .when(F.startswith(p, F.lit("&")) & F.endswith(p, F.lit(";")),
-                      F.coalesce(F.try_element_at(_entity_map(), p), p))
+                      F.coalesce(_named_entity(p), p))
                 .otherwise(p))
 
     decoded = F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_ENTITY_TOKEN), 0), piece), "")

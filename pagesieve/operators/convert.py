@@ -8,6 +8,7 @@ projection and everything else is derived from it.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,22 +83,38 @@ def as_of_iso(as_of) -> Column:
     return F.lit(as_of.isoformat())
 
 
+@lru_cache(maxsize=64)
+def _page_exprs(content: str, url: str):
+    """Column expressions of the page projection, built once per column
+    names (the trees are large; building them is many JVM round trips)."""
+    toks = H.tokenize(F.col(content))
+    drop = H._regions(F.col("_toks"), H._is_removed)
+    tp = H.title_parts(F.col(content), F.col(url))
+    text = normalize_ws(H.text_from_tokens(F.col("_toks"), F.col("_drop")))
+    return toks, drop, tp, text
+
+
+@lru_cache(maxsize=64)
+def _clean_exprs(html_col: str):
+    return H.tokenize(F.col(html_col)), H.clean_tokens(F.col("_toks"))
+
+
 def _page_columns(df: DataFrame, content: str, url: str) -> DataFrame:
     """Add title, title_source and clean text from ``content``; the token
-    array is computed once and kept in its own projection."""
-    t = df.withColumn("_toks", H.tokenize(F.col(content)))
-    t = t.withColumn("_drop", H._regions(F.col("_toks"), H._is_removed))
-    t = t.withColumn("_tp", H.title_parts(F.col(content), F.col(url)))
-    return (t.withColumn("title", F.col("_tp.title")).withColumn("title_source", F.col("_tp.source"))
-            .withColumn("text", normalize_ws(H.text_from_tokens(F.col("_toks"), F.col("_drop"))))
-            .drop("_toks", "_drop", "_tp"))
+    array and the dropped regions are computed once, in their own projections."""
+    toks, drop, tp, text = _page_exprs(content, url)
+    t = df.select("*", toks.alias("_toks"))
+    t = t.select("*", drop.alias("_drop"), tp.alias("_tp"))
+    keep = [c for c in df.columns]
+    return t.select(*keep, F.col("_tp.title").alias("title"), F.col("_tp.source").alias("title_source"),
+                    text.alias("text"))
 
 
 def clean_pages(df: DataFrame, html_col: str = "html", key: str = "page_id") -> DataFrame:
     """(key, text): clean text of every page."""
     base = spread(df.select(key, html_col), key)
-    t = base.withColumn("_toks", H.tokenize(F.col(html_col)))
-    return t.select(key, H.clean_tokens(F.col("_toks")).alias("text"))
+    toks, text = _clean_exprs(html_col)
+    return base.select(key, toks.alias("_toks")).select(key, text.alias("text"))
 
 
 def extract_titles(df: DataFrame, html_col: str = "html", url_col: str = "url",

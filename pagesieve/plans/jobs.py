@@ -24,10 +24,14 @@ def run_records(targets: DataFrame, attempts: DataFrame, items: DataFrame, as_of
     targets(target, target_type); attempts(target, rank, source_id, status,
     n_items, error); items(target, rank, page_id, url, html, ...).
     """
-    won = FB.first_successful_source(attempts, items)
-    scraped = won.groupBy("target").agg(F.max("source_id").alias("scraper_used"),
-                                        F.count(F.lit(1)).alias("pages_scraped"))
-    docs = CV.convert_pages(won.drop("rank", "source_id"), as_of, corpus="target")
+    win = FB.winners(attempts)
+    # Keep only the winning attempt's items (semi join: the small winner table
+    # is the build side, so items keep their partitioning and the conversion
+    # below runs where the items are), then convert.
+    won = items.join(win.select("target", "rank"), ["target", "rank"], "left_semi")
+    scraped = won.groupBy("target").agg(F.count(F.lit(1)).alias("pages_scraped"))
+    scraped = scraped.join(win.select("target", F.col("source_id").alias("scraper_used")), "target")
+    docs = CV.convert_pages(won.drop("rank"), as_of, corpus="target")
     per = docs.groupBy(F.col("corpus").alias("target")).agg(
         F.count(F.lit(1)).alias("documents_created"), F.sum("n_bytes").alias("total_size_bytes"))
     t = (scraped.join(per, "target", "left").join(targets, "target")

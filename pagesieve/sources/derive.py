@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagesieve.sources.tables import host_of
+from pagesieve.sources.tables import host_of, spread
 
 # Item shapes by page_id % 6: 0 html; 1 no content (skipped); 2 empty html,
 # text; 3 markdown + content; 4 content; 5 nested crawl.html.
@@ -42,8 +42,8 @@ def page_attempts(pages: DataFrame, selected: DataFrame) -> tuple[DataFrame, Dat
     Returns attempts(target, rank, source_id, status, n_items, error) and
     items(target, rank, page_id, url, html).
     """
-    items = pages.select(host_of("url").alias("target"), (F.col("page_id") % 3 + 1).cast("int").alias("rank"),
-                         "page_id", "url", "html")
+    items = spread(pages, "page_id").select(host_of("url").alias("target"),
+                                            (F.col("page_id") % 3 + 1).cast("int").alias("rank"), "page_id", "url", "html")
     counts = items.groupBy("target", "rank").agg(F.count(F.lit(1)).alias("n_items"))
     failed = (F.col("rank") == 1) & (F.length("target") % 2 == 1)
     attempts = (selected.select("target", "rank", "source_id")

@@ -58,12 +58,21 @@ def read_items(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(ITEMS_SCHEMA).format(fmt).load(path)
 
 
+def _scan_only(df: DataFrame) -> bool:
+    """True when the plan is a file scan with row-local operators only (no
+    join, aggregate, window or exchange), so asking for its partition count
+    plans a scan and runs nothing."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    return not any(op in plan for op in ("Join", "Aggregate", "Window", "Repartition", "Union", "Deduplicate",
+                                         "Sort", "Expand", "Generate", "LocalRelation"))
+
+
 def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread rows on ``key`` when the scan yields fewer partitions than
+    """Hash-spread rows on ``key`` when a scan yields fewer partitions than
     the cluster can run at once (e.g. one large row group). Per-row text work
     is CPU bound; on a large input with many splits this is a no-op, so no
-    shuffle is added at scale."""
-    if df.isStreaming:
+    shuffle is added at scale. Plans that already shuffled are left alone."""
+    if df.isStreaming or not _scan_only(df):
         return df
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
@@ -99,24 +108,44 @@ CATALOGUE_SCHEMA = T.StructType([
 ])
 
 
+def _literal(value, dtype: T.DataType) -> F.Column:
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, dtype.fields)])
+    if isinstance(dtype, T.ArrayType):
+        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
+def local_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small constant table built from literals (a JVM-local relation: no
+    Python worker, no RDD), safe to broadcast."""
+    structs = [_literal(r, schema) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs))) if structs else spark.createDataFrame([], schema)
+
+
 def catalogue(spark: SparkSession) -> DataFrame:
     """The source catalogue: official list followed by the community list."""
     rows = [(*r[:15], ((r[15], r[16], r[17]),), None) for r in K.CATALOGUE]
-    official = spark.createDataFrame(rows[:K.OFFICIAL_COUNT], CATALOGUE_SCHEMA)
-    community = spark.createDataFrame(rows[K.OFFICIAL_COUNT:], CATALOGUE_SCHEMA)
+    official = local_table(spark, rows[:K.OFFICIAL_COUNT], CATALOGUE_SCHEMA)
+    community = local_table(spark, rows[K.OFFICIAL_COUNT:], CATALOGUE_SCHEMA)
     return official.unionByName(community)
 
 
 def budget_modes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(m,) for m in K.BUDGET_MODES], "budget string")
+    return local_table(spark, [(m,) for m in K.BUDGET_MODES], T.StructType([T.StructField("budget", T.StringType())]))
 
 
 def price_tiers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.PRICE_TIERS, "plan string, discount double")
+    return local_table(spark, K.PRICE_TIERS, T.StructType([T.StructField("plan", T.StringType()),
+                                                           T.StructField("discount", T.DoubleType())]))
 
 
 def scraper_costs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.SCRAPER_COST_PER_100_PAGES, "budget string, cost_per_100_pages double")
+    return local_table(spark, K.SCRAPER_COST_PER_100_PAGES,
+                       T.StructType([T.StructField("budget", T.StringType()),
+                                     T.StructField("cost_per_100_pages", T.DoubleType())]))
 
 
 def host_of(url_col) -> F.Column:
