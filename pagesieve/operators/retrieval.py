@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagesieve import constants as K
+from pagesieve.functions.text import let
+from pagesieve.session import materialize
+from pagesieve.sources.tables import spread
 
 TERM_RE = r"[\p{L}\p{N}]+"
 
@@ -28,13 +31,27 @@ def terms(text) -> Column:
     return F.regexp_extract_all(F.lower(t), F.lit(TERM_RE), 0)
 
 
+def term_frequencies(terms_col: Column) -> Column:
+    """array<struct<term, tf>> of one document, computed inside the row:
+    sort the terms, find where each run starts, take run lengths. All terms
+    of a document are in its row, so no shuffle is needed to count them."""
+    def runs(srt):
+        n = F.size(srt)
+        idx = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(idx, lambda i: (i == 1) | (F.element_at(srt, i) != F.element_at(srt, i - 1)))
+        return let(starts, lambda st: F.transform(
+            st, lambda s, j: F.struct(F.element_at(srt, s).alias("term"),
+                                      (F.coalesce(F.try_element_at(st, j + 2), n + 1) - s).cast("long").alias("tf"))))
+    return let(F.array_sort(terms_col), runs)
+
+
 def build_term_index(df: DataFrame, keys, text_col: str) -> DataFrame:
-    """Postings (keys..., term, tf, doc_len). The document length rides along
-    in the same pass, so the text is tokenized once."""
+    """Postings (keys..., term, tf, doc_len), one row per (document, term);
+    counted inside each document's row (no shuffle)."""
     keys = list(keys)
     tok = df.select(*keys, terms(text_col).alias("_t"))
-    ex = tok.select(*keys, F.size("_t").alias("doc_len"), F.explode("_t").alias("term"))
-    return ex.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"), F.max("doc_len").alias("doc_len"))
+    ex = tok.select(*keys, F.size("_t").alias("doc_len"), F.explode(term_frequencies(F.col("_t"))).alias("_p"))
+    return ex.select(*keys, F.col("_p.term").alias("term"), F.col("_p.tf").alias("tf"), "doc_len")
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -43,22 +60,31 @@ def term_stats(postings: DataFrame) -> DataFrame:
 
 
 def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qkey: str, qtext: str,
-                k: int = 5, k1: float = K.BM25_K1, b: float = K.BM25_B, decimals: int = 6) -> DataFrame:
+                k: int = 5, k1: float = K.BM25_K1, b: float = K.BM25_B, decimals: int = 6,
+                checkpoint: bool = True) -> DataFrame:
     """Top ``k`` documents per question by BM25 (idf = ln(1 + (N-df+0.5)/(df+0.5))),
     score rounded to ``decimals`` before ranking, ties broken by the keys.
     Output: qkey, rank, keys..., score."""
     keys = list(keys)
-    postings = build_term_index(corpus, keys, text_col)
-    doc_lens = corpus.select(*keys, F.size(terms(text_col)).alias("doc_len"))
-    n_docs = doc_lens.select(F.count(F.lit(1))).scalar()
-    avg_len = doc_lens.select(F.avg("doc_len")).scalar()
+    corpus = spread(corpus.select(*keys, text_col), keys[0])
+    # The postings feed three branches (corpus statistics, document
+    # frequencies, scoring): tokenize once and checkpoint them.
+    postings = materialize(build_term_index(corpus, keys, text_col)) if checkpoint \
+        else build_term_index(corpus, keys, text_col)
+    # N counts every document (also those without a term); the mean length
+    # is the total term count over N. One scalar subquery each.
+    n_docs = corpus.select(F.count(F.lit(1))).scalar()
+    total = postings.select(F.sum("tf")).scalar()
+    stats = F.struct(n_docs.alias("n"), (total / n_docs).alias("avgdl"))
     qterms = questions.select(qkey, F.explode(F.array_distinct(terms(qtext))).alias("term")).distinct()
     vocab = qterms.select("term").distinct()
-    dfs = postings.join(vocab, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = dfs.select("term", idf.alias("idf"))
-    norm = k1 * (1 - b + b * F.col("doc_len") / avg_len)
-    part = (postings.join(qterms, "term").join(weights, "term")
+    # Postings of question terms only; one frame feeds both the document
+    # frequencies and the scoring join, so its shuffle is computed once.
+    qpost = postings.join(vocab, "term", "left_semi")
+    idf = F.log(1 + (stats["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = qpost.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", idf.alias("idf"))
+    norm = k1 * (1 - b + b * F.col("doc_len") / stats["avgdl"])
+    part = (qpost.join(qterms, "term").join(weights, "term")
             .select(qkey, *keys, (F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("w")))
     scored = part.groupBy(qkey, *keys).agg(F.round(F.sum("w"), decimals).alias("score"))
     w = Window.partitionBy(qkey).orderBy(F.desc("score"), *[F.asc(c) for c in keys])

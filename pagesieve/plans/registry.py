@@ -26,6 +26,7 @@ from pagesieve.operators import retrieval as RT
 from pagesieve.operators import selection as SE
 from pagesieve.plans import jobs as JB
 from pagesieve.plans import sql as S
+from pagesieve.session import materialize
 from pagesieve.sources import derive as DV
 from pagesieve.streaming import ingest as ST
 from pagesieve.sources.tables import catalogue, host_of, read_pages, read_table, table_path
@@ -732,7 +733,8 @@ CITATION_K = 3
                                                           "text", CITATION_K).lstrip().lstrip(",") + """
 SELECT h.item_id, h.rank, h.page_id, d.url, d.title, h.score FROM hits h JOIN docs d USING (page_id)""")
 def q_citations(spark, sf):
-    docs = _docs(spark, sf)
+    # the converted pages feed the index and the citation join: convert once
+    docs = materialize(_docs(spark, sf).select("page_id", "url", "title", "text"))
     questions = read_table(spark, sf, "benchmark")
     hits = RT.bm25_search(docs.select("page_id", "text"), ["page_id"], "text", questions, "item_id", "text",
                           k=CITATION_K)

@@ -50,3 +50,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder and
+    read it back (reliable checkpoint; survives executor loss). Used where
+    one expensive intermediate feeds several branches of a plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
