@@ -174,7 +174,7 @@ def run_record(targets: DataFrame, as_of, corpus_name: str | None = None) -> Dat
     tokens = F.floor(F.col("total_size_bytes") / K.CHARS_PER_TOKEN).cast("long")
     name = F.lit(corpus_name) if corpus_name else F.lit(K.DEFAULT_CORPUS_NAME)
     corpus = F.struct(
-        F.concat(F.lit("stores/"), F.col("target")).alias("file_search_store_name"),
+        F.concat(F.lit("stores/"), F.col("target")).alias("store_name"),
         name.alias("corpus_name"), F.col("documents_created").alias("files_indexed"),
         F.lit(K.STORAGE_TYPE).alias("storage_type"), F.lit(K.STORAGE_PERSISTENCE).alias("storage_persistence"),
         F.lit(True).alias("globally_accessible"), tokens.alias("estimated_tokens"),
@@ -186,7 +186,7 @@ def run_record(targets: DataFrame, as_of, corpus_name: str | None = None) -> Dat
     record = F.struct(
         F.col("target").alias("target"), F.col("target_type").alias("target_type"),
         F.col("scraper_used").alias("scraper_used"), F.col("pages_scraped").alias("pages_scraped"),
-        F.col("documents_created").alias("documents_created"), corpus.alias("gemini_corpus"),
+        F.col("documents_created").alias("documents_created"), corpus.alias("corpus"),
         pricing.alias("pricing"), as_of_iso(as_of).alias("created_at"),
         F.lit(K.QUERY_INSTRUCTIONS).alias("query_instructions"))
     return targets.select(record.alias("record"))

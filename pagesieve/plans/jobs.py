@@ -15,6 +15,8 @@ from pagesieve.operators import convert as CV
 from pagesieve.operators import corpus as CO
 from pagesieve.operators import fallback as FB
 from pagesieve.operators import selection as SE
+from pagesieve.operators.policy import apply_policy
+from pagesieve.sources.tables import catalogue, host_of
 
 
 def run_records(targets: DataFrame, attempts: DataFrame, items: DataFrame, as_of,
@@ -55,3 +57,32 @@ def flatten_record(records: DataFrame) -> DataFrame:
 def select_for_pages(pages: DataFrame, budget: str = K.DEFAULT_BUDGET, top_n: int = K.DEFAULT_TOP_N) -> DataFrame:
     """Targets of a page table with their ranked sources."""
     return SE.select_sources(SE.targets_from_pages(pages), budget, top_n)
+
+
+def run_corpus_job(pages: DataFrame, attempts: DataFrame, items: DataFrame, as_of, out_path: str,
+                   budget: str = K.DEFAULT_BUDGET, top_n: int = K.DEFAULT_TOP_N,
+                   corpus_name: str | None = None) -> DataFrame:
+    """The whole run for a table of targets, with the empty-result guards.
+
+    Raises ValueError when the policy leaves no source, RuntimeError when
+    every attempt of every target failed or when no document was produced.
+    Writes documents (partitioned by corpus), the manifest and the run
+    records under ``out_path`` and returns the run records.
+    """
+    spark = pages.sparkSession
+    if apply_policy(catalogue(spark), ("id", "title", "description")).isEmpty():
+        raise ValueError("No allowed sources: every catalogue entry is banned by the policy")
+    targets = SE.targets_from_pages(pages)
+    win = FB.winners(attempts)
+    if win.isEmpty():
+        raise RuntimeError("All sources failed for every target")
+    won = items.join(win.select("target", "rank"), ["target", "rank"], "left_semi")
+    docs = CV.convert_pages(won.drop("rank"), as_of, corpus="target")
+    CO.write_corpus(docs, f"{out_path}/documents", mode="overwrite")
+    written = spark.read.parquet(f"{out_path}/documents")
+    if written.isEmpty():
+        raise RuntimeError("No valid documents created from scraped data")
+    CO.build_manifest(written, as_of).write.mode("overwrite").parquet(f"{out_path}/manifest")
+    records = run_records(targets, attempts, items, as_of, corpus_name)
+    records.write.mode("overwrite").json(f"{out_path}/runs")
+    return spark.read.json(f"{out_path}/runs")

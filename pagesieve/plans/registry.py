@@ -609,10 +609,10 @@ agg AS (SELECT target, any_value(source_id) AS scraper_used, count(*) AS pages_s
                  AS bytes
         FROM conv GROUP BY 1)
 SELECT a.target, t.target_type, a.scraper_used, a.pages_scraped, a.documents_created,
-       'stores/' || a.target AS gemini_corpus_file_search_store_name, '{K.DEFAULT_CORPUS_NAME}' AS gemini_corpus_corpus_name,
-       a.documents_created AS gemini_corpus_files_indexed, '{K.STORAGE_TYPE}' AS gemini_corpus_storage_type,
-       '{K.STORAGE_PERSISTENCE}' AS gemini_corpus_storage_persistence, TRUE AS gemini_corpus_globally_accessible,
-       a.bytes // 5 AS gemini_corpus_estimated_tokens, round((a.bytes // 5) / 1e6 * 0.15, 4) AS gemini_corpus_cost_estimate_usd,
+       'stores/' || a.target AS corpus_store_name, '{K.DEFAULT_CORPUS_NAME}' AS corpus_corpus_name,
+       a.documents_created AS corpus_files_indexed, '{K.STORAGE_TYPE}' AS corpus_storage_type,
+       '{K.STORAGE_PERSISTENCE}' AS corpus_storage_persistence, TRUE AS corpus_globally_accessible,
+       a.bytes // 5 AS corpus_estimated_tokens, round((a.bytes // 5) / 1e6 * 0.15, 4) AS corpus_cost_estimate_usd,
        '{K.PRICING_MODEL}' AS pricing_model, a.pages_scraped AS pricing_pages_processed, 0.0015 AS pricing_price_per_page,
        0.02 AS pricing_start_fee, CAST(round(0.02 + a.pages_scraped * 0.0015, 2) AS DOUBLE) AS pricing_estimated_total,
        '{K.PRICING_NOTE}' AS pricing_note, '{AS_OF_ISO}' AS created_at,

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from pagesieve.operators.convert import convert_pages
 from pagesieve.session import ensure_checkpoint_dir
-from pagesieve.sources.tables import PAGES_SCHEMA
+from pagesieve.sources.tables import PAGES_SCHEMA, host_of
 
 CORPUS_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
@@ -54,7 +54,12 @@ def ingest_batch(batch: DataFrame, corpus_path: str, as_of) -> None:
     pages = (batch.withColumn("content_sha256", F.sha2(F.col("html"), 256))
              .dropDuplicates(["url", "content_sha256"]))
     if _exists(spark, corpus_path):
-        known = read_corpus(spark, corpus_path).select("url", "content_sha256")
+        # Keys already in the corpus, read only for the hosts in this batch:
+        # the corpus is partitioned by host, so the semi join on the partition
+        # column lets dynamic partition pruning skip every other host.
+        hosts = pages.select(host_of("url").alias("corpus")).distinct()
+        known = (read_corpus(spark, corpus_path).select("corpus", "url", "content_sha256")
+                 .join(hosts, "corpus", "left_semi").select("url", "content_sha256"))
         pages = pages.join(known, ["url", "content_sha256"], "left_anti")
     docs = convert_pages(pages, as_of, keep=("content_sha256",))
     docs.select(*[f.name for f in CORPUS_SCHEMA.fields]).write.mode("append").partitionBy("corpus").parquet(corpus_path)

@@ -39,3 +39,25 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, tmp_path):
     again = ST.run_ingest(spark, src, as_of, glob="pages.parquet", corpus_path=corpus)
     assert again.count() == n
     assert again.select("url").distinct().count() == n
+
+
+def test_run_corpus_job_writes_outputs(spark, tmp_path):
+    from pagesieve.plans import jobs as JB
+    from pagesieve.plans import registry as R
+    sf = "/root/testdata/sf0.001"
+    attempts, items = R._attempts(spark, sf)
+    runs = JB.run_corpus_job(R.pages(spark, sf), attempts, items, R.AS_OF, str(tmp_path / "out"))
+    assert runs.count() == attempts.select("target").distinct().count() - R.FB.source_failures(attempts).count()
+    docs = spark.read.parquet(str(tmp_path / "out" / "documents"))
+    assert docs.select("corpus").distinct().count() == runs.count()
+
+
+def test_run_corpus_job_guard(spark, tmp_path):
+    import pytest
+    from pagesieve.plans import jobs as JB
+    from pagesieve.plans import registry as R
+    sf = "/root/testdata/sf0.001"
+    attempts, items = R._attempts(spark, sf)
+    failed = attempts.withColumn("status", F.lit("failed"))
+    with pytest.raises(RuntimeError):
+        JB.run_corpus_job(R.pages(spark, sf), failed, items, R.AS_OF, str(tmp_path / "out2"))
