@@ -2,42 +2,45 @@
 
 ``row_number() over (partition by g order by k)`` sends a whole group to one
 task; if one group holds a third of all rows, that task holds a third of the
-data. Here the narrow (g, k) pairs are range-partitioned on the composite key
-instead, so a hot group is split over many tasks; each task numbers its rows
-locally, and a small per-(task, group) count table supplies the offsets.
+data. Here the integral order key is cut into fixed-width value buckets:
+
+  * the window runs per (group, bucket), so no window partition holds more
+    than ``bucket_width`` rows (keys are unique within a group), however hot
+    the group;
+  * a combinable count per (group, bucket) plus a running sum over that small
+    table gives each bucket's offset within its group;
+  * position = offset of the bucket + row number inside the bucket.
+
+Everything is deterministic (no sampling), so a recomputed task after an
+executor loss gives the same numbers. Only the two key columns are shuffled;
+the result is joined back on them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
+DEFAULT_BUCKET_WIDTH = 1 << 16
 
 
 def position_within(df: DataFrame, group: str, order: str, out: str = "position",
-                    num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 0-based rank of ``order`` within ``group`` (``order``
-    must be unique within a group). Only the two key columns are shuffled;
-    the result is joined back on them."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = df.select(group, order)
-    ranged = (keys.repartitionByRange(n, F.col(group).asc_nulls_first(), F.col(order).asc_nulls_first())
-              .sortWithinPartitions(F.col(group).asc_nulls_first(), F.col(order).asc_nulls_first())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.select(group, order,
-                           F.shiftright("_mid", _LOCAL_BITS).alias("_pid"),
-                           F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1).alias("_off"))
-    per_task = ranged.groupBy("_pid", group).agg(F.min("_off").alias("_first"),
-                                                 F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per_task = per_task.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    r, t = ranged.alias("r"), per_task.alias("t")
-    positions = r.join(t, (F.col("r._pid") == F.col("t._pid"))
-                       & F.col(f"r.{group}").eqNullSafe(F.col(f"t.{group}"))).select(
-        F.col(f"r.{group}").alias(group), F.col(f"r.{order}").alias(order),
-        (F.col("t._before") + F.col("r._off") - F.col("t._first")).alias(out))
+                    bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """Add ``out`` = 0-based rank of ``order`` within ``group``. ``order``
+    must be an integral column, unique within a group."""
+    dtype = df.schema[order].dataType
+    if not isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        raise TypeError(f"position_within needs an integral order column, got {dtype}")
+    keys = df.select(group, order, F.floor(F.col(order) / F.lit(bucket_width)).alias("_b"))
+    counts = keys.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(group, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = keys.withColumn("_r", F.row_number().over(Window.partitionBy(group, "_b").orderBy(order)) - 1)
+    k, o = local.alias("k"), offsets.alias("o")
+    positions = k.join(o, F.col(f"k.{group}").eqNullSafe(F.col(f"o.{group}")) & (F.col("k._b") == F.col("o._b"))
+                       ).select(F.col(f"k.{group}").alias(group), F.col(f"k.{order}").alias(order),
+                                (F.col("o._off") + F.col("k._r")).cast("long").alias(out))
     d, p = df.alias("d"), positions.alias("p")
     return d.join(p, F.col(f"d.{group}").eqNullSafe(F.col(f"p.{group}"))
                   & (F.col(f"d.{order}") == F.col(f"p.{order}"))).select("d.*", F.col(f"p.{out}"))

@@ -13,7 +13,7 @@ def test_position_within_hot_group(spark):
     df = spark.range(0, 5000).select(
         F.when(F.col("id") % 5 < 3, F.lit("hot")).otherwise((F.col("id") % 37).cast("string")).alias("g"),
         (F.col("id") * 7919 % 100003).alias("k")).repartition(16)
-    got = position_within(df, "g", "k", "pos", num_partitions=16)
+    got = position_within(df, "g", "k", "pos", bucket_width=512)
     want = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
     assert got.count() == 5000
     assert got.exceptAll(want.select("g", "k", F.col("pos").cast("long"))).count() == 0
