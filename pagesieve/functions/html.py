@@ -33,6 +33,14 @@ TOKEN_RE = (
 )
 
 _AD_RE = "(?i)" + "|".join(K.AD_CLASS_PATTERNS)
+# Block elements whose start tag closes an open <p>.
+_P_CLOSERS = ["address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption",
+              "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main",
+              "menu", "nav", "ol", "p", "pre", "section", "table", "ul"]
+# Containers whose end tag closes any element still open inside them.
+_CONTAINERS = ["div", "section", "article", "main", "aside", "header", "footer", "nav", "body", "html", "ul",
+               "ol", "li", "table", "tbody", "thead", "tr", "td", "th", "form", "dl", "dd", "dt", "figure",
+               "blockquote"]
 _BIG = 1 << 30
 _REGION_T = "array<struct<s:int,e:int>>"
 
@@ -59,29 +67,53 @@ def tokenize(html) -> Column:
 
 def _regions(toks: Column, starts, first_only: bool = False) -> Column:
     """Token-index intervals [s, e] of elements whose open tag satisfies
-    ``starts(token)``; nested elements of the same name are matched by depth.
-    An element left open runs to the end of the page."""
+    ``starts(token)``. The element ends at its matching end tag (same-name
+    tags nested inside are matched by depth), or earlier where an HTML parser
+    closes it implicitly: a <p> at the start of a block element, an <li> at
+    the next sibling <li>, any element at the end tag of an enclosing
+    container. An element never closed runs to the end of the page."""
     tags = F.filter(toks, lambda x: (x["kind"] == "o") | (x["kind"] == "c"))
-    init = F.struct(F.lit(None).cast("string").alias("n"), F.lit(0).alias("d"),
+    init = F.struct(F.lit(None).cast("string").alias("n"), F.lit(0).alias("d"), F.lit(0).alias("a"),
                     F.lit(0).alias("s"), F.array().cast(_REGION_T).alias("iv"))
 
-    def merge(acc, x):
+    def state(n, d, a, s, iv):
+        return F.struct(n.alias("n"), d.alias("d"), a.alias("a"), s.alias("s"), iv.alias("iv"))
+
+    def implicit_close(acc, x):
+        inside = acc["n"].isNotNull() & (acc["a"] == 0)
+        opening, closing = x["kind"] == "o", x["kind"] == "c"
+        return inside & (
+            ((acc["n"] == "p") & opening & x["name"].isin(*_P_CLOSERS))
+            | ((acc["n"] == "li") & opening & (x["name"] == "li"))
+            | (closing & (x["name"] != acc["n"]) & x["name"].isin(*_CONTAINERS)))
+
+    def step(acc, x):
         idle = acc["n"].isNull()
         if first_only:
             idle = idle & (F.size(acc["iv"]) == 0)
         opens = idle & (x["kind"] == "o") & starts(x)
         same = acc["n"].isNotNull() & (x["name"] == acc["n"])
+        other = acc["n"].isNotNull() & (x["name"] != acc["n"]) & ~x["name"].isin(*K.VOID_TAGS)
         depth = (F.when(opens, F.lit(1))
                  .when(same & (x["kind"] == "o"), acc["d"] + 1)
                  .when(same & (x["kind"] == "c"), acc["d"] - 1)
                  .otherwise(acc["d"]))
+        inner = (F.when(opens, F.lit(0))
+                 .when(other & (x["kind"] == "o"), acc["a"] + 1)
+                 .when(other & (x["kind"] == "c"), F.greatest(acc["a"] - 1, F.lit(0)))
+                 .otherwise(acc["a"]))
         closes = same & (x["kind"] == "c") & (acc["d"] <= 1)
-        return F.struct(
-            F.when(opens, x["name"]).when(closes, F.lit(None).cast("string")).otherwise(acc["n"]).alias("n"),
-            depth.alias("d"),
-            F.when(opens, x["i"]).otherwise(acc["s"]).alias("s"),
+        return state(
+            F.when(opens, x["name"]).when(closes, F.lit(None).cast("string")).otherwise(acc["n"]),
+            depth, inner, F.when(opens, x["i"]).otherwise(acc["s"]),
             F.when(closes, F.concat(acc["iv"], F.array(F.struct(acc["s"].alias("s"), x["i"].alias("e")))))
-             .otherwise(acc["iv"]).alias("iv"))
+             .otherwise(acc["iv"]))
+
+    def merge(acc, x):
+        # close implicitly first; the same token may then open a new region
+        closed = state(F.lit(None).cast("string"), F.lit(0), F.lit(0), acc["s"],
+                       F.concat(acc["iv"], F.array(F.struct(acc["s"].alias("s"), x["i"].alias("e")))))
+        return step(F.when(implicit_close(acc, x), closed).otherwise(acc), x)
 
     def finish(acc):
         return F.when(acc["n"].isNotNull(),

@@ -29,6 +29,12 @@ ROWS = [
     ("<p>x</p>", "https://e.org/docs/", "x", "Docs"),
     ("<p>x</p>", "https://e.org/it's-2fast", "x", "It'S 2Fast"),
     ("<p>x</p>", "unknown-5", "x", "Unknown 5"),
+    # implicit ends of a dropped element, as an HTML parser builds the tree
+    ('<p class="ads">x<div>y</div>', "https://e.org/", "y", "Untitled"),
+    ('<ul><li class="ads">a<li>b</ul>', "https://e.org/", "b", "Untitled"),
+    ('<div><span class="ads">x</div><p>y</p>', "https://e.org/", "y", "Untitled"),
+    ('<div class="ads"><p>a<p>b</div><p>c</p>', "https://e.org/", "c", "Untitled"),
+    ('<li class="ads">x<ul><li>y</li></ul></li><p>z</p>', "https://e.org/", "z", "Untitled"),
 ]
 
 
