@@ -66,14 +66,15 @@ def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qk
     score rounded to ``decimals`` before ranking, ties broken by the keys.
     Output: qkey, rank, keys..., score."""
     keys = list(keys)
-    corpus = spread(corpus.select(*keys, text_col), keys[0])
+    source = corpus.select(*keys, text_col)
+    corpus = spread(source, keys[0])
     # The postings feed three branches (corpus statistics, document
     # frequencies, scoring): tokenize once and checkpoint them.
     postings = materialize(build_term_index(corpus, keys, text_col)) if checkpoint \
         else build_term_index(corpus, keys, text_col)
     # N counts every document (also those without a term); the mean length
     # is the total term count over N. One scalar subquery each.
-    n_docs = corpus.select(F.count(F.lit(1))).scalar()
+    n_docs = source.select(F.count(F.lit(1))).scalar()
     total = postings.select(F.sum("tf")).scalar()
     stats = F.struct(n_docs.alias("n"), (total / n_docs).alias("avgdl"))
     qterms = questions.select(qkey, F.explode(F.array_distinct(terms(qtext))).alias("term")).distinct()
