@@ -741,6 +741,23 @@ def q_citations(spark, sf):
     return RT.citations(hits, docs, ["page_id"]).select("item_id", "rank", "page_id", "url", "title", "score")
 
 
+
+@register("chunk_search", S.chunks(CHUNK_MAX, CHUNK_OVERLAP) + ", " + _bm25_sql(
+    "corpus AS (SELECT doc_id * 100000 + chunk_no AS chunk_key, chunk FROM chunks)", "chunk_key", "chunk",
+    KEYWORD_K).lstrip().lstrip(",") + """
+SELECT h.item_id, h.rank, c.doc_id, c.chunk_no, c.source, h.score
+FROM hits h JOIN chunks c ON c.doc_id * 100000 + c.chunk_no = h.chunk_key""")
+def q_chunk_search(spark, sf):
+    """Chunk-level retrieval: BM25 over the chunks of every document, cited
+    by (document, chunk number, source)."""
+    # the chunks feed the index, the corpus count and the citation join
+    chunks = materialize(_chunks(spark, sf).select("doc_id", "chunk_no", "source", "chunk"))
+    hits = RT.bm25_search(chunks, ["doc_id", "chunk_no"], "chunk", read_table(spark, sf, "benchmark"), "item_id",
+                          "text", k=KEYWORD_K)
+    cited = hits.join(chunks.select("doc_id", "chunk_no", "source"), ["doc_id", "chunk_no"])
+    return cited.select("item_id", "rank", "doc_id", "chunk_no", "source", "score")
+
+
 # ---------------------------------------------------------------------------
 # Streaming ingest
 # ---------------------------------------------------------------------------
