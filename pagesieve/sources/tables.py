@@ -67,16 +67,23 @@ def _scan_only(df: DataFrame) -> bool:
                                          "Sort", "Expand", "Generate", "LocalRelation"))
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread rows on ``key`` when a scan yields fewer partitions than
-    the cluster can run at once (e.g. one large row group). Per-row text work
-    is CPU bound; on a large input with many splits this is a no-op, so no
-    shuffle is added at scale. Plans that already shuffled are left alone."""
+SPREAD_MAX_BYTES = 16 << 30
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None,
+           max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Hash-spread rows on ``key`` when a small scan yields far fewer
+    partitions than the cluster can run at once (e.g. one large row group).
+    Per-row text work is CPU bound, so a small shuffle buys parallelism; a
+    large input (over ``max_bytes``) or one with enough splits is left as it
+    is, and plans that already shuffled are never touched."""
     if df.isStreaming or not _scan_only(df):
         return df
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if df.rdd.getNumPartitions() * 4 > target:
+        return df
+    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > max_bytes:
         return df
     return df.repartition(target, key)
 

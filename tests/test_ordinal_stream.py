@@ -61,3 +61,52 @@ def test_run_corpus_job_guard(spark, tmp_path):
     failed = attempts.withColumn("status", F.lit("failed"))
     with pytest.raises(RuntimeError):
         JB.run_corpus_job(R.pages(spark, sf), failed, items, R.AS_OF, str(tmp_path / "out2"))
+
+
+def test_stream_second_crawl_appends_only_changes(spark, tmp_path):
+    from pagesieve.sources.derive import second_crawl
+    src, corpus, ckpt = str(tmp_path / "in"), str(tmp_path / "corpus"), str(tmp_path / "ckpt")
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    pages.write.parquet(f"{src}/crawl1")
+    q = ST.stream_pages(spark, src + "/*", corpus, "2024-01-01T00:00:00", checkpoint=ckpt)
+    q.awaitTermination()
+    n1 = ST.read_corpus(spark, corpus).count()
+    assert n1 == pages.count()
+    later = second_crawl(pages)
+    later.write.parquet(f"{src}/crawl2")
+    q = ST.stream_pages(spark, src + "/*", corpus, "2024-01-01T00:00:00", checkpoint=ckpt)
+    q.awaitTermination()
+    changed = later.join(pages, ["page_id", "url", "html"], "left_anti").count()
+    assert 0 < changed < pages.count()
+    assert ST.read_corpus(spark, corpus).count() == n1 + changed
+
+
+def test_read_items_json_with_missing_fields(spark, tmp_path):
+    import json
+    from pagesieve.operators.convert import convert_pages, skipped_items
+    from pagesieve.sources.tables import read_items
+    rows = [{"page_id": 0, "url": "https://e.org/a", "html": "<title>A</title><p>x</p>"},
+            {"page_id": 1, "url": "https://e.org/b"},
+            {"page_id": 2, "crawl": {"html": "<p>nested</p>"}},
+            {"page_id": 3, "url": "https://e.org/d", "markdown": "# md", "extra": 1}]
+    path = tmp_path / "items.json"
+    path.write_text("\n".join(json.dumps(r) for r in rows))
+    items = read_items(spark, str(path))
+    docs = {r.page_id: r for r in convert_pages(items, "2024-01-01T00:00:00").collect()}
+    assert sorted(docs) == [0, 2, 3]
+    assert docs[2].url == "unknown-2" and docs[2].text == "nested" and docs[2].content_field == "crawl.html"
+    assert docs[3].text == "# md" and docs[3].title == "D"
+    assert [r.page_id for r in skipped_items(items).collect()] == [1]
+
+
+def test_spread_only_small_underused_scans(spark):
+    from pagesieve.sources.tables import spread
+    p = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    assert spread(p, "page_id", min_partitions=8).rdd.getNumPartitions() == 8
+    # enough splits already: untouched
+    assert spread(p, "page_id", min_partitions=1) is p
+    # too large to reshuffle: untouched
+    assert spread(p, "page_id", min_partitions=8, max_bytes=1) is p
+    # already shuffled upstream: untouched
+    g = p.groupBy("url").count()
+    assert spread(g, "url", min_partitions=64) is g
