@@ -196,29 +196,50 @@ def url_basename_title(url) -> Column:
     return F.when(base != "", py_title_case(words)).otherwise(F.lit("Untitled"))
 
 
-def title_parts(html, url) -> Column:
-    """struct(title, source) with source in title | h1 | og | url | untitled."""
-    h = _c(html)
-    t_raw = F.regexp_extract(h, _TITLE_RE, 1)
-    h1_exists = h.rlike(r"(?i)<h1\b")
-    h1_text = text_from_tokens(tokenize(F.regexp_extract(h, _H1_RE, 1)), sep="")
-    og_tag = F.regexp_extract(h, _OG_TAG_RE, 1)
+_OG_PROP_RE = r"(?is)\sproperty\s*=\s*(?:\"og:title\"|'og:title'|og:title(?=[\s/>]))"
+
+
+def title_from_tokens(toks: Column, url) -> Column:
+    """struct(title, source), source in title | h1 | og | url | untitled.
+
+    Works on the token array, so markup inside comments, scripts and styles
+    is never mistaken for a title. <title> wins when it holds any text (a
+    blank one gives an empty title); then the first <h1> (its text nodes
+    stripped and concatenated, even if empty); then the first og:title meta
+    with a non-empty content; then the URL's last path segment."""
+    t_tok = F.try_element_at(F.filter(toks, lambda x: (x["kind"] == "r") & (x["name"] == "title")), F.lit(1))
+    t_raw = F.coalesce(_rc_text(t_tok["t"]), F.lit(""))
+    tags = F.filter(toks, lambda x: (x["kind"] == "o") | (x["kind"] == "c"))
+    h1 = F.try_element_at(F.filter(tags, lambda x: (x["kind"] == "o") & (x["name"] == "h1")), F.lit(1))
+
+    def h1_text(start):
+        return let(_element_end(tags, start), lambda end: text_from_tokens(
+            F.filter(toks, lambda x: (x["i"] > start["i"]) & (x["i"] < end)), sep=""))
+
+    og_tag = F.coalesce(F.try_element_at(F.filter(tags, lambda x: (x["kind"] == "o") & (x["name"] == "meta")
+                                                  & x["t"].rlike(_OG_PROP_RE)), F.lit(1))["t"], F.lit(""))
     og_val = decode_entities(F.concat(F.regexp_extract(og_tag, _CONTENT_ATTR_RE, 1),
                                       F.regexp_extract(og_tag, _CONTENT_ATTR_RE, 2),
                                       F.regexp_extract(og_tag, _CONTENT_ATTR_RE, 3)))
     url_title = url_basename_title(url)
+    has_og = (og_tag != "") & (og_val != "")
     title = (F.when(t_raw != "", py_strip(decode_entities(t_raw)))
-             .when(h1_exists, h1_text)
-             .when((og_tag != "") & (og_val != ""), py_strip(og_val))
+             .when(h1.isNotNull(), let(h1, h1_text))
+             .when(has_og, py_strip(og_val))
              .otherwise(url_title))
     source = (F.when(t_raw != "", F.lit("title"))
-              .when(h1_exists, F.lit("h1"))
-              .when((og_tag != "") & (og_val != ""), F.lit("og"))
+              .when(h1.isNotNull(), F.lit("h1"))
+              .when(has_og, F.lit("og"))
               .when(url_title != "Untitled", F.lit("url"))
               .otherwise(F.lit("untitled")))
     return F.struct(title.alias("title"), source.alias("source"))
 
 
+def title_parts(html, url) -> Column:
+    """struct(title, source) of a page (see ``title_from_tokens``)."""
+    return let(tokenize(html), lambda t: title_from_tokens(t, _c(url)))
+
+
 def extract_title(html, url) -> Column:
     return title_parts(html, url)["title"]
 

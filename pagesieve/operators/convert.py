@@ -89,7 +89,7 @@ def _page_exprs(content: str, url: str):
     names (the trees are large; building them is many JVM round trips)."""
     toks = H.tokenize(F.col(content))
     drop = H._regions(F.col("_toks"), H._is_removed)
-    tp = H.title_parts(F.col(content), F.col(url))
+    tp = H.title_from_tokens(F.col("_toks"), F.col(url))
     text = normalize_ws(H.text_from_tokens(F.col("_toks"), F.col("_drop")))
     return toks, drop, tp, text
 
@@ -121,8 +121,9 @@ def extract_titles(df: DataFrame, html_col: str = "html", url_col: str = "url",
                    key: str = "page_id") -> DataFrame:
     """(key, url, title, title_source)."""
     base = spread(df.select(key, url_col, html_col), key)
-    tp = H.title_parts(F.col(html_col), F.col(url_col))
-    return base.select(key, url_col, tp["title"].alias("title"), tp["source"].alias("title_source"))
+    t = base.select(key, url_col, H.tokenize(F.col(html_col)).alias("_toks"))
+    tp = H.title_from_tokens(F.col("_toks"), F.col(url_col))
+    return t.select(key, url_col, tp["title"].alias("title"), tp["source"].alias("title_source"))
 
 
 def main_content(df: DataFrame, html_col: str = "html", key: str = "page_id") -> DataFrame:

@@ -35,6 +35,12 @@ ROWS = [
     ('<div><span class="ads">x</div><p>y</p>', "https://e.org/", "y", "Untitled"),
     ('<div class="ads"><p>a<p>b</div><p>c</p>', "https://e.org/", "c", "Untitled"),
     ('<li class="ads">x<ul><li>y</li></ul></li><p>z</p>', "https://e.org/", "z", "Untitled"),
+    # markup inside scripts and comments is never a title
+    ('<script>var s="<title>no</title><h1>no</h1>";</script><!-- <h1>no</h1> --><p>k</p>', "https://e.org/x",
+     "k", "X"),
+    ('<TITLE>Up</TITLE><H1>h</H1>', "https://e.org/", "Up\nh", "Up"),
+    ('<meta content="C &amp; D" property=\'og:title\'><p>z</p>', "https://e.org/", "z", "C & D"),
+    ('<meta property="og:title" content=""><p>z</p>', "https://e.org/last-part/", "z", "Last Part"),
 ]
 
 
