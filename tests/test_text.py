@@ -136,6 +136,7 @@ def test_clean_matches_stdlib_parser_on_pages(spark):
         c.close()
         return "\n".join(c.parts)
 
-    df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     rows = df.select("html", clean_html("html").alias("t")).collect()
+    assert len(rows) == 250
     assert all(r.t == ref(r.html) for r in rows)
