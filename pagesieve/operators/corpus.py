@@ -119,6 +119,33 @@ def drop_corpora(df: DataFrame, names: DataFrame, corpus: str = "corpus") -> Dat
     return df.join(names.select(F.col(names.columns[0]).alias(corpus)).distinct(), corpus, "left_anti")
 
 
+MAX_DROP_BY_PATH = 10000
+
+
+def drop_corpora_on_disk(spark, path: str, names: DataFrame, partition_col: str = "corpus") -> int:
+    """Remove stored corpora: delete their ``corpus=<name>`` partition
+    folders (a metadata operation, like DROP PARTITION; no data is read).
+    The name list is bounded by ``MAX_DROP_BY_PATH``; a longer list is
+    applied as an anti join and a rewrite of the table into ``path + '.next'``.
+    Returns the number of corpora removed."""
+    col = names.columns[0]
+    small = names.select(F.col(col).alias("n")).distinct().limit(MAX_DROP_BY_PATH + 1).collect()
+    if len(small) > MAX_DROP_BY_PATH:
+        kept = drop_corpora(spark.read.parquet(path), names, partition_col)
+        kept.write.mode("overwrite").partitionBy(partition_col).parquet(path + ".next")
+        return -1
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    removed = 0
+    for row in small:
+        part = jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={escape(str(row.n))}")
+        if fs.exists(part) and fs.delete(part, True):
+            removed += 1
+    return removed
+
+
 def first_files(docs: DataFrame, by: str = "corpus", order: str = "page_id", name: str = "doc_name",
                 n: int = K.MANIFEST_FIRST_FILES) -> DataFrame:
     """First n file names per corpus. The row_number filter becomes a

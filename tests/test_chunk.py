@@ -73,3 +73,16 @@ def test_every_chunk_is_a_substring(spark):
     chunks = chunk_documents(docs, "doc_id", "text", 60, 15, "\n")
     joined = chunks.join(docs, "doc_id")
     assert joined.filter(F.instr("text", F.col("chunk")) == 0).count() == 0
+
+
+def test_zero_overlap_chunks_rejoin_to_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    # documents whose every paragraph has at least one token: no paragraph can repeat
+    whole = {d for d, t in rows.items() if all(len(p) >= 5 for p in t.split("\n"))}
+    got = {}
+    for r in chunk_documents(docs, "doc_id", "text", 60, 0, "\n").collect():
+        got.setdefault(r.doc_id, []).append((r.chunk_no, r.chunk))
+    assert whole
+    for d in whole:
+        assert "\n".join(c for _, c in sorted(got[d])) == rows[d]

@@ -74,3 +74,12 @@ def test_write_and_drop_corpora(spark, tmp_path):
     assert back.count() == 2
     left = CO.drop_corpora(back, spark.createDataFrame([("c1",)], "name string"))
     assert [r.corpus for r in left.collect()] == ["c2"]
+
+
+def test_drop_corpora_on_disk(spark, tmp_path):
+    docs = spark.createDataFrame([("c1", "d0"), ("c2", "d1"), ("c 3", "d2")], "corpus string, doc_name string")
+    path = str(tmp_path / "store")
+    CO.write_corpus(docs, path, mode="overwrite")
+    n = CO.drop_corpora_on_disk(spark, path, spark.createDataFrame([("c1",), ("c 3",), ("zz",)], "n string"))
+    assert n == 2
+    assert [r.corpus for r in spark.read.parquet(path).collect()] == ["c2"]
