@@ -61,14 +61,30 @@ def term_stats(postings: DataFrame) -> DataFrame:
 
 def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qkey: str, qtext: str,
                 k: int = 5, k1: float = K.BM25_K1, b: float = K.BM25_B, decimals: int = 6,
-                checkpoint: bool = True) -> DataFrame:
+                checkpoint: bool = True, prune: bool | None = None, rare_fraction: float = 0.2,
+                prune_above_rows: int = 100_000_000) -> DataFrame:
     """Top ``k`` documents per question by BM25 (idf = ln(1 + (N-df+0.5)/(df+0.5))),
     score rounded to ``decimals`` before ranking, ties broken by the keys.
-    Output: qkey, rank, keys..., score."""
+    Output: qkey, rank, keys..., score.
+
+    The direct plan joins every posting of every question term (rows =
+    sum of df over the question terms). When that estimate exceeds
+    ``prune_above_rows`` (or ``prune=True``) an exact MaxScore-style plan is
+    used: terms in at most ``rare_fraction`` of the documents are "rare";
+    only documents holding a rare question term are candidates; a candidate
+    scores at most its rare-term score plus U = the sum, over the question's
+    common terms, of each term's largest contribution in any document.
+    Candidates that can still reach the k-th best lower bound are scored
+    exactly (their common-term postings are fetched by a semi join on the
+    candidate documents). A question is answered from the candidates when U
+    is below its k-th exact score by more than the rounding step (a document
+    without a rare term scores at most U); every other question falls back
+    to the direct join.
+    """
     keys = list(keys)
     source = corpus.select(*keys, text_col)
     corpus = spread(source, keys[0])
-    # The postings feed three branches (corpus statistics, document
+    # The postings feed several branches (corpus statistics, document
     # frequencies, scoring): tokenize once and checkpoint them.
     postings = materialize(build_term_index(corpus, keys, text_col)) if checkpoint \
         else build_term_index(corpus, keys, text_col)
@@ -76,21 +92,64 @@ def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qk
     # is the total term count over N. One scalar subquery each.
     n_docs = source.select(F.count(F.lit(1))).scalar()
     total = postings.select(F.sum("tf")).scalar()
-    stats = F.struct(n_docs.alias("n"), (total / n_docs).alias("avgdl"))
+    avgdl = total / n_docs
     qterms = questions.select(qkey, F.explode(F.array_distinct(terms(qtext))).alias("term")).distinct()
     vocab = qterms.select("term").distinct()
-    # Postings of question terms only; one frame feeds both the document
-    # frequencies and the scoring join, so its shuffle is computed once.
+    # Postings of question terms only.
     qpost = postings.join(vocab, "term", "left_semi")
-    idf = F.log(1 + (stats["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = qpost.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", idf.alias("idf"))
-    norm = k1 * (1 - b + b * F.col("doc_len") / stats["avgdl"])
-    part = (qpost.join(qterms, "term").join(weights, "term")
-            .select(qkey, *keys, (F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("w")))
-    scored = part.groupBy(qkey, *keys).agg(F.round(F.sum("w"), decimals).alias("score"))
-    w = Window.partitionBy(qkey).orderBy(F.desc("score"), *[F.asc(c) for c in keys])
-    return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(qkey, "rank", *keys, "score"))
+    idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = qpost.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", "df", idf.alias("idf"))
+    contrib = (F.col("idf") * F.col("tf") * (k1 + 1)
+               / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / avgdl))).alias("w")
+
+    def top_k(scored: DataFrame) -> DataFrame:
+        w = Window.partitionBy(qkey).orderBy(F.desc("score"), *[F.asc(c) for c in keys])
+        return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+                .select(qkey, "rank", *keys, "score"))
+
+    def full(qt: DataFrame) -> DataFrame:
+        part = qpost.join(qt, "term").join(weights.select("term", "idf"), "term").select(qkey, *keys, contrib)
+        return top_k(part.groupBy(qkey, *keys).agg(F.round(F.sum("w"), decimals).alias("score")))
+
+    if prune is None:
+        est = qterms.join(weights, "term").agg(F.sum("df")).first()[0] or 0
+        prune = est > prune_above_rows
+    if not prune:
+        return full(qterms)
+
+    eps = 2 * 10.0 ** (-decimals)
+    qw = (qterms.join(weights, "term")
+          .withColumn("rare", F.col("df") <= F.greatest(F.lit(float(k)), n_docs * rare_fraction)))
+    # Largest contribution of each question term in any document (one
+    # combinable max per term over the postings).
+    term_max = (qpost.join(weights.select("term", "idf"), "term").select("term", contrib)
+                .groupBy("term").agg(F.max("w").alias("wmax")))
+    bound = (qw.join(term_max, "term").groupBy(qkey)
+             .agg(F.sum(F.when(~F.col("rare"), F.col("wmax")).otherwise(0.0)).alias("u_common")))
+    # Pass 1: rare-term scores (lower bounds) of the candidate documents.
+    lower = (qpost.join(qw.filter("rare").select(qkey, "term", "idf"), "term").select(qkey, *keys, contrib)
+             .groupBy(qkey, *keys).agg(F.sum("w").alias("lb")))
+    kth_lower = (lower.withColumn("_r", F.row_number().over(Window.partitionBy(qkey).orderBy(F.desc("lb"))))
+                 .filter(F.col("_r") == k).select(qkey, F.col("lb").alias("theta_lb")))
+    cand = (lower.join(bound, qkey).join(kth_lower, qkey, "left")
+            .filter(F.col("theta_lb").isNull() | (F.col("lb") + F.col("u_common") >= F.col("theta_lb") - eps))
+            .select(qkey, *keys, "lb"))
+    # Pass 2: exact common-term scores of the remaining candidates only.
+    common = (qpost.join(cand.select(*keys).distinct(), keys, "left_semi")
+              .join(qw.filter(~F.col("rare")).select(qkey, "term", "idf"), "term")
+              .join(cand.select(qkey, *keys), [qkey, *keys], "left_semi")
+              .select(qkey, *keys, contrib).groupBy(qkey, *keys).agg(F.sum("w").alias("c")))
+    exact = cand.join(common, [qkey, *keys], "left").select(
+        qkey, *keys, F.round(F.col("lb") + F.coalesce(F.col("c"), F.lit(0.0)), decimals).alias("score"))
+    top = top_k(exact)
+    # Proof per question: documents without a rare term stay below the k-th score.
+    kth = top.filter(F.col("rank") == k).select(qkey, F.col("score").alias("theta"))
+    proof = bound.join(kth, qkey, "left").select(
+        qkey, ((F.col("u_common") == 0) | (F.col("theta").isNotNull()
+                                           & (F.col("u_common") < F.col("theta") - eps))).alias("ok"))
+    answered = top.join(proof.filter("ok").select(qkey), qkey, "left_semi")
+    rest = full(qterms.join(proof.filter(~F.col("ok")).select(qkey), qkey, "left_semi"))
+    return answered.unionByName(rest)
 
 
 # --------------------------------------------------------------------------

@@ -64,3 +64,13 @@ def test_cosine_blocked_equals_inline(spark):
     assert a == b and len(a) == 3 * queries.count()
     # every vector is its own best match
     assert all(r.vec_id == r.qid for r in inline.filter(F.col("rank") == 1).collect())
+
+
+@pytest.mark.parametrize("rare_fraction", [0.01, 0.2, 0.6])
+def test_pruned_bm25_is_exact(spark, rare_fraction):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    qs = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    direct = RT.bm25_search(docs, ["doc_id"], "text", qs, "item_id", "text", prune=False)
+    pruned = RT.bm25_search(docs, ["doc_id"], "text", qs, "item_id", "text", prune=True,
+                            rare_fraction=rare_fraction)
+    assert sorted(tuple(r) for r in direct.collect()) == sorted(tuple(r) for r in pruned.collect())
