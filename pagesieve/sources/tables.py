@@ -72,16 +72,17 @@ SPREAD_MAX_BYTES = 16 << 30
 
 def spread(df: DataFrame, key: str, min_partitions: int | None = None,
            max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Hash-spread rows on ``key`` when a small scan yields far fewer
-    partitions than the cluster can run at once (e.g. one large row group).
-    Per-row text work is CPU bound, so a small shuffle buys parallelism; a
-    large input (over ``max_bytes``) or one with enough splits is left as it
-    is, and plans that already shuffled are never touched."""
+    """Hash-spread rows on ``key`` when a small scan yields fewer partitions
+    than the cluster can run at once. Per-row text work is CPU bound, so a
+    small shuffle buys parallelism; a large input (over ``max_bytes``) is
+    left as it is, and plans that already shuffled are never touched. (The
+    split count overstates a small file's parallelism: a file with one row
+    group is cut into several byte ranges but only one of them holds rows.)"""
     if df.isStreaming or not _scan_only(df):
         return df
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 > target:
+    if df.rdd.getNumPartitions() >= target:
         return df
     if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > max_bytes:
         return df
