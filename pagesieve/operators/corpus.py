@@ -185,8 +185,11 @@ def append_new_pages(existing: DataFrame, incoming: DataFrame, url: str = "url",
 def write_corpus(docs: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
                  partition_by: str = "corpus") -> None:
     """Write documents partitioned by corpus (dynamic partition overwrite
-    replaces only the corpora present when mode='overwrite')."""
-    (docs.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    replaces only the corpora present when mode='overwrite'). The rebalance
+    hint lets AQE size the write tasks by corpus: a hot corpus is split over
+    several tasks and small ones are packed together, so each task writes a
+    few reasonably sized files instead of one small file per corpus."""
+    (docs.hint("rebalance", partition_by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).format(fmt).save(path))
 
 

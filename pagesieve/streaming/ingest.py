@@ -62,7 +62,8 @@ def ingest_batch(batch: DataFrame, corpus_path: str, as_of) -> None:
                  .join(hosts, "corpus", "left_semi").select("url", "content_sha256"))
         pages = pages.join(known, ["url", "content_sha256"], "left_anti")
     docs = convert_pages(pages, as_of, keep=("content_sha256",))
-    docs.select(*[f.name for f in CORPUS_SCHEMA.fields]).write.mode("append").partitionBy("corpus").parquet(corpus_path)
+    out = docs.select(*[f.name for f in CORPUS_SCHEMA.fields]).hint("rebalance", "corpus")
+    out.write.mode("append").partitionBy("corpus").parquet(corpus_path)
 
 
 def stream_pages(spark: SparkSession, source_dir: str, corpus_path: str, as_of, checkpoint: str | None = None,
