@@ -54,6 +54,17 @@ def build_term_index(df: DataFrame, keys, text_col: str) -> DataFrame:
     return ex.select(*keys, F.col("_p.term").alias("term"), F.col("_p.tf").alias("tf"), "doc_len")
 
 
+def restrict_to_corpora(df: DataFrame, corpora, corpus_col: str = "corpus") -> DataFrame:
+    """Keep rows of the named corpora; ``corpora`` is a list of names or a
+    one-column DataFrame (semi join, so its size never matters)."""
+    if corpora is None:
+        return df
+    if isinstance(corpora, DataFrame):
+        names = corpora.select(F.col(corpora.columns[0]).alias(corpus_col)).distinct()
+        return df.join(names, corpus_col, "left_semi")
+    return df.filter(F.col(corpus_col).isin(list(corpora)))
+
+
 def term_stats(postings: DataFrame) -> DataFrame:
     """(term, df, cf) over a postings table."""
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
@@ -62,7 +73,7 @@ def term_stats(postings: DataFrame) -> DataFrame:
 def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qkey: str, qtext: str,
                 k: int = 5, k1: float = K.BM25_K1, b: float = K.BM25_B, decimals: int = 6,
                 checkpoint: bool = True, prune: bool | None = None, rare_fraction: float = 0.2,
-                prune_above_rows: int = 100_000_000) -> DataFrame:
+                prune_above_rows: int = 100_000_000, corpora=None, corpus_col: str = "corpus") -> DataFrame:
     """Top ``k`` documents per question by BM25 (idf = ln(1 + (N-df+0.5)/(df+0.5))),
     score rounded to ``decimals`` before ranking, ties broken by the keys.
     Output: qkey, rank, keys..., score.
@@ -79,10 +90,11 @@ def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qk
     candidate documents). A question is answered from the candidates when U
     is below its k-th exact score by more than the rounding step (a document
     without a rare term scores at most U); every other question falls back
-    to the direct join.
+    to the direct join. ``corpora`` restricts the search to the named
+    corpora (column ``corpus_col``), as a question asked of chosen stores.
     """
     keys = list(keys)
-    source = corpus.select(*keys, text_col)
+    source = restrict_to_corpora(corpus, corpora, corpus_col).select(*keys, text_col)
     corpus = spread(source, keys[0])
     # The postings feed several branches (corpus statistics, document
     # frequencies, scoring): tokenize once and checkpoint them.
@@ -180,7 +192,8 @@ MAX_INLINE_QUERIES = 4096
 
 
 def cosine_search(vectors: DataFrame, key: str, vec: str, queries: DataFrame, qkey: str, qvec: str,
-                  k: int = 5, decimals: int = 6, max_inline: int = MAX_INLINE_QUERIES) -> DataFrame:
+                  k: int = 5, decimals: int = 6, max_inline: int = MAX_INLINE_QUERIES,
+                  corpora=None, corpus_col: str = "corpus") -> DataFrame:
     """Top ``k`` vectors per query by cosine similarity (rounded, ties by key).
 
     A bounded query set (checked count <= ``max_inline``) is attached to
@@ -190,7 +203,7 @@ def cosine_search(vectors: DataFrame, key: str, vec: str, queries: DataFrame, qk
     """
     q = queries.select(F.col(qkey).alias("qid"), _as_double(F.col(qvec)).alias("qv"))
     q = q.select("qid", "qv", _norm(F.col("qv")).alias("qn"))
-    v = vectors.select(F.col(key), _as_double(F.col(vec)).alias("v"))
+    v = restrict_to_corpora(vectors, corpora, corpus_col).select(F.col(key), _as_double(F.col(vec)).alias("v"))
     v = v.select(key, "v", _norm(F.col("v")).alias("vn"))
     n_queries = q.count()
     if n_queries <= max_inline:

@@ -89,3 +89,15 @@ def test_select_sources_table(spark):
 
 def test_catalogue_union_keeps_order(spark):
     assert [r.ord for r in catalogue(spark).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_legacy_score_on_store_actors(spark):
+    from pagesieve.operators.selection import legacy_score
+    rows = [("a", 100000.0, 500.0, 4.5, "optimal", 100.0),   # 50 + 45 + 20 = 115 -> capped
+            ("b", 2000.0, 30.0, 0.0, "premium", 6.0),        # (2 + 0 + 3) * 1.2
+            ("c", 0.0, 0.0, 3.0, "minimal", 27.0),           # 30 * 0.9
+            ("d", None, None, None, "optimal", 0.0)]         # absent fields count as 0
+    df = spark.createDataFrame(rows, "id string, runs double, users double, rating double, budget string, want double")
+    got = {r.id: r.s for r in df.select("id", legacy_score(F.col("budget"), F.col("runs"), F.col("users"),
+                                                             F.col("rating")).alias("s")).collect()}
+    assert got == pytest.approx({r[0]: r[5] for r in rows})
