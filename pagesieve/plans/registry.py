@@ -372,10 +372,9 @@ def q_doc_names(spark, sf):
 
 @register("documents_with_header", f"""
 WITH {_ITEMS_SQL},
-c AS (SELECT page_id, coalesce(url, 'unknown-' || page_id) AS url, {S.title('resolved')} AS title,
+c AS (SELECT page_id, coalesce(url, 'unknown-' || page_id) AS url, content_field, {S.title('resolved')} AS title,
              {S.clean_html('resolved')} AS text FROM resolved WHERE resolved IS NOT NULL)
-SELECT page_id, url, content_field_dummy.f AS content_field, {S.header('url', 'title', AS_OF_ISO)} || text AS document
-FROM c JOIN (SELECT page_id AS pid, content_field AS f FROM resolved) content_field_dummy ON pid = page_id""")
+SELECT page_id, url, content_field, {S.header('url', 'title', AS_OF_ISO)} || text AS document FROM c""")
 def q_documents_with_header(spark, sf):
     return CV.convert_pages(DV.scattered_items(pages(spark, sf)), AS_OF).select(
         "page_id", "url", "content_field", "document")
