@@ -83,3 +83,18 @@ def test_drop_corpora_on_disk(spark, tmp_path):
     n = CO.drop_corpora_on_disk(spark, path, spark.createDataFrame([("c1",), ("c 3",), ("zz",)], "n string"))
     assert n == 2
     assert [r.corpus for r in spark.read.parquet(path).collect()] == ["c2"]
+
+
+def test_kept_plus_skipped_is_input(spark):
+    from pagesieve.sources.derive import scattered_items
+    from pagesieve.sources.tables import read_pages
+    items = scattered_items(read_pages(spark, "/root/testdata/sf0.01/pages.parquet"))
+    kept = CV.convert_pages(items, "2024-01-01T00:00:00").count()
+    skipped = CV.skipped_items(items).count()
+    assert kept + skipped == items.count() == 250 and skipped > 0
+
+
+def test_text_sink(spark, tmp_path):
+    docs = spark.createDataFrame([("a\nb",), ("c",)], "document string")
+    CO.write_text_files(docs, str(tmp_path / "txt"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "txt")).collect()) == ["a", "b", "c"]
