@@ -75,7 +75,10 @@ def doc_names(df: DataFrame, corpus_col: str = "corpus", order_col: str = "page_
 
 
 def as_of_iso(as_of) -> Column:
-    """isoformat() of the scrape time; ``as_of`` is a datetime, a string or a column."""
+    """isoformat() of the scrape time; ``as_of`` is a datetime, a string, a
+    column, or None for the query's current time (one value per query)."""
+    if as_of is None:
+        return iso_timestamp(F.current_timestamp())
     if isinstance(as_of, Column):
         return iso_timestamp(as_of)
     if isinstance(as_of, str):

@@ -98,3 +98,12 @@ def test_text_sink(spark, tmp_path):
     docs = spark.createDataFrame([("a\nb",), ("c",)], "document string")
     CO.write_text_files(docs, str(tmp_path / "txt"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "txt")).collect()) == ["a", "b", "c"]
+
+
+def test_header_time_defaults_to_now(spark):
+    import re
+    items = spark.createDataFrame([(0, "https://e.org/a", "<p>x</p>"), (1, "https://e.org/b", "<p>y</p>")],
+                                  "page_id long, url string, html string")
+    docs = CV.convert_pages(items, None).collect()
+    stamps = {re.search(r"Scraped: (\S+)", d.document).group(1) for d in docs}
+    assert len(stamps) == 1 and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{6})?", stamps.pop())
