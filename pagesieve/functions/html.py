@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pagesieve import constants as K
 from pagesieve.functions.text import _c, decode_entities, let, normalize_ws, py_strip, py_title_case
 
-# Tokens, in priority order: comment; raw-text element (script/style/iframe,
+# Tokens, in priority order: comment; CDATA section (ignored); raw-text element (script/style/iframe,
 # content is never markup); RCDATA element (title/textarea, content is text);
 # quote-aware tag; unterminated tag; text run (a '<' that cannot open a tag
 # is text, so "a <- b" stays one run).
@@ -26,6 +26,7 @@ ATTRS = r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+"
 
 TOKEN_RE = (
     r"(?is)<!--.*?(?:-->|\z)"
+    r"|<!\[CDATA\[.*?(?:\]\]>|\z)"
     r"|<(script|style|iframe|title|textarea)\b" + ATTRS + r">.*?(?:</\1\s*+>|\z)"
     r"|<[a-z/!?]" + ATTRS + r">"
     r"|<[a-z/!?][^>]*+>?"

@@ -41,6 +41,8 @@ ROWS = [
     ('<TITLE>Up</TITLE><H1>h</H1>', "https://e.org/", "Up\nh", "Up"),
     ('<meta content="C &amp; D" property=\'og:title\'><p>z</p>', "https://e.org/", "z", "C & D"),
     ('<meta property="og:title" content=""><p>z</p>', "https://e.org/last-part/", "z", "Last Part"),
+    ("<p>a</p><![CDATA[x > y]]><p>b</p>", "https://e.org/", "a\nb", "Untitled"),
+    ('<a title="1 > 0">link</a>', "https://e.org/", "link", "Untitled"),
 ]
 
 
