@@ -16,6 +16,7 @@ from pagesieve.operators import corpus as CO
 from pagesieve.operators import fallback as FB
 from pagesieve.operators import selection as SE
 from pagesieve.operators.policy import apply_policy
+from pagesieve.session import materialize
 from pagesieve.sources.tables import catalogue
 
 
@@ -26,7 +27,8 @@ def run_records(targets: DataFrame, attempts: DataFrame, items: DataFrame, as_of
     targets(target, target_type); attempts(target, rank, source_id, status,
     n_items, error); items(target, rank, page_id, url, html, ...).
     """
-    win = FB.winners(attempts)
+    # One row per target; it feeds three branches, so it is computed once.
+    win = materialize(FB.winners(attempts))
     # Keep only the winning attempt's items (semi join: the small winner table
     # is the build side, so items keep their partitioning and the conversion
     # below runs where the items are), then convert.
