@@ -30,14 +30,22 @@ def _has(df: DataFrame, path: str) -> bool:
     return hasattr(field, "fieldNames") and rest in field.fieldNames()
 
 
+def content_column(df: DataFrame, html_field: str = "html") -> Column:
+    """First non-empty of (configured field, html, text, markdown, content,
+    crawl.html) among the fields ``df`` has; null when none."""
+    fields = [html_field] + [f for f in K.CONTENT_FIELDS if f != html_field]
+    present = [f for f in fields if _has(df, f)]
+    return F.coalesce(*[F.when(F.length(F.col(f)) > 0, F.col(f)) for f in present]) if present \
+        else F.lit(None).cast("string")
+
+
 def resolve_content(df: DataFrame, url_field: str = "url", html_field: str = "html") -> DataFrame:
     """Add ``content`` = first non-empty of (configured field, html, text,
     markdown, content, crawl.html) and ``content_field`` = which one; null
     when none (empty string counts as missing)."""
     fields = [html_field] + [f for f in K.CONTENT_FIELDS if f != html_field]
     present = [f for f in fields if _has(df, f)]
-    content = F.coalesce(*[F.when(F.length(F.col(f)) > 0, F.col(f)) for f in present]) if present \
-        else F.lit(None).cast("string")
+    content = content_column(df, html_field)
     which = None
     for f in present:
         cond = F.length(F.col(f)) > 0

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagesieve.operators.convert import convert_pages
+from pagesieve.operators.convert import content_column, convert_pages
 from pagesieve.session import ensure_checkpoint_dir
 from pagesieve.sources.tables import PAGES_SCHEMA, host_of
 
@@ -51,7 +51,9 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 def ingest_batch(batch: DataFrame, corpus_path: str, as_of) -> None:
     """Append the new or changed pages of one batch to the corpus."""
     spark = batch.sparkSession
-    pages = (batch.withColumn("content_sha256", F.sha2(F.col("html"), 256))
+    # hash the content the document will be built from (any content field)
+    pages = (batch.withColumn("content_sha256", F.sha2(content_column(batch), 256))
+             .filter(F.col("content_sha256").isNotNull())
              .dropDuplicates(["url", "content_sha256"]))
     if _exists(spark, corpus_path):
         # Keys already in the corpus, read only for the hosts in this batch:
@@ -67,15 +69,18 @@ def ingest_batch(batch: DataFrame, corpus_path: str, as_of) -> None:
 
 
 def stream_pages(spark: SparkSession, source_dir: str, corpus_path: str, as_of, checkpoint: str | None = None,
-                 glob: str = "*.parquet", max_files_per_trigger: int | None = None):
+                 glob: str = "*.parquet", max_files_per_trigger: int | None = None, fmt: str = "parquet",
+                 schema: T.StructType = PAGES_SCHEMA):
     """Start the ingest stream over ``source_dir`` and return the query handle
-    (``trigger(availableNow=True)``: process what is there, then stop)."""
+    (``trigger(availableNow=True)``: process what is there, then stop).
+    ``fmt``/``schema`` read other item files, e.g. JSON scraped items whose
+    content sits in any of several fields (``ITEMS_SCHEMA``)."""
     if checkpoint is None:
         checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pagesieve-stream/{uuid.uuid4().hex}"
-    reader = spark.readStream.schema(PAGES_SCHEMA).option("pathGlobFilter", glob)
+    reader = spark.readStream.schema(schema).format(fmt).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
+    stream = reader.load(source_dir)
     return (stream.writeStream.foreachBatch(lambda df, _epoch: ingest_batch(df, corpus_path, as_of))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 

@@ -110,3 +110,20 @@ def test_spread_only_small_underused_scans(spark):
     # already shuffled upstream: untouched
     g = p.groupBy("url").count()
     assert spread(g, "url", min_partitions=64) is g
+
+
+def test_stream_json_items(spark, tmp_path):
+    import json
+    from pagesieve.sources.tables import ITEMS_SCHEMA
+    src = tmp_path / "items"
+    src.mkdir()
+    rows = [{"page_id": 0, "url": "https://e.org/a", "markdown": "<p>m</p>"},
+            {"page_id": 1, "url": "https://e.org/b"},
+            {"page_id": 2, "url": "https://e.org/c", "crawl": {"html": "<p>c</p>"}},
+            {"page_id": 3, "url": "https://e.org/c", "crawl": {"html": "<p>c</p>"}}]
+    (src / "part-0.json").write_text("\n".join(json.dumps(r) for r in rows))
+    q = ST.stream_pages(spark, str(src), str(tmp_path / "corpus"), "2024-01-01T00:00:00",
+                        checkpoint=str(tmp_path / "ckpt"), glob="*.json", fmt="json", schema=ITEMS_SCHEMA)
+    q.awaitTermination()
+    got = sorted((r.url, r.text) for r in ST.read_corpus(spark, str(tmp_path / "corpus")).collect())
+    assert got == [("https://e.org/a", "m"), ("https://e.org/c", "c")]
