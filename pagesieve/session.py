@@ -43,14 +43,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     tests) do we set a private scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session manages its own checkpoint folder
+        return current or ""
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="pagesieve-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+        sc.setCheckpointDir(current)
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 

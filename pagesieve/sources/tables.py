@@ -78,13 +78,17 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None,
     left as it is, and plans that already shuffled are never touched. (The
     split count overstates a small file's parallelism: a file with one row
     group is cut into several byte ranges but only one of them holds rows.)"""
-    if df.isStreaming or not _scan_only(df):
+    if df.isStreaming:
         return df
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > max_bytes:
+    try:
+        if not _scan_only(df):
+            return df
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+        if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > max_bytes:
+            return df
+    except Exception:  # noqa: BLE001 - no plan access (e.g. a remote session): leave the scan as it is
         return df
     return df.repartition(target, key)
 

@@ -37,11 +37,18 @@ CORPUS_SCHEMA = T.StructType([
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")) or (
-        fs.exists(hpath) and len(fs.listStatus(hpath)) > 0)
+    """Whether the corpus table has been written already."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath) and len(fs.listStatus(hpath)) > 0)
+    except Exception:  # noqa: BLE001 - no JVM access (remote session): probe by reading the schema
+        try:
+            read_corpus(spark, path).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
