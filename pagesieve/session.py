@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,8 +60,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut lineage: write ``df`` once to the shared checkpoint folder and
-    read it back (reliable checkpoint; survives executor loss). Used where
-    one expensive intermediate feeds several branches of a plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` once as a Parquet table in the shared
+    checkpoint folder and read it back. Used where one expensive intermediate
+    feeds several branches of a plan. Unlike an unpersisted eager
+    ``checkpoint()`` (one job to force it, a second to write the files), the
+    data is computed once; the table also gives the planner real size
+    statistics, and a lost executor never forces recomputation upstream."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    if not root:  # no shared folder known to this client: use the session's checkpoint
+        return df.checkpoint(eager=True)
+    path = f"{root.rstrip('/')}/pagesieve-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
