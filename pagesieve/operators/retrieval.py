@@ -1,15 +1,19 @@
 """Batch retrieval over a corpus: term index, BM25 and cosine top-k.
 
 Plan shape (BM25):
-  corpus -> explode(terms) -> partial count per (doc, term) -> postings
-  questions -> distinct (question, term)            (small; broadcast by the
-                                                      planner when its size
-                                                      is under the threshold)
-  postings semi-joined to the question vocabulary -> document frequency
-  postings x question terms (equi-join on term) -> per (question, doc) partial
-  sums -> score -> top-k per question (WindowGroupLimit trims per task first)
+  corpus -> terms counted inside each document's row (sorted terms -> run
+  lengths) -> explode -> postings; no (doc, term) shuffle. Postings are
+  written once as a table (they feed statistics, frequencies and scoring).
+  questions -> distinct (question, term): small, broadcast by the planner's
+  size check (sort-merge beyond it)
+  postings restricted to the question vocabulary -> document frequencies
+  postings x question terms (equi-join on term) -> partial sums per
+  (question, doc) -> score -> top-k per question (WindowGroupLimit trims
+  each task's rows before the shuffle)
 Frequent terms never gather in one task: the term join is map-side when the
-question side is broadcast, and all later keys are (question, doc).
+question side is broadcast, and all later keys are (question, doc). For big
+question batches an exact MaxScore-style plan limits the work to documents
+holding a rare question term (see ``bm25_search``).
 """
 
 from __future__ import annotations
