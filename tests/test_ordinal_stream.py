@@ -127,3 +127,15 @@ def test_stream_json_items(spark, tmp_path):
     q.awaitTermination()
     got = sorted((r.url, r.text) for r in ST.read_corpus(spark, str(tmp_path / "corpus")).collect())
     assert got == [("https://e.org/a", "m"), ("https://e.org/c", "c")]
+
+
+def test_command_line_run(spark, tmp_path, capsys):
+    from pagesieve.__main__ import main
+    out = str(tmp_path / "out")
+    assert main(["--pages", "/root/testdata/sf0.001/pages.parquet", "--out", out, "--max-pages", "2",
+                 "--as-of", "2024-01-01T00:00:00"]) == 0
+    n_runs = int(capsys.readouterr().out.strip().splitlines()[-1])
+    docs = spark.read.parquet(f"{out}/documents")
+    assert n_runs == docs.select("corpus").distinct().count() > 0
+    assert docs.groupBy("corpus").count().agg(F.max("count")).first()[0] <= 2
+    assert spark.read.json(f"{out}/runs").count() == n_runs
