@@ -74,8 +74,14 @@ def _regions(toks: Column, starts, first_only: bool = False) -> Column:
     the next sibling <li>, any element at the end tag of an enclosing
     container. An element never closed runs to the end of the page."""
     tags = F.filter(toks, lambda x: (x["kind"] == "o") | (x["kind"] == "c"))
+    # Closed regions are recorded as "s:e;" in a string: appending copies
+    # bytes, where growing an array inside the fold would copy every element
+    # on each append (quadratic in the number of regions).
     init = F.struct(F.lit(None).cast("string").alias("n"), F.lit(0).alias("d"), F.lit(0).alias("a"),
-                    F.lit(0).alias("s"), F.array().cast(_REGION_T).alias("iv"))
+                    F.lit(0).alias("s"), F.lit("").alias("iv"))
+
+    def record(iv, s, e):
+        return F.concat(iv, s.cast("string"), F.lit(":"), e.cast("string"), F.lit(";"))
 
     def state(n, d, a, s, iv):
         return F.struct(n.alias("n"), d.alias("d"), a.alias("a"), s.alias("s"), iv.alias("iv"))
@@ -91,7 +97,7 @@ def _regions(toks: Column, starts, first_only: bool = False) -> Column:
     def step(acc, x):
         idle = acc["n"].isNull()
         if first_only:
-            idle = idle & (F.size(acc["iv"]) == 0)
+            idle = idle & (acc["iv"] == "")
         opens = idle & (x["kind"] == "o") & starts(x)
         same = acc["n"].isNotNull() & (x["name"] == acc["n"])
         other = acc["n"].isNotNull() & (x["name"] != acc["n"]) & ~x["name"].isin(*K.VOID_TAGS)
@@ -107,21 +113,19 @@ def _regions(toks: Column, starts, first_only: bool = False) -> Column:
         return state(
             F.when(opens, x["name"]).when(closes, F.lit(None).cast("string")).otherwise(acc["n"]),
             depth, inner, F.when(opens, x["i"]).otherwise(acc["s"]),
-            F.when(closes, F.concat(acc["iv"], F.array(F.struct(acc["s"].alias("s"), x["i"].alias("e")))))
-             .otherwise(acc["iv"]))
+            F.when(closes, record(acc["iv"], acc["s"], x["i"])).otherwise(acc["iv"]))
 
     def merge(acc, x):
         # close implicitly first; the same token may then open a new region
-        closed = state(F.lit(None).cast("string"), F.lit(0), F.lit(0), acc["s"],
-                       F.concat(acc["iv"], F.array(F.struct(acc["s"].alias("s"), x["i"].alias("e")))))
+        closed = state(F.lit(None).cast("string"), F.lit(0), F.lit(0), acc["s"], record(acc["iv"], acc["s"], x["i"]))
         return step(F.when(implicit_close(acc, x), closed).otherwise(acc), x)
 
     def finish(acc):
-        return F.when(acc["n"].isNotNull(),
-                      F.concat(acc["iv"], F.array(F.struct(acc["s"].alias("s"), F.lit(_BIG).alias("e"))))
-                      ).otherwise(acc["iv"])
+        return F.when(acc["n"].isNotNull(), record(acc["iv"], acc["s"], F.lit(_BIG))).otherwise(acc["iv"])
 
-    return F.aggregate(tags, init, merge, finish)
+    spans = F.filter(F.split(F.aggregate(tags, init, merge, finish), ";"), lambda x: x != "")
+    return F.transform(spans, lambda x: F.struct(F.split(x, ":")[0].cast("int").alias("s"),
+                                                 F.split(x, ":")[1].cast("int").alias("e")))
 
 
 def _is_removed(x) -> Column:
