@@ -77,13 +77,13 @@ def term_stats(postings: DataFrame) -> DataFrame:
 def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qkey: str, qtext: str,
                 k: int = 5, k1: float = K.BM25_K1, b: float = K.BM25_B, decimals: int = 6,
                 checkpoint: bool = True, prune: bool | None = None, rare_fraction: float = 0.2,
-                prune_above_rows: int = 100_000_000, corpora=None, corpus_col: str = "corpus") -> DataFrame:
+                prune_above_rows: int = 1_000_000_000, corpora=None, corpus_col: str = "corpus") -> DataFrame:
     """Top ``k`` documents per question by BM25 (idf = ln(1 + (N-df+0.5)/(df+0.5))),
     score rounded to ``decimals`` before ranking, ties broken by the keys.
     Output: qkey, rank, keys..., score.
 
-    The direct plan joins every posting of every question term (rows =
-    sum of df over the question terms). When that estimate exceeds
+    The direct plan joins every posting of every question term (at most
+    question terms x documents rows). When that bound exceeds
     ``prune_above_rows`` (or ``prune=True``) an exact MaxScore-style plan is
     used: terms in at most ``rare_fraction`` of the documents are "rare";
     only documents holding a rare question term are candidates; a candidate
@@ -128,8 +128,10 @@ def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qk
         return top_k(part.groupBy(qkey, *keys).agg(F.round(F.sum("w"), decimals).alias("score")))
 
     if prune is None:
-        est = qterms.join(weights, "term").agg(F.sum("df")).first()[0] or 0
-        prune = est > prune_above_rows
+        # Upper bound of the direct join's rows (question terms x documents)
+        # from two counts that need no postings; erring high only selects
+        # the pruned plan, which is exact as well.
+        prune = qterms.count() * source.count() > prune_above_rows
     if not prune:
         return full(qterms)
 
