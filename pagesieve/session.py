@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -59,6 +60,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+_WRITTEN: list[str] = []
+
+
+def _drop_written() -> None:
+    """At driver exit, delete the tables ``materialize`` wrote (no job can
+    read them any more; derived DataFrames may read them until then)."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or not _WRITTEN:
+        return
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _WRITTEN:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+    except Exception:  # noqa: BLE001 - best effort at shutdown
+        pass
+    _WRITTEN.clear()
+
+
 def materialize(df):
     """Cut lineage: write ``df`` once as a Parquet table in the shared
     checkpoint folder and read it back. Used where one expensive intermediate
@@ -72,4 +93,7 @@ def materialize(df):
         return df.checkpoint(eager=True)
     path = f"{root.rstrip('/')}/pagesieve-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    if not _WRITTEN:
+        atexit.register(_drop_written)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
