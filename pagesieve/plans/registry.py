@@ -442,6 +442,22 @@ def q_main_content(spark, sf):
     return CV.main_content(pages(spark, sf))
 
 
+@register("main_content_variants", f"""
+WITH v AS (
+  SELECT page_id, 'article' AS variant, regexp_extract(html, '(?is)<article\\b[^>]*>.*?</article\\s*>', 0) AS part
+  FROM pages
+  UNION ALL
+  SELECT page_id, 'main', regexp_extract(html, '(?is)<article\\b[^>]*>.*?</article\\s*>', 0) FROM pages
+  UNION ALL
+  SELECT page_id, 'class', regexp_extract(html, '(?is)<article\\b[^>]*>.*?</article\\s*>', 0) FROM pages)
+SELECT page_id, variant, {S.clean_html('part')} AS main_text FROM v""")
+def q_main_content_variants(spark, sf):
+    v = DV.main_content_variants(pages(spark, sf))
+    t = v.withColumn("_toks", H.tokenize(F.col("html")))
+    t = t.withColumn("_main", H.main_content_tokens(F.col("_toks")))
+    return t.select("page_id", "variant", H.clean_tokens(F.col("_main")).alias("main_text"))
+
+
 _AD_HTML_SQL = ("regexp_replace(replace(html, 'class=\"ad\"', 'class=\"ad-container sponsored\"'), '(?i)<article>', "
                 "'<article><div class=\"Popup\"><div>tracked</div> offer</div>', 'g')")
 _AD_BLOCK_RE = ("(?is)<div\\s+class=\"[^\"]*(?:" + "|".join(K.AD_CLASS_PATTERNS)

@@ -71,6 +71,19 @@ def title_variants(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", v.alias("v")).select("page_id", "url", "v.variant", "v.html")
 
 
+def main_content_variants(pages: DataFrame) -> DataFrame:
+    """Every page three times: as is (<article>), with the article as <main>,
+    and with it as <div class="post-content"> (the class rule)."""
+    h = F.col("html")
+    as_main = F.regexp_replace(F.regexp_replace(h, "<article>", "<main>"), "</article>", "</main>")
+    as_div = F.regexp_replace(F.regexp_replace(h, "<article>", '<div class="post-content">'), "</article>", "</div>")
+    v = F.explode(F.array(
+        F.struct(F.lit("article").alias("variant"), h.alias("html")),
+        F.struct(F.lit("main").alias("variant"), as_main.alias("html")),
+        F.struct(F.lit("class").alias("variant"), as_div.alias("html"))))
+    return pages.select("page_id", v.alias("v")).select("page_id", "v.variant", "v.html")
+
+
 def ad_class_pages(pages: DataFrame) -> DataFrame:
     """Every page with its plain 'ad' block re-labelled with tracking classes
     (which the cleaner must drop) and a nested ad block added inside the article."""
