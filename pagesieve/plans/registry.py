@@ -26,7 +26,7 @@ from pagesieve.operators import retrieval as RT
 from pagesieve.operators import selection as SE
 from pagesieve.plans import jobs as JB
 from pagesieve.plans import sql as S
-from pagesieve.session import materialize
+from pagesieve.session import materialize, scratch_path
 from pagesieve.sources import derive as DV
 from pagesieve.streaming import ingest as ST
 from pagesieve.sources.tables import catalogue, host_of, read_pages, read_table, table_path
@@ -652,6 +652,19 @@ def q_incremental_append(spark, sf):
     return CO.append_new_pages(existing, incoming).select("page_id", "url", "content_sha256")
 
 
+@register("stored_corpus", f"""
+WITH {_DOCS_CTE}
+SELECT page_id, corpus, doc_name, strlen(document) AS n_bytes FROM docs""")
+def q_stored_corpus(spark, sf):
+    """Sink round trip: documents written partitioned by corpus, read back."""
+    path = scratch_path(spark, "corpus")
+    CO.write_corpus(_docs(spark, sf).select("page_id", "doc_name", "document", "n_bytes", "corpus"), path,
+                    mode="overwrite")
+    back = spark.read.schema("page_id long, doc_name string, document string, n_bytes long, corpus string"
+                             ).parquet(path)
+    return back.select("page_id", "corpus", "doc_name", "n_bytes")
+
+
 # ---------------------------------------------------------------------------
 # Chunking
 # ---------------------------------------------------------------------------

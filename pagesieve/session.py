@@ -80,6 +80,17 @@ def _drop_written() -> None:
     _WRITTEN.clear()
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A fresh folder under the shared checkpoint folder, deleted when the
+    driver process exits."""
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/pagesieve-{kind}/{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_drop_written)
+    _WRITTEN.append(path)
+    return path
+
+
 def materialize(df):
     """Cut lineage: write ``df`` once as a Parquet table in the shared
     checkpoint folder and read it back. Used where one expensive intermediate
@@ -91,9 +102,6 @@ def materialize(df):
     root = ensure_checkpoint_dir(spark)
     if not root:  # no shared folder known to this client: use the session's checkpoint
         return df.checkpoint(eager=True)
-    path = f"{root.rstrip('/')}/pagesieve-tables/{uuid.uuid4().hex}"
+    path = scratch_path(spark, "tables")
     df.write.mode("overwrite").parquet(path)
-    if not _WRITTEN:
-        atexit.register(_drop_written)
-    _WRITTEN.append(path)
     return spark.read.parquet(path)

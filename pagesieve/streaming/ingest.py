@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesieve.operators.convert import content_column, convert_pages
-from pagesieve.session import ensure_checkpoint_dir
+from pagesieve.session import ensure_checkpoint_dir, scratch_path
 from pagesieve.sources.tables import PAGES_SCHEMA, host_of
 
 CORPUS_SCHEMA = T.StructType([
@@ -95,7 +95,7 @@ def stream_pages(spark: SparkSession, source_dir: str, corpus_path: str, as_of,
 def run_ingest(spark: SparkSession, source_dir: str, as_of, glob: str = "*.parquet",
                corpus_path: str | None = None) -> DataFrame:
     """Run the stream to completion and return the corpus it wrote."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pagesieve-ingest/{uuid.uuid4().hex}"
+    base = scratch_path(spark, "ingest")
     corpus_path = corpus_path or f"{base}/corpus"
     q = stream_pages(spark, source_dir, corpus_path, as_of, f"{base}/checkpoint", glob)
     q.awaitTermination()
