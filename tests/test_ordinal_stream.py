@@ -139,3 +139,9 @@ def test_command_line_run(spark, tmp_path, capsys):
     assert n_runs == docs.select("corpus").distinct().count() > 0
     assert docs.groupBy("corpus").count().agg(F.max("count")).first()[0] <= 2
     assert spark.read.json(f"{out}/runs").count() == n_runs
+
+
+def test_position_within_null_group(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", 9), (None, 7)], "g string, k long")
+    assert sorted((r.g or "", r.k, r.p) for r in position_within(df, "g", "k", "p").collect()) == \
+        [("", 1, 0), ("", 3, 1), ("", 7, 2), ("a", 2, 0), ("a", 9, 1)]
