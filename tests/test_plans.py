@@ -63,3 +63,13 @@ def test_cosine_search_has_no_join(spark):
     cen = RT.centroids(emb.select("label", "embedding"), "label", "embedding")
     p = plan(RT.cosine_search(emb, "vec_id", "embedding", cen, "label", "embedding"))
     assert "Join" not in p.split("Subquery")[0] and "WindowGroupLimit" in p
+
+
+def test_ordinal_windows_by_group_and_bucket(spark):
+    from pagesieve.operators.ordinal import position_within
+    df = spark.range(0, 1000).select((F.col("id") % 2).cast("string").alias("g"), F.col("id").alias("k"))
+    p = plan(position_within(df, "g", "k", "pos"))
+    # the row-number window never partitions by the group alone
+    import re
+    windows = re.findall(r"Window \[row_number\(\).*?\], \[([^\]]*)\]", p)
+    assert windows and all("_b" in w for w in windows)

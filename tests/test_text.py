@@ -42,6 +42,8 @@ ROWS = [
     ('<meta content="C &amp; D" property=\'og:title\'><p>z</p>', "https://e.org/", "z", "C & D"),
     ('<meta property="og:title" content=""><p>z</p>', "https://e.org/last-part/", "z", "Last Part"),
     ("<p>a</p><![CDATA[x > y]]><p>b</p>", "https://e.org/", "a\nb", "Untitled"),
+    # title content is raw text: markup inside it is literal
+    ("<title>A <b>B</b> &amp; C</title><p>x</p>", "https://e.org/", "A <b>B</b> & C\nx", "A <b>B</b> & C"),
     ('<a title="1 > 0">link</a>', "https://e.org/", "link", "Untitled"),
 ]
 
