@@ -68,8 +68,9 @@ def run_corpus_job(pages: DataFrame, attempts: DataFrame, items: DataFrame, as_o
 
     Raises ValueError when the policy leaves no source, RuntimeError when
     every attempt of every target failed or when no document was produced.
-    Writes documents (partitioned by corpus), the manifest and the run
-    records under ``out_path`` and returns the run records.
+    Writes documents (partitioned by corpus), the manifest, one metadata
+    record per corpus and the run records under ``out_path`` and returns the
+    run records.
     """
     spark = pages.sparkSession
     if apply_policy(catalogue(spark), ("id", "title", "description")).isEmpty():
@@ -85,6 +86,8 @@ def run_corpus_job(pages: DataFrame, attempts: DataFrame, items: DataFrame, as_o
     if written.isEmpty():
         raise RuntimeError("No valid documents created from scraped data")
     CO.build_manifest(written, as_of).write.mode("overwrite").parquet(f"{out_path}/manifest")
+    CO.corpus_summary(written, as_of, by="corpus", text_col="document").write.mode("overwrite").json(
+        f"{out_path}/corpora")
     records = run_records(targets, attempts, items, as_of, corpus_name)
     records.write.mode("overwrite").json(f"{out_path}/runs")
     return spark.read.json(f"{out_path}/runs")

@@ -50,6 +50,9 @@ def test_run_corpus_job_writes_outputs(spark, tmp_path):
     assert runs.count() == attempts.select("target").distinct().count() - R.FB.source_failures(attempts).count()
     docs = spark.read.parquet(str(tmp_path / "out" / "documents"))
     assert docs.select("corpus").distinct().count() == runs.count()
+    corpora = spark.read.json(str(tmp_path / "out" / "corpora"))
+    assert corpora.count() == runs.count()
+    assert corpora.agg(F.sum("files_indexed")).first()[0] == docs.count()
 
 
 def test_run_corpus_job_guard(spark, tmp_path):
