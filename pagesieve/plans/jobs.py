@@ -56,11 +56,6 @@ def flatten_record(records: DataFrame) -> DataFrame:
     return records.select(*cols)
 
 
-def select_for_pages(pages: DataFrame, budget: str = K.DEFAULT_BUDGET, top_n: int = K.DEFAULT_TOP_N) -> DataFrame:
-    """Targets of a page table with their ranked sources."""
-    return SE.select_sources(SE.targets_from_pages(pages), budget, top_n)
-
-
 def run_corpus_job(pages: DataFrame, attempts: DataFrame, items: DataFrame, as_of, out_path: str,
                    budget: str = K.DEFAULT_BUDGET, top_n: int = K.DEFAULT_TOP_N,
                    corpus_name: str | None = None) -> DataFrame:

@@ -145,21 +145,6 @@ def catalogue(spark: SparkSession) -> DataFrame:
     return official.unionByName(community)
 
 
-def budget_modes(spark: SparkSession) -> DataFrame:
-    return local_table(spark, [(m,) for m in K.BUDGET_MODES], T.StructType([T.StructField("budget", T.StringType())]))
-
-
-def price_tiers(spark: SparkSession) -> DataFrame:
-    return local_table(spark, K.PRICE_TIERS, T.StructType([T.StructField("plan", T.StringType()),
-                                                           T.StructField("discount", T.DoubleType())]))
-
-
-def scraper_costs(spark: SparkSession) -> DataFrame:
-    return local_table(spark, K.SCRAPER_COST_PER_100_PAGES,
-                       T.StructType([T.StructField("budget", T.StringType()),
-                                     T.StructField("cost_per_100_pages", T.DoubleType())]))
-
-
 def host_of(url_col) -> F.Column:
     """Host part of a URL (lower case, no port); the corpus key of a page."""
     c = F.col(url_col) if isinstance(url_col, str) else url_col

@@ -90,3 +90,12 @@ def test_search_restricted_to_corpora(spark):
     names = spark.createDataFrame([("src0",), ("src1",)], "n string")
     as_df = RT.bm25_search(docs, ["doc_id"], "text", qs, "item_id", "text", corpora=names, corpus_col="source")
     assert sorted(map(tuple, got)) == sorted(map(tuple, alone.collect())) == sorted(map(tuple, as_df.collect()))
+
+
+def test_term_stats_and_title_api(spark):
+    from pagesieve.functions.html import extract_title
+    df = spark.createDataFrame([(1, "a b a"), (2, "b c")], "id int, t string")
+    st = {r.term: (r.df, r.cf) for r in RT.term_stats(RT.build_term_index(df, ["id"], "t")).collect()}
+    assert st == {"a": (1, 2), "b": (2, 2), "c": (1, 1)}
+    h = spark.createDataFrame([("<h1>x</h1>", "https://e.org/")], "h string, u string")
+    assert h.select(extract_title("h", "u")).first()[0] == "x"
