@@ -107,3 +107,14 @@ def test_header_time_defaults_to_now(spark):
     docs = CV.convert_pages(items, None).collect()
     stamps = {re.search(r"Scraped: (\S+)", d.document).group(1) for d in docs}
     assert len(stamps) == 1 and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{6})?", stamps.pop())
+
+
+def test_drop_corpora_long_list_rewrites(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(CO, "MAX_DROP_BY_PATH", 1)
+    docs = spark.createDataFrame([("c1", "d0"), ("c2", "d1"), ("c3", "d2")], "corpus string, doc_name string")
+    path = str(tmp_path / "store")
+    CO.write_corpus(docs, path, mode="overwrite")
+    names = spark.createDataFrame([("c1",), ("c3",)], "n string")
+    assert CO.drop_corpora_on_disk(spark, path, names) == -1
+    assert [r.corpus for r in spark.read.parquet(path + ".next").collect()] == ["c2"]
+    assert spark.read.parquet(path).count() == 3  # the original is left for the caller to swap
