@@ -118,3 +118,15 @@ def test_drop_corpora_long_list_rewrites(spark, tmp_path, monkeypatch):
     assert CO.drop_corpora_on_disk(spark, path, names) == -1
     assert [r.corpus for r in spark.read.parquet(path + ".next").collect()] == ["c2"]
     assert spark.read.parquet(path).count() == 3  # the original is left for the caller to swap
+
+
+def test_doc_ordinals_unique_and_dense_per_corpus(spark):
+    from pagesieve.sources.derive import scattered_items
+    from pagesieve.sources.tables import read_pages
+    items = CV.resolve_content(scattered_items(read_pages(spark, "/root/testdata/sf0.01/pages.parquet")))
+    named = CV.doc_names(items.withColumnRenamed("target", "corpus"), "corpus", "page_id")
+    per = named.groupBy("corpus").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ordinal").alias("d"),
+                                      F.min("ordinal").alias("lo"), F.max("ordinal").alias("hi"))
+    # before the skip filter: 0..n-1 within every corpus
+    assert per.filter((F.col("n") != F.col("d")) | (F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1)).count() == 0
+    assert named.count() == 250
