@@ -81,9 +81,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _WRITTEN: list[str] = []
 
 
-def _drop_written() -> None:
-    """At driver exit, delete the tables ``materialize`` wrote (no job can
-    read them any more; derived DataFrames may read them until then)."""
+def drop_scratch() -> None:
+    """Delete the scratch tables and folders this driver wrote. Runs at
+    driver exit (no job can read them any more; derived DataFrames may read
+    them until then); call it before stopping the session to clean up early."""
     spark = SparkSession.getActiveSession()
     if spark is None or not _WRITTEN:
         return
@@ -104,7 +105,7 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/pagesieve-{kind}/{uuid.uuid4().hex}"
     if not _WRITTEN:
-        atexit.register(_drop_written)
+        atexit.register(drop_scratch)
     _WRITTEN.append(path)
     return path
 
