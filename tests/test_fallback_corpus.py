@@ -130,3 +130,17 @@ def test_doc_ordinals_unique_and_dense_per_corpus(spark):
     # before the skip filter: 0..n-1 within every corpus
     assert per.filter((F.col("n") != F.col("d")) | (F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1)).count() == 0
     assert named.count() == 250
+
+
+def test_custom_fields_and_iso_times(spark):
+    import datetime as dt
+    from pagesieve.functions.text import iso_timestamp
+    items = spark.createDataFrame([(0, "https://e.org/x", "<title>B</title><p>b</p>", "<p>h</p>")],
+                                  "page_id long, link string, body string, html string")
+    d = CV.convert_pages(items, "2024-01-01T00:00:00", url_field="link", html_field="body").first()
+    # the configured content field wins over html; the configured URL field is used
+    assert (d.url, d.title, d.text, d.content_field) == ("https://e.org/x", "B", "B\nb", "body")
+    ts = spark.createDataFrame([(dt.datetime(2024, 5, 6, 7, 8, 9),), (dt.datetime(2024, 5, 6, 7, 8, 9, 120),)],
+                               "t timestamp")
+    got = [r[0] for r in ts.select(iso_timestamp("t")).collect()]
+    assert got == [dt.datetime(2024, 5, 6, 7, 8, 9).isoformat(), dt.datetime(2024, 5, 6, 7, 8, 9, 120).isoformat()]
