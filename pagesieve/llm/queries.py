@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesieve.llm import decontaminate, line_dedup
+from pagesieve.llm import bpe, decontaminate, line_dedup, packing, records
 from pagesieve.llm.tables import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = records.write_records(read(spark, sf_dir, "documents"), bpe.tokenizer_path("byte_bpe_50k.json"))
+    return records.read_records(manifest)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), bpe.tokenizer_path("word_bpe_49k.json"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -47,6 +56,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op7_token_records": op7_token_records,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
 }
