@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesieve.llm import bpe, decontaminate, line_dedup, packing, records
+from pagesieve.llm import bpe, decontaminate, language, line_dedup, packing, quality, records
 from pagesieve.llm.tables import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_documents(read(spark, sf_dir, "documents"))
+
+
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = records.write_records(read(spark, sf_dir, "documents"), bpe.tokenizer_path("byte_bpe_50k.json"))
     return records.read_records(manifest)
@@ -56,6 +65,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op5_quality": op5_quality,
+    "op6_language": op6_language,
     "op7_token_records": op7_token_records,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontaminate": op9_decontaminate,
