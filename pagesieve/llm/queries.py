@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesieve.llm import bpe, decontaminate, language, line_dedup, packing, quality, records
+from pagesieve.llm import bpe, decontaminate, fingerprint, language, line_dedup, packing, quality, records
 from pagesieve.llm.tables import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.neighbour_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
@@ -65,6 +69,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op2_fingerprints": op2_fingerprints,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
     "op7_token_records": op7_token_records,
