@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesieve.llm import bpe, decontaminate, fingerprint, language, line_dedup, packing, quality, records
+from pagesieve.llm import bpe, decontaminate, fingerprint, language, line_dedup, ngram_join, packing, quality, records
 from pagesieve.llm.tables import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(read(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbour_fingerprints(read(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_fingerprints": op2_fingerprints,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
