@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesieve.llm import bpe, decontaminate, fingerprint, language, line_dedup, ngram_join, packing, quality, records
+from pagesieve.llm import (
+    bpe,
+    decontaminate,
+    fingerprint,
+    language,
+    line_dedup,
+    main_text,
+    ngram_join,
+    packing,
+    quality,
+    records,
+)
 from pagesieve.llm.tables import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +32,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbour_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_main_text(read(spark, sf_dir, "pages"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
@@ -75,6 +90,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_fingerprints": op2_fingerprints,
+    "op4_main_text": op4_main_text,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
     "op7_token_records": op7_token_records,
