@@ -18,6 +18,7 @@ from pagesieve.llm import (
     packing,
     quality,
     records,
+    suffix_dedup,
 )
 from pagesieve.llm.tables import read
 
@@ -32,6 +33,12 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbour_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.dedup_substrings(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract_main_text(read(spark, sf_dir, "pages"))
 
@@ -90,6 +97,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_fingerprints": op2_fingerprints,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_main_text": op4_main_text,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
