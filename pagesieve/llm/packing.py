@@ -196,14 +196,14 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, end_id: in
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.encoder(tokenizer)
-        end = int(end_id).to_bytes(4, "little")
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS_PER_STEP):
                 part = batch.slice(low, ROWS_PER_STEP)
-                encoded = encoder.encode([x or "" for x in A.column(part, "text").to_pylist()])
+                encoded = encoder.encode(A.column(part, "text"))
                 rows, numbers, crcs, lengths, ids = [], [], [], [], []
                 for row, own in enumerate(encoded):
-                    own += end
+                    own = own.astype("<u4").tobytes() + end
                     for piece, at in enumerate(range(0, len(own), 4 * limit)):
                         body = own[at:at + 4 * limit]
                         rows.append(row)

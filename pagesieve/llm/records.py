@@ -76,10 +76,8 @@ def unframe(data: bytes, at: int) -> tuple[bytes, int]:
     return payload, end + 4
 
 
-def pack_payload(doc_id: int | None, ids: bytes, width: int) -> bytes:
-    """``ids``: little-endian uint32."""
-    body = np.frombuffer(ids, "<u4").astype("<u2").tobytes() if width == 2 else ids
-    return PAYLOAD.pack(doc_id is not None, doc_id or 0, width) + body
+def pack_payload(doc_id: int | None, ids: np.ndarray, width: int) -> bytes:
+    return PAYLOAD.pack(doc_id is not None, doc_id or 0, width) + ids.astype(f"<u{width}").tobytes()
 
 
 def unpack_payload(payload: bytes) -> tuple[int | None, np.ndarray]:
@@ -109,7 +107,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str | None = None, id
         system, root = file_system(folder)
         encoder = bpe.encoder(tokenizer)
         width = 2 if max(encoder.vocabulary, end_id + 1) <= 1 << 16 else 4
-        end = int(end_id).to_bytes(4, "little")
+        end = np.array([end_id], np.uint32)
         sink, index, at, tokens, count = None, None, 0, 0, 0
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS_PER_STEP):
@@ -118,13 +116,13 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str | None = None, id
                     system.create_dir(root, recursive=True)
                     sink = system.open_output_stream(f"{root}/{name}.rec")
                     index = system.open_output_stream(f"{root}/{name}.idx")
-                encoded = encoder.encode([x or "" for x in A.column(part, "text").to_pylist()])
+                encoded = encoder.encode(A.column(part, "text"))
                 out, places = [], []
                 for doc_id, ids in zip(A.column(part, "doc_id").to_pylist(), encoded, strict=True):
-                    record = frame(pack_payload(doc_id, ids + end, width))
+                    record = frame(pack_payload(doc_id, np.concatenate([ids, end]), width))
                     places.append((at, tokens))
                     out.append(record)
-                    at, tokens, count = at + len(record), tokens + len(ids) // 4 + 1, count + 1
+                    at, tokens, count = at + len(record), tokens + len(ids) + 1, count + 1
                 sink.write(b"".join(out))
                 index.write(np.array(places, "<u8").tobytes())
         if sink is not None:
