@@ -186,8 +186,9 @@ def blocks_of(items: Iterator[tuple[str, str | None]], window: int, block_words:
     return [b for b in blocks if b]
 
 
-def scan_slice(data: np.ndarray, offsets: np.ndarray, blocks: list[Block]) -> Iterator[tuple[int, list, list]]:
-    """(number of words, hit spans in words, item ids) of each document."""
+def scan_slice(data: np.ndarray, offsets: np.ndarray, blocks: list[Block]) -> Iterator[tuple[int, list, list, list]]:
+    """(number of words, hit spans in words, the same in bytes, item ids) of
+    each document."""
     data = A.ASCII_LOWER[data]
     doc, starts, ends = A.word_spans(data, offsets, NOT_WORD)
     n = len(offsets) - 1
@@ -208,7 +209,9 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, blocks: list[Block]) -> It
                     spans.setdefault(d, []).extend((a - int(first[d]) + s, a - int(first[d]) + e) for s, e in hits)
                     found.setdefault(d, set()).update(block.names[k] for k in items)
     for d in range(n):
-        yield int(first[d + 1] - first[d]), merged(spans.get(d, [])), sorted(found.get(d, ()))
+        hit = merged(spans.get(d, []))
+        place = [(int(starts[first[d] + s] - offsets[d]), int(ends[first[d] + e - 1] - offsets[d])) for s, e in hit]
+        yield int(first[d + 1] - first[d]), hit, place, sorted(found.get(d, ()))
 
 
 def cut_runs(starts: np.ndarray, ends: np.ndarray, doc: np.ndarray, shortest: int) -> Iterator[tuple[int, int]]:
@@ -238,8 +241,9 @@ SPANS = "array<struct<start:long,end:long>>"
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                        block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Return doc_id, n_words, spans (hit word ranges, merged), n_hit, items
-    (sorted ids of the items with occurring windows); a row per input row.
+    """Return doc_id, n_words, spans (hit word ranges, merged), byte_spans (the
+    same in bytes of the text), n_hit, items (sorted ids of the items with
+    occurring windows); a row per input row.
 
     Words are the maximal runs of ASCII digits, letters (A-Z lower-cased) and
     non-ASCII characters. A window is ``window`` consecutive words of an item,
@@ -258,6 +262,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ast
 
+        span_list = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         blocks = [Block(b, window) for b in ast.literal_eval(zlib.decompress(packed.value).decode())]
         for batch in batches:
             ids = A.column(batch, "doc_id")
@@ -265,18 +270,54 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
                 out = list(scan_slice(data, offsets, blocks))
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(a, b - a), pa.array([x[0] for x in out], pa.int64()),
-                    pa.array([[{"start": s, "end": e} for s, e in x[1]] for x in out],
-                             pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                    *(pa.array([[{"start": s, "end": e} for s, e in x[k]] for x in out], span_list) for k in (1, 2)),
                     pa.array([sum(e - s for s, e in x[1]) for x in out], pa.int64()),
-                    pa.array([x[2] for x in out], pa.list_(pa.string()))],
-                    names=["doc_id", "n_words", "spans", "n_hit", "items"])
+                    pa.array([x[3] for x in out], pa.list_(pa.string()))],
+                    names=["doc_id", "n_words", "spans", "byte_spans", "n_hit", "items"])
 
     base = id_text(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()
     return base.mapInArrow(
-        scan, f"doc_id {kind}, n_words long, spans {SPANS}, n_hit long, items array<string>")
+        scan, f"doc_id {kind}, n_words long, spans {SPANS}, byte_spans {SPANS}, n_hit long, items array<string>")
 
 
 def is_contaminated(n_hit: Column, n_words: Column, parts: int = 20) -> Column:
     """Some word is hit, and at least one word in ``parts`` (exact integers)."""
     return (n_hit > 0) & (F.lit(parts) * n_hit >= n_words)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      parts: int = 20, **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose documents are not
+    contaminated (``is_contaminated``). Rows that repeat an id stay or go
+    together; rows with a null id stay."""
+    found = find_contamination(docs, items, id_col, text_col, **options)
+    bad = found.where(is_contaminated(F.col("n_hit"), F.col("n_words"), parts)).select(
+        F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(bad, id_col, "left_anti")
+
+
+def cut_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      **options) -> DataFrame:
+    """doc_id, text: every text without the bytes of its hit spans, for use
+    where the rest of a contaminated document is wanted."""
+    found = find_contamination(docs, items, id_col, text_col, **options).where("n_hit > 0")
+    base = id_text(docs, id_col, text_col)
+    joined = base.join(found.select("doc_id", "byte_spans").dropDuplicates(["doc_id"]), "doc_id", "left")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, spans in zip(A.column(batch, "text").to_pylist(), A.column(batch, "byte_spans").to_pylist(),
+                                   strict=True):
+                if spans:
+                    raw, at, kept = text.encode(), 0, []
+                    for span in spans:
+                        kept.append(raw[at:span["start"]])
+                        at = span["end"]
+                    text = b"".join([*kept, raw[at:]]).decode()
+                texts.append(text)
+            yield pa.RecordBatch.from_arrays([A.column(batch, "doc_id"), pa.array(texts, pa.string())],
+                                             names=["doc_id", "text"])
+
+    return joined.mapInArrow(cut, f"doc_id {base.schema['doc_id'].dataType.simpleString()}, text string")

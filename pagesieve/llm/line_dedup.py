@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagesieve.llm.tables import id_text, materialize
+from pagesieve.llm.tables import materialize
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -120,8 +120,10 @@ def descending_batches(lines: DataFrame, batches: int) -> list[Column]:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
-                min_docs: int = MIN_DOCS, batches: int = BATCHES, fan_in: int = FAN_IN) -> DataFrame:
-    """Return doc_id, text (the input), n_lines, n_dropped, kept_text.
+                min_docs: int = MIN_DOCS, batches: int = BATCHES, fan_in: int = FAN_IN,
+                carry: list[str] | None = None) -> DataFrame:
+    """Return doc_id, text (the input), n_lines, n_dropped, kept_text, and
+    ``carry``: a struct of the input columns named in it.
 
     A key of at least ``min_chars`` code points found in at least ``min_docs``
     documents loses all its lines except in the largest document id holding
@@ -130,7 +132,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows with a null id keep all their lines and count for no other row.
     Ids must be integers.
     """
-    base = id_text(docs, id_col, text_col)
+    carried = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("string")
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       carried.alias("carry"))
     lines = materialize(document_lines(base.where(F.col("doc_id").isNotNull()), min_chars).distinct())
     levels, keepers = Levels(fan_in), []
     for part in descending_batches(lines, batches):
@@ -148,6 +152,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     lines_of = text_lines(F.col("text"))
     kept = F.when(F.col("_drops").isNull(), lines_of).otherwise(F.filter(lines_of, stays))
-    return joined.select("doc_id", "text", F.size(lines_of).cast("long").alias("n_lines"), kept.alias("_kept")).select(
-        "doc_id", "text", "n_lines", (F.col("n_lines") - F.size("_kept")).alias("n_dropped"),
-        F.array_join("_kept", "\n").alias("kept_text"))
+    counted = joined.select("doc_id", "text", "carry", F.size(lines_of).cast("long").alias("n_lines"),
+                            kept.alias("_kept"))
+    return counted.select("doc_id", "text", "n_lines", (F.col("n_lines") - F.size("_kept")).alias("n_dropped"),
+                          F.array_join("_kept", "\n").alias("kept_text"), *(["carry"] if carry else []))

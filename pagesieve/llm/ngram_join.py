@@ -337,3 +337,13 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "n_shingles", "a", "b", F.coalesce("component", "rep").alias("component"))
     return points.select("doc_id", "n_shingles", "a", "b").join(named, ["n_shingles", "a", "b"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are the smallest id
+    of their component. Rows that repeat an id stay or go together; rows with a
+    null id stay."""
+    found = similar_components(docs, id_col, text_col, threshold)
+    copies = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(copies, id_col, "left_anti")

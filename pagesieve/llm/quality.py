@@ -248,6 +248,15 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(folds))
 
 
+def training_rows(stats: DataFrame, labels: DataFrame, label_id_col: str, label_col: str, folds: int,
+                  held_out: int, calibration: int) -> DataFrame:
+    """Labelled statistics that may be learned from: stats, label, calibrate."""
+    own = labels.select(F.col(label_id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
+        F.col("label").isin(0, 1) & (fold(F.col("doc_id"), folds) != held_out))
+    return stats.join(own, "doc_id").select(
+        "stats", F.col("label").cast("double"), (fold(F.col("doc_id"), folds) == calibration).alias("calibrate"))
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_id_col: str = "doc_id", label_col: str = "quality", folds: int = 5,
                     held_out: int = 0, calibration: int = 1) -> DataFrame:
@@ -256,14 +265,29 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     Documents whose crc32(id) mod ``folds`` is ``held_out`` are never learned
     from; those with ``calibration`` calibrate; the others fit the ridge. Null
     labels and ids are not learned from; a document labelled more than once
-    counts once per label. Null ids are never held out. The statistics of all
-    labelled rows are used, the model's size does not depend on them.
+    counts once per label. Null ids are never held out. All labelled rows are
+    used; the model's size does not depend on them.
     """
     stats = materialize(document_statistics(docs, id_col, text_col))
-    own = labels.select(F.col(label_id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
-        F.col("label").isin(0, 1) & (fold(F.col("doc_id"), folds) != held_out))
-    rows = materialize(stats.join(own, "doc_id").select(
-        "stats", F.col("label").cast("double"), (fold(F.col("doc_id"), folds) == calibration).alias("calibrate")))
+    rows = materialize(training_rows(stats, labels, label_id_col, label_col, folds, held_out, calibration))
     scored = predict(stats, fit(rows))
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"),
                          "score")
+
+
+def keep_good_documents(docs: DataFrame, labels: DataFrame, least: float, id_col: str = "doc_id",
+                        text_col: str = "text", label_id_col: str = "doc_id", label_col: str = "quality",
+                        folds: int = 5, held_out: int = 0, calibration: int = 1) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``least`` or
+    more. The rows are scored where they lie: no shuffle of the texts."""
+    labelled = labels.select(F.col(label_id_col).alias("doc_id")).distinct()
+    stats = document_statistics(docs, id_col, text_col).join(labelled, "doc_id", "left_semi")
+    model = fit(materialize(training_rows(stats, labels, label_id_col, label_col, folds, held_out, calibration)))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in A.slices(A.column(batch, text_col).cast(pa.string())):
+                good = model.score(slice_statistics(data, offsets).astype(np.float32).astype(float)) >= least
+                yield batch.slice(a, b - a).filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)
