@@ -247,11 +247,14 @@ def search_parts(nodes: np.ndarray, part: np.ndarray, comps: np.ndarray, points:
 def open_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame, threshold: tuple[int, int],
                part_size: int = PART) -> DataFrame:
     """Pairs (u, v) of one block, of different components, that pass the bound.
-    ``blocks``: (token, node)."""
-    marked = blocks.join(comps, "node", "left").select("token", "node", F.coalesce("component", "node").alias("comp"))
+    ``blocks``: (token, node, salted); a block of two points was compared
+    before unless it was salted."""
+    marked = blocks.join(comps, "node", "left").select(
+        "token", "node", "salted", F.coalesce("component", "node").alias("comp"))
     marked = materialize(marked)
     mixed = marked.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                        F.count(F.lit(1)).alias("rows")).where("rows > 2 and lo != hi")
+                                        F.count(F.lit(1)).alias("rows"), F.max("salted").alias("salted"))
+    mixed = mixed.where("(rows > 2 or salted) and lo != hi")
     mixed = mixed.select("token", F.ceil(F.col("rows") / part_size).cast("int").alias("parts"))
     rows = marked.join(mixed, "token").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # a block of several parts: a copy of each point for every pair of parts it is in
@@ -323,14 +326,15 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     blocks = route(texts, frequent, threshold).withColumn("lead", F.min(lead).over(window)).withColumn(
         "rows", F.count(F.lit(1)).over(window))
     blocks = blocks.where("rows > 1 or salt >= 0").select(
-        "token", "node", "n", F.col("lead.node").alias("leader"), F.col("lead.n").alias("leader_n"))
+        "token", "node", "n", (F.col("salt") >= 0).alias("salted"), F.col("lead.node").alias("leader"),
+        F.col("lead.n").alias("leader_n"))
     blocks = materialize(blocks)
 
     stars = blocks.where((F.col("node") != F.col("leader")) & size_fits(F.col("n"), F.col("leader_n"), threshold))
     stars = stars.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct()
     links = materialize(verify(materialize(bounded(stars, own, threshold)), texts, threshold))
     comps = connected_components(links)
-    rest = materialize(open_pairs(blocks.select("token", "node").distinct(), own, comps, threshold))
+    rest = materialize(open_pairs(blocks.select("token", "node", "salted").distinct(), own, comps, threshold))
     comps = connected_components(links.unionByName(verify(rest, texts, threshold)))
 
     named = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(

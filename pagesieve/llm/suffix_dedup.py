@@ -134,13 +134,14 @@ def equal_strings(symbols: np.ndarray, begin: np.ndarray, end: np.ndarray, group
         file.write(np.ascontiguousarray(symbols.T).data)
         for column in range(columns - 1, -1, -1):
             file.seek(column * rows)
-            inserted = np.frombuffer(file.read(rows), np.uint8)[order]
+            inside = (begin[order] <= column) & (column < end[order])
+            # rows without a symbol here sort behind all others
+            inserted = np.where(inside, np.frombuffer(file.read(rows), np.uint8)[order], np.uint16(256))
             by_symbol = np.argsort(inserted, kind="stable")
             move = by_symbol[np.argsort(group[order[by_symbol]], kind="stable")]
             new_order = order[move]
             symbol, own = inserted[move], group[new_order]
-            inside = (begin[new_order] <= column) & (column < end[new_order])
-            same = np.flatnonzero((symbol[1:] == symbol[:-1]) & (own[1:] == own[:-1]) & inside[1:] & inside[:-1]) + 1
+            same = np.flatnonzero((symbol[1:] == symbol[:-1]) & (own[1:] == own[:-1]) & (symbol[1:] < 256)) + 1
             new_common = np.zeros(rows + 1, np.int16)
             if len(same):
                 borders = np.column_stack([move[same - 1] + 1, move[same] + 1]).ravel()
