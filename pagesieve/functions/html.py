@@ -27,7 +27,7 @@ ATTRS = r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+"
 TOKEN_RE = (
     r"(?is)<!--.*?(?:-->|\z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\z)"
-    r"|<(script|style|iframe|title|textarea)\b" + ATTRS + r">.*?(?:</\1\s*+>|\z)"
+    r"|<(script|style|iframe|title|textarea)(?=[\s/>])" + ATTRS + r">.*?(?:</\1(?=[\s/>])[^>]*+>|\z)"
     r"|<[a-z/!?]" + ATTRS + r">"
     r"|<[a-z/!?][^>]*+>?"
     r"|(?:[^<]|<(?![a-z/!?]))[^<]*+(?:<(?![a-z/!?])[^<]*+)*+"
@@ -46,6 +46,22 @@ _BIG = 1 << 30
 _REGION_T = "array<struct<s:int,e:int>>"
 
 
+# The attributes before ``class``, each a name with an optional quoted or
+# bare value, then the value of ``class`` as written.
+CLASS_RE = (
+    r"(?is)^<[a-z][^\s/>]*+(?:[\s/]++(?!class[\s=/>])[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"']*+))?+)*+"
+    r"[\s/]++class\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]*+)"
+)
+
+
+def class_value(tag: Column) -> Column:
+    """The class attribute of a tag: a quoted value up to its own quote, an
+    unquoted one up to the next blank."""
+    return let(F.regexp_extract(tag, CLASS_RE, 1), lambda raw: F.when(
+        F.startswith(raw, F.lit('"')) | F.startswith(raw, F.lit("'")),
+        F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw))
+
+
 def tokenize(html) -> Column:
     """array<struct<i, t, kind, name, cls>>; kind: o(pen) c(lose) t(ext) r(cdata) x(ignored)."""
     toks = F.regexp_extract_all(_c(html), F.lit(TOKEN_RE), 0)
@@ -54,14 +70,14 @@ def tokenize(html) -> Column:
         low2 = F.lower(F.substring(t, 1, 12))
         kind = (F.when(~F.startswith(t, F.lit("<")), F.lit("t"))
                 .when(F.startswith(t, F.lit("<!")) | F.startswith(t, F.lit("<?")), F.lit("x"))
-                .when(low2.rlike(r"^<(script|style|iframe)\b"), F.lit("x"))
-                .when(low2.rlike(r"^<(title|textarea)\b"), F.lit("r"))
+                .when(low2.rlike(r"^<(script|style|iframe)([\s/>]|$)"), F.lit("x"))
+                .when(low2.rlike(r"^<(title|textarea)([\s/>]|$)"), F.lit("r"))
                 .when(F.startswith(t, F.lit("</")), F.lit("c"))
                 .when(t.rlike(r"^<[A-Za-z]"), F.lit("o"))
                 .otherwise(F.lit("t")))
         name = F.lower(F.regexp_extract(t, r"^</?([A-Za-z][^\s/>]*)", 1))
-        cls = F.regexp_extract(t, r"(?is)^<[a-z][^>]*?\sclass\s*=\s*[\"']?([^\"'>]*)", 1)
-        return F.struct(i.alias("i"), t.alias("t"), kind.alias("kind"), name.alias("name"), cls.alias("cls"))
+        return F.struct(i.alias("i"), t.alias("t"), kind.alias("kind"), name.alias("name"),
+                        class_value(t).alias("cls"))
 
     return F.transform(toks, describe)
 
@@ -72,7 +88,8 @@ def _regions(toks: Column, starts, first_only: bool = False) -> Column:
     tags nested inside are matched by depth), or earlier where an HTML parser
     closes it implicitly: a <p> at the start of a block element, an <li> at
     the next sibling <li>, any element at the end tag of an enclosing
-    container. An element never closed runs to the end of the page."""
+    container (only containers left open inside it keep that end tag to
+    themselves). An element never closed runs to the end of the page."""
     tags = F.filter(toks, lambda x: (x["kind"] == "o") | (x["kind"] == "c"))
     # Closed regions are recorded as "s:e;" in a string: appending copies
     # bytes, where growing an array inside the fold would copy every element
@@ -100,7 +117,7 @@ def _regions(toks: Column, starts, first_only: bool = False) -> Column:
             idle = idle & (acc["iv"] == "")
         opens = idle & (x["kind"] == "o") & starts(x)
         same = acc["n"].isNotNull() & (x["name"] == acc["n"])
-        other = acc["n"].isNotNull() & (x["name"] != acc["n"]) & ~x["name"].isin(*K.VOID_TAGS)
+        other = acc["n"].isNotNull() & (x["name"] != acc["n"]) & x["name"].isin(*_CONTAINERS)
         depth = (F.when(opens, F.lit(1))
                  .when(same & (x["kind"] == "o"), acc["d"] + 1)
                  .when(same & (x["kind"] == "c"), acc["d"] - 1)
@@ -134,7 +151,7 @@ def _is_removed(x) -> Column:
 
 
 def _rc_text(t: Column) -> Column:
-    return F.regexp_extract(t, r"(?is)^<[a-z]+\b" + ATTRS + r">(.*?)(?:</[a-z]+\s*>)?$", 1)
+    return F.regexp_extract(t, r"(?is)^<[a-z]+(?=[\s/>])" + ATTRS + r">(.*?)(?:</(?:title|textarea)(?=[\s/>])[^>]*>)?$", 1)
 
 
 def _node_text(x) -> Column:
@@ -180,10 +197,6 @@ def clean_html(html) -> Column:
 # Title
 # --------------------------------------------------------------------------
 
-_TITLE_RE = r"(?is)<title\b" + ATTRS + r">(.*?)(?:</title\s*>|\z)"
-_H1_RE = r"(?is)<h1\b" + ATTRS + r">(.*?)(?:</h1\s*>|\z)"
-_OG_TAG_RE = (r"(?s)(<(?i:meta)\b[^>]*\s(?i:property)\s*=\s*"
-              r"(?:\"og:title\"|'og:title'|og:title(?=[\s/>]))[^>]*>)")
 _CONTENT_ATTR_RE = r"(?is)\scontent\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
 # Path of a URL as urlparse sees it: optional scheme, optional //netloc,
 # then everything up to '?' or '#'; ';params' of the last segment dropped.

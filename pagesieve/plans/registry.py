@@ -471,6 +471,13 @@ def q_strip_ad_blocks(spark, sf):
     return CV.clean_pages(DV.ad_class_pages(pages(spark, sf)))
 
 
+@register("awkward_markup", f"""
+SELECT page_id, {S.clean_html("regexp_replace(html, '(?i)<article>', '<article><p>guide</p><p>kept</p>', 'g')")} AS text
+FROM pages""")
+def q_awkward_markup(spark, sf):
+    return CV.clean_pages(DV.awkward_pages(pages(spark, sf)))
+
+
 @register("normalize_documents", f"""
 SELECT doc_id, {S.normalize_ws("replace(text, '. ', '.  ' || chr(9) || '   ' || chr(10) || chr(10) || chr(10) || chr(10) || ' ')")}
   AS text FROM documents""")

@@ -93,6 +93,16 @@ def ad_class_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", h.alias("html"))
 
 
+def awkward_pages(pages: DataFrame) -> DataFrame:
+    """Every page with an element whose name begins like a raw-text element,
+    an unquoted class before another attribute, and an ad class behind a
+    quoted value that holds a tag end, at the start of the article."""
+    h = F.regexp_replace(F.col("html"), r"(?i)<article>",
+                         '<article><style-guide>guide</style-guide><div class=foo data-x=ads>kept</div>'
+                         '<div title=">" class="ads">gone</div>')
+    return pages.select("page_id", "url", h.alias("html"))
+
+
 def second_crawl(pages: DataFrame) -> DataFrame:
     """A later crawl of the same pages: pages under /en/ changed, others not."""
     changed = F.contains(F.col("url"), F.lit("/en/"))

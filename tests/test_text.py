@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pagesieve.functions import html as H
 from pagesieve.functions.html import clean_html, main_content_text, title_parts, url_basename_title
 from pagesieve.functions.text import decode_entities, normalize_ws, py_title_case
 
@@ -144,3 +145,25 @@ def test_clean_matches_stdlib_parser_on_pages(spark):
     rows = df.select("html", clean_html("html").alias("t")).collect()
     assert len(rows) == 250
     assert all(r.t == ref(r.html) for r in rows)
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ("<p>a</p><style-guide>b</style-guide><p>c</p>", "a\nb\nc"),
+    ("<title-bar>t</title-bar><p>c</p>", "t\nc"),
+    ("<div class=foo data-x=ads>keep</div>", "keep"),
+    ('<div title=">" class="ads">gone</div>', ""),
+    ("<div class=\"it's ads\">gone</div>", ""),
+    ('<div><span class="ads">x<p>y</div><p>z</p>', "z"),
+    ("<div data-class=ads>keep</div>", "keep"),
+    ("<p " + "a=b " * 3000 + "class=ads>gone</p>keep", "keep"),
+])
+def test_markup_as_a_parser_reads_it(spark, html, text):
+    df = spark.createDataFrame([(html,)], "h string")
+    assert df.select(H.clean_html("h")).first()[0] == text
+
+
+def test_title_and_main_content_with_awkward_markup(spark):
+    df = spark.createDataFrame([("<title-bar>nav</title-bar><h1>Real</h1>",
+                                 "<div class=a id=content>m</div><p>x</p>")], "t string, m string")
+    got = df.select(H.extract_title("t", F.lit("")), H.main_content_text("m")).first()
+    assert tuple(got) == ("Real", "m\nx")
