@@ -41,8 +41,10 @@ def main(argv=None) -> int:
     spark = SparkSession.builder.appName("pagesieve").getOrCreate()
     ensure_checkpoint_dir(spark)
     pages = read_items(spark, a.pages, a.format)
-    # items without an id get one from their position in the scan (stable for a file scan)
-    pages = pages.withColumn("page_id", F.coalesce("page_id", F.monotonically_increasing_id()))
+    # items without an id get one above all given ids, from their position in the scan (stable for a file scan)
+    above = pages.agg(F.max("page_id")).first()[0]
+    start = 0 if above is None else above + 1
+    pages = pages.withColumn("page_id", F.coalesce("page_id", F.lit(start) + F.monotonically_increasing_id()))
     targets = targets_from_pages(pages)
     selected = select_sources(targets, a.budget, a.top_n)
     items = cap_pages(pages.withColumn("target", host_of("url")), a.max_pages).withColumn("rank", F.lit(1))

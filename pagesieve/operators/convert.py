@@ -157,17 +157,18 @@ def build_documents(df: DataFrame, as_of, include_metadata: bool = True,
 
 def convert_pages(df: DataFrame, as_of, url_field: str = "url", html_field: str = "html",
                   ordinal: str = "page_id", include_metadata: bool = True,
-                  corpus: Column | str | None = None, keep=()) -> DataFrame:
+                  corpus: Column | str | None = None, keep=(), partitions: int | None = None) -> DataFrame:
     """Scraped items -> documents.
 
     ``ordinal`` is the item's position in its scraped dataset (gaps are kept
-    for skipped items). Output: ordinal, corpus, doc_name, url, title,
+    for skipped items). The corpus is that of the item's own URL, so an item
+    without one goes to the corpus of pages without a host. Output: ordinal, corpus, doc_name, url, title,
     title_source, content_field, text, document, n_chars, n_bytes.
     """
-    base = spread(df, ordinal)
+    base = spread(df, ordinal, partitions)
     r = with_default_url(resolve_content(base, url_field, html_field), ordinal)
     r = r.filter(F.col("content").isNotNull())
-    corpus_col = (host_of(F.col("url")) if corpus is None
+    corpus_col = (host_of(F.col("_url")) if corpus is None
                   else (F.col(corpus) if isinstance(corpus, str) else corpus))
     r = r.select(F.col(ordinal), corpus_col.alias("corpus"), "url", "content", "content_field", *keep)
     r = _page_columns(r, "content", "url")
@@ -178,6 +179,15 @@ def convert_pages(df: DataFrame, as_of, url_field: str = "url", html_field: str
                     F.octet_length("document").cast("long").alias("n_bytes"))
 
 
+def document_sizes(df: DataFrame, as_of, ordinal: str = "page_id", keep=()) -> DataFrame:
+    """(keep..., n_bytes) for every item, skipped ones included: the size of
+    the item's document, null when it has no content."""
+    r = with_default_url(resolve_content(spread(df, ordinal)), ordinal)
+    r = _page_columns(r.select(ordinal, "url", "content", *keep), "content", "url")
+    return build_documents(r, as_of).select(*keep, F.when(
+        F.col("content").isNotNull(), F.octet_length("document")).cast("long").alias("n_bytes"))
+
+
 def cap_pages(df: DataFrame, max_pages: int = K.DEFAULT_MAX_PAGES, target: str = "target",
               order: str = "page_id") -> DataFrame:
     """At most ``max_pages`` items per target, lowest ``order`` first. The

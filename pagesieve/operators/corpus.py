@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from pagesieve import constants as K
 from pagesieve.operators.convert import as_of_iso
+from pagesieve.session import materialize
+from pagesieve.sources.tables import NO_HOST
 
 
 def _dec(x: float, scale: int = 6) -> Column:
@@ -45,6 +47,11 @@ def indexing_cost_bytes(docs: DataFrame, text_col: str = "text", by=()) -> DataF
                         F.round(F.col("estimated_tokens") / 1e6 * K.INDEXING_PRICE_PER_MILLION_TOKENS, 4)))
 
 
+def page_charge_exact(pages_col: Column) -> Column:
+    """start fee + pages * price, unrounded, in doubles."""
+    return F.lit(K.START_FEE) + pages_col.cast("double") * F.lit(K.PRICE_PER_PAGE)
+
+
 def page_charge(pages_col: Column, discount: Column | None = None, decimals: int = 2) -> Column:
     """round(start fee + pages * price * (1 - discount), decimals) in exact decimals."""
     price = _dec(K.PRICE_PER_PAGE)
@@ -57,7 +64,8 @@ def page_pricing(counts: DataFrame, pages_col: str = "pages_processed") -> DataF
     """Per-page charge; counts every scraped row, skipped ones included."""
     return (counts.withColumn("price_per_page", F.lit(K.PRICE_PER_PAGE))
             .withColumn("start_fee", F.lit(K.START_FEE))
-            .withColumn("estimated_total", page_charge(F.col(pages_col))))
+            .withColumn("estimated_total", page_charge(F.col(pages_col)))
+            .withColumn("estimated_total_unrounded", page_charge_exact(F.col(pages_col))))
 
 
 def tier_pricing(counts: DataFrame, pages_col: str = "pages_processed") -> DataFrame:
@@ -119,83 +127,110 @@ def drop_corpora(df: DataFrame, names: DataFrame, corpus: str = "corpus") -> Dat
     return df.join(names.select(F.col(names.columns[0]).alias(corpus)).distinct(), corpus, "left_anti")
 
 
-MAX_DROP_BY_PATH = 10000
+BUCKETS = 64
+
+
+def corpus_bucket(corpus: str | Column = "corpus") -> Column:
+    """Storage bucket of a corpus: stored corpora are partitioned by it, so
+    the number of folders is fixed, however many corpora there are."""
+    return F.pmod(F.xxhash64(F.col(corpus) if isinstance(corpus, str) else corpus), F.lit(BUCKETS)).cast("int")
 
 
-def drop_corpora_on_disk(spark, path: str, names: DataFrame, partition_col: str = "corpus") -> int:
-    """Remove stored corpora: delete their ``corpus=<name>`` partition
-    folders (a metadata operation, like DROP PARTITION; no data is read).
-    The name list is bounded by ``MAX_DROP_BY_PATH``; a longer list is
-    applied as an anti join and a rewrite of the table into ``path + '.next'``.
-    Returns the number of corpora removed."""
-    col = names.columns[0]
-    small = names.select(F.col(col).alias("n")).distinct().limit(MAX_DROP_BY_PATH + 1).collect()
-    if len(small) > MAX_DROP_BY_PATH:
-        kept = drop_corpora(spark.read.parquet(path), names, partition_col)
-        kept.write.mode("overwrite").partitionBy(partition_col).parquet(path + ".next")
-        return -1
+def drop_corpora_on_disk(spark, path: str, names: DataFrame, corpus: str = "corpus") -> int:
+    """Remove stored corpora: the buckets that hold any of them are rewritten
+    without them (an anti join, so the list may have any length); other
+    buckets are not read. Returns the number of corpora removed."""
+    stored = spark.read.parquet(path)
+    named = names.select(F.col(names.columns[0]).alias(corpus)).distinct()
+    hit = named.join(stored.select(corpus).distinct(), corpus, "left_semi")
+    hit = materialize(hit.withColumn("bucket", corpus_bucket(corpus)))
+    removed = hit.count()
+    if not removed:
+        return 0
+    buckets = [r[0] for r in hit.select("bucket").distinct().collect()]  # BUCKETS at most
+    rest = materialize(stored.where(F.col("bucket").isin(buckets)).join(hit.select(corpus), corpus, "left_anti"))
+    left = {r[0] for r in rest.select("bucket").distinct().collect()}
+    (rest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    removed = 0
-    for row in small:
-        part = jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={escape(str(row.n))}")
-        if fs.exists(part) and fs.delete(part, True):
-            removed += 1
+    for bucket in buckets:
+        if bucket not in left:  # an overwrite leaves a bucket alone that got no rows
+            fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"bucket={bucket}"), True)
     return removed
 
 
-def first_files(docs: DataFrame, by: str = "corpus", order: str = "page_id", name: str = "doc_name",
-                n: int = K.MANIFEST_FIRST_FILES) -> DataFrame:
-    """First n file names per corpus. The row_number filter becomes a
-    WindowGroupLimit (trimmed per task before the shuffle), so only n rows
-    per task and corpus reach the collect."""
+def first_files(docs: DataFrame, as_of, by: str = "corpus", order: str = "page_id", name: str = "doc_name",
+                text_col: str = "document", n: int = K.MANIFEST_FIRST_FILES) -> DataFrame:
+    """First n file records per corpus: name, path, size, imported_at. The
+    row_number filter becomes a WindowGroupLimit (trimmed per task before the
+    shuffle), so only n rows per task and corpus reach the collect."""
     w = Window.partitionBy(by).orderBy(order)
-    top = docs.select(by, order, name).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-    return top.groupBy(by).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"),
-                                                                      F.col(name).alias("n")))),
-                                 lambda s: s["n"]), ",").alias("first_files"))
+    path = F.concat(F.col(by), F.lit("/"), F.col(name))
+    size = F.octet_length(F.col(text_col)).cast("long")
+    top = docs.select(by, order, F.col(name).alias("name"), path.alias("path"), size.alias("size"))
+    top = top.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+    record = F.struct(F.col(order).alias("o"), F.struct("name", "path", "size", as_of_iso(as_of).alias("imported_at"))
+                      .alias("file"))
+    return top.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(record)), lambda s: s["file"])
+                               .alias("uploaded_files"))
 
 
 def corpus_summary(docs: DataFrame, as_of, by: str = "corpus", text_col: str = "document",
                    order: str = "page_id", name: str = "doc_name") -> DataFrame:
-    """Corpus metadata: files, bytes, tokens, cost, MB, constants, first files."""
+    """Corpus metadata: store, files, bytes, tokens, cost, MB, constants, the
+    first file records. Rows whose corpus is null are one corpus."""
+    docs = docs.withColumn(by, F.coalesce(F.col(by), F.lit(NO_HOST)))
     cost = indexing_cost_bytes(docs, text_col, by=[by])
-    firsts = first_files(docs, by, order, name)
+    firsts = first_files(docs, as_of, by, order, name, text_col)
     return (cost.join(firsts, by).select(
+        F.concat(F.lit("stores/"), F.col(by)).alias("store_name"),
         F.col(by).alias("corpus_name"), F.col("files").alias("files_indexed"),
         F.lit(K.STORAGE_TYPE).alias("storage_type"), F.lit(K.STORAGE_PERSISTENCE).alias("storage_persistence"),
         F.lit(True).alias("globally_accessible"), as_of_iso(as_of).alias("created_at"),
         "total_size_bytes", "estimated_tokens", "cost_estimate_usd",
-        F.round(F.col("total_size_bytes") / 1024 / 1024, 2).alias("total_size_mb"), "first_files"))
+        F.round(F.col("total_size_bytes") / 1024 / 1024, 2).alias("total_size_mb"), "uploaded_files"))
 
 
 def append_new_pages(existing: DataFrame, incoming: DataFrame, url: str = "url",
-                     content: str = "content") -> DataFrame:
+                     content: str = "content", order: str = "page_id") -> DataFrame:
     """Incoming rows not yet in the corpus by (url, sha256(content)): an
-    unchanged page is skipped, a changed one is added. Only the two key
-    columns of the existing corpus are read and shuffled."""
-    inc = incoming.withColumn("content_sha256", content_hash(content)).dropDuplicates([url, "content_sha256"])
+    unchanged page is skipped, a changed one is added. Of equal rows the one
+    with the smallest ``order`` is added, if there is such a column. A null
+    URL equals a null URL. Only the two key columns of the existing corpus are
+    read and shuffled."""
+    inc = incoming.withColumn("content_sha256", content_hash(content))
+    if order in inc.columns:
+        w = Window.partitionBy(url, "content_sha256").orderBy(order)
+        inc = inc.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    else:
+        inc = inc.dropDuplicates([url, "content_sha256"])
     ex = existing if "content_sha256" in existing.columns else existing.withColumn("content_sha256", content_hash(content))
-    return inc.join(ex.select(url, "content_sha256"), [url, "content_sha256"], "left_anti")
+    ex = ex.select(F.col(url).alias("_url"), F.col("content_sha256").alias("_sha"))
+    return inc.join(ex, inc[url].eqNullSafe(ex["_url"]) & inc["content_sha256"].eqNullSafe(ex["_sha"]), "left_anti")
 
 
 def write_corpus(docs: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
-                 partition_by: str = "corpus") -> None:
-    """Write documents partitioned by corpus (dynamic partition overwrite
-    replaces only the corpora present when mode='overwrite'). The rebalance
-    hint lets AQE size the write tasks by corpus: a hot corpus is split over
-    several tasks and small ones are packed together, so each task writes a
-    few reasonably sized files instead of one small file per corpus."""
-    (docs.hint("rebalance", partition_by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_by).format(fmt).save(path))
+                 corpus: str = "corpus") -> None:
+    """Write documents partitioned by their corpus's bucket. The rebalance
+    hint lets AQE size the write tasks: a hot bucket is split over several
+    tasks and small ones are packed together."""
+    (docs.withColumn("bucket", corpus_bucket(corpus)).hint("rebalance", "bucket").write.mode(mode)
+     .partitionBy("bucket").format(fmt).save(path))
+
+
+#: ends a record of the text sink; documents themselves hold newlines
+RECORD_END = "\x1e"
 
 
 def write_text_files(docs: DataFrame, path: str, column: str = "document") -> None:
-    """One text record per document (the plain-text sink)."""
-    docs.select(column).write.mode("overwrite").text(path)
+    """The plain-text sink: a record per document, ended by ``RECORD_END``."""
+    docs.select(column).write.mode("overwrite").option("lineSep", RECORD_END).text(path)
+
+
+def read_text_files(spark, path: str, column: str = "document") -> DataFrame:
+    """The documents of the plain-text sink."""
+    return spark.read.option("lineSep", RECORD_END).text(path).withColumnRenamed("value", column)
 
 
 def run_record(targets: DataFrame, as_of, corpus_name: str | None = None) -> DataFrame:

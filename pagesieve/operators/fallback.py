@@ -8,7 +8,7 @@ on (target, rank).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALL_FAILED = "All scrapers failed"
@@ -22,12 +22,15 @@ def attempt_error(status: str = "status", n_items: str = "n_items", error: str =
             .when(F.col(n_items) == 0, F.concat(F.lit("No data returned from "), F.col(source_id))))
 
 
+def succeeded() -> Column:
+    return (F.col("status") == "ok") & (F.col("n_items") > 0)
+
+
 def winners(attempts: DataFrame) -> DataFrame:
-    """(target, rank, source_id) of the first successful attempt."""
-    ok = (F.col("status") == "ok") & (F.col("n_items") > 0)
-    best = attempts.groupBy("target").agg(F.min(F.when(ok, F.col("rank"))).alias("rank"))
-    return (best.filter(F.col("rank").isNotNull())
-            .join(attempts.select("target", "rank", "source_id"), ["target", "rank"]))
+    """(target, rank, source_id) of the first successful attempt, by one
+    aggregate."""
+    best = attempts.groupBy("target").agg(F.min(F.when(succeeded(), F.struct("rank", "source_id"))).alias("best"))
+    return best.filter(F.col("best").isNotNull()).select("target", "best.rank", "best.source_id")
 
 
 def first_successful_source(attempts: DataFrame, items: DataFrame) -> DataFrame:
@@ -37,9 +40,8 @@ def first_successful_source(attempts: DataFrame, items: DataFrame) -> DataFrame:
 
 def source_failures(attempts: DataFrame) -> DataFrame:
     """Targets where every attempt failed or returned nothing: (target, attempts, error)."""
-    ok = (F.col("status") == "ok") & (F.col("n_items") > 0)
     agg = attempts.groupBy("target").agg(
-        F.count_if(ok).alias("_ok"), F.count(F.lit(1)).alias("attempts"),
+        F.count_if(succeeded()).alias("_ok"), F.count(F.lit(1)).alias("attempts"),
         F.max_by(attempt_error(), F.col("rank")).alias("error"))
     return (agg.filter(F.col("_ok") == 0)
             .select("target", "attempts", F.coalesce("error", F.lit(ALL_FAILED)).alias("error")))
@@ -47,16 +49,25 @@ def source_failures(attempts: DataFrame) -> DataFrame:
 
 def target_status(targets: DataFrame, selected: DataFrame, attempts: DataFrame,
                   items: DataFrame, content_col: str = "html") -> DataFrame:
-    """ok / no_source / all_failed / no_content for every target."""
-    has_source = selected.groupBy("target").agg(F.count(F.lit(1)).alias("n_sources"))
-    won = winners(attempts)
-    content = (items.join(won.select("target", "rank"), ["target", "rank"])
-               .groupBy("target").agg(F.count_if(F.length(F.col(content_col)) > 0).alias("n_content")))
-    t = (targets.join(has_source, "target", "left").join(won.select("target", F.lit(True).alias("_won")),
-                                                         "target", "left")
-         .join(content, "target", "left"))
-    status = (F.when(F.coalesce("n_sources", F.lit(0)) == 0, F.lit("no_source"))
-              .when(F.col("_won").isNull(), F.lit("all_failed"))
-              .when(F.coalesce("n_content", F.lit(0)) == 0, F.lit("no_content"))
+    """ok / no_source / all_failed / no_content for every target, by one
+    aggregate over the rows of all four tables."""
+    no_rank, no = F.lit(None).cast("int").alias("rank"), F.lit(False)
+
+    def rows(df, rank, known=no, source=no, won=no, content=no):
+        return df.select("target", rank, known.alias("known"), source.alias("source"), won.alias("won"),
+                         content.alias("content"))
+
+    yes, rank = F.lit(True), F.col("rank").cast("int").alias("rank")
+    # a row per (target, rank) of items at most: what an aggregate must remember is bounded by the ranks
+    with_content = items.filter(F.length(F.col(content_col)) > 0).select("target", "rank").distinct()
+    everything = rows(targets, no_rank, known=yes).unionAll(rows(selected, no_rank, source=yes)).unionAll(
+        rows(attempts.filter(succeeded()), rank, won=yes)).unionAll(rows(with_content, rank, content=yes))
+    found = everything.groupBy("target").agg(
+        F.bool_or("known").alias("known"), F.bool_or("source").alias("source"),
+        F.min(F.when(F.col("won"), F.col("rank"))).alias("rank"),
+        F.collect_set(F.when(F.col("content"), F.col("rank"))).alias("ranks"))
+    status = (F.when(~F.col("source"), F.lit("no_source"))
+              .when(F.col("rank").isNull(), F.lit("all_failed"))
+              .when(~F.array_contains("ranks", F.col("rank")), F.lit("no_content"))
               .otherwise(F.lit("ok")))
-    return t.select("target", status.alias("status"))
+    return found.filter("known").select("target", status.alias("status"))

@@ -2,18 +2,17 @@
 
 ``row_number() over (partition by g order by k)`` sends a whole group to one
 task; if one group holds a third of all rows, that task holds a third of the
-data. Here the integral order key is cut into fixed-width value buckets:
-
-  * the window runs per (group, bucket), so no window partition holds more
-    than ``bucket_width`` rows (keys are unique within a group), however hot
-    the group;
-  * a combinable count per (group, bucket) plus a running sum over that small
-    table gives each bucket's offset within its group;
-  * position = offset of the bucket + row number inside the bucket.
-
-Everything is deterministic (no sampling), so a recomputed task after an
-executor loss gives the same numbers. Only the two key columns are shuffled;
-the result is joined back on them.
+data. Here the order key is cut at quantiles of the whole table into ranges of
+about equal size, whatever the values (dense, sparse or hashed ids):
+
+  * the window runs per (group, range), so no window partition holds more than
+    about one range, however hot the group;
+  * a combinable count per (group, range) plus a running sum over that small
+    table (at most ``ranges`` rows a group) gives each range's offset;
+  * position = offset of the range + row number inside the range.
+
+Rows with a null order key come last. Equal keys are ordered by a hash of the
+row, so every row has a position of its own and none is lost.
 """
 
 from __future__ import annotations
@@ -22,25 +21,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BUCKET_WIDTH = 1 << 16
+DEFAULT_RANGES = 256
+
+
+def order_cuts(df: DataFrame, order: str, ranges: int) -> list[int]:
+    """Up to ``ranges`` - 1 distinct cut points of the order key."""
+    shares = [i / ranges for i in range(1, ranges)]
+    found = df.agg(F.percentile_approx(order, shares, 100 * ranges)).first()[0] if shares else []
+    return sorted(set(found or []))
 
 
 def position_within(df: DataFrame, group: str, order: str, out: str = "position",
-                    bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                    ranges: int = DEFAULT_RANGES) -> DataFrame:
     """Add ``out`` = 0-based rank of ``order`` within ``group``. ``order``
-    must be an integral column, unique within a group."""
+    must be an integral column."""
     dtype = df.schema[order].dataType
     if not isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         raise TypeError(f"position_within needs an integral order column, got {dtype}")
-    keys = df.select(group, order, F.floor(F.col(order) / F.lit(bucket_width)).alias("_b"))
-    counts = keys.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    cuts = order_cuts(df, order, ranges)
+    k = F.col(order).cast("long")
+    literal = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
+    part = F.when(k.isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(F.filter(literal, lambda c: c < k)))
+    keyed = df.withColumn("_b", part)
+    counts = keyed.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(group, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = keys.withColumn("_r", F.row_number().over(Window.partitionBy(group, "_b").orderBy(order)) - 1)
-    k, o = local.alias("k"), offsets.alias("o")
-    positions = k.join(o, F.col(f"k.{group}").eqNullSafe(F.col(f"o.{group}")) & (F.col("k._b") == F.col("o._b"))
-                       ).select(F.col(f"k.{group}").alias(group), F.col(f"k.{order}").alias(order),
-                                (F.col("o._off") + F.col("k._r")).cast("long").alias(out))
-    d, p = df.alias("d"), positions.alias("p")
-    return d.join(p, F.col(f"d.{group}").eqNullSafe(F.col(f"p.{group}"))
-                  & (F.col(f"d.{order}") == F.col(f"p.{order}"))).select("d.*", F.col(f"p.{out}"))
+    offsets = counts.select(F.col(group).alias("_g"), F.col("_b").alias("_ob"),
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(group, "_b").orderBy(F.col(order).asc_nulls_last(), F.xxhash64(*df.columns))
+    ranked = keyed.withColumn("_r", F.row_number().over(inside) - 1)
+    joined = ranked.join(offsets, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_b") == F.col("_ob")))
+    return joined.select(*df.columns, (F.col("_off") + F.col("_r")).cast("long").alias(out))

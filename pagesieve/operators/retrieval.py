@@ -2,24 +2,29 @@
 
 Plan shape (BM25):
   corpus -> terms counted inside each document's row (sorted terms -> run
-  lengths) -> explode -> postings; no (doc, term) shuffle. Postings are
-  written once as a table (they feed statistics, frequencies and scoring).
+  lengths) -> explode -> postings; no (doc, term) shuffle. Every document also
+  gets one row without a term, so the index alone knows the number of documents
+  and their lengths. An index can be stored and searched again.
   questions -> distinct (question, term): small, broadcast by the planner's
   size check (sort-merge beyond it)
-  postings restricted to the question vocabulary -> document frequencies
+  postings of the question terms only -> written once; they feed document
+  frequencies and scores
   postings x question terms (equi-join on term) -> partial sums per
   (question, doc) -> score -> top-k per question (WindowGroupLimit trims
   each task's rows before the shuffle)
 Frequent terms never gather in one task: the term join is map-side when the
-question side is broadcast, and all later keys are (question, doc). For big
-question batches an exact MaxScore-style plan limits the work to documents
-holding a rare question term (see ``bm25_search``).
+question side is broadcast, and all later keys are (question, doc).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pagesieve import constants as K
 from pagesieve.functions.text import let
@@ -74,100 +79,54 @@ def term_stats(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
-def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qkey: str, qtext: str,
-                k: int = 5, k1: float = K.BM25_K1, b: float = K.BM25_B, decimals: int = 6,
-                checkpoint: bool = True, prune: bool | None = None, rare_fraction: float = 0.2,
-                prune_above_rows: int = 1_000_000_000, corpora=None, corpus_col: str = "corpus") -> DataFrame:
-    """Top ``k`` documents per question by BM25 (idf = ln(1 + (N-df+0.5)/(df+0.5))),
-    score rounded to ``decimals`` before ranking, ties broken by the keys.
-    Output: qkey, rank, keys..., score.
-
-    The direct plan joins every posting of every question term (at most
-    question terms x documents rows). When that bound exceeds
-    ``prune_above_rows`` (or ``prune=True``) an exact MaxScore-style plan is
-    used: terms in at most ``rare_fraction`` of the documents are "rare";
-    only documents holding a rare question term are candidates; a candidate
-    scores at most its rare-term score plus U = the sum, over the question's
-    common terms, of each term's largest contribution in any document.
-    Candidates that can still reach the k-th best lower bound are scored
-    exactly (their common-term postings are fetched by a semi join on the
-    candidate documents). A question is answered from the candidates when U
-    is below its k-th exact score by more than the rounding step (a document
-    without a rare term scores at most U); every other question falls back
-    to the direct join. ``corpora`` restricts the search to the named
-    corpora (column ``corpus_col``), as a question asked of chosen stores.
-    """
+def search_index(corpus: DataFrame, keys, text_col: str) -> DataFrame:
+    """An index that ``search`` can use, now or from storage: the postings, and
+    per document a row with a null term, zero tf and its length."""
+    keys = list(keys)
+    tok = corpus.select(*keys, terms(text_col).alias("_t"))
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf")))
+    ex = tok.select(*keys, F.size("_t").alias("doc_len"),
+                    F.explode(F.concat(mark, term_frequencies(F.col("_t")))).alias("_p"))
+    return ex.select(*keys, F.col("_p.term").alias("term"), F.col("_p.tf").alias("tf"), "doc_len")
+
+
+def search(index: DataFrame, keys, questions: DataFrame, qkey: str, qtext: str, k: int = 5, k1: float = K.BM25_K1,
+           b: float = K.BM25_B, decimals: int = 6, checkpoint: bool = True) -> DataFrame:
+    """Top ``k`` documents per question by BM25 (idf = ln(1 + (N-df+0.5)/(df+0.5)))
+    over a ``search_index``, score rounded to ``decimals`` before ranking, ties
+    broken by the keys. Output: qkey, rank, keys..., score."""
     keys = list(keys)
-    source = restrict_to_corpora(corpus, corpora, corpus_col).select(*keys, text_col)
-    corpus = spread(source, keys[0])
-    # The postings feed several branches (corpus statistics, document
-    # frequencies, scoring): tokenize once and checkpoint them.
-    postings = materialize(build_term_index(corpus, keys, text_col)) if checkpoint \
-        else build_term_index(corpus, keys, text_col)
-    # N counts every document (also those without a term); the mean length
-    # is the total term count over N. One scalar subquery each.
-    n_docs = source.select(F.count(F.lit(1))).scalar()
-    total = postings.select(F.sum("tf")).scalar()
-    avgdl = total / n_docs
     qterms = questions.select(qkey, F.explode(F.array_distinct(terms(qtext))).alias("term")).distinct()
-    vocab = qterms.select("term").distinct()
-    # Postings of question terms only.
-    qpost = postings.join(vocab, "term", "left_semi")
+    vocab = qterms.select("term").distinct().unionAll(qterms.sparkSession.sql("SELECT CAST(NULL AS STRING)"))
+    # postings of question terms and the documents' own rows: what is written does not hold the corpus's other terms
+    wanted = vocab.withColumnRenamed("term", "_v")
+    found = index.join(wanted, F.col("term").eqNullSafe(F.col("_v")), "left_semi")
+    found = materialize(found) if checkpoint else found
+    sizes = found.where("term is null")
+    n_docs = sizes.select(F.count(F.lit(1))).scalar()
+    avgdl = sizes.select(F.sum("doc_len")).scalar() / n_docs
+    post = found.where("term is not null")
     idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = qpost.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", "df", idf.alias("idf"))
+    weights = post.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", idf.alias("idf"))
     contrib = (F.col("idf") * F.col("tf") * (k1 + 1)
                / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / avgdl))).alias("w")
+    part = post.join(qterms, "term").join(weights, "term").select(qkey, *keys, contrib)
+    scored = part.groupBy(qkey, *keys).agg(F.round(F.sum("w"), decimals).alias("score"))
+    w = Window.partitionBy(qkey).orderBy(F.desc("score"), *[F.asc(c) for c in keys])
+    return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select(qkey, "rank", *keys, "score"))
 
-    def top_k(scored: DataFrame) -> DataFrame:
-        w = Window.partitionBy(qkey).orderBy(F.desc("score"), *[F.asc(c) for c in keys])
-        return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-                .select(qkey, "rank", *keys, "score"))
-
-    def full(qt: DataFrame) -> DataFrame:
-        part = qpost.join(qt, "term").join(weights.select("term", "idf"), "term").select(qkey, *keys, contrib)
-        return top_k(part.groupBy(qkey, *keys).agg(F.round(F.sum("w"), decimals).alias("score")))
-
-    if prune is None:
-        # Upper bound of the direct join's rows (question terms x documents)
-        # from two counts that need no postings; erring high only selects
-        # the pruned plan, which is exact as well.
-        prune = qterms.count() * source.count() > prune_above_rows
-    if not prune:
-        return full(qterms)
-
-    eps = 2 * 10.0 ** (-decimals)
-    qw = (qterms.join(weights, "term")
-          .withColumn("rare", F.col("df") <= F.greatest(F.lit(float(k)), n_docs * rare_fraction)))
-    # Largest contribution of each question term in any document (one
-    # combinable max per term over the postings).
-    term_max = (qpost.join(weights.select("term", "idf"), "term").select("term", contrib)
-                .groupBy("term").agg(F.max("w").alias("wmax")))
-    bound = (qw.join(term_max, "term").groupBy(qkey)
-             .agg(F.sum(F.when(~F.col("rare"), F.col("wmax")).otherwise(0.0)).alias("u_common")))
-    # Pass 1: rare-term scores (lower bounds) of the candidate documents.
-    lower = (qpost.join(qw.filter("rare").select(qkey, "term", "idf"), "term").select(qkey, *keys, contrib)
-             .groupBy(qkey, *keys).agg(F.sum("w").alias("lb")))
-    kth_lower = (lower.withColumn("_r", F.row_number().over(Window.partitionBy(qkey).orderBy(F.desc("lb"))))
-                 .filter(F.col("_r") == k).select(qkey, F.col("lb").alias("theta_lb")))
-    cand = (lower.join(bound, qkey).join(kth_lower, qkey, "left")
-            .filter(F.col("theta_lb").isNull() | (F.col("lb") + F.col("u_common") >= F.col("theta_lb") - eps))
-            .select(qkey, *keys, "lb"))
-    # Pass 2: exact common-term scores of the remaining candidates only.
-    common = (qpost.join(cand.select(*keys).distinct(), keys, "left_semi")
-              .join(qw.filter(~F.col("rare")).select(qkey, "term", "idf"), "term")
-              .join(cand.select(qkey, *keys), [qkey, *keys], "left_semi")
-              .select(qkey, *keys, contrib).groupBy(qkey, *keys).agg(F.sum("w").alias("c")))
-    exact = cand.join(common, [qkey, *keys], "left").select(
-        qkey, *keys, F.round(F.col("lb") + F.coalesce(F.col("c"), F.lit(0.0)), decimals).alias("score"))
-    top = top_k(exact)
-    # Proof per question: documents without a rare term stay below the k-th score.
-    kth = top.filter(F.col("rank") == k).select(qkey, F.col("score").alias("theta"))
-    proof = bound.join(kth, qkey, "left").select(
-        qkey, ((F.col("u_common") == 0) | (F.col("theta").isNotNull()
-                                           & (F.col("u_common") < F.col("theta") - eps))).alias("ok"))
-    answered = top.join(proof.filter("ok").select(qkey), qkey, "left_semi")
-    rest = full(qterms.join(proof.filter(~F.col("ok")).select(qkey), qkey, "left_semi"))
-    return answered.unionByName(rest)
+
+def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qkey: str, qtext: str,
+                k: int = 5, k1: float = K.BM25_K1, b: float = K.BM25_B, decimals: int = 6,
+                checkpoint: bool = True, corpora=None, corpus_col: str = "corpus") -> DataFrame:
+    """``search`` over a corpus without a stored index. ``corpora`` restricts
+    it to the named corpora (column ``corpus_col``), as a question asked of
+    chosen stores."""
+    keys = list(keys)
+    source = restrict_to_corpora(corpus, corpora, corpus_col).select(*keys, text_col)
+    index = search_index(spread(source, keys[0]), keys, text_col)
+    return search(index, keys, questions, qkey, qtext, k, k1, b, decimals, checkpoint)
 
 
 # --------------------------------------------------------------------------
@@ -178,14 +137,6 @@ def _as_double(vec: Column) -> Column:
     return F.transform(vec, lambda x: x.cast("double"))
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-
-
-def _norm(a: Column) -> Column:
-    return F.sqrt(_dot(a, a))
-
-
 def centroids(df: DataFrame, group: str, vec: str) -> DataFrame:
     """Mean vector per group (dimension-wise average)."""
     ex = df.select(group, F.posexplode(_as_double(F.col(vec))).alias("pos", "x"))
@@ -194,41 +145,74 @@ def centroids(df: DataFrame, group: str, vec: str) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]).alias(vec))
 
 
-MAX_INLINE_QUERIES = 4096
+QUERY_BLOCK = 4096
 
 
 def cosine_search(vectors: DataFrame, key: str, vec: str, queries: DataFrame, qkey: str, qvec: str,
-                  k: int = 5, decimals: int = 6, max_inline: int = MAX_INLINE_QUERIES,
+                  k: int = 5, decimals: int = 6, block: int = QUERY_BLOCK,
                   corpora=None, corpus_col: str = "corpus") -> DataFrame:
     """Top ``k`` vectors per query by cosine similarity (rounded, ties by key).
 
-    A bounded query set (checked count <= ``max_inline``) is attached to
-    every vector row as one scalar-subquery array, so each vector is scored
-    against all queries in a single pass with no join. A larger query set is
-    split into blocks of ``max_inline`` and joined on the block id.
+    The queries are taken in blocks of ``block`` vectors, each sent to all
+    tasks, which multiply it with their vectors batch by batch and keep the
+    best ``k`` per query: a task passes on k rows per query, never a row per
+    pair. One query set of any size makes the same plan once per block. Keys
+    must be integers.
     """
+    source = restrict_to_corpora(vectors, corpora, corpus_col).select(
+        F.col(key).cast("long").alias("key"), _as_double(F.col(vec)).alias("v"))
+    spark = vectors.sparkSession
     q = queries.select(F.col(qkey).alias("qid"), _as_double(F.col(qvec)).alias("qv"))
-    q = q.select("qid", "qv", _norm(F.col("qv")).alias("qn"))
-    v = restrict_to_corpora(vectors, corpora, corpus_col).select(F.col(key), _as_double(F.col(vec)).alias("v"))
-    v = v.select(key, "v", _norm(F.col("v")).alias("vn"))
-    n_queries = q.count()
-    if n_queries <= max_inline:
-        qarr = q.select(F.collect_list(F.struct("qid", "qv", "qn"))).scalar()
-        scored = v.select(key, "v", "vn", qarr.alias("qs"))
-    else:
-        n_blocks = (n_queries + max_inline - 1) // max_inline
-        blocks = (q.withColumn("blk", F.pmod(F.xxhash64("qid"), F.lit(n_blocks)))
-                  .groupBy("blk").agg(F.collect_list(F.struct("qid", "qv", "qn")).alias("qs")))
-        v = v.withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<long>")))
-        scored = v.join(blocks, "blk").select(key, "v", "vn", "qs")
-    sims = scored.select(key, F.explode(F.transform(
-        F.col("qs"), lambda s: F.struct(s["qid"].alias("qid"),
-                                        (_dot(s["qv"], F.col("v")) / (s["qn"] * F.col("vn"))).alias("sim")))
-    ).alias("m"))
-    sims = sims.select(F.col("m.qid").alias(qkey), key, F.round(F.col("m.sim"), decimals).alias("score"))
-    w = Window.partitionBy(qkey).orderBy(F.desc("score"), F.asc(key))
-    return sims.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
-        qkey, "rank", key, "score")
+    kind = q.schema["qid"].dataType
+    best, held = [], []
+
+    def add() -> None:
+        if held:
+            best.append(_block_top(source, spark, list(held), kind, k, decimals))
+            held.clear()
+
+    for row in q.toLocalIterator():
+        held.append((row[0], row[1]))
+        if len(held) == block:
+            add()
+    add()
+    if not best:
+        best = [_block_top(source, spark, [], kind, k, decimals)]
+    w = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc("key"))
+    top = reduce(DataFrame.unionAll, best).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return top.select(F.col("qid").alias(qkey), "rank", F.col("key").cast(vectors.schema[key].dataType).alias(key),
+                      "score")
+
+
+def _block_top(source: DataFrame, spark, block: list, kind, k: int, decimals: int) -> DataFrame:
+    """(qid, key, score): per task the best ``k`` vectors of each query of a
+    block."""
+    matrix = np.array([v for _, v in block], float) if block else np.zeros((0, 1))
+    norms = np.sqrt((matrix * matrix).sum(axis=1))
+    shared = spark.sparkContext.broadcast(([q for q, _ in block], matrix / np.where(norms, norms, 1)[:, None]))
+
+    def best(batches):
+        ids, unit = shared.value
+        keys = np.zeros((len(ids), 0), np.int64)
+        scores = np.zeros((len(ids), 0))
+        for batch in batches:
+            if not batch.num_rows or not ids:
+                continue
+            own = batch.column(0).to_numpy(zero_copy_only=False)
+            rows = batch.column(1)
+            v = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+            size = np.sqrt((v * v).sum(axis=1))
+            sims = np.round(unit @ (v / np.where(size, size, 1)[:, None]).T, decimals)
+            scores = np.concatenate([scores, sims], axis=1)
+            keys = np.concatenate([keys, np.broadcast_to(own, sims.shape)], axis=1)
+            order = np.lexsort((keys, -scores), axis=1)[:, :k]
+            scores, keys = np.take_along_axis(scores, order, 1), np.take_along_axis(keys, order, 1)
+        if keys.size:
+            names = pa.array(ids, to_arrow_type(kind)).take(pa.array(np.repeat(np.arange(len(ids)), keys.shape[1])))
+            yield pa.RecordBatch.from_arrays([names, pa.array(keys.ravel()), pa.array(scores.ravel())],
+                                             names=["qid", "key", "score"])
+
+    return source.mapInArrow(best, f"qid {kind.simpleString()}, key long, score double")
 
 
 def citations(hits: DataFrame, docs: DataFrame, keys, cols=("url", "title")) -> DataFrame:

@@ -3,7 +3,7 @@
 Scores depend only on (target type, budget, source), so they are computed on
 a table of at most |types| x |budgets| x |catalogue| rows (75 with the fixed
 catalogue), ranked there, and attached to the targets by an equi-join on
-(target_type, budget) with that small side broadcast. No window runs over the
+(target_type, budget); the planner broadcasts that small side. No window runs over the
 target table and no target is scored twice.
 """
 
@@ -33,10 +33,16 @@ def classify_urls(df: DataFrame, url_col: str = "url") -> DataFrame:
     return df.withColumn("target_type", classify_url(url_col))
 
 
+def targets_from_urls(urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """(target, target_url, target_type): a target per corpus key, named by
+    the smallest URL given for it and classified on that whole URL."""
+    seeds = urls.groupBy(host_of(url_col).alias("target")).agg(F.min(url_col).alias("target_url"))
+    return seeds.withColumn("target_type", classify_url(F.coalesce("target_url", F.lit(""))))
+
+
 def targets_from_pages(pages: DataFrame) -> DataFrame:
-    """Crawl targets = page hosts; the type is classified from the host."""
-    return (pages.select(host_of("url").alias("target")).distinct()
-            .withColumn("target_type", classify_url("target")))
+    """The targets that a table of pages was scraped from."""
+    return targets_from_urls(pages).select("target", "target_type")
 
 
 def production_score(budget: Column, target_type: Column) -> Column:
@@ -101,7 +107,7 @@ def score_sources(targets: DataFrame, cat: DataFrame | None = None, budgets=None
     """Every (target, budget, source) with its production and legacy score."""
     cat = cat if cat is not None else catalogue(targets.sparkSession)
     small = scored_catalogue(cat)
-    return with_budgets(targets, budgets).join(F.broadcast(small), ["target_type", "budget"])
+    return with_budgets(targets, budgets).join(small, ["target_type", "budget"])
 
 
 def select_sources(targets: DataFrame, budget: str = K.DEFAULT_BUDGET, top_n: int = K.DEFAULT_TOP_N,
@@ -111,7 +117,7 @@ def select_sources(targets: DataFrame, budget: str = K.DEFAULT_BUDGET, top_n: in
     cat = cat if cat is not None else catalogue(targets.sparkSession)
     allowed = apply_policy(cat, ("id", "title", "description"))
     ranked = rank_sources(scored_catalogue(allowed).filter(F.col("budget") == budget), top_n)
-    return (with_budgets(targets, [budget]).join(F.broadcast(ranked), ["target_type", "budget"])
+    return (with_budgets(targets, [budget]).join(ranked, ["target_type", "budget"])
             .select("target", "target_type", "budget", "rank", "ord", F.col("id").alias("source_id"), "score"))
 
 
@@ -120,7 +126,7 @@ def catalog_by_budget(targets: DataFrame, cat: DataFrame | None = None) -> DataF
     cat = cat if cat is not None else catalogue(targets.sparkSession)
     small = (cat.withColumn("budget", F.explode(F.array(*[F.lit(b) for b in K.BUDGET_MODES])))
              .filter(budget_eligible(F.col("budget"))).select("budget", "ord", F.col("id").alias("source_id")))
-    return with_budgets(targets).join(F.broadcast(small), "budget")
+    return with_budgets(targets).join(small, "budget")
 
 
 def catalog_by_target(targets: DataFrame, cat: DataFrame | None = None) -> DataFrame:
@@ -128,4 +134,4 @@ def catalog_by_target(targets: DataFrame, cat: DataFrame | None = None) -> DataF
     exploded best_for list)."""
     cat = cat if cat is not None else catalogue(targets.sparkSession)
     small = cat.select(F.explode("best_for").alias("target_type"), "ord", F.col("id").alias("source_id"))
-    return targets.join(F.broadcast(small), "target_type")
+    return targets.join(small, "target_type")

@@ -113,8 +113,10 @@ def _banned_sql(text: str, patterns=_PAGE_PATTERNS) -> str:
 
 _SCORE_SQL = f"""
 cat AS (SELECT * FROM {_CAT_SQL}),
-tt AS (SELECT DISTINCT {S.host('url')} AS target FROM pages),
-targets AS (SELECT target, {S.classify('target')} AS target_type FROM tt),
+tt AS (SELECT {S.host('url')} AS target, min(url || CASE length({S.host('url')}) % 5 WHEN 0 THEN '/docs/'
+              WHEN 1 THEN '/blog/' WHEN 2 THEN '/forum/' WHEN 3 THEN '/story/' ELSE '' END) AS target_url
+       FROM pages GROUP BY 1),
+targets AS (SELECT target, {S.classify('target_url')} AS target_type FROM tt),
 scored AS (
   SELECT ty.target_type, b.budget, c.*,
     round(c.success_rate * 40
@@ -134,13 +136,14 @@ selected AS (
   FROM targets t JOIN ranked r ON r.target_type = t.target_type AND r.budget = 'optimal' AND r.rank <= 3)"""
 
 _ATTEMPTS_SQL = _SCORE_SQL + f""",
-items AS (SELECT {S.host('url')} AS target, CAST(page_id % 3 + 1 AS INTEGER) AS rank, page_id, url, html FROM pages),
+items AS (SELECT {S.host('url')} AS target, CAST(page_id % 3 + 1 AS INTEGER) AS rank, page_id, url,
+                 CASE WHEN length({S.host('url')}) % 8 = 0 THEN '' ELSE html END AS html FROM pages),
 counts AS (SELECT target, rank, count(*) AS n_items FROM items GROUP BY 1, 2),
 attempts AS (
   SELECT s.target, s.rank, s.source_id,
-         CASE WHEN s.rank = 1 AND length(s.target) % 2 = 1 THEN 'failed' ELSE 'ok' END AS status,
+         CASE WHEN (s.rank = 1 AND length(s.target) % 2 = 1) OR length(s.target) % 9 = 0 THEN 'failed' ELSE 'ok' END AS status,
          coalesce(c.n_items, 0) AS n_items,
-         CASE WHEN s.rank = 1 AND length(s.target) % 2 = 1 THEN 'Run failed: ' || s.source_id END AS error
+         CASE WHEN (s.rank = 1 AND length(s.target) % 2 = 1) OR length(s.target) % 9 = 0 THEN 'Run failed: ' || s.source_id END AS error
   FROM selected s LEFT JOIN counts c ON c.target = s.target AND c.rank = s.rank),
 win AS (
   SELECT a.target, a.rank, a.source_id FROM attempts a
@@ -179,7 +182,7 @@ docs AS (
 
 
 def _targets(spark, sf):
-    return SE.targets_from_pages(pages(spark, sf))
+    return SE.targets_from_urls(DV.target_urls(pages(spark, sf))).select("target", "target_type")
 
 
 def _selected(spark, sf):
@@ -278,7 +281,7 @@ FROM targets t JOIN top p ON p.target_type = t.target_type AND p.rank <= 3""")
 def q_top_sources(spark, sf):
     small = SE.rank_sources(SE.scored_catalogue(catalogue(spark)), K.DEFAULT_TOP_N)
     t = SE.with_budgets(_targets(spark, sf))
-    return t.join(F.broadcast(small), ["target_type", "budget"]).select(
+    return t.join(small, ["target_type", "budget"]).select(
         "target", "target_type", "budget", "rank", "ord", F.col("id").alias("source_id"), "score")
 
 
@@ -319,14 +322,17 @@ WITH {_ATTEMPTS_SQL},
 content AS (SELECT w.target, count_if(length(i.html) > 0) AS n_content
             FROM win w JOIN items i ON i.target = w.target AND i.rank = w.rank GROUP BY 1)
 SELECT t.target,
-  CASE WHEN NOT EXISTS (SELECT 1 FROM selected s WHERE s.target = t.target) THEN 'no_source'
+  CASE WHEN length(t.target) % 7 = 0 OR NOT EXISTS (SELECT 1 FROM selected s WHERE s.target = t.target)
+            THEN 'no_source'
        WHEN NOT EXISTS (SELECT 1 FROM win w WHERE w.target = t.target) THEN 'all_failed'
        WHEN coalesce((SELECT n_content FROM content c WHERE c.target = t.target), 0) = 0 THEN 'no_content'
        ELSE 'ok' END AS status
 FROM targets t""")
 def q_target_status(spark, sf):
     attempts, items = _attempts(spark, sf)
-    return FB.target_status(_targets(spark, sf), _selected(spark, sf), attempts, items)
+    # no source is left for targets whose name's length is a multiple of 7
+    selected = _selected(spark, sf).filter(F.length("target") % 7 != 0)
+    return FB.target_status(_targets(spark, sf), selected, attempts, items)
 
 
 @register("page_cap", f"""
@@ -514,9 +520,10 @@ def q_indexing_cost_bytes(spark, sf):
 @register("corpus_summary", f"""
 WITH d AS (SELECT source, doc_id, text, printf('doc_%04d.txt', doc_id) AS name FROM documents),
 a AS (SELECT source, count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM d GROUP BY 1),
-f AS (SELECT source, string_agg(name, ',' ORDER BY doc_id) AS first_files FROM (
+f AS (SELECT source, string_agg(name || ' ' || source || '/' || name || ' ' || strlen(text) || ' {AS_OF_ISO}', ','
+                           ORDER BY doc_id) AS first_files FROM (
         SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM d) WHERE rn <= 10 GROUP BY 1)
-SELECT a.source AS corpus_name, files AS files_indexed, '{K.STORAGE_TYPE}' AS storage_type,
+SELECT 'stores/' || a.source AS store_name, a.source AS corpus_name, files AS files_indexed, '{K.STORAGE_TYPE}' AS storage_type,
        '{K.STORAGE_PERSISTENCE}' AS storage_persistence, TRUE AS globally_accessible,
        '{AS_OF_ISO}' AS created_at, bytes AS total_size_bytes, bytes // 5 AS estimated_tokens,
        round((bytes // 5) / 1e6 * 0.15, 4) AS cost_estimate_usd, round(bytes / 1024 / 1024, 2) AS total_size_mb,
@@ -525,13 +532,16 @@ FROM a JOIN f ON f.source = a.source""")
 def q_corpus_summary(spark, sf):
     d = read_table(spark, sf, "documents").select(
         F.col("source").alias("corpus"), "doc_id", "text", CV.doc_name(F.col("doc_id")).alias("doc_name"))
-    return CO.corpus_summary(d, AS_OF, by="corpus", text_col="text", order="doc_id", name="doc_name")
+    summary = CO.corpus_summary(d, AS_OF, by="corpus", text_col="text", order="doc_id", name="doc_name")
+    return summary.withColumn("first_files", F.array_join(F.transform("uploaded_files", lambda f: F.concat_ws(
+        " ", f["name"], f["path"], f["size"].cast("string"), f["imported_at"])), ",")).drop("uploaded_files")
 
 
 @register("page_pricing", f"""
 WITH {_ITEMS_SQL}
 SELECT target, count(*) AS pages_processed, 0.0015 AS price_per_page, 0.02 AS start_fee,
-       CAST(round(0.02 + count(*) * 0.0015, 2) AS DOUBLE) AS estimated_total
+       CAST(round(0.02 + count(*) * 0.0015, 2) AS DOUBLE) AS estimated_total,
+       CAST(0.02 AS DOUBLE) + CAST(count(*) AS DOUBLE) * CAST(0.0015 AS DOUBLE) AS estimated_total_unrounded
 FROM items GROUP BY 1""")
 def q_page_pricing(spark, sf):
     counts = DV.scattered_items(pages(spark, sf)).groupBy("target").agg(F.count(F.lit(1)).alias("pages_processed"))
@@ -562,7 +572,9 @@ def q_run_counters(spark, sf):
 @register("total_cost", f"""
 WITH {_DOCS_CTE},
 idx AS (SELECT corpus, round((sum(strlen(document)) // 5) / 1e6 * 0.15, 4) AS index_cost FROM docs GROUP BY 1),
-c AS (SELECT {S.host('url')} AS target, count(*) AS n FROM pages GROUP BY 1)
+c AS (SELECT {S.host('url')} AS target, count(*) AS n FROM pages GROUP BY 1),
+idxs AS (SELECT c.target AS corpus, coalesce(idx.index_cost, 0) AS index_cost
+         FROM c LEFT JOIN idx ON idx.corpus = c.target)
 SELECT c.target, t.plan, b.budget, c.n AS pages_processed,
        CAST(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 4) AS DOUBLE) AS estimated_total,
        CAST(round(c.n / 100 * CAST(b.rate AS DECIMAL(18, 6)), 4) AS DOUBLE) AS scraper_cost,
@@ -570,7 +582,7 @@ SELECT c.target, t.plan, b.budget, c.n AS pages_processed,
        CAST(round(round(0.02 + c.n * 0.0015 * (1 - CAST(t.discount AS DECIMAL(18, 6))), 4)
              + round(c.n / 100 * CAST(b.rate AS DECIMAL(18, 6)), 4) + CAST(idx.index_cost AS DECIMAL(18, 6)), 4)
             AS DOUBLE) AS total_usd
-FROM c JOIN idx ON idx.corpus = c.target
+FROM c JOIN idxs idx ON idx.corpus = c.target
 CROSS JOIN {S.values(K.PRICE_TIERS, ['plan', 'discount']).replace(' AS t(', ' AS t(')}
 CROSS JOIN {S.values(K.SCRAPER_COST_PER_100_PAGES, ['budget', 'rate']).replace(' AS t(', ' AS b(')}""")
 def q_total_cost(spark, sf):
@@ -578,7 +590,8 @@ def q_total_cost(spark, sf):
     counts = p.groupBy(host_of("url").alias("target")).agg(F.count(F.lit(1)).alias("pages_processed"))
     idx = (CO.indexing_cost_bytes(_docs(spark, sf), "document", by=["corpus"])
            .select(F.col("corpus").alias("target"), F.col("cost_estimate_usd").alias("index_cost")))
-    t = CO.total_cost(counts.join(idx, "target"), F.col("index_cost"))
+    costs = counts.join(idx, "target", "left").fillna(0.0, ["index_cost"])
+    t = CO.total_cost(costs, F.col("index_cost"))
     return t.select("target", "plan", "budget", "pages_processed", "estimated_total", "scraper_cost",
                     "index_cost", "total_usd")
 
@@ -661,15 +674,73 @@ def q_incremental_append(spark, sf):
 
 @register("stored_corpus", f"""
 WITH {_DOCS_CTE}
-SELECT page_id, corpus, doc_name, strlen(document) AS n_bytes FROM docs""")
+SELECT page_id, corpus, doc_name, strlen(document) AS n_bytes, sha256(document) AS document_sha256 FROM docs""")
 def q_stored_corpus(spark, sf):
-    """Sink round trip: documents written partitioned by corpus, read back."""
+    """Sink round trip: documents written partitioned by corpus bucket, read back."""
     path = scratch_path(spark, "corpus")
     CO.write_corpus(_docs(spark, sf).select("page_id", "doc_name", "document", "n_bytes", "corpus"), path,
                     mode="overwrite")
-    back = spark.read.schema("page_id long, doc_name string, document string, n_bytes long, corpus string"
-                             ).parquet(path)
-    return back.select("page_id", "corpus", "doc_name", "n_bytes")
+    back = spark.read.schema("page_id long, doc_name string, document string, corpus string, bucket int").parquet(path)
+    return back.select("page_id", "corpus", "doc_name", F.octet_length("document").cast("long").alias("n_bytes"),
+                       F.sha2("document", 256).alias("document_sha256"))
+
+
+@register("text_sink", f"""
+WITH {_DOCS_CTE}
+SELECT sha256(document) AS document_sha256, count(*) AS records FROM docs GROUP BY 1""")
+def q_text_sink(spark, sf):
+    """The plain-text sink, one record per document, read back."""
+    path = scratch_path(spark, "text")
+    CO.write_text_files(_docs(spark, sf), path)
+    return CO.read_text_files(spark, path).groupBy(F.sha2("document", 256).alias("document_sha256")).agg(
+        F.count(F.lit(1)).alias("records"))
+
+
+# ---------------------------------------------------------------------------
+# Pages without a URL or a scheme: no row lost, none added
+# ---------------------------------------------------------------------------
+
+_NAMELESS_CTE = f"""
+np AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN NULL WHEN page_id % 4 = 0
+                            THEN regexp_replace(url, '^[a-z]+://', '') ELSE url END AS url, html FROM pages),
+nconv AS (
+  SELECT page_id, {S.host('url')} AS corpus, coalesce(url, 'unknown-' || page_id) AS url, {S.title('html')} AS title,
+         {S.clean_html('html')} AS text, sha256(html) AS content_sha256
+  FROM np WHERE length(html) > 0),
+ndocs AS (
+  SELECT *, printf('doc_%04d.txt', page_id) AS doc_name, {S.header('url', 'title', AS_OF_ISO)} || text AS document
+  FROM nconv)"""
+
+
+@register("nameless_manifest", f"""
+WITH {_NAMELESS_CTE}
+SELECT corpus, doc_name AS name, corpus || '/' || doc_name AS path, strlen(document) AS size FROM ndocs""")
+def q_nameless_manifest(spark, sf):
+    """The manifest of documents written and read back, with missing URLs."""
+    path = scratch_path(spark, "corpus")
+    CO.write_corpus(CV.convert_pages(DV.nameless_pages(pages(spark, sf)), AS_OF), path, mode="overwrite")
+    return CO.build_manifest(spark.read.parquet(path), AS_OF).select("corpus", "name", "path", "size")
+
+
+@register("nameless_summary", f"""
+WITH {_NAMELESS_CTE}
+SELECT corpus AS corpus_name, count(*) AS files_indexed, CAST(sum(strlen(document)) AS BIGINT) AS total_size_bytes
+FROM ndocs GROUP BY 1""")
+def q_nameless_summary(spark, sf):
+    docs = CV.convert_pages(DV.nameless_pages(pages(spark, sf)), AS_OF)
+    return CO.corpus_summary(docs, AS_OF).select("corpus_name", "files_indexed", "total_size_bytes")
+
+
+@register("replayed_ingest", f"""
+WITH {_NAMELESS_CTE}
+SELECT page_id, corpus, url, content_sha256, strlen(document) AS n_bytes FROM ndocs""")
+def q_replayed_ingest(spark, sf):
+    """The same batch ingested twice: the second time adds nothing."""
+    path = scratch_path(spark, "ingest")
+    batch = DV.nameless_pages(pages(spark, sf))
+    ST.ingest_batch(batch, path, AS_OF)
+    ST.ingest_batch(batch, path, AS_OF)
+    return ST.read_corpus(spark, path).select("page_id", "corpus", "url", "content_sha256", "n_bytes")
 
 
 # ---------------------------------------------------------------------------
@@ -745,6 +816,16 @@ def q_keyword_search(spark, sf):
     return RT.bm25_search(docs, ["doc_id"], "text", questions, "item_id", "text", k=KEYWORD_K)
 
 
+@register("store_search", "WITH " + _bm25_sql(
+    "corpus AS (SELECT doc_id, text FROM documents WHERE source IN ('src0', 'src1', 'src2'))", "doc_id", "text",
+    KEYWORD_K) + " SELECT * FROM hits")
+def q_store_search(spark, sf):
+    """Questions asked of three named stores."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "source")
+    return RT.bm25_search(docs, ["doc_id"], "text", read_table(spark, sf, "benchmark"), "item_id", "text",
+                          k=KEYWORD_K, corpora=["src0", "src1", "src2"], corpus_col="source")
+
+
 @register("vector_search", """
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 dims AS (SELECT label, i, avg(v[i]) AS x FROM (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM e) GROUP BY 1, 2),
@@ -793,6 +874,24 @@ def q_chunk_search(spark, sf):
     return cited.select("item_id", "rank", "doc_id", "chunk_no", "source", "score")
 
 
+@register("passage_citations", S.chunks(
+    CHUNK_MAX, CHUNK_OVERLAP, table="page_docs",
+    before=f"{_DOCS_CTE}, page_docs AS (SELECT page_id AS doc_id, url AS source, text FROM docs),") + ", " + _bm25_sql(
+    "corpus AS (SELECT doc_id * 100000 + chunk_no AS chunk_key, chunk FROM chunks)", "chunk_key", "chunk",
+    CITATION_K).lstrip().lstrip(",") + """
+SELECT h.item_id, h.rank, c.doc_id AS page_id, c.chunk_no, c.chunk, d.url, d.title, h.score
+FROM hits h JOIN chunks c ON c.doc_id * 100000 + c.chunk_no = h.chunk_key JOIN docs d ON d.page_id = c.doc_id""")
+def q_passage_citations(spark, sf):
+    """The passages that answer a question, with the URL and title of their page."""
+    docs = materialize(_docs(spark, sf).select("page_id", "url", "title", "text"))
+    chunks = CH.chunk_documents(docs, "page_id", "text", CHUNK_MAX, CHUNK_OVERLAP, CHUNK_SEP, keep=("url", "title"))
+    chunks = materialize(chunks.select("page_id", "chunk_no", "chunk", "url", "title"))
+    hits = RT.bm25_search(chunks, ["page_id", "chunk_no"], "chunk", read_table(spark, sf, "benchmark"), "item_id",
+                          "text", k=CITATION_K)
+    cited = RT.citations(hits, chunks, ["page_id", "chunk_no"], ("chunk", "url", "title"))
+    return cited.select("item_id", "rank", "page_id", "chunk_no", "chunk", "url", "title", "score")
+
+
 # ---------------------------------------------------------------------------
 # Streaming ingest
 # ---------------------------------------------------------------------------

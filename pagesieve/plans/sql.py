@@ -75,7 +75,10 @@ def title(x: str) -> str:
 
 
 def host(url: str) -> str:
-    return f"lower(regexp_extract({url}, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//([^/?#:]*)', 1))"
+    scheme = "^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//"
+    return (f"coalesce(nullif(lower(CASE WHEN regexp_matches({url}, '{scheme}') "
+            f"THEN regexp_extract({url}, '{scheme}([^/?#:]*)', 1) "
+            f"ELSE regexp_extract({url}, '^([^/?#:]+)', 1) END), ''), 'no-host')")
 
 
 def header(url: str, title_: str, iso: str) -> str:
@@ -108,15 +111,15 @@ def values(rows, cols) -> str:
     return f"(VALUES {body}) AS t({', '.join(cols)})"
 
 
-def chunks(max_tokens: int, overlap: int, sep_sql: str = NL) -> str:
+def chunks(max_tokens: int, overlap: int, sep_sql: str = NL, table: str = "documents", before: str = "") -> str:
     """WITH RECURSIVE ... defining ``chunks(doc_id, chunk_no, chunk)`` over
-    ``documents``. Paragraph prefix sums C(i); from state (start s, last
+    ``table`` (doc_id, source, text), which ``before`` may define. Paragraph prefix sums C(i); from state (start s, last
     appended a) the next cut is the first i > a with C(i) - C(s-1) > max, and
     the next start is the first j in [s, cut) with C(cut-1) - C(j-1) <= overlap
     (else the cut itself)."""
     return f"""
-WITH RECURSIVE
-d AS (SELECT doc_id, source, text, string_split(text, {sep_sql}) AS ps FROM documents),
+WITH RECURSIVE {before}
+d AS (SELECT doc_id, source, text, string_split(text, {sep_sql}) AS ps FROM {table}),
 long_docs AS (SELECT * FROM d WHERE length(text) // 5 > {max_tokens}),
 cp AS MATERIALIZED (
   SELECT doc_id, i, c, c - n AS cprev FROM (

@@ -56,11 +56,17 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(master: str | None) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` isn't)."""
+    return bool(master) and (master == "local" or master.startswith("local["))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when it is unset (local
-    tests) do we set a private scratch folder.
+    The cluster's ``spark.checkpoint.dir`` wins; only in a local session, as
+    in tests, is a private scratch folder made when it is unset. Elsewhere a
+    missing setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -70,6 +76,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = sc.getCheckpointDir()
     if not current:
+        if not is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share: "
+                               "a folder of the driver's machine would not be seen by them")
         current = tempfile.mkdtemp(prefix="pagesieve-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
         sc.setCheckpointDir(current)

@@ -34,18 +34,31 @@ def scattered_items(pages: DataFrame) -> DataFrame:
         host_of("url").alias("target"))
 
 
+def target_urls(pages: DataFrame) -> DataFrame:
+    """The URLs that were asked for: those of the pages, with a path that
+    tells the type (documentation, blog, forum, news, none) by the length of
+    the host."""
+    n = F.length(host_of("url")) % 5
+    path = (F.when(n == 0, F.lit("/docs/")).when(n == 1, F.lit("/blog/")).when(n == 2, F.lit("/forum/"))
+            .when(n == 3, F.lit("/story/")).otherwise(F.lit("")))
+    return pages.select(F.concat("url", path).alias("url"))
+
+
 def page_attempts(pages: DataFrame, selected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(attempts, items) for a scrape of every target with its selected sources.
 
     Items of a target are split over its ranked sources by page_id % 3; the
-    first-ranked attempt fails for targets whose host name has odd length.
-    Returns attempts(target, rank, source_id, status, n_items, error) and
-    items(target, rank, page_id, url, html).
+    first-ranked attempt fails for targets whose host name has odd length, all
+    attempts fail where the length is a multiple of 9, and the items are empty
+    where it is a multiple of 8. Returns attempts(target, rank, source_id,
+    status, n_items, error) and items(target, rank, page_id, url, html).
     """
-    items = spread(pages, "page_id").select(host_of("url").alias("target"),
-                                            (F.col("page_id") % 3 + 1).cast("int").alias("rank"), "page_id", "url", "html")
+    empty = F.length(host_of("url")) % 8 == 0
+    items = spread(pages, "page_id").select(
+        host_of("url").alias("target"), (F.col("page_id") % 3 + 1).cast("int").alias("rank"), "page_id", "url",
+        F.when(empty, F.lit("")).otherwise(F.col("html")).alias("html"))
     counts = items.groupBy("target", "rank").agg(F.count(F.lit(1)).alias("n_items"))
-    failed = (F.col("rank") == 1) & (F.length("target") % 2 == 1)
+    failed = ((F.col("rank") == 1) & (F.length("target") % 2 == 1)) | (F.length("target") % 9 == 0)
     attempts = (selected.select("target", "rank", "source_id")
                 .join(counts, ["target", "rank"], "left")
                 .select("target", "rank", "source_id",
@@ -93,6 +106,14 @@ def ad_class_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", h.alias("html"))
 
 
+def nameless_pages(pages: DataFrame) -> DataFrame:
+    """Every page, with every third URL missing and every fourth of the
+    others without its scheme."""
+    url = F.when(F.col("page_id") % 3 == 0, F.lit(None).cast("string")).when(
+        F.col("page_id") % 4 == 0, F.regexp_replace("url", "^[a-z]+://", "")).otherwise(F.col("url"))
+    return pages.select("page_id", url.alias("url"), "html")
+
+
 def awkward_pages(pages: DataFrame) -> DataFrame:
     """Every page with an element whose name begins like a raw-text element,
     an unquoted class before another attribute, and an ad class behind a

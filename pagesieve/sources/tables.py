@@ -40,6 +40,12 @@ DOCUMENTS_SCHEMA = T.StructType([
 ])
 
 
+#: the corpus of pages whose URL names no host
+NO_HOST = "no-host"
+#: session setting for ``spread``
+PARTITIONS_CONF = "spark.pagesieve.partitions"
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -58,39 +64,15 @@ def read_items(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(ITEMS_SCHEMA).format(fmt).load(path)
 
 
-def _scan_only(df: DataFrame) -> bool:
-    """True when the plan is a file scan with row-local operators only (no
-    join, aggregate, window or exchange), so asking for its partition count
-    plans a scan and runs nothing."""
-    plan = df._jdf.queryExecution().analyzed().toString()
-    return not any(op in plan for op in ("Join", "Aggregate", "Window", "Repartition", "Union", "Deduplicate",
-                                         "Sort", "Expand", "Generate", "LocalRelation"))
-
-
-SPREAD_MAX_BYTES = 16 << 30
-
-
-def spread(df: DataFrame, key: str, min_partitions: int | None = None,
-           max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Hash-spread rows on ``key`` when a small scan yields fewer partitions
-    than the cluster can run at once. Per-row text work is CPU bound, so a
-    small shuffle buys parallelism; a large input (over ``max_bytes``) is
-    left as it is, and plans that already shuffled are never touched. (The
-    split count overstates a small file's parallelism: a file with one row
-    group is cut into several byte ranges but only one of them holds rows.)"""
-    if df.isStreaming:
-        return df
-    try:
-        if not _scan_only(df):
-            return df
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-        if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > max_bytes:
-            return df
-    except Exception:  # noqa: BLE001 - no plan access (e.g. a remote session): leave the scan as it is
-        return df
-    return df.repartition(target, key)
+def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Hash-spread rows on ``key`` over ``partitions`` tasks, only when the
+    caller asks for it (or the session does, by
+    ``spark.pagesieve.partitions``): for
+    inputs in fewer splits than the cluster has cores, such as a file of one
+    row group. By default a scan keeps its own splits."""
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get(PARTITIONS_CONF, "0"))
+    return df.repartition(partitions, key) if partitions and not df.isStreaming else df
 
 
 # --------------------------------------------------------------------------
@@ -146,6 +128,11 @@ def catalogue(spark: SparkSession) -> DataFrame:
 
 
 def host_of(url_col) -> F.Column:
-    """Host part of a URL (lower case, no port); the corpus key of a page."""
+    """The corpus key of a page, never null or empty: the host of its URL
+    (lower case, no port); of a URL without a scheme its first path part; for
+    a missing URL, or one that names neither, a fixed name."""
     c = F.col(url_col) if isinstance(url_col, str) else url_col
-    return F.lower(F.regexp_extract(c, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#:]*)", 1))
+    host = F.regexp_extract(c, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#:]*)", 1)
+    first = F.regexp_extract(c, r"^([^/?#:]+)", 1)
+    named = F.when(c.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"), host).otherwise(first)
+    return F.coalesce(F.nullif(F.lower(named), F.lit("")), F.lit(NO_HOST))

@@ -1,4 +1,6 @@
-"""Chunking: authored cases and a brute-force loop over real documents."""
+"""Chunking: authored cases, and the stated properties over real documents."""
+
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,29 +9,26 @@ from pagesieve.functions.chunk import chunk_text
 from pagesieve.operators.chunking import chunk_documents
 
 
-def reference_chunks(text, max_tokens, overlap, sep):
-    """Plain loop restating the rules, used as the brute-force check."""
-    tok = lambda s: len(s) // 5
-    if tok(text) <= max_tokens:
-        return [text]
-    out, cur, total = [], [], 0
-    for p in text.split(sep):
-        n = tok(p)
-        if total + n > max_tokens and cur:
-            out.append(sep.join(cur))
-            keep, t = [], 0
-            for q in reversed(cur):
-                if t + tok(q) <= overlap:
-                    keep.insert(0, q)
-                    t += tok(q)
-                else:
-                    break
-            cur, total = keep, t
-        cur.append(p)
-        total += n
-    if cur:
-        out.append(sep.join(cur))
-    return out
+def check_chunks(text, chunks, max_tokens, overlap, sep):
+    """The stated properties, by prefix sums of paragraph tokens: a chunk ends
+    where the next paragraph would pass the limit, the next one begins with the
+    longest run of whole paragraphs before the cut that fits the overlap."""
+    paragraphs = text.split(sep)
+    total = [0, *itertools.accumulate(len(p) // 5 for p in paragraphs)]
+    if len(text) // 5 <= max_tokens:
+        assert chunks == [text]
+        return
+    start, last, want = 0, 0, []  # first paragraph of the chunk, first one that no chunk before it held
+    while True:
+        cut = next((i for i in range(last + 1, len(paragraphs)) if total[i + 1] - total[start] > max_tokens),
+                   len(paragraphs))
+        want.append(sep.join(paragraphs[start:cut]))
+        if cut == len(paragraphs):
+            break
+        start = next((j for j in range(start, cut) if total[cut] - total[j] <= overlap), cut)
+        last = cut
+    assert chunks == want
+    assert all(c in text for c in chunks)
 
 
 def run(spark, text, max_tokens, overlap, sep="\n\n"):
@@ -54,18 +53,17 @@ def test_big_paragraph_not_cut(spark):
 
 def test_zero_overlap_keeps_zero_token_paragraphs(spark):
     text = "\n\n".join(["a" * 30, "bb", "c" * 30])
-    assert run(spark, text, 6, 0) == reference_chunks(text, 6, 0, "\n\n")
+    check_chunks(text, run(spark, text, 6, 0), 6, 0, "\n\n")
 
 
 @pytest.mark.parametrize("max_tokens,overlap", [(60, 15), (30, 0), (200, 50)])
-def test_matches_loop_on_documents(spark, max_tokens, overlap):
+def test_properties_on_documents(spark, max_tokens, overlap):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     got = {}
     for r in chunk_documents(docs, "doc_id", "text", max_tokens, overlap, "\n").collect():
         got.setdefault(r.doc_id, []).append((r.chunk_no, r.chunk))
     for r in docs.collect():
-        want = reference_chunks(r.text, max_tokens, overlap, "\n")
-        assert [c for _, c in sorted(got[r.doc_id])] == want
+        check_chunks(r.text, [c for _, c in sorted(got[r.doc_id])], max_tokens, overlap, "\n")
 
 
 def test_every_chunk_is_a_substring(spark):

@@ -83,6 +83,7 @@ def test_drop_corpora_on_disk(spark, tmp_path):
     n = CO.drop_corpora_on_disk(spark, path, spark.createDataFrame([("c1",), ("c 3",), ("zz",)], "n string"))
     assert n == 2
     assert [r.corpus for r in spark.read.parquet(path).collect()] == ["c2"]
+    assert CO.drop_corpora_on_disk(spark, path, spark.createDataFrame([("c1",)], "n string")) == 0
 
 
 def test_kept_plus_skipped_is_input(spark):
@@ -97,7 +98,7 @@ def test_kept_plus_skipped_is_input(spark):
 def test_text_sink(spark, tmp_path):
     docs = spark.createDataFrame([("a\nb",), ("c",)], "document string")
     CO.write_text_files(docs, str(tmp_path / "txt"))
-    assert sorted(r.value for r in spark.read.text(str(tmp_path / "txt")).collect()) == ["a", "b", "c"]
+    assert sorted(r.document for r in CO.read_text_files(spark, str(tmp_path / "txt")).collect()) == ["a\nb", "c"]
 
 
 def test_header_time_defaults_to_now(spark):
@@ -109,15 +110,51 @@ def test_header_time_defaults_to_now(spark):
     assert len(stamps) == 1 and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{6})?", stamps.pop())
 
 
-def test_drop_corpora_long_list_rewrites(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(CO, "MAX_DROP_BY_PATH", 1)
-    docs = spark.createDataFrame([("c1", "d0"), ("c2", "d1"), ("c3", "d2")], "corpus string, doc_name string")
+def test_drop_corpora_list_of_any_length(spark, tmp_path):
+    names = spark.range(10_001).select(F.concat(F.lit("c"), "id").alias("n"))
     path = str(tmp_path / "store")
-    CO.write_corpus(docs, path, mode="overwrite")
-    names = spark.createDataFrame([("c1",), ("c3",)], "n string")
-    assert CO.drop_corpora_on_disk(spark, path, names) == -1
-    assert [r.corpus for r in spark.read.parquet(path + ".next").collect()] == ["c2"]
-    assert spark.read.parquet(path).count() == 3  # the original is left for the caller to swap
+    CO.write_corpus(names.select(F.col("n").alias("corpus"), F.lit("d").alias("document")), path, mode="overwrite")
+    assert CO.drop_corpora_on_disk(spark, path, names.where("n != 'c77'")) == 10_000
+    assert [r.corpus for r in spark.read.parquet(path).collect()] == ["c77"]
+    assert CO.drop_corpora_on_disk(spark, path, names) == 1
+    assert not list((tmp_path / "store").glob("bucket=*"))
+
+
+def test_corpus_key_is_total(spark):
+    from pagesieve.sources.tables import host_of
+    rows = ["https://E.org:80/a", "//e.org/x", "e.org/a", "E.org:8080", "e.org?q", "/path", "", None, "https:///x", "http://"]
+    df = spark.createDataFrame([(r,) for r in rows], "url string")
+    assert [r[0] for r in df.select(host_of("url")).collect()] == [
+        "e.org", "e.org", "e.org", "e.org", "e.org", "no-host", "no-host", "no-host", "no-host", "no-host"]
+
+
+def test_summary_keeps_the_corpus_without_a_name(spark):
+    docs = spark.createDataFrame([("a", 1, "d1", "xx"), (None, 2, "d2", "yyy")],
+                                 "corpus string, page_id long, doc_name string, document string")
+    got = {r.corpus_name: r for r in CO.corpus_summary(docs, "2024-01-01T00:00:00").collect()}
+    assert set(got) == {"a", "no-host"} and got["a"].store_name == "stores/a"
+    file = got["no-host"].uploaded_files[0]
+    assert (file.name, file.path, file.size, file.imported_at) == ("d2", "no-host/d2", 3, "2024-01-01T00:00:00")
+
+
+def test_append_smallest_page_and_null_urls(spark):
+    existing = spark.createDataFrame([(None, "a")], "url string, content string")
+    incoming = spark.createDataFrame([(9, None, "a"), (5, "u", "b"), (3, "u", "b")], "page_id long, url string, content string")
+    assert [(r.page_id, r.url) for r in CO.append_new_pages(existing, incoming).collect()] == [(3, "u")]
+
+
+def test_four_statuses(spark):
+    targets = spark.createDataFrame([("t1",), ("t2",), ("t3",), ("t4",)], "target string")
+    selected = spark.createDataFrame([("t1", 1), ("t2", 1), ("t3", 1), ("t3", 2)], "target string, rank int")
+    attempts = spark.createDataFrame([("t1", 1, "s", "ok", 2), ("t2", 1, "s", "failed", 0), ("t3", 1, "s", "ok", 0),
+                                      ("t3", 2, "z", "ok", 1)],
+                                     "target string, rank int, source_id string, status string, n_items long")
+    items = spark.createDataFrame([("t1", 1, "x"), ("t1", 1, ""), ("t3", 2, None), ("t3", 1, "lost")],
+                                  "target string, rank int, html string")
+    got = {r.target: r.status for r in FB.target_status(targets, selected, attempts, items).collect()}
+    assert got == {"t1": "ok", "t2": "all_failed", "t3": "no_content", "t4": "no_source"}
+    plan = FB.target_status(targets, selected, attempts, items)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
 
 
 def test_doc_ordinals_unique_and_dense_per_corpus(spark):

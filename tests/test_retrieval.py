@@ -54,26 +54,27 @@ def test_term_frequencies_in_row(spark):
     assert got == {1: [("a", 2), ("b", 3), ("c", 1)], 2: [], 3: [("x", 1)]}
 
 
-def test_cosine_blocked_equals_inline(spark):
-    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+def test_cosine_blocks_of_queries(spark):
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").repartition(5)
     queries = emb.select(F.col("vec_id").alias("qid"), "embedding").filter(F.col("label") == 3)
-    inline = RT.cosine_search(emb, "vec_id", "embedding", queries, "qid", "embedding", k=3)
-    blocked = RT.cosine_search(emb, "vec_id", "embedding", queries, "qid", "embedding", k=3, max_inline=7)
-    a = sorted(tuple(r) for r in inline.collect())
-    b = sorted(tuple(r) for r in blocked.collect())
+    one = RT.cosine_search(emb, "vec_id", "embedding", queries, "qid", "embedding", k=3)
+    many = RT.cosine_search(emb, "vec_id", "embedding", queries, "qid", "embedding", k=3, block=7)
+    a, b = (sorted(tuple(r) for r in x.collect()) for x in (one, many))
     assert a == b and len(a) == 3 * queries.count()
     # every vector is its own best match
-    assert all(r.vec_id == r.qid for r in inline.filter(F.col("rank") == 1).collect())
+    assert all(r.vec_id == r.qid for r in one.filter(F.col("rank") == 1).collect())
+    none = RT.cosine_search(emb, "vec_id", "embedding", queries.limit(0), "qid", "embedding")
+    assert none.count() == 0
 
 
-@pytest.mark.parametrize("rare_fraction", [0.01, 0.2, 0.6])
-def test_pruned_bm25_is_exact(spark, rare_fraction):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
-    qs = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
-    direct = RT.bm25_search(docs, ["doc_id"], "text", qs, "item_id", "text", prune=False)
-    pruned = RT.bm25_search(docs, ["doc_id"], "text", qs, "item_id", "text", prune=True,
-                            rare_fraction=rare_fraction)
-    assert sorted(tuple(r) for r in direct.collect()) == sorted(tuple(r) for r in pruned.collect())
+def test_stored_index_gives_the_same_hits(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.unionAll(spark.createDataFrame([(-1, ""), (-2, None)], "doc_id long, text string"))
+    qs = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    RT.search_index(docs, ["doc_id"], "text").write.parquet(str(tmp_path / "index"))
+    stored = RT.search(spark.read.parquet(str(tmp_path / "index")), ["doc_id"], qs, "item_id", "text")
+    direct = RT.bm25_search(docs, ["doc_id"], "text", qs, "item_id", "text")
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, direct.collect()))
 
 
 def test_search_restricted_to_corpora(spark):
