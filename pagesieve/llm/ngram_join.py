@@ -13,8 +13,9 @@ The steps:
    smallest id as representative, so copies cost nothing further.
 2. Routing to blocks: two sets that reach the threshold share one of the first
    n - ceil(t n) + 1 tokens of each in any common order. Ordered with the
-   frequent tokens last (those of ``FREQUENT_IN`` documents of a bounded
-   sample; the order changes the work, never the result), blocks stay small.
+   frequent tokens last (those of ``FREQUENT_IN`` documents of a sample, one in
+   ``SAMPLE_SHARE``, about ``SAMPLE_DOCS`` at most; the order changes the work,
+   never the result), blocks stay small.
 3. Leaders: in each block every point is compared with a leader. The bound by
    coordinate minima removes most pairs, the rest are verified, links give
    components.
@@ -43,18 +44,22 @@ from pagesieve.llm.components import connected_components
 from pagesieve.llm.tables import id_text, materialize
 
 GROUPS = 256
-SAMPLE_DOCS = 4000
+FINE_GROUPS = 1 << 12
+SAMPLE_SHARE = 8
+SAMPLE_DOCS = 200_000
 FREQUENT_IN = 3
 LEADERS = 8
 SALTS = 8
 PART = 1024
 LEAF = 16
+NODE_BUCKETS = 1 << 18
+TOKENS_KEPT = 32
 THRESHOLD = (75, 100)
 
 
-def count_vector(tokens: np.ndarray) -> np.ndarray:
+def count_vector(tokens: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """Tokens per group, as uint32."""
-    return np.bincount((tokens % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
+    return np.bincount((tokens % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.uint32)
 
 
 def signature(tokens: np.ndarray) -> tuple[int, int]:
@@ -81,10 +86,11 @@ def document_points(docs: DataFrame) -> DataFrame:
 
 def frequent_tokens(docs: DataFrame, total: int, sample_docs: int = SAMPLE_DOCS,
                     frequent_in: int = FREQUENT_IN) -> np.ndarray:
-    """Tokens of at least ``frequent_in`` documents of a sample of about
-    ``sample_docs``, which bounds their number. Only an order depends on it."""
+    """Tokens of at least ``frequent_in`` documents of a sample: one document
+    in ``SAMPLE_SHARE``, about ``sample_docs`` at most, which bounds their
+    number. Only an order depends on it."""
     scale = 1 << 20
-    share = min(scale, sample_docs * scale // max(total, 1) + 1)
+    share = min(scale // SAMPLE_SHARE, sample_docs * scale // max(total, 1) + 1)
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +117,7 @@ def split_frequent(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def route(docs: DataFrame, frequent: np.ndarray, threshold: tuple[int, int]) -> DataFrame:
-    """(token, salt, node, n): a row per prefix token of each representative."""
+    """(token, salt, node): a row per prefix token of each representative."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,15 +137,9 @@ def route(docs: DataFrame, frequent: np.ndarray, threshold: tuple[int, int]) ->
                     sizes.append(length)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(salts).astype(np.int32)),
-                     pa.array(np.repeat(ids, sizes)), pa.array(np.repeat([len(x) for x in sets], sizes))],
-                    names=["token", "salt", "node", "n"])
+                     pa.array(np.repeat(ids, sizes))], names=["token", "salt", "node"])
 
-    return docs.mapInArrow(run, "token long, salt int, node long, n long")
-
-
-def size_fits(a, b, threshold: tuple[int, int]):
-    parts, whole = threshold
-    return F.least(a, b) * whole >= F.greatest(a, b) * parts
+    return docs.mapInArrow(run, "token long, salt int, node long")
 
 
 def least_overlap(total: np.ndarray | int, threshold: tuple[int, int]) -> np.ndarray | int:
@@ -152,19 +152,26 @@ def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(a, b).sum(axis=-1, dtype=np.int64)
 
 
-def bounded(pairs: DataFrame, points: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def bounded(pairs: DataFrame, points: DataFrame, threshold: tuple[int, int], kind: type = np.uint32) -> DataFrame:
     """Pairs (u, v) whose summed coordinate minima reach the threshold."""
     one = points.select(F.col("doc_id").alias("u"), F.col("counts").alias("cu"))
     two = points.select(F.col("doc_id").alias("v"), F.col("counts").alias("cv"))
     both = pairs.join(one, "u").join(two, "v").select("u", "v", "cu", "cv")
 
+    def reaches(a: bytes, b: bytes) -> bool:
+        x, y = np.frombuffer(a, kind), np.frombuffer(b, kind)
+        total = int(x.sum(dtype=np.int64) + y.sum(dtype=np.int64))
+        # the finer point in the coarser one's groups
+        x, y = (v.reshape(-1, min(len(x), len(y))).sum(axis=0, dtype=np.int64) for v in (x, y))
+        return int(overlap_bound(x, y)) >= least_overlap(total, threshold)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                a, b = vectors(A.column(batch, "cu")), vectors(A.column(batch, "cv"))
-                total = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
-                keep = pa.array(overlap_bound(a, b) >= least_overlap(total, threshold))
-                yield batch.select(["u", "v"]).filter(keep)
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                cu, cv = A.column(part, "cu").to_pylist(), A.column(part, "cv").to_pylist()
+                keep = pa.array([reaches(a, b) for a, b in zip(cu, cv, strict=True)], pa.bool_())
+                yield part.select(["u", "v"]).filter(keep)
 
     return both.mapInArrow(run, "u long, v long")
 
@@ -173,17 +180,42 @@ def vectors(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), GROUPS)
 
 
+def fine_points(docs: DataFrame) -> DataFrame:
+    """doc_id, counts (uint16; no text has so many tokens that a group of the
+    largest point overflows): points with at least as many groups as tokens, up
+    to ``FINE_GROUPS``; a power of two, so finer points fold into coarser ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in A.slices(A.column(batch, "text")):
+                sets = S.slice_shingles(data, offsets)
+                groups = [min(max(GROUPS, 1 << len(x).bit_length()), FINE_GROUPS) for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [A.column(batch, "doc_id").slice(low, high - low),
+                     pa.array([count_vector(x, g).astype(np.uint16).tobytes() for x, g in zip(sets, groups, strict=True)],
+                              pa.binary())],
+                    names=["doc_id", "counts"])
+
+    return docs.mapInArrow(run, "doc_id long, counts binary")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The pairs (u, v) whose shingle sets reach the threshold, exactly."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    texts = docs.join(nodes, "doc_id", "left_semi")
+    """The pairs (u, v) whose shingle sets reach the threshold, exactly. The
+    bound over finer points goes first: it spares most of the long texts."""
+    nodes = materialize(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct())
+    # most documents are in no pair: those whose id's hash is none of a node's stay out of the shuffle of texts
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(NODE_BUCKETS))
+    held = nodes.select(bucket.alias("bucket")).distinct()  # NODE_BUCKETS rows at most
+    near = docs.withColumn("bucket", bucket).join(F.broadcast(held), "bucket", "left_semi").select("doc_id", "text")
+    texts = materialize(near.join(nodes, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    pairs = bounded(pairs, fine_points(texts), threshold, np.uint16)
     rows = pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu")), "u").join(
         texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv")), "v").select("u", "v", "tu", "tv")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
                 a = S.text_shingles(A.column(part, "tu").to_pylist())
                 b = S.text_shingles(A.column(part, "tv").to_pylist())
                 keep = pa.array([S.similar(x, y, *threshold) for x, y in zip(a, b, strict=True)], pa.bool_())
@@ -226,22 +258,49 @@ class CountTree:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
+def is_home(token: int, a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the block of ``token`` reports a pair that shares several
+    blocks: it is the smallest token that both points' lists have. The lists
+    hold the smallest tokens only; without a common one every block reports."""
+    common = np.intersect1d(a, b, assume_unique=True)
+    return not len(common) or common[0] == token
+
+
 def search_parts(nodes: np.ndarray, part: np.ndarray, comps: np.ndarray, points: np.ndarray,
                  threshold: tuple[int, int]) -> Iterator[tuple[int, int]]:
-    """Pairs of different components that pass the bound: within the part if
-    there is one, else across the two parts (each part finds its own pairs)."""
+    """Pairs (rows) of different components that pass the bound: within the
+    part if there is one, else across the two parts (each part finds its own
+    pairs)."""
     totals = points.sum(axis=1, dtype=np.int64)
     sides = np.unique(part)
     left = np.flatnonzero(part == sides[0])
     right = np.flatnonzero(part == sides[-1])
-    if len(np.unique(comps)) < 2:
-        return
     tree = CountTree(points[right], totals[right])
     for i in left:
         hits = right[tree.search(points[i], int(totals[i]), threshold)]
         for j in hits[comps[hits] != comps[i]]:
             if len(sides) == 2 or nodes[i] < nodes[j]:
-                yield int(min(nodes[i], nodes[j])), int(max(nodes[i], nodes[j]))
+                yield int(i), int(j)
+
+
+def search_small(starts: np.ndarray, ends: np.ndarray, nodes: np.ndarray, comps: np.ndarray, points: np.ndarray,
+                 threshold: tuple[int, int]) -> list[tuple[int, int]]:
+    """The same for many blocks of a few points each: a tree of one leaf
+    compares all its points, here the leaves of all blocks together."""
+    sizes = ends - starts
+    first = np.repeat(np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(
+        starts, sizes), np.repeat(sizes, sizes))
+    row = np.arange(len(first)) - np.repeat(np.cumsum(sizes**2) - sizes**2, sizes**2)
+    second = np.repeat(starts, sizes**2) + row % np.repeat(sizes, sizes**2)
+    open_ = (nodes[first] < nodes[second]) & (comps[first] != comps[second])
+    first, second = first[open_], second[open_]
+    totals = points.sum(axis=1, dtype=np.int64)
+    found = []
+    for low in range(0, len(first), 4096):
+        i, j = first[low:low + 4096], second[low:low + 4096]
+        fits = overlap_bound(points[i], points[j]) >= least_overlap(totals[i] + totals[j], threshold)
+        found.extend(zip(i[fits].tolist(), j[fits].tolist(), strict=True))
+    return found
 
 
 def open_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame, threshold: tuple[int, int],
@@ -252,16 +311,24 @@ def open_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame, threshold
     marked = blocks.join(comps, "node", "left").select(
         "token", "node", "salted", F.coalesce("component", "node").alias("comp"))
     marked = materialize(marked)
-    mixed = marked.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                        F.count(F.lit(1)).alias("rows"), F.max("salted").alias("salted"))
+    mixed = marked.groupBy("token").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"),
+        F.max("salted").alias("salted"), F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("y"))
     mixed = mixed.where("(rows > 2 or salted) and lo != hi")
+    # blocks of the same points (by two hashes of them) are one
+    mixed = mixed.groupBy("rows", "x", "y").agg(F.min("token").alias("token"))
     mixed = mixed.select("token", F.ceil(F.col("rows") / part_size).cast("int").alias("parts"))
-    rows = marked.join(mixed, "token").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    rows = materialize(marked.join(mixed, "token"))
+    # a list per point, bounded by its tokens: lets a pair be reported by one of the blocks it shares
+    lists = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, TOKENS_KEPT).alias("tokens"))
+    lists = lists.join(points.select(F.col("doc_id").alias("node"), "counts"), "node").dropDuplicates(["node"])
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # a block of several parts: a copy of each point for every pair of parts it is in
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("token", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part",
                        "node", "comp")
-    rows = rows.join(points.select(F.col("doc_id").alias("node"), "counts"), "node")
+    rows = rows.join(lists, "node")
     rows = rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,12 +337,18 @@ def open_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame, threshold
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1), [True]]))
             nodes, part, own = (table[k].to_numpy() for k in ("node", "part", "comp"))
             points = vectors(table["counts"].combine_chunks())
-            found = set()
-            for a, b in zip(new[:-1].tolist(), new[1:].tolist(), strict=True):
+            lists = table["tokens"].combine_chunks()
+            starts, ends = new[:-1], new[1:]
+            small = (key[starts, 1] == key[starts, 2]) & (ends - starts <= 2 * LEAF)
+            hits = search_small(starts[small], ends[small], nodes, own, points, threshold)
+            for a, b in zip(starts[~small].tolist(), ends[~small].tolist(), strict=True):
                 across = key[a, 1] != key[a, 2]
-                if across and len(np.unique(part[a:b])) < 2:
+                if (across and len(np.unique(part[a:b])) < 2) or len(np.unique(own[a:b])) < 2:
                     continue
-                found.update(search_parts(nodes[a:b], part[a:b], own[a:b], points[a:b], threshold))
+                hits += [(a + i, a + j) for i, j in search_parts(nodes[a:b], part[a:b], own[a:b], points[a:b], threshold)]
+            token_list = {i: lists[i].values.to_numpy() for pair in hits for i in pair}
+            found = {(int(min(nodes[i], nodes[j])), int(max(nodes[i], nodes[j]))) for i, j in hits
+                     if is_home(key[i, 0], token_list[i], token_list[j])}
             u, v = zip(*sorted(found), strict=True) if found else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
@@ -292,7 +365,7 @@ def open_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame, threshold
         if held is not None and held.num_rows:
             yield pairs_of(held)
 
-    return rows.select("token", "lo", "hi", "part", "node", "comp", "counts").mapInArrow(
+    return rows.select("token", "lo", "hi", "part", "node", "comp", "counts", "tokens").mapInArrow(
         run, "u long, v long").distinct()
 
 
@@ -306,36 +379,31 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     component is the smallest id reachable by links. Documents without words
     (null, empty, blank) link with nothing and are their own component; so are
     rows with a null id (component null) unless their set equals another's.
-    Repeated rows are equal sets. Ids must be integers.
+    Repeated rows are equal sets. Ids must be integers and belong to one text.
     """
     base = id_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     points = materialize(document_points(base))
     total = points.count()
     classes = materialize(points.where("n_shingles > 0").groupBy("n_shingles", "a", "b").agg(
         F.min("doc_id").alias("rep")))
-    # one row per class; rows that repeat an id count once
     reps = classes.where("rep is not null").select(F.col("rep").alias("doc_id"))
-    own = points.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "a", "b"),
-                      ["doc_id", "n_shingles", "a", "b"], "left_semi").select("doc_id", "counts")
-    own = materialize(own.dropDuplicates(["doc_id"]))
+    own = points.select("doc_id", "counts")
     texts = base.join(reps, "doc_id", "left_semi")
 
     frequent = frequent_tokens(base, total)
     window = Window.partitionBy("token", "salt")
-    lead = F.struct(F.xxhash64("node", F.pmod("token", F.lit(LEADERS))), "node", "n")
+    lead = F.struct(F.xxhash64("node", F.pmod("token", F.lit(LEADERS))), "node")
     blocks = route(texts, frequent, threshold).withColumn("lead", F.min(lead).over(window)).withColumn(
         "rows", F.count(F.lit(1)).over(window))
     blocks = blocks.where("rows > 1 or salt >= 0").select(
-        "token", "node", "n", (F.col("salt") >= 0).alias("salted"), F.col("lead.node").alias("leader"),
-        F.col("lead.n").alias("leader_n"))
+        "token", "node", (F.col("salt") >= 0).alias("salted"), F.col("lead.node").alias("leader"))
     blocks = materialize(blocks)
 
-    stars = blocks.where((F.col("node") != F.col("leader")) & size_fits(F.col("n"), F.col("leader_n"), threshold))
-    stars = stars.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct()
-    links = materialize(verify(materialize(bounded(stars, own, threshold)), texts, threshold))
+    stars = blocks.where(F.col("node") != F.col("leader")).select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct()
+    links = materialize(verify(materialize(bounded(stars, own, threshold)), base, threshold))
     comps = connected_components(links)
     rest = materialize(open_pairs(blocks.select("token", "node", "salted").distinct(), own, comps, threshold))
-    comps = connected_components(links.unionByName(verify(rest, texts, threshold)))
+    comps = connected_components(links.unionByName(verify(rest, base, threshold)))
 
     named = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n_shingles", "a", "b", F.coalesce("component", "rep").alias("component"))
