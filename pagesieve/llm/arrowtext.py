@@ -6,13 +6,15 @@ task's memory does not grow with its partition. A null text counts as empty.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 ASCII_SPACE = np.zeros(256, bool)
 ASCII_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -66,6 +68,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: workers live on between tasks and
+    stages, and what their allocators keep is missing elsewhere."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive row ranges of a
     string column, each of about ``max_bytes`` (one row at least)."""
@@ -86,6 +96,7 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int
         end = min(max(end, row + 1), len(column))
         yield row, end, data[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row]
         row = end
+    release_memory()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, ...]:
