@@ -16,8 +16,9 @@ lower-cased. Only keys of at least ``min_chars`` code points take part. Keys
 are compared by two 64-bit hashes (128 bits).
 
 Hot lines: the runs are combinable aggregates, so a line found in a third of
-all documents moves one row per map task; the join that marks the dropped
-lines is a plain equi-join whose large partitions the engine may split.
+all documents moves one row per map task. Lines that make up more than
+1 / ``HOT_SHARE`` of all lines, ``HOT_SHARE`` of them at most, are marked by a
+broadcast of their hashes; the others by an equi-join.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ MIN_CHARS = 20
 MIN_DOCS = 3
 BATCHES = 4
 FAN_IN = 2
+HOT_SHARE = 1000
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -139,9 +141,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     levels, keepers = Levels(fan_in), []
     for part in descending_batches(lines, batches):
         keepers.append(append_batch(levels, lines.where(part)))
-    common = merge_runs(levels.runs()).where(F.col("docs") >= min_docs).select("a", "b")
-    common = common.join(reduce(DataFrame.unionByName, keepers), ["a", "b"])
-    drops = lines.join(common, ["a", "b"]).where(F.col("doc_id") != F.col("keeper"))
+    common = merge_runs(levels.runs()).where(F.col("docs") >= min_docs).select("a", "b", "docs")
+    common = materialize(common.join(reduce(DataFrame.unionByName, keepers).select("a", "b", "keeper"), ["a", "b"]))
+    limit = lines.count() / HOT_SHARE
+    hot, rest = (common.where(c).select("a", "b", "keeper") for c in (F.col("docs") > limit, F.col("docs") <= limit))
+    cold = lines.join(F.broadcast(hot), ["a", "b"], "left_anti")
+    marked = lines.join(F.broadcast(hot), ["a", "b"]).unionByName(cold.join(rest, ["a", "b"]))
+    drops = marked.where(F.col("doc_id") != F.col("keeper"))
     # bounded by the lines of one document
     drops = drops.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("_drops"))
     joined = base.join(drops, "doc_id", "left")
