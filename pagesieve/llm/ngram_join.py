@@ -226,36 +226,58 @@ def verify(pairs: DataFrame, docs: DataFrame, threshold: tuple[int, int]) -> Dat
 
 class CountTree:
     """R-tree over count vectors, bulk loaded by halving along the coordinate
-    of largest spread. A node keeps the upper corner of its box and the
-    smallest total of its points."""
+    of largest spread, after large components are set apart. A node keeps the
+    upper corner of its box, the smallest total of its points, and their
+    component if it is one."""
 
-    def __init__(self, points: np.ndarray, totals: np.ndarray, leaf: int = LEAF):
+    def __init__(self, points: np.ndarray, totals: np.ndarray, comps: np.ndarray | None = None, leaf: int = LEAF):
         self.points, self.totals = points, totals
+        self.comps = np.arange(len(points)) if comps is None else comps
         self.root = self._load(np.arange(len(points)), leaf)
 
     def _load(self, rows: np.ndarray, leaf: int) -> tuple:
-        own = self.points[rows]
-        top, least = own.max(axis=0), int(self.totals[rows].min())
+        own, comps = self.points[rows], self.comps[rows]
+        names, counts = np.unique(comps, return_counts=True)
+        node = own.max(axis=0), int(self.totals[rows].min()), int(names[0]) if len(names) == 1 else None
         if len(rows) <= leaf:
-            return top, least, rows, None
-        spread = np.argmax(top.astype(np.int64) - own.min(axis=0))
-        order = rows[np.argsort(own[:, spread], kind="stable")]
-        half = len(order) // 2
-        return top, least, None, (self._load(order[:half], leaf), self._load(order[half:], leaf))
+            return *node, rows, None
+        if len(names) > 1 and counts.max() >= leaf:
+            inside = comps == names[counts.argmax()]
+            halves = rows[inside], rows[~inside]
+        else:
+            spread = np.argmax(node[0].astype(np.int64) - own.min(axis=0))
+            order = rows[np.argsort(own[:, spread], kind="stable")]
+            halves = order[:len(order) // 2], order[len(order) // 2:]
+        return *node, None, tuple(self._load(half, leaf) for half in halves)
 
     def search(self, point: np.ndarray, total: int, threshold: tuple[int, int]) -> np.ndarray:
         """Rows whose summed coordinate minima with ``point`` suffice."""
-        found, stack = [], [self.root]
+        one = CountTree(point[None], np.array([total]), np.array([-1]))
+        return np.sort(np.array([j for _, j in one.join(self, threshold)], np.int64))
+
+    def join(self, other: CountTree, threshold: tuple[int, int]) -> Iterator[tuple[int, int]]:
+        """Pairs (own row, other's row) of different components whose summed
+        coordinate minima suffice: both trees are descended together, as long as
+        the minima of the upper corners do."""
+        stack = [(self.root, other.root)]
         while stack:
-            top, least, rows, children = stack.pop()
-            if overlap_bound(point, top) < least_overlap(total + least, threshold):
+            a, b = stack.pop()
+            if (a[2] is not None and a[2] == b[2]) or overlap_bound(a[0], b[0]) < least_overlap(a[1] + b[1], threshold):
                 continue
-            if rows is None:
-                stack.extend(children)
+            if a[4] is None and b[4] is None:
+                bound = overlap_bound(self.points[a[3]][:, None], other.points[b[3]][None])
+                total = self.totals[a[3]][:, None] + other.totals[b[3]][None]
+                fits = (bound >= least_overlap(total, threshold)) & (
+                    self.comps[a[3]][:, None] != other.comps[b[3]][None])
+                i, j = np.nonzero(np.triu(fits) if a is b else fits)
+                yield from zip(a[3][i].tolist(), b[3][j].tolist(), strict=True)
+            elif b[4] is None or (a[4] is not None and a is not b):
+                stack.extend((child, b) for child in a[4])
+            elif a is b:
+                # a tree with itself: every pair of nodes once
+                stack.extend((a[4][x], a[4][y]) for x, y in ((0, 0), (0, 1), (1, 1)))
             else:
-                fits = overlap_bound(self.points[rows], point) >= least_overlap(total + self.totals[rows], threshold)
-                found.append(rows[fits])
-        return np.concatenate(found) if found else np.zeros(0, np.int64)
+                stack.extend((a, child) for child in b[4])
 
 
 def is_home(token: int, a: np.ndarray, b: np.ndarray) -> bool:
@@ -266,21 +288,15 @@ def is_home(token: int, a: np.ndarray, b: np.ndarray) -> bool:
     return not len(common) or common[0] == token
 
 
-def search_parts(nodes: np.ndarray, part: np.ndarray, comps: np.ndarray, points: np.ndarray,
-                 threshold: tuple[int, int]) -> Iterator[tuple[int, int]]:
+def search_parts(part: np.ndarray, comps: np.ndarray, points: np.ndarray,
+                 threshold: tuple[int, int]) -> list[tuple[int, int]]:
     """Pairs (rows) of different components that pass the bound: within the
     part if there is one, else across the two parts (each part finds its own
     pairs)."""
     totals = points.sum(axis=1, dtype=np.int64)
-    sides = np.unique(part)
-    left = np.flatnonzero(part == sides[0])
-    right = np.flatnonzero(part == sides[-1])
-    tree = CountTree(points[right], totals[right])
-    for i in left:
-        hits = right[tree.search(points[i], int(totals[i]), threshold)]
-        for j in hits[comps[hits] != comps[i]]:
-            if len(sides) == 2 or nodes[i] < nodes[j]:
-                yield int(i), int(j)
+    sides = [np.flatnonzero(part == s) for s in np.unique(part)]
+    trees = [CountTree(points[rows], totals[rows], comps[rows]) for rows in sides]
+    return [(int(sides[0][i]), int(sides[-1][j])) for i, j in trees[0].join(trees[-1], threshold)]
 
 
 def search_small(starts: np.ndarray, ends: np.ndarray, nodes: np.ndarray, comps: np.ndarray, points: np.ndarray,
@@ -345,7 +361,7 @@ def open_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame, threshold
                 across = key[a, 1] != key[a, 2]
                 if (across and len(np.unique(part[a:b])) < 2) or len(np.unique(own[a:b])) < 2:
                     continue
-                hits += [(a + i, a + j) for i, j in search_parts(nodes[a:b], part[a:b], own[a:b], points[a:b], threshold)]
+                hits += [(a + i, a + j) for i, j in search_parts(part[a:b], own[a:b], points[a:b], threshold)]
             token_list = {i: lists[i].values.to_numpy() for pair in hits for i in pair}
             found = {(int(min(nodes[i], nodes[j])), int(max(nodes[i], nodes[j]))) for i, j in hits
                      if is_home(key[i, 0], token_list[i], token_list[j])}

@@ -95,12 +95,32 @@ def test_tree_finds_all_that_the_bound_allows(rng):
     points[100:] = points[:100]
     points[100:, :3] += 1
     totals = points.sum(axis=1, dtype=np.int64)
-    tree = J.CountTree(points, totals, 4)
+    tree = J.CountTree(points, totals, leaf=4)
     for i in range(0, 200, 17):
         want = [k for k in range(200) if 7 * np.minimum(points[i], points[k]).sum() >= 3 * (totals[i] + totals[k])]
         assert sorted(tree.search(points[i], int(totals[i]), J.THRESHOLD).tolist()) == want
 
 
+def test_tree_join_finds_each_pair_of_components_once(rng):
+    points = np.array([[rng.randint(0, 3) for _ in range(J.GROUPS)] for _ in range(90)], np.uint32)
+    points[30:] = points[np.array([rng.randrange(30) for _ in range(60)])]
+    points[60:, rng.randrange(9)] += 1
+    comps = np.array([rng.choice((1, 1, 1, 2, 3, 10 + i)) for i in range(90)])
+    totals = points.sum(axis=1, dtype=np.int64)
+
+    def fits(i, j):
+        return comps[i] != comps[j] and 7 * np.minimum(points[i], points[j]).sum() >= 3 * (totals[i] + totals[j])
+
+    one = np.zeros(90, int)
+    got = [tuple(sorted(p)) for p in J.search_parts(one, comps, points, J.THRESHOLD)]
+    want = {(i, j) for i in range(90) for j in range(i + 1, 90) if fits(i, j)}
+    assert set(got) == want and len(got) == len(want)
+    two = np.array([rng.randrange(2) for _ in range(90)])
+    got = [tuple(sorted(p)) for p in J.search_parts(two, comps, points, J.THRESHOLD)]
+    want = {(i, j) for i, j in want if two[i] != two[j]}
+    assert set(got) == want and len(got) == len(want)
+
+
 def test_threshold_is_exact(frame):
     # three of four shingles in common: 75 in 100 exactly; then one less
     a, b = "a b c d e f g", "a b c d e f g h"
