@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagesieve.llm import bpe, decontaminate, line_dedup, ngram_join, packing, quality
-from pagesieve.llm.tables import materialize, read
+from pagesieve.llm.tables import materialize, read, small_batches
 
 LEAST_QUALITY = 0.3
 
@@ -23,12 +23,14 @@ ORACLE_SQL = None
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    small_batches(spark)
     return quality.keep_good_documents(docs, read(spark, sf_dir, "labels"), LEAST_QUALITY)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; ``text`` and ``n_chars`` are those of the lines that
     stay. No document goes, even if no line of it stays."""
+    small_batches(spark)
     cut = line_dedup.dedup_lines(docs, carry=docs.columns)
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)}
     return cut.select(*[new.get(c, F.col("carry")[c]).alias(c) for c in docs.columns])
@@ -36,16 +38,19 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of smallest id stays."""
+    small_batches(spark)
     return ngram_join.keep_one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated by benchmark items go."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their place in the sequences."""
+    small_batches(spark)
     return packing.pack_documents(docs, bpe.tokenizer_path("word_bpe_49k.json"))
 
 

@@ -1,7 +1,7 @@
 """Text columns of Arrow batches as byte arrays, and hashes of words in them.
 
-Every helper works on one slice of a batch at a time (a few MB of text), so a
-task's memory does not grow with its partition. A null text counts as empty.
+Every helper works on one slice of a batch at a time (SLICE_BYTES of text, or one
+text), so a task's memory does not grow with its partition. A null text counts as empty.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 ASCII_SPACE = np.zeros(256, bool)
 ASCII_SPACE[[0x20, 9, 10, 11, 12, 13]] = True

@@ -21,8 +21,8 @@ import pyarrow as pa
 
 from pagesieve.llm import arrowtext as A
 
-SLICE_BYTES = 2 << 20
-MAX_PARTS = 2_500_000
+SLICE_BYTES = 1 << 20
+MAX_PARTS = 600_000
 
 #: the UTF-8 forms of white space outside ASCII, by number of bytes
 _WIDE_SPACE = [chr(x).encode() for x in range(128, 0x3001) if chr(x).isspace()]
@@ -161,7 +161,7 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One encoder per tokenizer file and Python worker."""
     return Encoder(path)

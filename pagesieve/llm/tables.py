@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 
 from pagesieve.session import ensure_checkpoint_dir, materialize, scratch_path
 
-__all__ = ["ensure_checkpoint_dir", "materialize", "scratch_path", "read", "id_text", "spread_rows"]
+__all__ = ["ensure_checkpoint_dir", "id_text", "materialize", "read", "scratch_path", "small_batches"]
+
+
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send at most BATCH_ROWS rows at once to Python workers: in a session of
+    many stages the buffers of earlier ones live on in workers and executors."""
+    if int(spark.conf.get(BATCH_CONF)) > BATCH_ROWS:
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,8 +29,3 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Only the id and the text, under fixed names: other columns of the input
     (whatever their names) never reach an operator."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-
-
-def spread_rows(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Deal rows out by key for CPU-heavy work, whatever the file layout."""
-    return df.repartition(F.col(key))
