@@ -12,9 +12,10 @@ in the one before and so on, nested, so texts of any lengths share samples. A
 sample is six bits of a hash of the ``GRAM`` characters at the walk's place, or
 ``-`` beyond the text's end.
 
-``likeness`` estimates the share of steps at which two walks read the same.
-``similar_documents`` bands sampled bits, and verifies the pairs that share a
-band by their likeness.
+``likeness`` estimates the share of steps at which two walks read the same,
+``walk_likeness`` counts it over the whole texts. ``similar_documents`` bands
+sampled bits, and verifies the pairs that share a band on their texts, or by
+their likeness where it is given none.
 
 The walks of many texts step together in vector operations; texts of similar
 length are walked in one group, whose size in characters is bounded.
@@ -26,12 +27,14 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesieve.llm import arrowtext as A
-from pagesieve.llm.tables import id_text
+from pagesieve.llm.components import connected_components
+from pagesieve.llm.tables import id_text, materialize
 
 SAMPLES = 64
 GRAM = 4
@@ -304,24 +307,111 @@ def bands(fingerprint: str, n_bands: int = 16, per_band: int = 4) -> list[str]:
     return keys
 
 
-def similar_documents(marked: DataFrame, threshold: float = 0.75) -> DataFrame:
+def walk_likeness(pairs: list[tuple[str, str]]) -> list[float]:
+    """The share of the steps (of the longer walk) at which the walks over both
+    texts of a pair read the same ``GRAM`` characters."""
+    out = [1.0] * len(pairs)
+    order = sorted((i for i, (x, y) in enumerate(pairs) if x != y), key=lambda i: max(map(len, pairs[i])))
+    group, size = [], 0
+    for i in [*order, -1]:
+        more = sum(map(len, pairs[i])) if i >= 0 else 0
+        if group and (i < 0 or size + more > GROUP_CHARS):
+            for j, share in zip(group, walk_pairs([pairs[j] for j in group]), strict=True):
+                out[j] = share
+            group, size = [], 0
+        group.append(i)
+        size += more
+    return out
+
+
+def walk_pairs(pairs: list[tuple[str, str]]) -> list[float]:
+    texts = [character_classes(np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32))
+             for pair in pairs for x in pair]
+    starts = np.concatenate([[0], np.cumsum([len(t) + GRAM for t in texts])])
+    flat = np.zeros(int(starts[-1]) + GRAM, np.uint8)
+    for start, text in zip(starts, texts, strict=False):
+        flat[start:start + len(text)] = text
+    grams = np.zeros(len(flat), np.uint32)
+    for g in range(GRAM):
+        grams = grams << np.uint32(8) | np.concatenate([flat[g:], np.zeros(g, np.uint8)])
+    one, two = starts[:-1:2].copy(), starts[1:-1:2].copy()
+    active = np.arange(len(pairs))
+    same, either = np.zeros(len(pairs)), np.zeros(len(pairs))
+    step = 0
+    while len(active):
+        x, y = flat[one], flat[two]
+        there = (x != 0) | (y != 0)
+        either[active] += there
+        same[active] += there & (grams[one] == grams[two])
+        moves = MOVES[step % PERIOD]
+        one, two = one + moves[x], two + moves[y]
+        step += 1
+        if step % CHECK_EVERY == 0 or not there.any():
+            active, one, two = active[there], one[there], two[there]
+    return (same / np.maximum(either, 1)).tolist()
+
+
+PAIR_BLOCK = 256
+
+
+def similar_documents(marked: DataFrame, threshold: float = 0.75, texts: DataFrame | None = None,
+                      block: int = PAIR_BLOCK) -> DataFrame:
     """Pairs (doc_id, other_id, likeness) of documents whose fingerprints share
-    a band and are at least ``threshold`` alike. Equal fingerprints meet once:
-    pairs link class representatives (the smallest id of a class), and the
-    members of a class (themselves excepted) are linked to theirs with
-    likeness 1. In a band each class is compared with the band's smallest id,
-    so a band of any size gives one candidate per class."""
-    classes = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-    copies = marked.select("doc_id", "fingerprint").join(
-        classes.withColumnRenamed("doc_id", "other_id"), "fingerprint").where(F.col("doc_id") != F.col("other_id"))
+    a band and are at least ``threshold`` alike: any two such documents are
+    linked, directly or over others. ``texts`` (doc_id, text) verifies on the
+    whole texts; without it the likeness of the fingerprints decides.
+
+    Equal texts (without ``texts``, equal fingerprints) meet once: pairs link
+    class representatives (the smallest id of a class), and the members of a
+    class (themselves excepted) are linked to theirs with likeness 1. In a band
+    each class is first compared with the band's smallest id. Those of a band
+    that are not connected then are compared with each other, in salted blocks
+    of about ``block`` classes, every pair of blocks by itself."""
+    rows = marked.select("doc_id", "fingerprint")
+    same = "fingerprint"
+    if texts is not None:
+        rows = rows.join(texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id").withColumn(
+            "same", F.sha2("text", 256))
+        same = "same"
+    classes = rows.groupBy(same).agg(F.min("doc_id").alias("doc_id"), F.min("fingerprint").alias("_f"))
+    classes = materialize(classes.select("doc_id", same, F.col("_f").alias("_mark")))
+    copies = rows.select("doc_id", same).join(
+        classes.select(same, F.col("doc_id").alias("other_id")), same).where(F.col("doc_id") != F.col("other_id"))
     keys = F.udf(bands, "array<string>")
-    banded = classes.select("doc_id", "fingerprint", F.explode(keys("fingerprint")).alias("band"))
+    banded = materialize(classes.select("doc_id", F.explode(keys("_mark")).alias("band")))
+    if texts is None:
+        bodies, alike = classes.select("doc_id", F.col("_mark").alias("_body")), F.udf(likeness, "double")
+    else:
+        bodies = rows.join(classes.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(
+            F.min("text").alias("_body"))
+        alike = F.pandas_udf(_walk_likeness_of, "double")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        one = bodies.select("doc_id", F.col("_body").alias("_a"))
+        two = bodies.select(F.col("doc_id").alias("other_id"), F.col("_body").alias("_b"))
+        return materialize(pairs.join(one, "doc_id").join(two, "other_id").select(
+            "doc_id", "other_id", alike("_a", "_b").alias("likeness")).where(F.col("likeness") >= threshold))
+
     heads = banded.groupBy("band").agg(F.min("doc_id").alias("other_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = banded.select("doc_id", "band").join(heads, "band").where(
-        F.col("doc_id") != F.col("other_id")).select("doc_id", "other_id").distinct()
-    one = classes.select("doc_id", F.col("fingerprint").alias("_a"))
-    two = classes.select(F.col("doc_id").alias("other_id"), F.col("fingerprint").alias("_b"))
-    alike = F.udf(likeness, "double")
-    verified = pairs.join(one, "doc_id").join(two, "other_id").select(
-        "doc_id", "other_id", alike("_a", "_b").alias("likeness")).where(F.col("likeness") >= threshold)
-    return verified.unionByName(copies.select("doc_id", "other_id", F.lit(1.0).alias("likeness")))
+    led = verified(banded.join(heads, "band").where(
+        F.col("doc_id") != F.col("other_id")).select("doc_id", "other_id").distinct())
+    comps = connected_components(led.select(F.col("doc_id").alias("u"), F.col("other_id").alias("v")))
+    open_rows = banded.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "band", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
+    mixed = open_rows.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                          F.count(F.lit(1)).alias("n")).where("n > 2 and lo != hi")
+    open_rows = materialize(open_rows.join(mixed.select("band", F.ceil(F.col("n") / block).cast("int").alias("parts")),
+                                           "band").withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts").cast("int")))
+    left = open_rows.select("band", F.col("part").alias("i"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("j"),
+                            "doc_id", "comp")
+    right = open_rows.select("band", F.explode(F.sequence(F.lit(0), "part")).alias("i"), F.col("part").alias("j"),
+                             F.col("doc_id").alias("other_id"), F.col("comp").alias("other_comp"))
+    rest = left.join(right, ["band", "i", "j"]).where(
+        "comp != other_comp and (i != j or doc_id > other_id)").select(
+        F.greatest("doc_id", "other_id").alias("doc_id"), F.least("doc_id", "other_id").alias("other_id")).distinct()
+    return led.unionByName(verified(rest)).unionByName(
+        copies.select("doc_id", "other_id", F.lit(1.0).alias("likeness")))
+
+
+def _walk_likeness_of(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(walk_likeness(list(zip(a, b, strict=True))))

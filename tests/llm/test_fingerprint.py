@@ -74,3 +74,79 @@ def test_similar_documents(frame, rng):
     assert sum((100 + i, i) in found for i in range(20)) >= 19
     assert all(found[200 + i, 0] == 1 for i in range(5))
     assert all(a % 100 == b % 100 or a >= 200 for a, b in found)
+
+
+def linked(pairs):
+    """The smallest id of every id's component."""
+    root = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = top(a), top(b)
+        root[max(a, b)] = min(a, b)
+    return {x: top(x) for x in list(root)}
+
+
+def test_a_family_of_variants_against_brute_force(frame, rng):
+    template = noise(rng, 900)
+    kinds = [noise(rng, 500) for _ in range(12)]  # too unlike through their second halves
+    texts = [template + k for k in kinds]
+    texts += [template + k[:480 - i] + noise(rng, 20 + i) for i in range(3) for k in kinds]
+    texts += [texts[5], "", ""]
+    pairs = list(enumerate(texts))
+    marks = P.fingerprints(texts)
+    shared = [(a, b) for b in range(len(texts)) for a in range(b)
+              if texts[a] == texts[b] or set(P.bands(marks[a])) & set(P.bands(marks[b]))]
+    on_texts = dict(zip(shared, P.walk_likeness([(texts[a], texts[b]) for a, b in shared]), strict=True))
+    by_marks = {(a, b): P.likeness(marks[a], marks[b]) for a, b in shared}
+    marked = P.fingerprint_documents(frame(pairs))
+    for likeness, args in ((by_marks, {}), (by_marks, {"block": 3}), (on_texts, {"texts": frame(pairs), "block": 7})):
+        want = {p for p, v in likeness.items() if v >= 0.75}
+        got = {(min(r.doc_id, r.other_id), max(r.doc_id, r.other_id)): r.likeness
+               for r in P.similar_documents(marked, **args).collect()}
+        assert set(got) <= want and all(abs(got[p] - likeness[p]) < 1e-9 for p in got)
+        assert linked(got) == linked(want) and len(set(linked(want).values())) > 3
+
+
+def test_variants_whose_bands_smaller_ids_head(spark, rng):
+    """Half-alike documents of smaller ids head all bands of the variants."""
+    symbols = P.ALPHABET.tobytes().decode()[:62]
+    sizes = [P.samples_kept(k, 10) for k in range(10, P.FIRST_OCTAVE - 2, -1)]
+
+    def changed(mark, where):
+        return "10:" + "".join(rng.choice(symbols) if where(i) else c for i, c in enumerate(mark[3:]))
+
+    marks = []
+    for _ in range(3):
+        base = changed("10:" + "0" * sum(sizes), lambda i: True)
+        marks += [changed(base, lambda i, k=k: i // 16 % 2 == k) for k in range(2)]
+        marks += [changed(base, lambda i: rng.random() < 0.05) for _ in range(6)]
+    want = {(a, b): P.likeness(marks[a], marks[b]) for b in range(len(marks)) for a in range(b)
+            if set(P.bands(marks[a])) & set(P.bands(marks[b])) and P.likeness(marks[a], marks[b]) >= 0.75}
+    assert len(want) >= 40
+    marked = spark.createDataFrame(list(enumerate(marks)), "doc_id long, fingerprint string")
+    got = [(r.doc_id, r.other_id) for r in P.similar_documents(marked).collect()]
+    assert linked(got) == linked(want)
+
+
+def plain_likeness(a, b):
+    classes = [list(P.character_classes(P.np.frombuffer(t.encode("utf-32-le"), P.np.uint32))) for t in (a, b)]
+    places, same, either, step = [0, 0], 0, 0, 0
+    while any(p < len(c) for p, c in zip(places, classes, strict=True)):
+        one, two = (c[p:p + P.GRAM] for p, c in zip(places, classes, strict=True))
+        either, same = either + 1, same + (one == two)
+        for k, here in enumerate((one, two)):
+            places[k] += int(P.MOVES[step % P.PERIOD][here[0]]) if here else 0
+        step += 1
+    return same / either if either else 1.0
+
+
+def test_walk_likeness_against_single_steps(rng):
+    texts = [noise(rng, rng.choice((0, 1, 5, 200))) for _ in range(8)]
+    texts += [t[:150] + noise(rng, 30) for t in texts]
+    pairs = [(a, b) for a in texts for b in texts]
+    assert all(abs(x - plain_likeness(*p)) < 1e-12 for x, p in zip(P.walk_likeness(pairs), pairs, strict=True))
