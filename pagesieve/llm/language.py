@@ -12,9 +12,9 @@ Symbols: A-Z and a-z by letter, bytes of non-ASCII characters by their low five
 bits, everything else one symbol. All contexts of the highest order with their
 symbols fit a dense index, so scoring is a table look-up per byte.
 
-Counting covers the whole texts of all rows that may be learned from. What
-comes to the driver are the strings of ORDER + 1 symbols that make up at least
-``MIN_SHARE`` of a language's bytes, hence at most 1 / MIN_SHARE per language.
+Counting covers the whole texts of all rows that may be learned from. All
+strings of ORDER + 1 symbols that occur come to the driver with their counts,
+at most SYMBOLS^(ORDER + 1) per language, however long the texts.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ from pagesieve.llm import arrowtext as A
 from pagesieve.llm.tables import id_text
 
 ORDER = 3
-MIN_SHARE = 1e-6
 MAX_LANGUAGES = 64
 COUNT_BYTES = 16 << 20
 UNKNOWN = "und"
@@ -131,21 +130,18 @@ class Trees:
         return out
 
 
-def fit(rows: DataFrame, min_share: float = MIN_SHARE, max_languages: int = MAX_LANGUAGES) -> Trees:
-    """Learn from rows (text, lang). A language's rarer strings (below
-    ``min_share`` of its bytes) are left to shorter contexts. More than
-    ``max_languages`` different values of lang are an error, none is dropped."""
+def fit(rows: DataFrame, max_languages: int = MAX_LANGUAGES) -> Trees:
+    """Learn from rows (text, lang). More than ``max_languages`` different
+    values of lang are an error, none is dropped."""
     from pagesieve.llm.tables import materialize
 
     grams = materialize(count_grams(rows))
-    totals = grams.groupBy("lang").agg(F.sum("n").alias("total"))
-    langs = [r[0] for r in totals.limit(max_languages + 1).collect()]
+    langs = [r[0] for r in grams.select("lang").distinct().limit(max_languages + 1).collect()]
     if len(langs) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
-    kept = grams.join(F.broadcast(totals), "lang").where(F.col("n") >= F.lit(min_share) * F.col("total"))
     counts = {}
     for lang in langs:
-        table = kept.where(F.col("lang") == lang).select("gram", "n").toArrow()
+        table = grams.where(F.col("lang") == lang).select("gram", "n").toArrow()
         counts[lang] = table["gram"].to_numpy(), table["n"].to_numpy()
     return Trees(counts)
 

@@ -60,6 +60,15 @@ def test_code_lengths_against_a_plain_model():
             assert abs(got[row, k] - want) < 1e-3
 
 
+def test_rare_strings_count(spark):
+    texts = ["the words of every day come again and again " * 60_000, "a rare word: Łódź, façade, qzx"]
+    docs = spark.createDataFrame([(t, "x") for t in texts], "text string, lang string")
+    got, want = L.fit(docs), L.Trees({"x": counts_of(texts)})
+    rare = np.frombuffer("Łódź façade qzx, unknown jkv".encode(), np.uint8)
+    bits = [t.code_lengths(rare, np.array([0, len(rare)])) for t in (got, want)]
+    assert (got.row_of == want.row_of).all() and bits[0][0, 0] == bits[1][0, 0]
+
+
 def test_odd_rows_and_empty_tables(frame, odd_pairs):
     out = L.identify_documents(frame(odd_pairs)).collect()
     assert len(out) == len(odd_pairs)
