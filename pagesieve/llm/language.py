@@ -1,6 +1,6 @@
 """Language identification by prediction by partial matching.
 
-Each language has a context tree over byte symbols: the counts of every symbol
+Each language has a context tree over the folded bytes of its texts: the counts of every symbol
 after every context of 0 to ``ORDER`` symbols. With n symbols seen after a
 context, q of them distinct, a symbol seen c times has probability c / (n + q),
 and the escape to the next shorter context q / (n + q); below the empty context
@@ -14,12 +14,16 @@ symbols fit a dense index, so scoring is a table look-up per byte.
 
 Counting covers the whole texts of all rows that may be learned from. All
 strings of ORDER + 1 symbols that occur come to the driver with their counts,
-at most SYMBOLS^(ORDER + 1) per language, however long the texts.
+at most SYMBOLS^(ORDER + 1) per language, however long the texts, and
+``LANGUAGES_PER_BLOCK`` languages at a time. Their tables are files in the
+shared folder, and a task scores a batch of rows under one block after another.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesieve.llm import arrowtext as A
-from pagesieve.llm.tables import id_text
+from pagesieve.llm.records import file_system
+from pagesieve.llm.tables import id_text, materialize, scratch_path
 
 ORDER = 3
-MAX_LANGUAGES = 64
+LANGUAGES_PER_BLOCK = 16
 COUNT_BYTES = 16 << 20
 UNKNOWN = "und"
 
@@ -130,54 +135,74 @@ class Trees:
         return out
 
 
-def fit(rows: DataFrame, max_languages: int = MAX_LANGUAGES) -> Trees:
-    """Learn from rows (text, lang). More than ``max_languages`` different
-    values of lang are an error, none is dropped."""
-    from pagesieve.llm.tables import materialize
-
+def fit(rows: DataFrame, languages_per_block: int = LANGUAGES_PER_BLOCK) -> Iterator[Trees]:
+    """Learn from rows (text, lang): any number of languages, in blocks, in
+    ascending order."""
     grams = materialize(count_grams(rows))
-    langs = [r[0] for r in grams.select("lang").distinct().limit(max_languages + 1).collect()]
-    if len(langs) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    counts = {}
-    for lang in langs:
-        table = grams.where(F.col("lang") == lang).select("gram", "n").toArrow()
-        counts[lang] = table["gram"].to_numpy(), table["n"].to_numpy()
-    return Trees(counts)
+    langs = (r[0] for r in grams.select("lang").distinct().orderBy("lang").toLocalIterator())
+    while block := list(islice(langs, languages_per_block)):
+        table = grams.where(F.col("lang").isin(block)).toArrow()
+        counts = {}
+        for lang in block:
+            own = table.filter(pc.equal(table["lang"], lang))
+            counts[lang] = own["gram"].to_numpy(), own["n"].to_numpy()
+        yield Trees(counts)
 
 
 def has_letter(text: str | None) -> bool:
     return any(c.isalpha() for c in text or "")
 
 
-def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, blocks: Iterable[Trees], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score: the language with the shortest code and its
     share of the probability that the languages give the text. ``und`` and 0
     for null texts, texts without a letter, or when nothing was learned."""
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    folder = scratch_path(docs.sparkSession, "languages")
+    paths = []
+    for number, trees in enumerate(blocks):
+        system, root = file_system(folder)
+        system.create_dir(root, recursive=True)
+        with system.open_output_stream(f"{root}/{number}") as sink:
+            pickle.dump(trees, sink)
+        paths.append(f"{folder}/{number}")
+
+    def load(path: str) -> Trees:
+        system, root = file_system(path)
+        with system.open_input_file(root) as source:
+            return pickle.load(source)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = shared.value
-        names = np.array([*trees.langs, UNKNOWN], dtype=object)
+        held, trees = None, None  # one block at a time
         for batch in batches:
             texts = A.column(batch, "text")
+            n = batch.num_rows
+            names = np.full(n, UNKNOWN, dtype=object)
+            low, weight, lettered = np.full(n, np.inf), np.zeros(n), np.zeros(n, bool)
             for a, b, data, offsets in A.slices(texts):
-                bits = trees.code_lengths(data, offsets)
                 ascii_letters = np.zeros(len(data) + 1, np.int64)
                 np.cumsum((SYMBOL[data] > 0) & (data < 128), out=ascii_letters[1:])
-                lettered = np.diff(ascii_letters[offsets]) > 0
-                for k in np.flatnonzero(~lettered):
-                    lettered[k] = has_letter(texts[a + int(k)].as_py())
-                if trees.langs:
-                    best = bits.argmin(axis=1)
-                    gap = np.minimum(bits - bits.min(axis=1, keepdims=True), 1000)
-                    share = 1 / np.exp2(-gap).sum(axis=1)
-                else:
-                    best, share, lettered = np.zeros(b - a, int), np.zeros(b - a), np.zeros(b - a, bool)
-                best = np.where(lettered, best, len(trees.langs))
-                yield pa.RecordBatch.from_arrays(
-                    [A.column(batch, "doc_id").slice(a, b - a), pa.array(names[best], pa.string()),
-                     pa.array(np.where(lettered, share, 0.0))], names=["doc_id", "lang_pred", "score"])
+                lettered[a:b] = np.diff(ascii_letters[offsets]) > 0
+                for k in range(a, b):
+                    lettered[k] = lettered[k] or has_letter(texts[k].as_py())
+            for path in paths:
+                if held != path:
+                    trees = None
+                    held, trees = path, load(path)
+                langs = np.array(trees.langs, dtype=object)
+                for a, b, data, offsets in A.slices(texts):
+                    bits = trees.code_lengths(data, offsets)
+                    own = bits.min(axis=1)
+                    total = np.exp2(-np.minimum(bits - own[:, None], 1000)).sum(axis=1)
+                    least = np.minimum(own, low[a:b])
+                    names[a:b] = np.where(own < low[a:b], langs[bits.argmin(axis=1)], names[a:b])
+                    weight[a:b] = weight[a:b] * np.exp2(-np.minimum(low[a:b] - least, 1000)) + total * np.exp2(
+                        -np.minimum(own - least, 1000))
+                    low[a:b] = least
+            lettered &= weight > 0
+            share = np.divide(1.0, weight, out=np.zeros(n), where=lettered)
+            yield pa.RecordBatch.from_arrays(
+                [A.column(batch, "doc_id"), pa.array(np.where(lettered, names, UNKNOWN), pa.string()),
+                 pa.array(share)], names=["doc_id", "lang_pred", "score"])
 
     base = id_text(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()
@@ -189,12 +214,13 @@ def held_out(doc_id: Column, folds: int = 4, out: int = 2) -> Column:
 
 
 def identify_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       lang_col: str = "lang") -> DataFrame:
+                       lang_col: str = "lang", languages_per_block: int = LANGUAGES_PER_BLOCK) -> DataFrame:
     """Learn from the rows that are not held out and carry a language, predict
     for every row: doc_id, held_out, lang_pred, score. Rows with a null id are
     never held out; repeated rows count as often as they stand."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang"))
-    trees = fit(rows.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    found = identify(docs, trees, id_col, text_col)
+    blocks = fit(rows.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()),
+                 languages_per_block)
+    found = identify(docs, blocks, id_col, text_col)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

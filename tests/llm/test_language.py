@@ -63,12 +63,24 @@ def test_code_lengths_against_a_plain_model():
 def test_rare_strings_count(spark):
     texts = ["the words of every day come again and again " * 60_000, "a rare word: Łódź, façade, qzx"]
     docs = spark.createDataFrame([(t, "x") for t in texts], "text string, lang string")
-    got, want = L.fit(docs), L.Trees({"x": counts_of(texts)})
+    [got], want = L.fit(docs), L.Trees({"x": counts_of(texts)})
     rare = np.frombuffer("Łódź façade qzx, unknown jkv".encode(), np.uint8)
     bits = [t.code_lengths(rare, np.array([0, len(rare)])) for t in (got, want)]
     assert (got.row_of == want.row_of).all() and bits[0][0, 0] == bits[1][0, 0]
 
 
+def test_any_number_of_languages(spark, rng):
+    rows = [(i, f"lang{i % 70:02d}", " ".join(f"{chr(97 + i % 70 % 26)}{chr(97 + i % 70 // 5)}{rng.choice('aeiou')}"
+                                               for _ in range(30))) for i in range(420)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    found = [sorted(tuple(r) for r in L.identify_documents(docs, languages_per_block=n).collect()) for n in (100, 16, 7)]
+    for other in found[1:]:
+        assert [r[:3] for r in other] == [r[:3] for r in found[0]]
+        assert np.allclose([r[3] for r in other], [r[3] for r in found[0]], atol=1e-9)
+    assert len({r[2] for r in found[0]}) > 64
+    assert len(L.identify_documents(docs).collect()) == 420
+
+
 def test_odd_rows_and_empty_tables(frame, odd_pairs):
     out = L.identify_documents(frame(odd_pairs)).collect()
     assert len(out) == len(odd_pairs)
