@@ -7,14 +7,16 @@ window's words are hit, and the state's suffix ancestor of window length names
 the items that hold the window.
 
 Items are taken in blocks of at most ``block_words`` words, so one automaton is
-bounded however many items there are; a task walks the blocks one after the
-other. Most words of a text occur in no item: those reset the match, so only
+bounded however many items there are. The blocks are files in the shared
+folder; a task holds one at a time and scans about ``GROUP_BYTES`` of text with
+each. Most words of a text occur in no item: those reset the match, so only
 runs of item words that are long enough for a window walk the automaton (found
 with vector operations on word hashes).
 """
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -24,10 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesieve.llm import arrowtext as A
-from pagesieve.llm.tables import id_text
+from pagesieve.llm.records import file_system
+from pagesieve.llm.tables import id_text, scratch_path
 
 WINDOW = 13
 BLOCK_WORDS = 1 << 18
+GROUP_BYTES = 8 << 20
 
 NOT_WORD = np.zeros(256, bool)
 NOT_WORD[:0x80] = True
@@ -167,51 +171,58 @@ def item_words(text: str | None) -> list[bytes]:
     return [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
-def blocks_of(items: Iterator[tuple[str, str | None]], window: int, block_words: int) -> list[list]:
+def blocks_of(items: Iterator[tuple[str, str | None]], window: int, block_words: int) -> Iterator[list]:
     """Items (id, words) with words, cut into blocks of ``block_words`` words;
     an item longer than that is cut into overlapping pieces, which keep every
     window."""
-    blocks, size = [[]], 0
+    block, size = [], 0
     for name, text in items:
         words = item_words(text)
         for at in range(0, max(1, len(words) - window + 1), max(1, block_words - window + 1)):
             piece = words[at:at + block_words]
             if not piece:
                 continue
-            if size + len(piece) > block_words and blocks[-1]:
-                blocks.append([])
-                size = 0
-            blocks[-1].append((name, piece))
+            if size + len(piece) > block_words and block:
+                yield block
+                block, size = [], 0
+            block.append((name, piece))
             size += len(piece)
-    return [b for b in blocks if b]
+    if block:
+        yield block
 
 
-def scan_slice(data: np.ndarray, offsets: np.ndarray, blocks: list[Block]) -> Iterator[tuple[int, list, list, list]]:
-    """(number of words, hit spans in words, the same in bytes, item ids) of
-    each document."""
+def scan_slice(data: np.ndarray, offsets: np.ndarray, row: int, block: Block, spans: dict[int, list],
+               found: dict[int, set]) -> None:
+    """Add the hit spans in words and the item ids of documents ``row``
+    onwards, as far as they are in the block."""
     data = A.ASCII_LOWER[data]
     doc, starts, ends = A.word_spans(data, offsets, NOT_WORD)
+    if len(starts) == 0:
+        return
+    first = np.searchsorted(doc, np.arange(len(offsets)))
+    known = block.known(A.span_hashes(data, starts, ends))
+    raw = data.tobytes()
+    change = np.flatnonzero(np.diff(np.concatenate([[0], known.view(np.int8), [0]])))
+    for a, b in cut_runs(change[::2], change[1::2], doc, block.shortest):
+        words = [block.numbers.get(raw[starts[i]:ends[i]], -1) for i in range(a, b)]
+        hits, items = block.automaton.scan(words)
+        if hits:
+            d = int(doc[a])
+            spans.setdefault(row + d, []).extend((a - int(first[d]) + s, a - int(first[d]) + e) for s, e in hits)
+            found.setdefault(row + d, set()).update(block.names[k] for k in items)
+
+
+def places(data: np.ndarray, offsets: np.ndarray, row: int, spans: dict[int, list],
+           found: dict[int, set]) -> Iterator[tuple[int, list, list, list]]:
+    """(number of words, hit spans in words, the same in bytes, item ids) of
+    each document."""
+    doc, starts, ends = A.word_spans(A.ASCII_LOWER[data], offsets, NOT_WORD)
     n = len(offsets) - 1
     first = np.searchsorted(doc, np.arange(n + 1))
-    spans: dict[int, list] = {}
-    found: dict[int, set] = {}
-    if len(starts):
-        hashes = A.span_hashes(data, starts, ends)
-        raw = data.tobytes()
-        for block in blocks:
-            known = block.known(hashes)
-            change = np.flatnonzero(np.diff(np.concatenate([[0], known.view(np.int8), [0]])))
-            for a, b in cut_runs(change[::2], change[1::2], doc, block.shortest):
-                words = [block.numbers.get(raw[starts[i]:ends[i]], -1) for i in range(a, b)]
-                hits, items = block.automaton.scan(words)
-                if hits:
-                    d = int(doc[a])
-                    spans.setdefault(d, []).extend((a - int(first[d]) + s, a - int(first[d]) + e) for s, e in hits)
-                    found.setdefault(d, set()).update(block.names[k] for k in items)
     for d in range(n):
-        hit = merged(spans.get(d, []))
+        hit = merged(spans.get(row + d, []))
         place = [(int(starts[first[d] + s] - offsets[d]), int(ends[first[d] + e - 1] - offsets[d])) for s, e in hit]
-        yield int(first[d + 1] - first[d]), hit, place, sorted(found.get(d, ()))
+        yield int(first[d + 1] - first[d]), hit, place, sorted(found.get(row + d, ()))
 
 
 def cut_runs(starts: np.ndarray, ends: np.ndarray, doc: np.ndarray, shortest: int) -> Iterator[tuple[int, int]]:
@@ -251,29 +262,58 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     words; items without words have no windows; items that repeat an id count
     as one id. Null ids of items are left out.
 
-    The items come to the driver as a stream and go to the tasks in packed
-    blocks: the test sets are the small side by their nature.
+    The items pass the driver as a stream, a block at a time, into files of the
+    shared folder.
     """
     rows = items.select(F.col(item_id_col).cast("string"), F.col(item_text_col).cast("string")).where(
         F.col(item_id_col).isNotNull()).orderBy(F.col(item_id_col).cast("string"))
-    packed = docs.sparkSession.sparkContext.broadcast(
-        zlib.compress(repr(blocks_of(((r[0], r[1]) for r in rows.toLocalIterator()), window, block_words)).encode()))
+    folder = scratch_path(docs.sparkSession, "items")
+    paths = []
+    for number, block in enumerate(blocks_of(((r[0], r[1]) for r in rows.toLocalIterator()), window, block_words)):
+        system, root = file_system(folder)
+        system.create_dir(root, recursive=True)
+        with system.open_output_stream(f"{root}/{number}") as sink:
+            sink.write(zlib.compress(pickle.dumps(block)))
+        paths.append(f"{folder}/{number}")
+
+    def load(path: str) -> Block:
+        system, root = file_system(path)
+        with system.open_input_file(root) as source:
+            return Block(pickle.loads(zlib.decompress(source.read())), window)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ast
+        held, block = None, None  # one block at a time
+
+        def scanned(group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nonlocal held, block
+            spans, found = [{} for _ in group], [{} for _ in group]
+            for path in paths:
+                if held != path:
+                    block = None
+                    held, block = path, load(path)
+                for k, batch in enumerate(group):
+                    for a, _, data, offsets in A.slices(A.column(batch, "text")):
+                        scan_slice(data, offsets, a, block, spans[k], found[k])
+            for k, batch in enumerate(group):
+                ids = A.column(batch, "doc_id")
+                for a, b, data, offsets in A.slices(A.column(batch, "text")):
+                    out = list(places(data, offsets, a, spans[k], found[k]))
+                    yield pa.RecordBatch.from_arrays([
+                        ids.slice(a, b - a), pa.array([x[0] for x in out], pa.int64()),
+                        *(pa.array([[{"start": s, "end": e} for s, e in x[j]] for x in out], span_list) for j in (1, 2)),
+                        pa.array([sum(e - s for s, e in x[1]) for x in out], pa.int64()),
+                        pa.array([x[3] for x in out], pa.list_(pa.string()))],
+                        names=["doc_id", "n_words", "spans", "byte_spans", "n_hit", "items"])
 
         span_list = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        blocks = [Block(b, window) for b in ast.literal_eval(zlib.decompress(packed.value).decode())]
+        group, size = [], 0
         for batch in batches:
-            ids = A.column(batch, "doc_id")
-            for a, b, data, offsets in A.slices(A.column(batch, "text")):
-                out = list(scan_slice(data, offsets, blocks))
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(a, b - a), pa.array([x[0] for x in out], pa.int64()),
-                    *(pa.array([[{"start": s, "end": e} for s, e in x[k]] for x in out], span_list) for k in (1, 2)),
-                    pa.array([sum(e - s for s, e in x[1]) for x in out], pa.int64()),
-                    pa.array([x[3] for x in out], pa.list_(pa.string()))],
-                    names=["doc_id", "n_words", "spans", "byte_spans", "n_hit", "items"])
+            group.append(batch)
+            size += A.column(batch, "text").nbytes
+            if len(paths) < 2 or size >= GROUP_BYTES:  # a single block stays
+                yield from scanned(group)
+                group, size = [], 0
+        yield from scanned(group)
 
     base = id_text(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()

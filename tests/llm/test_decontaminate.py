@@ -1,6 +1,8 @@
 import random
 import re
+import weakref
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pagesieve.llm import decontaminate as D
@@ -67,6 +69,25 @@ def test_blocks_of_items_find_the_same(spark, frame, rng):
     assert run(spark, frame(docs), items, block_words=20) == brute(docs, items)
 
 
+def test_a_task_holds_one_block(spark, frame, rng, monkeypatch):
+    docs, items = case(rng)
+    df, table = frame(docs), spark.createDataFrame(items, "item_id string, text string")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, function, schema: function)
+    task = D.find_contamination(df, table, block_words=20)
+    alive, most = weakref.WeakSet(), []
+    build = D.Block.__init__
+
+    def counted(self, *args):
+        alive.add(self)
+        most.append(len(alive))
+        build(self, *args)
+
+    monkeypatch.setattr(D.Block, "__init__", counted)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [d[0] for d in docs], "text": [d[1] for d in docs]})
+    rows = [r for out in task(iter([batch, batch])) for r in out.to_pylist()]
+    assert len(rows) == 2 * len(docs) and len(most) > 3 and max(most) == 1
+
+
 def test_odd_rows_and_empty_tables(spark, frame, odd_pairs):
     items = [("a", "eins zwei drei"), ("b", "漢字"), (None, "text")]
     assert run(spark, frame(odd_pairs), items) == brute(odd_pairs, items)
