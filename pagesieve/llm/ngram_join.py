@@ -48,6 +48,7 @@ FINE_GROUPS = 1 << 12
 SAMPLE_SHARE = 8
 SAMPLE_DOCS = 200_000
 FREQUENT_IN = 3
+FREQUENT_TOKENS = 1 << 20
 LEADERS = 8
 SALTS = 8
 PART = 1024
@@ -85,10 +86,10 @@ def document_points(docs: DataFrame) -> DataFrame:
 
 
 def frequent_tokens(docs: DataFrame, total: int, sample_docs: int = SAMPLE_DOCS,
-                    frequent_in: int = FREQUENT_IN) -> np.ndarray:
+                    frequent_in: int = FREQUENT_IN, most: int = FREQUENT_TOKENS) -> np.ndarray:
     """Tokens of at least ``frequent_in`` documents of a sample: one document
-    in ``SAMPLE_SHARE``, about ``sample_docs`` at most, which bounds their
-    number. Only an order depends on it."""
+    in ``SAMPLE_SHARE``, about ``sample_docs`` at most; the ``most`` frequent
+    of them. Only an order depends on it."""
     scale = 1 << 20
     share = min(scale // SAMPLE_SHARE, sample_docs * scale // max(total, 1) + 1)
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < share)
@@ -100,7 +101,8 @@ def frequent_tokens(docs: DataFrame, total: int, sample_docs: int = SAMPLE_DOCS,
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["token"])
 
     counted = sample.select("text").mapInArrow(run, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    found = counted.where(F.col("n") >= frequent_in).select("token").toArrow()["token"].to_numpy()
+    found = counted.where(F.col("n") >= frequent_in).orderBy(F.desc("n"), "token").limit(most)
+    found = found.select("token").toArrow()["token"].to_numpy()
     return np.sort(found.view(np.uint64))
 
 

@@ -160,3 +160,9 @@ def test_components(spark, rng):
     got = dict(connected_components(spark.createDataFrame(edges, "u long, v long")).collect())
     assert got == {x: find(x) for e in edges for x in e if find(x) != x}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_the_number_of_frequent_tokens_is_bounded(frame):
+    docs = frame([(i, f"the same words in all of them and {i % 7} of {i % 5}") for i in range(400)]).select("doc_id", "text")
+    every, few = (J.frequent_tokens(docs, 400, most=n) for n in (1 << 20, 5))
+    assert len(every) > 5 and len(few) == 5 and set(few) <= set(every)
