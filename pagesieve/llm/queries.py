@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagesieve.llm import (
     bpe,
     decontaminate,
+    fill_in_middle,
     fingerprint,
     language,
     line_dedup,
@@ -94,6 +95,38 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l FROM documents),
+c AS (
+  SELECT *, len(l) AS n, ('0x' || h[1:8])::BIGINT % (len(l) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(l) + 1) AS y,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (
+  SELECT *, array_to_string(l[1:least(x, y)], '') AS prefix,
+         array_to_string(l[least(x, y) + 1:greatest(x, y)], '') AS middle,
+         array_to_string(l[greatest(x, y) + 1:], '') AS suffix
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p"""
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outputs = fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents"))
+    restored = fill_in_middle.restore_text(outputs)
+    return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                           F.sha2("output", 256).alias("output_sha256"),
+                           F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_fingerprints": op2_fingerprints,
@@ -105,5 +138,6 @@ QUERIES: dict[str, QueryFn] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
-ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL}
+ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL, "op12_fill_in_middle": OP12_SQL}
