@@ -12,6 +12,7 @@ from pagesieve.llm import (
     decontaminate,
     fill_in_middle,
     fingerprint,
+    hard_negatives,
     language,
     line_dedup,
     main_text,
@@ -19,6 +20,7 @@ from pagesieve.llm import (
     packing,
     quality,
     records,
+    simhash,
     suffix_dedup,
 )
 from pagesieve.llm.tables import read
@@ -95,6 +97,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 OP12_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS h,
@@ -127,6 +133,33 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.sha2("restored", 256).alias("restored_sha256"))
 
 
+OP13_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, x.vec_id, x.label = a.label AS same,
+         CAST(list_dot_product(a.v, x.v) AS BIGINT) AS score
+  FROM rows a JOIN rows x ON x.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER)
+         AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+ AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_fingerprints": op2_fingerprints,
@@ -138,6 +171,9 @@ QUERIES: dict[str, QueryFn] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
+    "op11_simhash": op11_simhash,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_hard_negatives": op13_hard_negatives,
 }
-ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL, "op12_fill_in_middle": OP12_SQL}
+ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL, "op12_fill_in_middle": OP12_SQL,
+                           "op13_hard_negatives": OP13_SQL}

@@ -9,10 +9,13 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import test_decontaminate
+import test_fill_in_middle
 import test_fingerprint
+import test_hard_negatives
 import test_line_dedup
 import test_ngram_join
 import test_packing
+import test_simhash
 import test_suffix_dedup
 from tokenizers import Tokenizer
 
@@ -47,7 +50,7 @@ def sha(x):
 
 def test_every_operator_has_one_query():
     numbers = [int(m[1]) for m in (re.match(r"op(\d+)_", n) for n in entry.queries()) if m]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_op1(spark, docs):
@@ -138,6 +141,26 @@ def test_op10(spark, docs):
     assert sorted((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in rows) == want
 
 
+def test_op11(spark, docs):
+    df, rows = run(spark, "op11_simhash")
+    assert df.columns == ["doc_id", "fingerprint", "component_id"]
+    assert sorted((tuple(r) for r in rows), key=str) == test_simhash.brute(docs)
+
+
+def test_op12(spark, docs):
+    df, rows = run(spark, "op12_fill_in_middle")
+    assert df.columns == ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"]
+    want = sorted((*x[:5], sha(x[5]), sha(x[6])) for x in (test_fill_in_middle.brute(i, t) for i, t in docs))
+    assert sorted(tuple(r) for r in rows) == want and {r.form for r in rows} >= {"psm", "spm"}
+
+
+def test_op13(spark):
+    _, rows = run(spark, "op13_hard_negatives")
+    table_rows = [(r["vec_id"], r["embedding"], (r["label"] + 1) % 10 if r["vec_id"] % 7 == 0 else r["label"])
+                  for r in table("embeddings")]
+    assert sorted(tuple(r) for r in rows) == test_hard_negatives.brute(table_rows) and rows
+
+
 def test_pipeline(spark, docs, items):
     """Stage by stage; a stage's brute-force version works on the rows of the
     stage before it."""
