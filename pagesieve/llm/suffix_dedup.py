@@ -22,9 +22,9 @@ repeats can be, aligned so that equal strings start in the same column:
    at the anchor; from the last column to the first, one symbol per context is
    inserted, which sorts the suffixes by a stable partition of the order so far,
    and common prefixes follow from range minima. Where a common prefix reaches
-   LENGTH, the strings are equal and the earliest one stays. The symbols lie in
-   a sequential file, column after column, read once backwards: memory holds
-   one column, the order and the common prefixes.
+   LENGTH, the strings are equal and the earliest one stays. The symbols are read
+   from a sequential file, column after column, once backwards; besides them,
+   memory holds the group's contexts, the order and the common prefixes.
 4. *Spans* of all repeats are merged per document and cut out.
 
 Anchors whose contexts are too many for one group (``HOT_GROUP``) are resolved
@@ -216,8 +216,8 @@ def compare_columns(rows: DataFrame, length: int, group_rows: int) -> DataFrame:
         anchor, doc, place = (table[k].to_numpy() for k in ("anchor", "doc_id", "place"))
         symbols, begin, end = aligned(table["bytes"].to_pylist(), place & 255)
         origin = (place >> 16) - begin  # where column 0 is in the document
-        rank = np.empty(len(doc), np.int64)
-        rank[np.lexsort((origin, doc))] = np.arange(len(doc))
+        # rows of a repeated document are at one place: equal ranks
+        _, rank = np.unique(np.stack([doc, origin]), axis=1, return_inverse=True)
         row, column = equal_strings(symbols, begin, end, anchor, rank, length)
         order = np.lexsort((column, row))
         row, start = row[order], origin[row[order]] + column[order]
@@ -287,10 +287,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     of ``length`` bytes start earlier too. Spans may overlap."""
     window = Window.partitionBy("anchor").orderBy("context", "doc_id", "place")
     whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    here = F.struct("context", "doc_id", "place")
     seen = all_stretches(docs, length, gram).select(
         "anchor", "doc_id", "place", F.lag("context").over(window).eqNullSafe(F.col("context")).alias("copy"),
+        F.lag(here).over(window).eqNullSafe(here).alias("again"),  # of a row that repeats a document
         (F.first("context").over(whole) != F.last("context").over(whole)).alias("several"))
-    seen = materialize(seen.where("copy or several"))
+    seen = materialize(seen.where("not again and (copy or several)"))
     start = F.shiftright("place", 16)
     copies = seen.where("copy").select(
         "doc_id", start.alias("start"),

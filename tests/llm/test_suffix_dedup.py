@@ -73,6 +73,19 @@ def test_odd_rows(frame, odd_pairs):
     assert run(frame(odd_pairs)) == brute(odd_pairs)
 
 
+@pytest.mark.parametrize("size", [100, 300, 5000])
+@pytest.mark.parametrize("hot_group", [2, 50_000])
+def test_repeated_rows(frame, rng, size, hot_group):
+    """Rows that repeat a document lose nothing to each other, and what other
+    documents copy from them is removed there, in each of their rows."""
+    text = "".join(rng.choice("abcdefgh é") for _ in range(size))
+    other = text[:size // 2] + "#" + text[size // 2 - 60:]
+    pairs = [(1, text), (1, text), (2, other), (2, other), (3, text), (4, "x" + text), (4, "x" + text)]
+    want = brute(pairs)
+    assert [r[2] for r in want if r[0] == 1] == [0, 0] and all(r[2] for r in want if r[0] == 3)
+    assert run(frame(pairs), hot_group=hot_group) == want
+
+
 def test_empty_table(frame):
     assert run(frame([])) == []
 
