@@ -192,4 +192,6 @@ def read_records(manifest: DataFrame, with_ids: bool = False,
         return pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()],
                                           names=list(out))
 
-    return ranges.repartition(F.col("file"), F.col("first")).mapInArrow(read, schema)
+    # a task per range: by a number of its own, since the rows that name the ranges are few and small
+    tasks = manifest.agg(F.sum(F.ceil(F.col("n_records") / records_per_read))).first()[0] or 1
+    return ranges.repartition(int(tasks)).mapInArrow(read, schema)
