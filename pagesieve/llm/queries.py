@@ -28,6 +28,31 @@ from pagesieve.llm.tables import read
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3),
+                                    lambda i: array_to_string(w[i:i + 4], ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+alike AS (SELECT s, min(doc_id) AS rep FROM (SELECT doc_id, list_sort(s) AS s FROM sets) GROUP BY s),
+of_rep AS (SELECT doc_id, rep FROM (SELECT doc_id, list_sort(s) AS s FROM sets) JOIN alike USING (s)),
+tokens AS (SELECT rep, unnest(s) AS t FROM alike),
+common AS (
+  SELECT a.rep AS u, b.rep AS v, count(*) AS shared FROM tokens a JOIN tokens b ON a.t = b.t AND a.rep < b.rep GROUP BY 1, 2),
+links AS (
+  SELECT u, v FROM common c JOIN sizes x ON x.doc_id = c.u JOIN sizes y ON y.doc_id = c.v
+  WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+edges AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach AS (SELECT rep AS node, rep AS least FROM alike UNION
+          SELECT e.v, r.least FROM reach r JOIN edges e ON e.u = r.node WHERE r.least < e.v),
+comp AS (SELECT node, min(least) AS component_id FROM reach GROUP BY 1)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, CASE WHEN s.n = 0 THEN s.doc_id ELSE c.component_id END AS component_id
+FROM sizes s JOIN of_rep o ON o.doc_id = s.doc_id JOIN comp c ON c.node = o.rep"""
+
+
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(read(spark, sf_dir, "documents"))
 
@@ -36,6 +61,27 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbour_fingerprints(read(spark, sf_dir, "documents"))
 
 
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+cuts AS (SELECT doc_id, h, n, unnest(range(0, n, 100)) AS c FROM d),
+pieces AS (SELECT doc_id, n, c, substr(h, 2 * c + 1, 398) AS piece FROM cuts),
+pos AS (SELECT doc_id, n, c, piece, unnest(range(least(100, n - c))) AS i FROM pieces),
+bytes AS (
+  SELECT doc_id, c + i AS p, substr(piece, 2 * i + 1, 2) AS b,
+         CASE WHEN c + i + 100 <= n THEN substr(piece, 2 * i + 1, 200) END AS s
+  FROM pos),
+first AS (SELECT s, min((doc_id, p)) AS f FROM bytes WHERE s IS NOT NULL GROUP BY s HAVING count(*) > 1),
+marked AS (
+  SELECT b.doc_id, b.p, b.b, max(CASE WHEN f.f <> (b.doc_id, b.p) THEN 1 ELSE 0 END)
+           OVER (PARTITION BY b.doc_id ORDER BY b.p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS cut
+  FROM bytes b LEFT JOIN first f ON f.s = b.s),
+runs AS (SELECT *, cut = 1 AND coalesce(lag(cut) OVER (PARTITION BY doc_id ORDER BY p), 0) = 0 AS opens FROM marked)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(sum(cut), 0) AS BIGINT) AS n_removed,
+       CAST(count_if(opens) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(string_agg(b, '' ORDER BY p) FILTER (WHERE cut = 0), ''))) AS kept_sha256
+FROM d LEFT JOIN runs r ON r.doc_id = d.doc_id GROUP BY d.doc_id, d.n"""
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.dedup_substrings(read(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -64,6 +110,35 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), bpe.tokenizer_path("word_bpe_49k.json"))
 
 
+OP9_SQL = r"""
+WITH lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, size, g FROM (
+    SELECT item_id, least(len(w), 13) AS size, unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2),
+             lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS g
+    FROM items WHERE len(w) > 0)),
+wanted AS (SELECT DISTINCT size, g FROM windows),
+grams AS (
+  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS p,
+         unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS g
+  FROM lowered, (SELECT DISTINCT size FROM wanted)),
+hits AS (SELECT doc_id, p, size, g FROM grams JOIN wanted USING (size, g)),
+hit_words AS (SELECT DISTINCT doc_id, unnest(range(p, p + size)) AS k FROM hits),
+n_hits AS (SELECT doc_id, count(*) AS n_hit FROM hit_words GROUP BY 1),
+found AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits JOIN windows USING (size, g)),
+per_doc AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names FROM found GROUP BY 1)
+SELECT l.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM lowered l LEFT JOIN n_hits USING (doc_id) LEFT JOIN per_doc USING (doc_id)"""
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -175,5 +250,11 @@ QUERIES: dict[str, QueryFn] = {
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_hard_negatives": op13_hard_negatives,
 }
-ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL, "op12_fill_in_middle": OP12_SQL,
-                           "op13_hard_negatives": OP13_SQL}
+ORACLES: dict[str, str] = {
+    "op1_ngram_join": OP1_SQL,
+    "op3_suffix_dedup": OP3_SQL,
+    "op9_decontaminate": OP9_SQL,
+    "op10_line_dedup": OP10_SQL,
+    "op12_fill_in_middle": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
+}
