@@ -1,19 +1,29 @@
 """Batch retrieval over a corpus: term index, BM25 and cosine top-k.
 
-Plan shape (BM25):
+Plan shape (BM25), exact top-k with score bounds:
   corpus -> terms counted inside each document's row (sorted terms -> run
   lengths) -> explode -> postings; no (doc, term) shuffle. Every document also
   gets one row without a term, so the index alone knows the number of documents
-  and their lengths. An index can be stored and searched again.
-  questions -> distinct (question, term): small, broadcast by the planner's
-  size check (sort-merge beyond it)
-  postings of the question terms only -> written once; they feed document
-  frequencies and scores
-  postings x question terms (equi-join on term) -> partial sums per
-  (question, doc) -> score -> top-k per question (WindowGroupLimit trims
-  each task's rows before the shuffle)
-Frequent terms never gather in one task: the term join is map-side when the
-question side is broadcast, and all later keys are (question, doc).
+  and their lengths. An index can be stored and searched again; one that is
+  kept up to date is in ``index_store``.
+  postings of the question terms only -> written once with their idf at hand
+  1. bounds: the largest contribution per (term, block) and the document that has
+     it; documents of like length are a block, since length is what contributions
+     of a term differ by
+  2. floor: those documents' contributions, summed per (question, document);
+     contributions are positive, so the k-th sum bounds the question's k-th score
+     from below
+  3. per (question, block) the terms are taken by ascending bound: while their sum
+     stays below a share of the floor, a document that holds no other term of the
+     question can't be among the first k. Only postings of the other, essential
+     terms are paired with questions, so a stop word makes no pairs
+  4. the k-th essential sum is a better floor; documents whose essential sum and
+     the bounds of the rest reach it get the contributions of the rest added
+  5. top-k per question (WindowGroupLimit trims each task's rows first)
+Contributions are whole multiples of 2**-40, so their sums are exact in any order.
+Frequent terms never gather in one task: the term joins are map-side when the
+question side is broadcast, and split by adaptive execution otherwise; all
+later keys are (question, doc).
 """
 
 from __future__ import annotations
@@ -90,43 +100,128 @@ def search_index(corpus: DataFrame, keys, text_col: str) -> DataFrame:
     return ex.select(*keys, F.col("_p.term").alias("term"), F.col("_p.tf").alias("tf"), "doc_len")
 
 
+def question_terms(questions: DataFrame, qkey: str, qtext: str) -> DataFrame:
+    """(qkey, term): the distinct terms of each question."""
+    return questions.select(qkey, F.explode(F.array_distinct(terms(qtext))).alias("term")).distinct()
+
+
+#: share of a floor that terms may add together to stay out of the pairs: a smaller one
+#: makes more pairs, and fewer documents that need the rest
+REST = 0.3
+#: contributions are counted in units of this size
+UNIT = 2.0 ** -40
+
+
+def length_block(doc_len: Column) -> Column:
+    """Documents whose lengths are within half an octave."""
+    return F.floor(2 * F.log2(doc_len + 1)).cast("int")
+
+
+def weighted_postings(postings: DataFrame, n_docs: int, total_len: int, k1: float = K.BM25_K1,
+                      b: float = K.BM25_B) -> DataFrame:
+    """``postings`` (keys, term, tf, doc_len) with each one's BM25 contribution
+    ``w`` in units and its document's block; idf = ln(1 + (N-df+0.5)/(df+0.5))."""
+    avgdl = total_len / n_docs if n_docs else 0.0
+    idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = materialize(postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", idf.alias("idf")))
+    w = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / avgdl))
+    return postings.join(weights, "term").withColumn("w", F.round(w / UNIT).cast("long")).withColumn(
+        "block", length_block(F.col("doc_len")))
+
+
+def kth_largest(sums: DataFrame, qkey: str, k: int, decimals: int, name: str) -> DataFrame:
+    """(qkey, name): no document below it is among the question's first k, when
+    ``sums`` holds no more than documents' scores ``s``."""
+    order = Window.partitionBy(qkey).orderBy(F.desc("s"))
+    kth = sums.select(qkey, "s").withColumn("_n", F.row_number().over(order)).where(F.col("_n") == k)
+    # scores are rounded before they are ranked
+    return kth.select(qkey, (F.col("s") - int(10.0 ** -decimals / UNIT) - 1).alias(name))
+
+
+def term_bounds(post: DataFrame, keys) -> DataFrame:
+    """(term, block, top): the largest contribution and a document that has it."""
+    return post.groupBy("term", "block").agg(F.max(F.struct("w", *keys)).alias("top"))
+
+
+def question_bounds(tops: DataFrame, keys, qterms: DataFrame, qkey: str, k: int, decimals: int) -> DataFrame:
+    """(qkey, block, term, essential, rest, floor): whether the postings of a
+    term are paired with the question for documents of the block, and the most
+    that the terms that aren't add together, which is less than ``REST`` of the
+    floor."""
+    each = qterms.join(tops, "term")
+    sums = each.groupBy(qkey, *[F.col(f"top.{c}").alias(c) for c in keys]).agg(F.sum("top.w").alias("s"))
+    floors = kth_largest(sums, qkey, k, decimals, "floor")
+    up_to = Window.partitionBy(qkey, "block").orderBy("top.w", "term").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    run = each.join(floors, qkey, "left").withColumn("_run", F.sum("top.w").over(up_to))
+    small = F.coalesce(F.col("_run") < REST * F.col("floor"), F.lit(False))
+    rest = F.max(F.when(small, F.col("_run"))).over(Window.partitionBy(qkey, "block"))
+    return run.select(qkey, "block", "term", (~small).alias("essential"), F.coalesce(rest, F.lit(0)).alias("rest"),
+                      F.coalesce("floor", F.lit(0)).alias("floor"))
+
+
+def scored_pairs(post: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The (question, posting) pairs that the search looks at first."""
+    return post.join(bounds.where("essential"), ["term", "block"])
+
+
+def same_keys(keys) -> Column:
+    """Equal keys on both sides of a join whose right side has them behind "_"."""
+    equal = F.lit(True)
+    for c in keys:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return equal
+
+
+def rank_documents(post: DataFrame, keys, qterms: DataFrame, qkey: str, k: int, decimals: int = 6) -> DataFrame:
+    """Top ``k`` documents per question over ``weighted_postings``: qkey, rank,
+    keys..., score."""
+    keys = list(keys)
+    # few rows beside the postings; written, so that the planner knows how few
+    tops = materialize(term_bounds(post, keys))
+    bounds = materialize(question_bounds(tops, keys, qterms, qkey, k, decimals))
+    sums = materialize(scored_pairs(post, bounds).groupBy(qkey, "block", *keys).agg(
+        F.sum("w").alias("s"), F.max("rest").alias("rest"), F.max("floor").alias("floor")))
+    better = kth_largest(sums, qkey, k, decimals, "better")
+    floor = F.greatest("floor", F.coalesce("better", F.lit(0)))
+    able = materialize(sums.join(better, qkey, "left").where(F.col("s") + F.col("rest") >= floor).select(
+        qkey, "block", *keys, "s"))
+    others = bounds.where("not essential").select(qkey, "block", F.col("term").alias("_t"))
+    wanted = able.join(others, [qkey, "block"]).select(qkey, "_t", *[F.col(c).alias(f"_{c}") for c in keys])
+    added = post.join(wanted, (F.col("term") == F.col("_t")) & same_keys(keys)).select(qkey, *keys, F.col("w").alias("s"))
+    total = able.select(qkey, *keys, "s").unionAll(added).groupBy(qkey, *keys).agg(F.sum("s").alias("s"))
+    scored = total.withColumn("score", F.round(F.col("s") * UNIT, decimals))
+    w = Window.partitionBy(qkey).orderBy(F.desc("score"), *[F.asc(c) for c in keys])
+    return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select(qkey, "rank", *keys, "score"))
+
+
 def search(index: DataFrame, keys, questions: DataFrame, qkey: str, qtext: str, k: int = 5, k1: float = K.BM25_K1,
-           b: float = K.BM25_B, decimals: int = 6, checkpoint: bool = True) -> DataFrame:
-    """Top ``k`` documents per question by BM25 (idf = ln(1 + (N-df+0.5)/(df+0.5)))
-    over a ``search_index``, score rounded to ``decimals`` before ranking, ties
-    broken by the keys. Output: qkey, rank, keys..., score."""
+           b: float = K.BM25_B, decimals: int = 6) -> DataFrame:
+    """Top ``k`` documents per question by BM25 over a ``search_index``, score
+    rounded to ``decimals`` before ranking, ties broken by the keys, which name a
+    document. Output: qkey, rank, keys..., score. An empty index gives no row."""
     keys = list(keys)
-    qterms = questions.select(qkey, F.explode(F.array_distinct(terms(qtext))).alias("term")).distinct()
+    qterms = question_terms(questions, qkey, qtext)
     vocab = qterms.select("term").distinct().unionAll(qterms.sparkSession.sql("SELECT CAST(NULL AS STRING)"))
     # postings of question terms and the documents' own rows: what is written does not hold the corpus's other terms
     wanted = vocab.withColumnRenamed("term", "_v")
-    found = index.join(wanted, F.col("term").eqNullSafe(F.col("_v")), "left_semi")
-    found = materialize(found) if checkpoint else found
-    sizes = found.where("term is null")
-    n_docs = sizes.select(F.count(F.lit(1))).scalar()
-    avgdl = sizes.select(F.sum("doc_len")).scalar() / n_docs
-    post = found.where("term is not null")
-    idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = post.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", idf.alias("idf"))
-    contrib = (F.col("idf") * F.col("tf") * (k1 + 1)
-               / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / avgdl))).alias("w")
-    part = post.join(qterms, "term").join(weights, "term").select(qkey, *keys, contrib)
-    scored = part.groupBy(qkey, *keys).agg(F.round(F.sum("w"), decimals).alias("score"))
-    w = Window.partitionBy(qkey).orderBy(F.desc("score"), *[F.asc(c) for c in keys])
-    return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(qkey, "rank", *keys, "score"))
+    found = materialize(index.join(wanted, F.col("term").eqNullSafe(F.col("_v")), "left_semi"))
+    n_docs, total = found.where("term is null").agg(F.count(F.lit(1)), F.sum("doc_len")).first()
+    post = weighted_postings(found.where("term is not null"), n_docs, total or 0, k1, b)
+    return rank_documents(post, keys, qterms, qkey, k, decimals)
 
 
 def bm25_search(corpus: DataFrame, keys, text_col: str, questions: DataFrame, qkey: str, qtext: str,
                 k: int = 5, k1: float = K.BM25_K1, b: float = K.BM25_B, decimals: int = 6,
-                checkpoint: bool = True, corpora=None, corpus_col: str = "corpus") -> DataFrame:
+                corpora=None, corpus_col: str = "corpus") -> DataFrame:
     """``search`` over a corpus without a stored index. ``corpora`` restricts
     it to the named corpora (column ``corpus_col``), as a question asked of
     chosen stores."""
     keys = list(keys)
     source = restrict_to_corpora(corpus, corpora, corpus_col).select(*keys, text_col)
     index = search_index(spread(source, keys[0]), keys, text_col)
-    return search(index, keys, questions, qkey, qtext, k, k1, b, decimals, checkpoint)
+    return search(index, keys, questions, qkey, qtext, k, k1, b, decimals)
 
 
 # --------------------------------------------------------------------------

@@ -21,6 +21,7 @@ from pagesieve.operators import chunking as CH
 from pagesieve.operators import convert as CV
 from pagesieve.operators import corpus as CO
 from pagesieve.operators import fallback as FB
+from pagesieve.operators import index_store as IX
 from pagesieve.operators import policy as PO
 from pagesieve.operators import retrieval as RT
 from pagesieve.operators import selection as SE
@@ -826,6 +827,38 @@ def q_store_search(spark, sf):
                           k=KEYWORD_K, corpora=["src0", "src1", "src2"], corpus_col="source")
 
 
+# an index that is kept: three crawls, edited documents in the last, then one store dropped
+_INDEXED_CORPUS = """corpus AS (
+  SELECT doc_id, CASE WHEN doc_id % 4 = 1 THEN text || ' ' || source || ' edited again' ELSE text END AS text
+  FROM documents WHERE source IS DISTINCT FROM 'src1')"""
+
+
+def _kept_index(spark, sf) -> IX.IndexStore:
+    docs = read_table(spark, sf, "documents").select("doc_id", "source", "text")
+    store = IX.IndexStore(spark, scratch_path(spark, "index"), ["doc_id"], ["source"], fan_in=3)
+    store.append(docs.where("doc_id % 3 = 0"))
+    store.append(docs.where("doc_id % 3 <> 0"))
+    store.append(docs.where("doc_id % 4 = 1").withColumn(
+        "text", F.concat_ws(" ", "text", "source", F.lit("edited again"))))
+    store.drop_where("source", spark.createDataFrame([("src1",)], "source string"))
+    return store
+
+
+@register("indexed_search", "WITH " + _bm25_sql(_INDEXED_CORPUS, "doc_id", "text", KEYWORD_K) + " SELECT * FROM hits")
+def q_indexed_search(spark, sf):
+    """Questions asked of an index after appends, replacements, a merge of its
+    segments and a drop, without building it anew."""
+    return _kept_index(spark, sf).search(read_table(spark, sf, "benchmark"), "item_id", "text", k=KEYWORD_K)
+
+
+@register("indexed_documents", f"""
+WITH {_INDEXED_CORPUS}
+SELECT doc_id, CAST(len({_TERMS.format(x='text')}) AS BIGINT) AS doc_len FROM corpus""")
+def q_indexed_documents(spark, sf):
+    """The live documents of that index."""
+    return _kept_index(spark, sf).documents().select("doc_id", F.col("doc_len").cast("long").alias("doc_len"))
+
+
 @register("vector_search", """
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 dims AS (SELECT label, i, avg(v[i]) AS x FROM (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM e) GROUP BY 1, 2),

@@ -47,6 +47,37 @@ def test_bm25_matches_brute_force(spark):
         assert [s for s, _ in mine] == pytest.approx([s for s, _ in ranked], abs=2e-6)
 
 
+def test_a_stop_word_in_every_question_makes_few_pairs(spark):
+    """Each document holds one word many times, each question asks for it."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").where(
+        "text <> ''").withColumn("text", F.concat("text", F.lit(" stopword stopword")))
+    own = docs.select(F.col("doc_id").alias("qid"), RT.terms("text").alias("t"))
+    asked = own.select("qid", F.concat_ws(" ", F.lit("stopword"), F.slice("t", 1, 4)).alias("q"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    questions = [(r.qid, r.q) for r in asked.collect()]
+    got = {}
+    for r in RT.bm25_search(docs, ["doc_id"], "text", asked, "qid", "q", k=3).collect():
+        got.setdefault(r.qid, []).append((r.rank, r.doc_id, r.score))
+    want = brute_bm25(rows, questions, k=3)
+    for q, ranked in want.items():
+        assert [(d, pytest.approx(s, abs=2e-6)) for s, d in ranked] == [(d, s) for _, d, s in sorted(got[q])]
+    index = RT.search_index(docs, ["doc_id"], "text")
+    n, total = len(rows), index.where("term is null").agg(F.sum("doc_len")).first()[0]
+    post = RT.weighted_postings(index.where("term is not null"), n, total)
+    qterms = RT.question_terms(asked, "qid", "q")
+    bounds = RT.question_bounds(RT.term_bounds(post, ["doc_id"]), ["doc_id"], qterms, "qid", 3, 6)
+    assert RT.scored_pairs(post.where("term = 'stopword'"), bounds).count() * 10 < n * len(questions)
+
+
+def test_search_of_nothing(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    some = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "two"), (2, ""), (3, None), (4, "seven")], "qid long, q string")
+    assert RT.bm25_search(none, ["doc_id"], "text", asked, "qid", "q").count() == 0
+    hits = RT.bm25_search(some, ["doc_id"], "text", asked, "qid", "q").collect()
+    assert [(r.qid, r.rank, r.doc_id) for r in hits] == [(1, 1, 1)]
+
+
 def test_term_frequencies_in_row(spark):
     df = spark.createDataFrame([(1, "b a b c b a"), (2, ""), (3, "x")], "id int, t string")
     got = {r.id: sorted((p.term, p.tf) for p in r.p) for r in
