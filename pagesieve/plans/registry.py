@@ -22,13 +22,17 @@ from pagesieve.operators import convert as CV
 from pagesieve.operators import corpus as CO
 from pagesieve.operators import fallback as FB
 from pagesieve.operators import index_store as IX
+from pagesieve.operators import passages as PS
 from pagesieve.operators import policy as PO
+from pagesieve.operators import policy_table as PT
 from pagesieve.operators import retrieval as RT
 from pagesieve.operators import selection as SE
+from pagesieve.operators import vector_index as VI
 from pagesieve.plans import jobs as JB
 from pagesieve.plans import sql as S
 from pagesieve.session import materialize, scratch_path
 from pagesieve.sources import derive as DV
+from pagesieve.streaming import changes as SC
 from pagesieve.streaming import ingest as ST
 from pagesieve.sources.tables import catalogue, host_of, read_pages, read_table, table_path
 
@@ -237,6 +241,22 @@ def q_policy_counts(spark, sf):
     return PO.policy_counts(pages(spark, sf), ("url",), _PAGE_PATTERNS)
 
 
+@register("policy_table_audit", """
+WITH p AS (SELECT DISTINCT array_to_string(string_split(lower(text), ' ')[2:3], ' ') AS pattern FROM documents),
+t AS (SELECT doc_id, lower(text) AS text FROM documents)
+SELECT t.doc_id, count(*) AS n_patterns, sha256(string_agg(pattern, chr(10) ORDER BY pattern)) AS patterns_sha256
+FROM t JOIN p ON p.pattern <> '' AND contains(t.text, p.pattern) GROUP BY 1""")
+def q_policy_table_audit(spark, sf):
+    """A pattern table of thousands of rows: the second and third word of every
+    document, looked for in all documents."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    words = F.split(F.lower("text"), " ", -1)
+    patterns = docs.select(F.array_join(F.slice(words, 2, 2), " ").alias("pattern"))
+    found = PT.audit_table(docs, ("text",), patterns)
+    return found.select("doc_id", F.size("patterns").cast("long").alias("n_patterns"),
+                        F.sha2(F.array_join("patterns", "\n"), 256).alias("patterns_sha256"))
+
+
 @register("catalog_by_budget", f"""
 WITH {_SCORE_SQL}
 SELECT t.target, t.target_type, b.budget, c.ord, c.id AS source_id
@@ -859,7 +879,7 @@ def q_indexed_documents(spark, sf):
     return _kept_index(spark, sf).documents().select("doc_id", F.col("doc_len").cast("long").alias("doc_len"))
 
 
-@register("vector_search", """
+_VECTOR_SQL = """
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 dims AS (SELECT label, i, avg(v[i]) AS x FROM (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM e) GROUP BY 1, 2),
 cen AS (SELECT label, list(x ORDER BY i) AS q FROM dims GROUP BY 1),
@@ -868,13 +888,24 @@ sims AS (SELECT c.label, e.vec_id,
                   AS score
          FROM cen c CROSS JOIN e)
 SELECT label, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM sims) WHERE rank <= 5""")
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM sims) WHERE rank <= 5"""
+
+
+@register("vector_search", _VECTOR_SQL)
 def q_vector_search(spark, sf):
     emb = read_table(spark, sf, "embeddings")
     queries = RT.centroids(emb.select("label", "embedding"), "label", "embedding")
     return RT.cosine_search(emb, "vec_id", "embedding", queries, "label", "embedding", k=5)
 
 
+@register("cell_search", _VECTOR_SQL)
+def q_cell_search(spark, sf):
+    """The same through cells of vectors, skipped by the triangle inequality."""
+    emb = read_table(spark, sf, "embeddings")
+    queries = RT.centroids(emb.select("label", "embedding"), "label", "embedding")
+    return VI.VectorIndex(emb, "vec_id", "embedding").search(queries, "label", "embedding", k=5)
+
+
 CITATION_K = 3
 
 
@@ -891,6 +922,51 @@ def q_citations(spark, sf):
 
 
 
+@register("positional_index", """
+WITH w AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[\\p{L}\\p{N}]+'), lambda x: lower(x)) AS w FROM documents),
+e AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS place FROM w)
+SELECT doc_id, term, string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) AS positions FROM e GROUP BY 1, 2""")
+def q_positional_index(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return PS.positional_postings(docs, ["doc_id"], "text").select(
+        "doc_id", "term", F.array_join(F.transform("positions", lambda p: p.cast("string")), ",").alias("positions"))
+
+
+@register("best_passages", "WITH " + _bm25_sql("corpus AS (SELECT doc_id, text FROM documents)", "doc_id", "text",
+                                               CITATION_K) + """,
+words AS (SELECT doc_id, text, list_transform(regexp_extract_all(text, '[\\p{L}\\p{N}]+'), lambda x: lower(x)) AS w,
+                 regexp_extract_all(text, '[\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+') AS tk
+          FROM documents WHERE doc_id IN (SELECT doc_id FROM hits)),
+occ AS (SELECT h.item_id, h.doc_id, q.term, o.place
+        FROM hits h JOIN (SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS place FROM words) o USING (doc_id)
+        JOIN q ON q.item_id = h.item_id AND q.term = o.term),
+nexts AS (SELECT s.item_id, s.doc_id, s.place AS first_word, t.term, min(t.place) AS nxt
+          FROM occ s JOIN occ t ON t.item_id = s.item_id AND t.doc_id = s.doc_id AND t.place >= s.place
+          GROUP BY 1, 2, 3, 4),
+n AS (SELECT item_id, doc_id, count(DISTINCT term) AS n FROM occ GROUP BY 1, 2),
+wins AS (SELECT x.item_id, x.doc_id, x.first_word, max(x.nxt) AS last_word
+         FROM nexts x JOIN n ON n.item_id = x.item_id AND n.doc_id = x.doc_id GROUP BY 1, 2, 3, n.n HAVING count(*) = n.n),
+best AS (SELECT * FROM wins QUALIFY row_number() OVER (PARTITION BY item_id, doc_id
+                                                       ORDER BY last_word - first_word, first_word) = 1),
+cut AS (SELECT h.item_id, h.rank, h.doc_id, b.first_word, b.last_word, w.tk,
+               2 * b.first_word + CASE WHEN regexp_matches(w.tk[1], '^[\\p{L}\\p{N}]') THEN 0 ELSE 1 END AS a
+        FROM hits h JOIN best b ON b.item_id = h.item_id AND b.doc_id = h.doc_id JOIN words w ON w.doc_id = h.doc_id)
+SELECT item_id, rank, doc_id, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       length(array_to_string(tk[1:a], '')) AS start,
+       array_to_string(tk[a + 1:a + 2 * (last_word - first_word) + 1], '') AS passage,
+       length(array_to_string(tk[1:a + 2 * (last_word - first_word) + 1], '')) AS end
+FROM cut""")
+def q_best_passages(spark, sf):
+    """The smallest passage of each hit that holds all of the question's terms
+    that the document has."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    questions = read_table(spark, sf, "benchmark")
+    hits = RT.bm25_search(docs, ["doc_id"], "text", questions, "item_id", "text", k=CITATION_K)
+    hits = materialize(hits.select("item_id", "rank", "doc_id"))
+    found = PS.best_passages(hits, docs, ["doc_id"], "text", questions, "item_id", "text")
+    return found.withColumns({c: F.col(c).cast("long") for c in ("first_word", "last_word", "start", "end")})
+
+
 @register("chunk_search", S.chunks(CHUNK_MAX, CHUNK_OVERLAP) + ", " + _bm25_sql(
     "corpus AS (SELECT doc_id * 100000 + chunk_no AS chunk_key, chunk FROM chunks)", "chunk_key", "chunk",
     KEYWORD_K).lstrip().lstrip(",") + """
@@ -943,6 +1019,31 @@ def q_stream_ingest(spark, sf):
     return corpus.select("page_id", "corpus", "doc_name", "url", "title", "document", "content_sha256")
 
 
+FIRST_CRAWL, SECOND_CRAWL = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 8)
+
+
+@register("page_changes", f"""
+WITH c1 AS (SELECT page_id, url, sha256(html) AS h FROM pages WHERE page_id % 5 <> 1),
+c2 AS (SELECT page_id, url, sha256(CASE WHEN contains(url, '/en/')
+              THEN replace(html, '</article>', '<p>Updated.</p></article>') ELSE html END) AS h
+       FROM pages WHERE page_id % 5 <> 2)
+SELECT url, page_id, 'new' AS status, h AS content_sha256, '{FIRST_CRAWL}' AS crawled_at FROM c1
+UNION ALL
+SELECT c2.url, c2.page_id, CASE WHEN c1.url IS NULL THEN 'new' WHEN c1.h = c2.h THEN 'unchanged' ELSE 'changed' END,
+       c2.h, '{SECOND_CRAWL}'
+FROM c2 LEFT JOIN c1 ON c1.url = c2.url
+UNION ALL
+SELECT url, page_id, 'gone', h, '{FIRST_CRAWL}' FROM c1 WHERE url NOT IN (SELECT url FROM c2)""")
+def q_page_changes(spark, sf):
+    """Two crawls followed with state per URL: a fifth of the pages is missing in
+    each, and pages under /en/ changed in between."""
+    p = pages(spark, sf)
+    one = p.where("page_id % 5 <> 1").withColumn("crawled_at", F.lit(FIRST_CRAWL))
+    two = DV.second_crawl(p).where("page_id % 5 <> 2").withColumn("crawled_at", F.lit(SECOND_CRAWL))
+    changes = SC.run_crawls(spark, [one, two], dt.timedelta(days=3))
+    return changes.withColumn("crawled_at", F.col("crawled_at").cast("string"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
