@@ -15,10 +15,11 @@ A line's key is the line stripped of ``[\\x20\\x09-\\x0D]`` at both ends with A-
 lower-cased. Only keys of at least ``min_chars`` code points take part. Keys
 are compared by two 64-bit hashes (128 bits).
 
-Hot lines: the runs are combinable aggregates, so a line found in a third of
-all documents moves one row per map task. Lines that make up more than
-1 / ``HOT_SHARE`` of all lines, ``HOT_SHARE`` of them at most, are marked by a
-broadcast of their hashes; the others by an equi-join.
+Runs are bucketed by line hash, so the anti joins move no row. All other steps are
+equi-joins and aggregates that combine before the shuffle: a line found in a
+third of all documents moves one row per map task, and the join that marks lines
+is split by adaptive execution. A document's lines are marked by their places
+and cut out by slices between them, so its cost grows with its lines.
 """
 
 from __future__ import annotations
@@ -28,13 +29,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagesieve.llm.tables import materialize
+from pagesieve.functions.text import let
+from pagesieve.llm.tables import bucketed, materialize
 
 MIN_CHARS = 20
 MIN_DOCS = 3
 BATCHES = 4
 FAN_IN = 2
-HOT_SHARE = 1000
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -53,24 +54,50 @@ def text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def placed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, text_hash, place, a, b): the hashes of each document's eligible
+    lines, with their places from 0."""
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))  # once, not for every line
+    lines = hashed.select("doc_id", "text_hash", F.posexplode(text_lines(F.col("text"))).alias("place", "line"))
+    keyed = lines.withColumn("key", line_key(F.col("line"))).where(F.length("key") >= min_chars)
+    return keyed.select("doc_id", "text_hash", "place", line_hash(F.col("key")).alias("h")).select(
+        "doc_id", "text_hash", "place", "h.a", "h.b")
+
+
 def document_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, h): the distinct hashes of each document's eligible lines."""
-    keys = F.filter(F.transform(text_lines(F.col("text")), line_key), lambda k: F.length(k) >= min_chars)
-    hashes = F.array_distinct(F.transform(keys, line_hash))
-    return docs.select("doc_id", F.explode(hashes).alias("h")).select("doc_id", "h.a", "h.b")
+    """(doc_id, a, b): the distinct hashes of each document's eligible lines."""
+    return placed_lines(docs, min_chars).select("doc_id", "a", "b").distinct()
+
+
+def without_places(lines: Column, places: Column) -> Column:
+    """An array without its elements at some places (ascending, from 0): the
+    slices between them."""
+    starts = F.concat(F.array(F.lit(0)), F.transform(places, lambda p: p + 1))
+    ends = F.concat(places, F.array(F.size(lines)))
+    return let(ends, lambda e: F.flatten(F.transform(starts, lambda s, i: F.slice(
+        lines, s + 1, F.get(e, i) - s))))
 
 
 def make_run(lines: DataFrame) -> DataFrame:
-    """One batch's run: a row per line hash, sorted by hash."""
-    run = lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
-    return run.sortWithinPartitions("a", "b")
+    """One batch's run: a row per line hash."""
+    return lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
 
 
 def merge_runs(runs: list[DataFrame]) -> DataFrame:
-    """Merge sorted runs (compaction)."""
-    merged = reduce(DataFrame.unionByName, runs).groupBy("a", "b").agg(
-        F.sum("docs").alias("docs"), F.max("keeper").alias("keeper"))
-    return merged.sortWithinPartitions("a", "b")
+    """Merge runs (compaction): bucketed ones by a merge join without exchange."""
+    def merge(left: DataFrame, right: DataFrame) -> DataFrame:
+        l, r = left.alias("l"), right.alias("r")
+        both = l.join(r.hint("merge"), ["a", "b"], "full_outer")
+        docs = F.coalesce("l.docs", F.lit(0)) + F.coalesce("r.docs", F.lit(0))
+        return both.select("a", "b", docs.alias("docs"), F.greatest("l.keeper", "r.keeper").alias("keeper"))
+
+    return reduce(merge, runs)
+
+
+def store_run(run: DataFrame) -> DataFrame:
+    """Write a run bucketed and sorted by hash. Its aggregate deals by the same
+    hash, so a task writes whole buckets."""
+    return bucketed(run, ["a", "b"])
 
 
 class Levels:
@@ -80,14 +107,15 @@ class Levels:
         self.fan_in, self.levels = fan_in, []
 
     def add(self, run: DataFrame) -> None:
-        level, run = 0, materialize(run)
+        """Add a stored run (``store_run``)."""
+        level = 0
         while True:
             if level == len(self.levels):
                 self.levels.append([])
             self.levels[level].append(run)
             if len(self.levels[level]) < self.fan_in:
                 return
-            run = materialize(merge_runs(self.levels[level]))
+            run = store_run(merge_runs(self.levels[level]))
             self.levels[level] = []
             level += 1
 
@@ -99,7 +127,7 @@ def append_batch(levels: Levels, lines: DataFrame) -> DataFrame:
     """Add a batch of document lines (``document_lines``) whose documents the
     runs don't hold yet. Returns (a, b, keeper): the line hashes that no
     earlier batch had, with the batch's largest document id holding each."""
-    run = materialize(make_run(lines))
+    run = store_run(make_run(lines))
     fresh = run.select("a", "b", "keeper")
     for old in levels.runs():
         fresh = fresh.join(old.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
@@ -137,27 +165,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     carried = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("string")
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        carried.alias("carry"))
-    lines = materialize(document_lines(base.where(F.col("doc_id").isNotNull()), min_chars).distinct())
+    named = base.where(F.col("doc_id").isNotNull())
+    lines = materialize(document_lines(named, min_chars))
     levels, keepers = Levels(fan_in), []
     for part in descending_batches(lines, batches):
         keepers.append(append_batch(levels, lines.where(part)))
-    common = merge_runs(levels.runs()).where(F.col("docs") >= min_docs).select("a", "b", "docs")
+    common = merge_runs(levels.runs()).where(F.col("docs") >= min_docs).select("a", "b")
     common = materialize(common.join(reduce(DataFrame.unionByName, keepers).select("a", "b", "keeper"), ["a", "b"]))
-    limit = lines.count() / HOT_SHARE
-    hot, rest = (common.where(c).select("a", "b", "keeper") for c in (F.col("docs") > limit, F.col("docs") <= limit))
-    cold = lines.join(F.broadcast(hot), ["a", "b"], "left_anti")
-    marked = lines.join(F.broadcast(hot), ["a", "b"]).unionByName(cold.join(rest, ["a", "b"]))
-    drops = marked.where(F.col("doc_id") != F.col("keeper"))
-    # bounded by the lines of one document
-    drops = drops.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("_drops"))
-    joined = base.join(drops, "doc_id", "left")
-
-    def stays(line: Column) -> Column:
-        key = line_key(line)
-        return ~((F.length(key) >= min_chars) & F.array_contains(F.col("_drops"), line_hash(key)))
-
+    marked = placed_lines(named, min_chars).join(common, ["a", "b"]).where(F.col("doc_id") != F.col("keeper"))
+    # bounded by the lines of one document; rows that repeat a document and its text mark the same places
+    drops = marked.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
+        F.array_sort(F.array_distinct(F.collect_list("place"))).alias("_drops"))
+    joined = base.join(drops, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
     lines_of = text_lines(F.col("text"))
-    kept = F.when(F.col("_drops").isNull(), lines_of).otherwise(F.filter(lines_of, stays))
+    kept = F.when(F.col("_drops").isNull(), lines_of).otherwise(let(
+        lines_of, lambda own: without_places(own, F.col("_drops"))))
     counted = joined.select("doc_id", "text", "carry", F.size(lines_of).cast("long").alias("n_lines"),
                             kept.alias("_kept"))
     return counted.select("doc_id", "text", "n_lines", (F.col("n_lines") - F.size("_kept")).alias("n_dropped"),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagesieve.session import ensure_checkpoint_dir, materialize, scratch_path
 
-__all__ = ["ensure_checkpoint_dir", "id_text", "materialize", "read", "scratch_path", "small_batches"]
+__all__ = ["bucketed", "ensure_checkpoint_dir", "id_text", "materialize", "read", "scratch_path", "small_batches"]
 
 
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -29,3 +31,16 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Only the id and the text, under fixed names: other columns of the input
     (whatever their names) never reach an operator."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def bucketed(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``materialize`` as a table bucketed and sorted by ``cols``, with as many
+    buckets as the session has shuffle partitions: joins of such tables on
+    these columns need no exchange."""
+    spark = df.sparkSession
+    name, path = f"pagesieve_{uuid.uuid4().hex}", scratch_path(spark, "tables")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("path", path).bucketBy(buckets, *cols).sortBy(*cols).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the catalogue's entry: files and the DataFrame stay
+    return table

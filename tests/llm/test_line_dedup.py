@@ -1,4 +1,5 @@
 import re
+import time
 from collections import defaultdict
 
 from pagesieve.llm import line_dedup
@@ -75,3 +76,27 @@ def test_no_python_on_the_main_path(frame, capsys):
     line_dedup.dedup_lines(frame([(1, "a"), (2, "b")])).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_very_many_lines_in_one_document(frame):
+    """Linear in a document's lines: quadratic marking took minutes here."""
+    lines = [f"the line number {i} of a very long document" for i in range(200_000)]
+    shared = lines[::2]
+    pairs = [(1, "\n".join(lines)), (2, "\n".join(shared)), (3, "\n".join(shared) + "\nend"), (3, "short")]
+    start = time.time()
+    got = run(frame(pairs))
+    assert time.time() - start < 60
+    assert got == brute(pairs)
+    assert got[0][2] == 100_000
+
+
+def test_anti_joins_move_no_row(spark, frame):
+    docs = frame([(i, f"a line of some length {i % 7}\nand another one of {i % 3}") for i in range(60)])
+    lines = line_dedup.document_lines(docs.select("doc_id", "text"))
+    levels = line_dedup.Levels(4)
+    for part in line_dedup.descending_batches(lines, 3)[:2]:
+        line_dedup.append_batch(levels, lines.where(part))
+    one, two = levels.runs()
+    joined = one.select("a", "b").join(two.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
