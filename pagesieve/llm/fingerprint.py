@@ -216,6 +216,7 @@ def edited(text: str, following: str) -> str:
 
 
 ROWS_PER_BUCKET = 5_000
+MAX_RANGES = 65_536  # a task's range grows beyond that, not the list of ranges
 ROWS_PER_STEP = 10_000
 
 
@@ -226,7 +227,8 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     smallest the largest), and the likeness of its fingerprint to the edited
     text's and to the following document's.
 
-    Ids are cut into ranges of about ``rows_per_bucket`` rows; a range also
+    Ids are cut into ranges of about ``rows_per_bucket`` rows, ``MAX_RANGES`` at
+    most; a row's range is found by a binary search among the cuts. A range also
     gets a copy of the row before its first, so neighbours meet in one shuffle
     of the texts. Null ids count as smaller than all others; equal ids are
     ordered by text. A single document follows itself.
@@ -235,13 +237,17 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
         F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     ids = base.select("doc_id")
     total = ids.count()
-    n_cuts = total // rows_per_bucket
+    n_cuts = min(total // rows_per_bucket, MAX_RANGES - 1)
     cuts = ids.agg(F.percentile_approx("doc_id", [(i + 1) / (n_cuts + 1) for i in range(n_cuts)], 100_000)
                    ).first()[0] if n_cuts else []
     cuts = np.array(sorted(set(cuts or [])), np.int64)
-    limits = F.array(*[F.lit(int(c)) for c in cuts]) if len(cuts) else F.array().cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(limits, lambda c: c < F.col("doc_id"))))
+
+    @F.pandas_udf("int")
+    def range_of(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, ids.to_numpy(np.int64)))
+
+    found = range_of(F.coalesce("doc_id", F.lit(0))) if len(cuts) else F.lit(0)
+    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(found)
     tops = {r["b"]: r["top"] for r in ids.groupBy(bucket.alias("b")).agg(F.max("doc_id").alias("top")).collect()}
     order = sorted(tops)  # a number per range
     # the largest row of each range also opens the next range, that of the last opens the first
