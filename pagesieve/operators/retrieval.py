@@ -187,7 +187,8 @@ def rank_documents(post: DataFrame, keys, qterms: DataFrame, qkey: str, k: int,
     able = materialize(sums.join(better, qkey, "left").where(F.col("s") + F.col("rest") >= floor).select(
         qkey, "block", *keys, "s"))
     others = bounds.where("not essential").select(qkey, "block", F.col("term").alias("_t"))
-    wanted = able.join(others, [qkey, "block"]).select(qkey, "_t", *[F.col(c).alias(f"_{c}") for c in keys])
+    wanted = materialize(able.join(others, [qkey, "block"]).select(
+        qkey, "_t", *[F.col(c).alias(f"_{c}") for c in keys]))
     added = post.join(wanted, (F.col("term") == F.col("_t")) & same_keys(keys)).select(qkey, *keys, F.col("w").alias("s"))
     total = able.select(qkey, *keys, "s").unionAll(added).groupBy(qkey, *keys).agg(F.sum("s").alias("s"))
     scored = total.withColumn("score", F.round(F.col("s") * UNIT, decimals))
