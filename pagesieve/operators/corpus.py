@@ -221,16 +221,24 @@ def write_corpus(docs: DataFrame, path: str, fmt: str = "parquet", mode: str = "
 
 #: ends a record of the text sink; documents themselves hold newlines
 RECORD_END = "\x1e"
+#: stands, with a letter behind it, for itself and for a RECORD_END inside a document
+ESCAPE = "\x1b"
 
 
 def write_text_files(docs: DataFrame, path: str, column: str = "document") -> None:
-    """The plain-text sink: a record per document, ended by ``RECORD_END``."""
-    docs.select(column).write.mode("overwrite").option("lineSep", RECORD_END).text(path)
+    """The plain-text sink: a record per document, ended by ``RECORD_END``. A
+    document with either control character is written with escapes; all
+    others stand as they are."""
+    text = F.replace(F.col(column), F.lit(ESCAPE), F.lit(ESCAPE + "e"))
+    text = F.replace(text, F.lit(RECORD_END), F.lit(ESCAPE + "r"))
+    docs.select(text.alias(column)).write.mode("overwrite").option("lineSep", RECORD_END).text(path)
 
 
 def read_text_files(spark, path: str, column: str = "document") -> DataFrame:
     """The documents of the plain-text sink."""
-    return spark.read.option("lineSep", RECORD_END).text(path).withColumnRenamed("value", column)
+    text = F.replace(F.col("value"), F.lit(ESCAPE + "r"), F.lit(RECORD_END))
+    text = F.replace(text, F.lit(ESCAPE + "e"), F.lit(ESCAPE))
+    return spark.read.option("lineSep", RECORD_END).text(path).select(text.alias(column))
 
 
 def run_record(targets: DataFrame, as_of, corpus_name: str | None = None) -> DataFrame:

@@ -96,9 +96,9 @@ def test_kept_plus_skipped_is_input(spark):
 
 
 def test_text_sink(spark, tmp_path):
-    docs = spark.createDataFrame([("a\nb",), ("c",)], "document string")
-    CO.write_text_files(docs, str(tmp_path / "txt"))
-    assert sorted(r.document for r in CO.read_text_files(spark, str(tmp_path / "txt")).collect()) == ["a\nb", "c"]
+    texts = sorted(["a\nb", "c", "one\x1etwo", "\x1e", "\x1b", "\x1br\x1ee\x1b\x1e", "\x1ber\x1b\x1be"])
+    CO.write_text_files(spark.createDataFrame([(t,) for t in texts], "document string"), str(tmp_path / "txt"))
+    assert sorted(r.document for r in CO.read_text_files(spark, str(tmp_path / "txt")).collect()) == texts
 
 
 def test_header_time_defaults_to_now(spark):
