@@ -23,6 +23,7 @@ from pagesieve.operators import corpus as CO
 from pagesieve.operators import fallback as FB
 from pagesieve.operators import index_store as IX
 from pagesieve.operators import passages as PS
+from pagesieve.operators import pieces as PC
 from pagesieve.operators import policy as PO
 from pagesieve.operators import policy_table as PT
 from pagesieve.operators import retrieval as RT
@@ -32,6 +33,7 @@ from pagesieve.plans import jobs as JB
 from pagesieve.plans import sql as S
 from pagesieve.session import materialize, scratch_path
 from pagesieve.sources import derive as DV
+from pagesieve.streaming import attempts as SA
 from pagesieve.streaming import changes as SC
 from pagesieve.streaming import ingest as ST
 from pagesieve.sources.tables import catalogue, host_of, read_pages, read_table, table_path
@@ -338,6 +340,32 @@ def q_source_failures(spark, sf):
     return FB.source_failures(attempts)
 
 
+ARRIVALS_FROM, ARRIVALS_WAIT = dt.datetime(2024, 1, 1), dt.timedelta(hours=2)
+
+
+def _streamed_outcomes(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(outcomes, items): the attempts followed as a stream, out of order."""
+    attempts, items = _attempts(spark, sf)
+    arrivals = DV.attempt_arrivals(materialize(attempts), ARRIVALS_FROM)
+    return SA.run_attempts(spark, arrivals, ARRIVALS_WAIT), items
+
+
+@register("streamed_fallback", f"""
+WITH {_ATTEMPTS_SQL}
+SELECT w.target, w.rank, w.source_id, i.page_id, i.url
+FROM win w JOIN items i ON i.target = w.target AND i.rank = w.rank""")
+def q_streamed_fallback(spark, sf):
+    outcomes, items = _streamed_outcomes(spark, sf)
+    won = outcomes.where("outcome = 'won'").select("target", "rank", "source_id")
+    return items.join(won, ["target", "rank"]).select("target", "rank", "source_id", "page_id", "url")
+
+
+@register("streamed_failures", ORACLES["source_failures"])
+def q_streamed_failures(spark, sf):
+    outcomes, _ = _streamed_outcomes(spark, sf)
+    return outcomes.where("outcome = 'failed'").select("target", "attempts", "error")
+
+
 @register("target_status", f"""
 WITH {_ATTEMPTS_SQL},
 content AS (SELECT w.target, count_if(length(i.html) > 0) AS n_content
@@ -693,6 +721,75 @@ def q_incremental_append(spark, sf):
     return CO.append_new_pages(existing, incoming).select("page_id", "url", "content_sha256")
 
 
+_HASH_SUM = " + ".join(f"coalesce(lag(v, {j}) OVER w, 0) * {c}" for j, c in enumerate(PC.WEIGHTS))
+
+# The bytes of both states of every document, the rolling sum at each byte, the cuts, the pieces.
+_PIECES_CTE = f"""
+t AS (SELECT 'first' AS batch, doc_id, coalesce(text, '') AS text FROM documents
+      UNION ALL
+      SELECT 'second', doc_id, coalesce(CASE WHEN doc_id % 2 = 0
+             THEN substr(text, 1, length(text) // 2) || ' words added later ' || substr(text, length(text) // 2 + 1)
+             ELSE text END, '') FROM documents),
+hexed AS (SELECT batch, doc_id, text, hex(encode(text)) AS h FROM t),
+bytes AS (SELECT batch, doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS x
+          FROM (SELECT batch, doc_id, regexp_extract_all(h, '..') AS l FROM hexed)),
+vals AS (SELECT batch, doc_id, i, (instr('0123456789ABCDEF', x[1]) - 1) * 16 + instr('0123456789ABCDEF', x[2]) - 1 AS v
+         FROM bytes),
+sums AS (SELECT batch, doc_id, i, ({_HASH_SUM}) % 4294967296 AS s FROM vals
+         WINDOW w AS (PARTITION BY batch, doc_id ORDER BY i)),
+hits AS (SELECT batch, doc_id, i AS e, lag(i) OVER (PARTITION BY batch, doc_id ORDER BY i) AS before
+         FROM sums WHERE i >= {PC.WINDOW}
+         AND (s::UBIGINT * {PC.SPREAD}::UBIGINT) % 4294967296 < {(1 << 32) // PC.SHARE}),
+cuts AS (SELECT batch, doc_id, e FROM hits WHERE before IS NULL OR e - before >= {PC.MIN_BYTES}
+         UNION SELECT batch, doc_id, length(h) // 2 FROM hexed WHERE h <> ''),
+gaps AS (SELECT batch, doc_id, e, coalesce(lag(e) OVER (PARTITION BY batch, doc_id ORDER BY e), 0) AS p FROM cuts),
+ends AS (SELECT batch, doc_id, e FROM cuts
+         UNION SELECT batch, doc_id, unnest(range(p + {PC.MAX_BYTES}, e, {PC.MAX_BYTES})) FROM gaps),
+spans AS (SELECT batch, doc_id, e, coalesce(lag(e) OVER (PARTITION BY batch, doc_id ORDER BY e), 0) AS p FROM ends),
+pieces AS (SELECT s.batch, s.doc_id, s.p AS start, sha256(unhex(substr(h, 2 * p + 1, 2 * (e - p)))) AS sha256
+           FROM spans s JOIN hexed USING (batch, doc_id))"""
+
+
+def _piece_store(spark, sf) -> tuple[PC.PieceStore, str, str]:
+    """Two states of the documents appended, the second one twice."""
+    documents = read_table(spark, sf, "documents").select("doc_id", "text")
+    store = PC.PieceStore(spark, scratch_path(spark, "pieces"))
+    store.append(documents, "first", "doc_id")
+    edited = DV.edited_documents(documents)
+    store.append(edited, "second", "doc_id")
+    store.append(edited, "second", "doc_id")
+    return store, "first", "second"
+
+
+@register("piece_append", f"""
+WITH {_PIECES_CTE},
+known AS (SELECT doc_id, count(*) AS n_pieces, count(*) FILTER (sha256 IN (SELECT sha256 FROM pieces WHERE batch = 'first'))
+          AS n_known FROM pieces WHERE batch = 'second' GROUP BY 1)
+SELECT doc_id, coalesce(n_pieces, 0) AS n_pieces, coalesce(n_known, 0) AS n_known, sha256(text) AS text_sha256
+FROM hexed LEFT JOIN known USING (doc_id) WHERE batch = 'second'""")
+def q_piece_append(spark, sf):
+    """The second state of every document put together from its pieces, and how
+    many of these the store held before."""
+    store, first, second = _piece_store(spark, sf)
+    recipes = store.recipes()
+    held = recipes.where(F.col("batch") == first).select("sha256").distinct()
+    known = recipes.where(F.col("batch") == second).join(held, "sha256", "left_semi").groupBy("key").agg(
+        F.count(F.lit(1)).alias("n_known"))
+    return store.texts(second).join(known, "key", "left").select(
+        F.col("key").cast("long").alias("doc_id"), F.col("n_pieces").cast("long").alias("n_pieces"),
+        F.coalesce("n_known", F.lit(0)).alias("n_known"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@register("stored_pieces", f"""
+WITH {_PIECES_CTE}
+SELECT sha256, count(*) AS n_uses FROM pieces GROUP BY 1""")
+def q_stored_pieces(spark, sf):
+    """Every piece the store holds (once each) and its uses in both states."""
+    store, _, _ = _piece_store(spark, sf)
+    uses = store.recipes().groupBy("sha256").agg(F.count(F.lit(1)).alias("n_uses"))
+    return store.pieces().select(F.sha2("data", 256).alias("sha256")).join(uses, "sha256")
+
+
 @register("stored_corpus", f"""
 WITH {_DOCS_CTE}
 SELECT page_id, corpus, doc_name, strlen(document) AS n_bytes, sha256(document) AS document_sha256 FROM docs""")

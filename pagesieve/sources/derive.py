@@ -10,6 +10,8 @@ in the oracle.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,6 +133,24 @@ def second_crawl(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", h.alias("html"))
 
 
+def edited_documents(documents: DataFrame) -> DataFrame:
+    """A later state of the documents: every second one has words added in its middle."""
+    half = F.floor(F.length("text") / 2).cast("int")
+    text = F.concat(F.expr("substr(text, 1, cast(floor(length(text) / 2) as int))"), F.lit(" words added later "),
+                    F.substr("text", half + 1))
+    return documents.select("doc_id", F.when(F.col("doc_id") % 2 == 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def attempt_arrivals(attempts: DataFrame, base: dt.datetime, batches: int = 3) -> list[DataFrame]:
+    """Attempts with the minute they ended, in batches that are not in the order of
+    ranks, and a last batch that only moves the time on by a day."""
+    timed = attempts.withColumn("ended_at", F.lit(base) + F.make_dt_interval(mins=F.col("rank")))
+    batch = F.pmod(F.xxhash64("target", "rank"), F.lit(batches))
+    later = attempts.sparkSession.createDataFrame([(base + dt.timedelta(days=1),)], "ended_at timestamp")
+    last = later.select(*(F.lit(None).cast(timed.schema[c].dataType).alias(c) for c in attempts.columns), "ended_at")
+    return [*(timed.where(batch == i) for i in range(batches)), last]
+
+
 def dirty_documents(documents: DataFrame) -> DataFrame:
     """Documents with whitespace noise added after every sentence end."""
     return documents.select("doc_id", F.replace(F.col("text"), F.lit(". "), F.lit(".  \t   \n\n\n\n ")).alias("text"))
