@@ -41,8 +41,13 @@ def indexing_cost_bytes(docs: DataFrame, text_col: str = "text", by=()) -> DataF
     """Byte form: (sum of bytes) // 5; cost rounded to 4 places."""
     agg = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("files"),
                                 F.sum(F.octet_length(F.col(text_col))).cast("long").alias("total_size_bytes"))
+    return with_byte_cost(agg)
+
+
+def with_byte_cost(sizes: DataFrame) -> DataFrame:
+    """Tokens and cost of ``total_size_bytes``."""
     tokens = F.floor(F.col("total_size_bytes") / K.CHARS_PER_TOKEN).cast("long")
-    return (agg.withColumn("estimated_tokens", tokens)
+    return (sizes.withColumn("estimated_tokens", tokens)
             .withColumn("cost_estimate_usd",
                         F.round(F.col("estimated_tokens") / 1e6 * K.INDEXING_PRICE_PER_MILLION_TOKENS, 4)))
 
@@ -160,18 +165,22 @@ def drop_corpora_on_disk(spark, path: str, names: DataFrame, corpus: str = "corp
     return removed
 
 
+def file_record(corpus: Column, name: Column, size: Column, as_of) -> Column:
+    """struct(name, path, size, imported_at) of a stored file."""
+    return F.struct(name.alias("name"), F.concat(corpus, F.lit("/"), name).alias("path"), size.alias("size"),
+                    as_of_iso(as_of).alias("imported_at"))
+
+
 def first_files(docs: DataFrame, as_of, by: str = "corpus", order: str = "page_id", name: str = "doc_name",
                 text_col: str = "document", n: int = K.MANIFEST_FIRST_FILES) -> DataFrame:
     """First n file records per corpus: name, path, size, imported_at. The
     row_number filter becomes a WindowGroupLimit (trimmed per task before the
     shuffle), so only n rows per task and corpus reach the collect."""
     w = Window.partitionBy(by).orderBy(order)
-    path = F.concat(F.col(by), F.lit("/"), F.col(name))
     size = F.octet_length(F.col(text_col)).cast("long")
-    top = docs.select(by, order, F.col(name).alias("name"), path.alias("path"), size.alias("size"))
+    top = docs.select(by, order, F.col(name).alias("name"), size.alias("size"))
     top = top.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-    record = F.struct(F.col(order).alias("o"), F.struct("name", "path", "size", as_of_iso(as_of).alias("imported_at"))
-                      .alias("file"))
+    record = F.struct(F.col(order).alias("o"), file_record(F.col(by), F.col("name"), F.col("size"), as_of).alias("file"))
     return top.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(record)), lambda s: s["file"])
                                .alias("uploaded_files"))
 
@@ -181,15 +190,21 @@ def corpus_summary(docs: DataFrame, as_of, by: str = "corpus", text_col: str = "
     """Corpus metadata: store, files, bytes, tokens, cost, MB, constants, the
     first file records. Rows whose corpus is null are one corpus."""
     docs = docs.withColumn(by, F.coalesce(F.col(by), F.lit(NO_HOST)))
-    cost = indexing_cost_bytes(docs, text_col, by=[by])
-    firsts = first_files(docs, as_of, by, order, name, text_col)
-    return (cost.join(firsts, by).select(
+    sizes = docs.groupBy(by).agg(F.count(F.lit(1)).alias("files"),
+                                 F.sum(F.octet_length(F.col(text_col))).cast("long").alias("total_size_bytes"))
+    return summary_rows(sizes.join(first_files(docs, as_of, by, order, name, text_col), by), as_of, by)
+
+
+def summary_rows(figures: DataFrame, as_of, by: str = "corpus") -> DataFrame:
+    """Corpus metadata from (corpus, files, total_size_bytes, uploaded_files)."""
+    figures = with_byte_cost(figures)
+    return figures.select(
         F.concat(F.lit("stores/"), F.col(by)).alias("store_name"),
         F.col(by).alias("corpus_name"), F.col("files").alias("files_indexed"),
         F.lit(K.STORAGE_TYPE).alias("storage_type"), F.lit(K.STORAGE_PERSISTENCE).alias("storage_persistence"),
         F.lit(True).alias("globally_accessible"), as_of_iso(as_of).alias("created_at"),
         "total_size_bytes", "estimated_tokens", "cost_estimate_usd",
-        F.round(F.col("total_size_bytes") / 1024 / 1024, 2).alias("total_size_mb"), "uploaded_files"))
+        F.round(F.col("total_size_bytes") / 1024 / 1024, 2).alias("total_size_mb"), "uploaded_files")
 
 
 def append_new_pages(existing: DataFrame, incoming: DataFrame, url: str = "url",

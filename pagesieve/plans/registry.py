@@ -21,6 +21,7 @@ from pagesieve.operators import chunking as CH
 from pagesieve.operators import convert as CV
 from pagesieve.operators import corpus as CO
 from pagesieve.operators import fallback as FB
+from pagesieve.operators import figures as FG
 from pagesieve.operators import index_store as IX
 from pagesieve.operators import passages as PS
 from pagesieve.operators import pieces as PC
@@ -566,8 +567,7 @@ def q_indexing_cost_bytes(spark, sf):
     return CO.indexing_cost_bytes(read_table(spark, sf, "documents"), "text")
 
 
-@register("corpus_summary", f"""
-WITH d AS (SELECT source, doc_id, text, printf('doc_%04d.txt', doc_id) AS name FROM documents),
+_SUMMARY_SQL = f"""
 a AS (SELECT source, count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM d GROUP BY 1),
 f AS (SELECT source, string_agg(name || ' ' || source || '/' || name || ' ' || strlen(text) || ' {AS_OF_ISO}', ','
                            ORDER BY doc_id) AS first_files FROM (
@@ -577,15 +577,43 @@ SELECT 'stores/' || a.source AS store_name, a.source AS corpus_name, files AS fi
        '{AS_OF_ISO}' AS created_at, bytes AS total_size_bytes, bytes // 5 AS estimated_tokens,
        round((bytes // 5) / 1e6 * 0.15, 4) AS cost_estimate_usd, round(bytes / 1024 / 1024, 2) AS total_size_mb,
        first_files
-FROM a JOIN f ON f.source = a.source""")
+FROM a JOIN f ON f.source = a.source"""
+
+
+@register("corpus_summary", """
+WITH d AS (SELECT source, doc_id, text, printf('doc_%04d.txt', doc_id) AS name FROM documents),""" + _SUMMARY_SQL)
 def q_corpus_summary(spark, sf):
     d = read_table(spark, sf, "documents").select(
         F.col("source").alias("corpus"), "doc_id", "text", CV.doc_name(F.col("doc_id")).alias("doc_name"))
     summary = CO.corpus_summary(d, AS_OF, by="corpus", text_col="text", order="doc_id", name="doc_name")
+    return _flat_files(summary)
+
+
+def _flat_files(summary: DataFrame) -> DataFrame:
     return summary.withColumn("first_files", F.array_join(F.transform("uploaded_files", lambda f: F.concat_ws(
         " ", f["name"], f["path"], f["size"].cast("string"), f["imported_at"])), ",")).drop("uploaded_files")
 
 
+@register("kept_figures", """
+WITH d AS (SELECT source, doc_id, text || CASE WHEN doc_id % 5 = 1 AND source <> 'src1' THEN ' edited' ELSE '' END AS text,
+                  printf('doc_%04d.txt', doc_id) AS name
+           FROM documents WHERE CASE WHEN source = 'src1' THEN doc_id % 10 = 0 ELSE doc_id % 7 <> 0 END),""" + _SUMMARY_SQL)
+def q_kept_figures(spark, sf):
+    """The figures of corpora after appends, replaced and dropped files, a dropped
+    corpus and an append to it, none of them computed anew."""
+    d = read_table(spark, sf, "documents").select(
+        F.col("source").alias("corpus"), F.col("doc_id").alias("ord"), CV.doc_name(F.col("doc_id")).alias("name"),
+        F.octet_length("text").alias("size"))
+    kept = FG.CorpusFigures(spark, scratch_path(spark, "figures"))
+    kept.append(d.where("ord % 3 = 0"))
+    kept.append(d.where("ord % 3 <> 0"))
+    kept.append(d.where("ord % 5 = 1").withColumn("size", F.col("size") + len(" edited")))
+    kept.drop(d.where("ord % 7 = 0"))
+    kept.drop_corpora(spark.createDataFrame([("src1",)], "corpus string"))
+    kept.append(d.where("corpus = 'src1' AND ord % 10 = 0"))
+    return _flat_files(kept.summary(AS_OF))
+
+
 @register("page_pricing", f"""
 WITH {_ITEMS_SQL}
 SELECT target, count(*) AS pages_processed, 0.0015 AS price_per_page, 0.02 AS start_fee,
