@@ -15,8 +15,10 @@ repeats can be, aligned so that equal strings start in the same column:
    at most 2 * LENGTH - GRAM long. Equal strings have equal anchors at equal
    places, so only stretches with equal anchors need comparing.
 2. *Equal contexts.* Of stretches with equal anchor and context (128 bits of
-   hash) all but the first are covered altogether: copied text ends here, in one
-   shuffle of a row per stretch. Anchors with one context have no other repeats.
+   hash) all but the first are covered altogether: copied text ends here. Firsts and
+   contexts of an anchor are found by aggregates that combine before the shuffle, and
+   joins that adaptive execution splits, so an anchor in very many documents gathers
+   nowhere. Anchors with one context have no other repeats.
 3. *Columns.* What is left are first contexts of anchors that have several, such
    as those around an edit or the border of a shared passage. They are aligned
    at the anchor; from the last column to the first, one symbol per context is
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesieve.llm import arrowtext as A
@@ -285,19 +287,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
                    hot_group: int = HOT_GROUP) -> DataFrame:
     """(doc_id, start, end): byte spans of documents (doc_id, text) whose strings
     of ``length`` bytes start earlier too. Spans may overlap."""
-    window = Window.partitionBy("anchor").orderBy("context", "doc_id", "place")
-    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    here = F.struct("context", "doc_id", "place")
-    seen = all_stretches(docs, length, gram).select(
-        "anchor", "doc_id", "place", F.lag("context").over(window).eqNullSafe(F.col("context")).alias("copy"),
-        F.lag(here).over(window).eqNullSafe(here).alias("again"),  # of a row that repeats a document
-        (F.first("context").over(whole) != F.last("context").over(whole)).alias("several"))
-    seen = materialize(seen.where("not again and (copy or several)"))
+    found = all_stretches(docs, length, gram)
+    # written: a join with an aggregate on its own keys would not be split
+    shared = materialize(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
+    seen = materialize(found.join(shared, "anchor", "left_semi"))
+    firsts = materialize(seen.groupBy("anchor", "context").agg(
+        F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n")))
+    several = materialize(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
     start = F.shiftright("place", 16)
-    copies = seen.where("copy").select(
+    # a row that repeats the first one's document is at its place, no copy
+    copies = seen.join(firsts.where("n > 1").drop("n"), ["anchor", "context"]).where(
+        F.struct("doc_id", "place") != F.col("first")).select(
         "doc_id", start.alias("start"),
         (start + F.shiftright("place", 8).bitwiseAND(F.lit(255)) - 1 + length).alias("end"))
-    rest = seen.where("not copy").select("anchor", "doc_id", "place")
+    rest = firsts.join(several, "anchor", "left_semi").select("anchor", "first.doc_id", "first.place")
     hot = rest.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_group).select("anchor")
     hot = materialize(hot)
     contexts = context_rows(docs, rest, length)
