@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query into PLANS.md.
+"""Summarise the physical plan of every query of the base library into PLANS.md.
 
 Usage: python tools/plan_summary.py [sf_dir]
 
@@ -16,7 +16,7 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from pagesieve.plans import registry  # noqa: E402
 from pagesieve.session import get_session  # noqa: E402
 
 PATTERNS = {
@@ -32,7 +32,7 @@ PATTERNS = {
     "window": r"\bWindow \[",
     "hash aggregate": r"HashAggregate\(",
     "scalar subquery": r"Subquery subquery",
-    "python worker": r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas|PythonMapInArrow",
+    "python worker": r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas|MapInArrow",
 }
 
 
@@ -58,7 +58,7 @@ def main() -> None:
            f"Generated by `tools/plan_summary.py` on `{os.path.basename(sf_dir)}` (local session, AQE on;",
            "initial plans, before AQE re-optimisation). Broadcasts of data-dependent sides come from the",
            "planner's size threshold, not from hints.", ""]
-    for name, fn in entry.queries().items():
+    for name, fn in registry.queries().items():
         if name == "stream_ingest":
             out += [f"## {name}", "", "- streaming: file source -> foreachBatch (dedupe, anti join, append)", ""]
             continue
