@@ -1140,7 +1140,7 @@ SELECT page_id, {S.host('url')} AS corpus, printf('doc_%04d.txt', page_id) AS do
        content_sha256
 FROM d""")
 def q_stream_ingest(spark, sf):
-    corpus = ST.run_ingest(spark, sf, AS_OF, glob="pages.parquet")
+    corpus = ST.run_ingest(spark, ST.table_files(table_path(sf, "pages")), AS_OF, glob="*")
     return corpus.select("page_id", "corpus", "doc_name", "url", "title", "document", "content_sha256")
 
 

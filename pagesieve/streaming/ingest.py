@@ -94,6 +94,14 @@ def stream_pages(spark: SparkSession, source_dir: str, corpus_path: str, as_of,
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def table_files(path: str) -> str:
+    """A source of ``stream_pages`` for a table that is one file or a folder of
+    files: a glob that only its own path matches, since a stream takes no path
+    of a single file."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/[{name[0]}]{name[1:]}"
+
+
 def run_ingest(spark: SparkSession, source_dir: str, as_of, glob: str = "*.parquet",
                corpus_path: str | None = None) -> DataFrame:
     """Run the stream to completion and return the corpus it wrote."""

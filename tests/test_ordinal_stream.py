@@ -226,3 +226,18 @@ def test_scratch_folder_is_only_made_in_a_local_session(monkeypatch):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             session.ensure_checkpoint_dir(Session())
     assert session.is_local("local[4]") and session.is_local("local") and not session.is_local("local-cluster[1,1,1]")
+
+
+def test_ingest_of_a_table_in_one_file_or_a_folder(spark, tmp_path):
+    from pagesieve.plans import registry
+    from pagesieve.sources.tables import PAGES_SCHEMA
+    rows = [(i, f"http://h{i % 3}.com/{i}", f"<p>text {i}</p>") for i in range(40)] + [(40, "http://h0.com/x", "")]
+    df = spark.createDataFrame(rows, PAGES_SCHEMA)
+    df.repartition(4).write.parquet(str(tmp_path / "many" / "pages.parquet"))
+    df.repartition(2).write.parquet(str(tmp_path / "many" / "xpages.parquet"))
+    df.coalesce(1).write.parquet(str(tmp_path / "out"))
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "out").glob("part-*.parquet")).rename(tmp_path / "one" / "pages.parquet")
+    for folder in ("many", "one"):
+        got = registry.QUERIES["stream_ingest"](spark, str(tmp_path / folder)).collect()
+        assert sorted(r.page_id for r in got) == list(range(40))
