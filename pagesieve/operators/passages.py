@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesieve.functions.text import let
-from pagesieve.operators.retrieval import TERM_RE, question_terms
+from pagesieve.operators.retrieval import TERM_RE, question_terms, same_keys
+from pagesieve.session import materialize
 
 #: words and what stands between them, so that a text is the sum of its tokens
 TOKEN_RE = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
@@ -29,11 +30,39 @@ def word_list(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(TERM_RE), 0), F.lower)
 
 
+def term_positions(words: Column) -> Column:
+    """array<struct<term, positions>> of one document, made inside its row: the
+    (term, place) pairs in order, cut where the term changes."""
+    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("term"), i.alias("place"))))
+
+    def runs(names, places):
+        n = F.size(names)
+        idx = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(idx, lambda i: (i == 1) | (F.element_at(names, i) != F.element_at(names, i - 1)))
+        return let(starts, lambda st: F.transform(st, lambda s, j: F.struct(
+            F.element_at(names, s).alias("term"),
+            F.slice(places, s, F.coalesce(F.try_element_at(st, j + 2), n + 1) - s).alias("positions"))))
+
+    return let(placed, lambda srt: let(srt["term"], lambda names: let(
+        srt["place"], lambda places: runs(names, places))))
+
+
 def positional_postings(corpus: DataFrame, keys, text_col: str) -> DataFrame:
-    """(keys..., term, positions): the places of each term, from 0, ascending."""
+    """(keys..., term, positions): the places of each term, from 0, ascending.
+
+    A document's words stay in its row. Only rows that share their key are taken
+    apart and grouped, since the places of all of them belong to one posting; the
+    keys alone are counted to find them."""
     keys = list(keys)
-    placed = corpus.select(*keys, F.posexplode(word_list(F.col(text_col))).alias("place", "term"))
-    return placed.groupBy(*keys, "term").agg(F.array_sort(F.collect_list("place")).alias("positions"))
+    many = materialize(corpus.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
+        *[F.col(c).alias(f"_{c}") for c in keys]))
+    same = same_keys(keys)
+    own = corpus.join(many, same, "left_anti").select(
+        *keys, F.explode(term_positions(word_list(F.col(text_col)))).alias("_p"))
+    shared = corpus.join(many, same, "left_semi").select(
+        *keys, F.posexplode(word_list(F.col(text_col))).alias("place", "term"))
+    return own.select(*keys, "_p.term", "_p.positions").unionAll(
+        shared.groupBy(*keys, "term").agg(F.array_sort(F.collect_list("place")).alias("positions")))
 
 
 def smallest_window(places: Column, n_terms: Column) -> Column:
@@ -58,7 +87,7 @@ def best_passages(hits: DataFrame, corpus: DataFrame, keys, text_col: str, quest
     """``hits`` (qkey, keys..., ...) with first_word, last_word (word numbers),
     start, end (characters of the text, end excluded) and passage."""
     keys = list(keys)
-    docs = hits.select(*keys).distinct().join(corpus.select(*keys, text_col), keys)
+    docs = materialize(hits.select(*keys).distinct().join(corpus.select(*keys, text_col), keys))
     asked = question_terms(questions, qkey, qtext)
     places = positional_postings(docs, keys, text_col)
     pairs = hits.select(qkey, *keys).distinct().join(asked, qkey).join(places, [*keys, "term"])

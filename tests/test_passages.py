@@ -57,3 +57,17 @@ def test_positions(spark):
     none = PS.best_passages(df.select(F.lit(1).alias("q"), "k").limit(0), df, ["k"], "t", spark.createDataFrame(
         [(1, "a")], "q int, t string"), "q", "t")
     assert none.count() == 0
+
+
+def test_positions_are_found_in_the_row_of_a_document(spark):
+    """Words leave their row only where rows share a key."""
+    rows = [(1, "b a B"), (2, "x a"), (2, "a y a"), (None, "n"), (None, "n m"), (3, ""), (4, None), (5, "é 漢 É")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    want = {}
+    for i, t in rows:
+        for place, term in enumerate((t or "").lower().split()):
+            want.setdefault((i, term), []).append(place)
+    got = {(r.id, r.term): r.positions for r in PS.positional_postings(df, ["id"], "t").collect()}
+    assert got == {x: sorted(places) for x, places in want.items()}
+    one = df.select(PS.term_positions(PS.word_list(F.col("t"))).alias("p")).first().p
+    assert [(x.term, x.positions) for x in one] == [("a", [1]), ("b", [0, 2])]
