@@ -1,6 +1,9 @@
 """Batch retrieval over a corpus: term index, BM25 and cosine top-k.
 
-Plan shape (BM25), exact top-k with score bounds:
+Plan shape (BM25), exact top-k. Up to 4,096 questions: the postings of the question
+terms are grouped by document, and each task adds up its documents' scores with the
+questions' terms at hand and passes on k documents per question. More questions:
+pairs with score bounds:
   corpus -> terms counted inside each document's row (sorted terms -> run
   lengths) -> explode -> postings; no (doc, term) shuffle. Every document also
   gets one row without a term, so the index alone knows the number of documents
@@ -34,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from pagesieve import constants as K
@@ -173,10 +177,9 @@ def same_keys(keys) -> Column:
     return equal
 
 
-def rank_documents(post: DataFrame, keys, qterms: DataFrame, qkey: str, k: int, decimals: int = 6) -> DataFrame:
-    """Top ``k`` documents per question over ``weighted_postings``: qkey, rank,
-    keys..., score."""
-    keys = list(keys)
+def paired_sums(post: DataFrame, keys, qterms: DataFrame, qkey: str, k: int, decimals: int) -> DataFrame:
+    """(qkey, keys..., s): sums of contributions that hold each question's first
+    ``k``, by pairs of questions and essential postings; for any number of questions."""
     # few rows beside the postings; written, so that the planner knows how few
     tops = materialize(term_bounds(post, keys))
     bounds = materialize(question_bounds(tops, keys, qterms, qkey, k, decimals))
@@ -190,7 +193,106 @@ def rank_documents(post: DataFrame, keys, qterms: DataFrame, qkey: str, k: int,
     wanted = materialize(able.join(others, [qkey, "block"]).select(
         qkey, "_t", *[F.col(c).alias(f"_{c}") for c in keys]))
     added = post.join(wanted, (F.col("term") == F.col("_t")) & same_keys(keys)).select(qkey, *keys, F.col("w").alias("s"))
-    total = able.select(qkey, *keys, "s").unionAll(added).groupBy(qkey, *keys).agg(F.sum("s").alias("s"))
+    return able.select(qkey, *keys, "s").unionAll(added).groupBy(qkey, *keys).agg(F.sum("s").alias("s"))
+
+
+#: questions whose terms are sent to all tasks
+QUESTION_BLOCK = 4096
+#: (question, document) sums, and contributions to them, that a task holds at a time
+CELLS, PAIRS = 1 << 18, 1 << 20
+
+
+def first_per_question(question: np.ndarray, rank_by: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` largest ``rank_by`` of each question, of equal ones the first."""
+    order = np.lexsort((np.arange(len(question)), -rank_by, question))
+    own = question[order]
+    nth = np.arange(len(own)) - np.searchsorted(own, own)
+    return np.sort(order[nth < k])
+
+
+def block_sums(post: DataFrame, keys, asked: list, qkey: str, kind, k: int, decimals: int) -> DataFrame:
+    """``paired_sums`` for the (question, term) rows of few questions, which are
+    sent to all tasks. A document's postings meet in its row, bounded by the
+    question terms it has; a task passes on k rows per question, never a row per pair."""
+    names = sorted({q for q, _ in asked if q is not None}) + [None] * any(q is None for q, _ in asked)
+    number = {q: i for i, q in enumerate(names)}
+    by_term: dict[str, list[int]] = {}
+    for q, term in asked:
+        by_term.setdefault(term, []).append(number[q])
+    ids = {term: i for i, term in enumerate(by_term)}
+    n_asking = np.array([len(x) for x in by_term.values()] + [0])  # the last: terms no question has
+    shared = post.sparkSession.sparkContext.broadcast(
+        (names, ids, n_asking, np.cumsum(n_asking) - n_asking, np.array([q for x in by_term.values() for q in x], int)))
+    # in the order of the keys, so that of equal scores the first to come is kept
+    docs = post.groupBy(*keys).agg(F.collect_list(F.struct("term", "w")).alias("_p")).sortWithinPartitions(*keys)
+    unit, scale = 40, 10 ** decimals
+
+    def best(batches):
+        names, ids, n_asking, starts, asking = shared.value
+        least = np.zeros(len(names), np.int64)  # the k-th score so far
+        held, q_held, s_held, r_held = None, *(np.zeros(0, np.int64) for _ in range(3))
+
+        def rounded(s):  # as the scores are ranked, in whole units of the last decimal
+            part = (s & ((1 << unit) - 1)).astype(object if decimals > 6 else np.int64)
+            return ((s >> unit) * scale + ((part * scale + (1 << (unit - 1))) >> unit)).astype(np.int64)
+
+        for batch in batches:
+            if not batch.num_rows or not names:
+                continue
+            rows = batch.column(len(keys))
+            term = rows.flatten().field(0).dictionary_encode()
+            own = np.array([ids.get(t, -1) for t in term.dictionary.to_pylist()], int)[term.indices.to_numpy()]
+            w = rows.flatten().field(1).to_numpy(zero_copy_only=False)
+            ends = rows.offsets.to_numpy()[1:] - rows.offsets[0].as_py()
+            pairs = np.cumsum(n_asking[own])[ends - 1]  # of each document and those before it
+            doc = 0
+            while doc < len(ends):
+                before = pairs[doc - 1] if doc else 0
+                to = min(int(np.searchsorted(pairs, before + PAIRS, "right")), doc + CELLS // len(names))
+                to = max(to, doc + 1)
+                of = slice(ends[doc - 1] if doc else 0, ends[to - 1])
+                many = n_asking[own[of]]
+                each = np.repeat(np.arange(len(many)), many)
+                place = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many) + starts[own[of]][each]
+                lengths = np.diff(ends[doc:to], prepend=of.start)
+                cell = np.repeat(np.arange(to - doc), lengths)[each] * len(names) + asking[place]
+                size = (to - doc) * len(names)
+                # in two parts, each of whose sums a double holds exactly
+                high, low = (np.bincount(cell, x[each], size).astype(np.int64) for x in (w[of] >> 26, w[of] & ((1 << 26) - 1)))
+                s = ((high << 26) + low).reshape(to - doc, len(names))
+                r = rounded(s)
+                d, q = np.nonzero((s > 0) & ((r > least) | (least == 0)))
+                if len(d):
+                    fresh = pa.Table.from_batches([batch.select(list(range(len(keys))))]).take(pa.array(d + doc))
+                    held = pa.concat_tables([held, fresh]) if held else fresh
+                    q_held, s_held, r_held = (np.concatenate(x) for x in (
+                        (q_held, q), (s_held, s[d, q]), (r_held, r[d, q])))
+                    keep = first_per_question(q_held, r_held, k)
+                    held, q_held, s_held, r_held = held.take(pa.array(keep)), q_held[keep], s_held[keep], r_held[keep]
+                    full = np.bincount(q_held, minlength=len(names)) >= k
+                    lowest = np.full(len(names), np.iinfo(np.int64).max)
+                    np.minimum.at(lowest, q_held, r_held)
+                    least = np.where(full, lowest, 0)
+                doc = to
+        if held:
+            questions = pa.array(names, to_arrow_type(kind)).take(pa.array(q_held))
+            for part in pa.table([questions, *held.columns, pa.array(s_held)], names=[qkey, *keys, "s"]).to_batches():
+                yield part
+
+    schema = T.StructType([T.StructField(qkey, kind), *[post.schema[c] for c in keys], T.StructField("s", T.LongType())])
+    return docs.mapInArrow(best, schema)
+
+
+def rank_documents(post: DataFrame, keys, qterms: DataFrame, qkey: str, k: int, decimals: int = 6) -> DataFrame:
+    """Top ``k`` documents per question over ``weighted_postings``: qkey, rank,
+    keys..., score."""
+    keys = list(keys)
+    few = qterms.select(qkey).distinct().limit(QUESTION_BLOCK + 1).count() <= QUESTION_BLOCK
+    if few:
+        asked = [(r[0], r[1]) for r in qterms.select(qkey, "term").collect()]
+        total = block_sums(post, keys, asked, qkey, qterms.schema[qkey].dataType, k, decimals)
+    else:
+        total = paired_sums(post, keys, qterms, qkey, k, decimals)
     scored = total.withColumn("score", F.round(F.col("s") * UNIT, decimals))
     w = Window.partitionBy(qkey).orderBy(F.desc("score"), *[F.asc(c) for c in keys])
     return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -204,7 +306,8 @@ def search(index: DataFrame, keys, questions: DataFrame, qkey: str, qtext: str,
     document. Output: qkey, rank, keys..., score. An empty index gives no row."""
     keys = list(keys)
     qterms = question_terms(questions, qkey, qtext)
-    vocab = qterms.select("term").distinct().unionAll(qterms.sparkSession.sql("SELECT CAST(NULL AS STRING)"))
+    # written, so that the planner knows how few they are and the index is not dealt out to meet them
+    vocab = materialize(qterms.select("term").distinct().unionAll(qterms.sparkSession.sql("SELECT CAST(NULL AS STRING)")))
     # postings of question terms and the documents' own rows: what is written does not hold the corpus's other terms
     wanted = vocab.withColumnRenamed("term", "_v")
     found = materialize(index.join(wanted, F.col("term").eqNullSafe(F.col("_v")), "left_semi"))

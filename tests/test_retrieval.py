@@ -131,3 +131,23 @@ def test_term_stats_and_title_api(spark):
     assert st == {"a": (1, 2), "b": (2, 2), "c": (1, 1)}
     h = spark.createDataFrame([("<h1>x</h1>", "https://e.org/")], "h string, u string")
     assert h.select(extract_title("h", "u")).first()[0] == "x"
+
+
+def test_scores_added_by_document_equal_those_of_pairs(spark, monkeypatch):
+    """Copies, rows that share a key, a null key and a null question; few cells at a time."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.unionAll(docs.where("doc_id % 3 = 0").withColumn("doc_id", F.col("doc_id") + 100000))
+    docs = docs.unionAll(spark.createDataFrame([(None, "one two"), (-1, None), (-2, "")], "doc_id long, text string"))
+    asked = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text")
+    asked = asked.unionAll(spark.createDataFrame([(None, "two one two"), (-1, ""), (-2, "qqqq zzzz")], asked.schema))
+
+    def hits():
+        return sorted(map(str, RT.bm25_search(docs.repartition(3), ["doc_id"], "text", asked, "item_id", "text").collect()))
+
+    at_once = hits()
+    with monkeypatch.context() as m:
+        m.setattr(RT, "CELLS", 1)
+        m.setattr(RT, "PAIRS", 1)
+        assert hits() == at_once
+    monkeypatch.setattr(RT, "QUESTION_BLOCK", 0)
+    assert hits() == at_once and len(at_once) > 5
