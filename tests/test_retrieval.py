@@ -151,3 +151,10 @@ def test_scores_added_by_document_equal_those_of_pairs(spark, monkeypatch):
         assert hits() == at_once
     monkeypatch.setattr(RT, "QUESTION_BLOCK", 0)
     assert hits() == at_once and len(at_once) > 5
+
+
+def test_terms_are_the_runs_of_letters_and_digits(spark):
+    texts = ["", " ", None, "a", " a", "a ", "--A1b--c_d", "\u0130x \u00c9\u0301t", "\U00020000\U0001F600z \u6f22\u5b57\u0663", "\n\nx\t\ty"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = df.select(RT.terms("t").alias("a"), F.regexp_extract_all(F.lower("t"), F.lit(RT.TERM_RE), 0).alias("b"))
+    assert all(r.a == r.b for r in found.collect())
