@@ -1,9 +1,9 @@
 """A stored search index that is kept up to date: append, replace, drop, search.
 
 Storage is a folder of *segments*. A segment is written once and never changed:
-  postings (term, part, keys..., tf, doc_len): a bucketed table, bucketed and
-    sorted by (term, part); ``part`` is a hash of the document, so a frequent
-    term lies in several buckets
+  postings (term, part, keys..., tf, doc_len): a table bucketed by (term, part),
+    in whose buckets equal (term, part) lie together; ``part`` is a hash of the
+    document, so a frequent term lies in several buckets
   docs (keys..., doc_len, tags...): a row per document
 Documents are dropped by a *delete list*: (keys..., upto) hides the rows of that
 document in segments up to number ``upto``; a later segment may hold it again,
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from pagesieve import constants as K
 from pagesieve.operators import versions
 from pagesieve.operators.retrieval import (
+    count_terms,
     question_terms,
     rank_documents,
-    term_frequencies,
     terms,
     weighted_postings,
 )
@@ -38,6 +38,8 @@ from pagesieve.session import materialize, scratch_path
 
 PARTS = 8
 FAN_IN = 4
+#: rows of a delete list that are sent to all tasks; a longer one is joined by a shuffle
+HIDDEN_SENT = 1 << 20
 
 
 class IndexStore:
@@ -67,8 +69,11 @@ class IndexStore:
     def _write_bucketed(self, df: DataFrame, path: str) -> str:
         name = f"pagesieve_{uuid.uuid4().hex}"
         n = self.state["buckets"]
-        (df.repartition(n, "term", "part").write.option("path", path).bucketBy(n, "term", "part")
-         .sortBy("term", "part").format("parquet").saveAsTable(name))
+        # in the order of one number, which takes no comparisons of terms: sortBy would work out the bucket of both rows
+        # in each. Counting the rows keeps the order from being left out as that of a table without one
+        rows = df.repartition(n, "term", "part").sortWithinPartitions(F.xxhash64("term", "part")).observe(
+            name, F.count(F.lit(1)).alias("rows"))
+        rows.write.option("path", path).bucketBy(n, "term", "part").format("parquet").saveAsTable(name)
         self.tables[path] = name
         return name
 
@@ -79,7 +84,7 @@ class IndexStore:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                                 for f in self.spark.read.parquet(path).schema.fields)
             self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (term, part) "
-                           f"SORTED BY (term, part) INTO {self.state['buckets']} BUCKETS LOCATION '{path}'")
+                           f"INTO {self.state['buckets']} BUCKETS LOCATION '{path}'")
             self.tables[path] = name
         return self.spark.table(self.tables[path])
 
@@ -97,7 +102,8 @@ class IndexStore:
         if not self.state["deletes"]:
             return None
         rows = self.spark.read.parquet(*[f"{self.root}/{d}" for d in self.state["deletes"]])
-        return rows.groupBy(*[F.col(k).alias(f"_{k}") for k in self.keys]).agg(F.max("upto").alias("_upto"))
+        hidden = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in self.keys]).agg(F.max("upto").alias("_upto"))
+        return F.broadcast(hidden) if rows.count() <= HIDDEN_SENT else hidden
 
     def _live(self, rows: DataFrame) -> DataFrame:
         """Rows (keys..., seq, ...) that the delete list does not hide."""
@@ -131,9 +137,9 @@ class IndexStore:
         if not n:
             return
         changes = self._hide(own.select(*self.keys)) if self.state["segments"] else {}
-        each = tokens.select(*self.keys, F.size("_t").alias("doc_len"), F.explode(term_frequencies(F.col("_t"))).alias("p"))
-        self._write_bucketed(each.select(F.col("p.term").alias("term"), self._part(self.keys).alias("part"), *self.keys,
-                                         F.col("p.tf").alias("tf"), "doc_len"), f"{self.root}/{folder}/postings")
+        each = count_terms(tokens, self.keys)
+        self._write_bucketed(each.select("term", self._part(self.keys).alias("part"), *self.keys, "tf", "doc_len"),
+                             f"{self.root}/{folder}/postings")
         base = {**self.state, **changes}
         self._commit(**{**changes, "last": seq, "n_docs": base["n_docs"] + n, "total_len": base["total_len"] + total,
                         "segments": [*base["segments"], {"id": folder, "seq": seq, "level": 0}]})

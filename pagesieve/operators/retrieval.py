@@ -35,6 +35,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,13 +72,45 @@ def term_frequencies(terms_col: Column) -> Column:
     return let(F.sort_array(terms_col), runs)
 
 
+#: words that a task counts at a time; a document with more is counted at once
+WORDS = 1 << 18
+
+
+def count_terms(tok: DataFrame, cols) -> DataFrame:
+    """(cols..., term, tf, doc_len), one per row (cols..., _t) and different term.
+    Rows are counted as batches of term numbers inside their task (no shuffle)."""
+    cols = list(cols)
+    schema = T.StructType([*[tok.schema[c] for c in cols], T.StructField("term", T.StringType()),
+                           T.StructField("tf", T.LongType()), T.StructField("doc_len", T.IntegerType())])
+
+    def count(batches):
+        for batch in batches:
+            own, lists = batch.select(list(range(len(cols)))), batch.column(len(cols))
+            n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            words, ends = lists.flatten(), np.cumsum(n)
+            at = 0
+            while at < len(n):
+                before = int(ends[at - 1]) if at else 0
+                to = max(int(np.searchsorted(ends, before + WORDS, "right")), at + 1)
+                part = words.slice(before, int(ends[to - 1]) - before).dictionary_encode()
+                size = max(len(part.dictionary), 1)
+                cell = np.repeat(np.arange(at, to), n[at:to]) * size + part.indices.to_numpy(zero_copy_only=False)
+                cells, tf = np.unique(cell, return_counts=True)
+                if len(cells):
+                    row, code = np.divmod(cells, size)
+                    place = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [*[c.take(place) for c in own.columns], part.dictionary.take(pa.array(code)),
+                         pa.array(tf.astype(np.int64)), pa.array(n[row].astype(np.int32))], names=schema.names)
+                at = to
+
+    return tok.select(*cols, "_t").mapInArrow(count, schema)
+
+
 def build_term_index(df: DataFrame, keys, text_col: str) -> DataFrame:
-    """Postings (keys..., term, tf, doc_len), one row per (document, term);
-    counted inside each document's row (no shuffle)."""
+    """Postings (keys..., term, tf, doc_len), one row per (document, term)."""
     keys = list(keys)
-    tok = df.select(*keys, terms(text_col).alias("_t"))
-    ex = tok.select(*keys, F.size("_t").alias("doc_len"), F.explode(term_frequencies(F.col("_t"))).alias("_p"))
-    return ex.select(*keys, F.col("_p.term").alias("term"), F.col("_p.tf").alias("tf"), "doc_len")
+    return count_terms(df.select(*keys, terms(text_col).alias("_t")), keys)
 
 
 def restrict_to_corpora(df: DataFrame, corpora, corpus_col: str = "corpus") -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pagesieve.operators import index_store
 from pagesieve.operators import retrieval as RT
 from pagesieve.operators import versions
 from pagesieve.operators.index_store import IndexStore
@@ -95,3 +96,31 @@ def test_empty_and_odd(spark, tmp_path):
     assert store.drop(odd.where("b is null").select("a", "b")) == 1
     assert [(r.a, r.b) for r in store.search(asked, "q", "text").collect()] == [(1, "x")]
     store.close()
+
+
+def test_writing_sorts_by_one_number_and_deletes_are_sent_to_the_postings(spark, docs, tmp_path, monkeypatch):
+    store = IndexStore(spark, str(tmp_path / "ix"), ["doc_id"], ["source"], buckets=2)
+    store.append(docs)
+    assert store.drop(docs.where("doc_id % 4 = 1").select("doc_id")) > 0
+    postings = store._postings(store.state["segments"][0])
+    table = spark.sql(f"DESCRIBE EXTENDED {next(iter(store.tables.values()))}").collect()
+    assert [r.data_type for r in table if r.col_name == "Sort Columns"] in ([], ["[]"])
+    # rows of a term and part still lie together in their file
+    placed = postings.select("term", "part", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i")).selectExpr(
+        "term", "part", "row_number() over (partition by f order by i) - row_number() over (partition by f, term, part order by i) as run")
+    pairs = postings.select("term", "part").distinct().count()
+    assert placed.distinct().count() == pairs < postings.count()
+    # the delete list meets the postings without dealing them out anew, unless it is long
+    rows = postings.withColumn("seq", F.lit(1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sent = store._live(rows)
+        plan = sent._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        monkeypatch.setattr(index_store, "HIDDEN_SENT", 0)
+        dealt = store._live(rows)
+        assert "SortMergeJoin" in dealt._jdf.queryExecution().executedPlan().toString()
+        assert 0 < sent.count() == dealt.count() == postings.where("doc_id % 4 <> 1").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    store.close()

@@ -158,3 +158,15 @@ def test_terms_are_the_runs_of_letters_and_digits(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     found = df.select(RT.terms("t").alias("a"), F.regexp_extract_all(F.lower("t"), F.lit(RT.TERM_RE), 0).alias("b"))
     assert all(r.a == r.b for r in found.collect())
+
+
+def test_terms_are_counted_in_tasks_by_number(spark, monkeypatch):
+    """Rows that share a key, null keys, null and empty texts; few words at a time."""
+    rows = [(1, "b", "b a b c b a"), (1, "b", "a"), (None, "x", "İx a a"), (2, None, ""), (3, "y", None), (4, "z", "--")]
+    df = spark.createDataFrame(rows, "a long, b string, t string").coalesce(1)
+    monkeypatch.setattr(RT, "WORDS", 2)
+    index = RT.build_term_index(df, ["a", "b"], "t")
+    assert "MapInArrow" in index._jdf.queryExecution().executedPlan().toString()
+    want = [(1, "b", "a", 2, 6), (1, "b", "b", 3, 6), (1, "b", "c", 1, 6), (1, "b", "a", 1, 1), (None, "x", "i", 1, 4),
+            (None, "x", "x", 1, 4), (None, "x", "a", 2, 4)]
+    assert sorted(map(str, map(tuple, index.collect()))) == sorted(map(str, want))
