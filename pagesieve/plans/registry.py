@@ -37,7 +37,7 @@ from pagesieve.sources import derive as DV
 from pagesieve.streaming import attempts as SA
 from pagesieve.streaming import changes as SC
 from pagesieve.streaming import ingest as ST
-from pagesieve.sources.tables import catalogue, host_of, read_pages, read_table, table_path
+from pagesieve.sources.tables import catalogue, dealt, host_of, read_pages, read_table, table_path
 
 AS_OF = dt.datetime(2024, 1, 1, 0, 0, 0)
 AS_OF_ISO = AS_OF.isoformat()
@@ -1117,7 +1117,8 @@ SELECT h.item_id, h.rank, c.doc_id AS page_id, c.chunk_no, c.chunk, d.url, d.tit
 FROM hits h JOIN chunks c ON c.doc_id * 100000 + c.chunk_no = h.chunk_key JOIN docs d ON d.page_id = c.doc_id""")
 def q_passage_citations(spark, sf):
     """The passages that answer a question, with the URL and title of their page."""
-    docs = materialize(_docs(spark, sf).select("page_id", "url", "title", "text"))
+    docs = CV.convert_pages(dealt(pages(spark, sf), "page_id"), AS_OF)
+    docs = materialize(docs.select("page_id", "url", "title", "text"))
     chunks = CH.chunk_documents(docs, "page_id", "text", CHUNK_MAX, CHUNK_OVERLAP, CHUNK_SEP, keep=("url", "title"))
     chunks = materialize(chunks.select("page_id", "chunk_no", "chunk", "url", "title"))
     hits = RT.bm25_search(chunks, ["page_id", "chunk_no"], "chunk", read_table(spark, sf, "benchmark"), "item_id",

@@ -75,6 +75,14 @@ def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     return df.repartition(partitions, key) if partitions and not df.isStreaming else df
 
 
+def dealt(table: DataFrame, key: str) -> DataFrame:
+    """The rows of a stored table; of one in fewer files than the cluster has
+    cores dealt out by ``key``, since a row group is read by one task however
+    large it is. Adaptive execution chooses the number of tasks."""
+    few = len(table.inputFiles()) < table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(key) if few else table
+
+
 # --------------------------------------------------------------------------
 # Fixed tables (constant size, safe to broadcast)
 # --------------------------------------------------------------------------

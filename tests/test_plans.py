@@ -73,3 +73,20 @@ def test_ordinal_windows_by_group_and_bucket(spark):
     import re
     windows = re.findall(r"Window \[row_number\(\).*?\], \[([^\]]*)\]", p)
     assert windows and all("_b" in w for w in windows)
+
+
+def test_a_table_of_few_files_is_dealt_out(spark, split_pages):
+    from pagesieve.sources.tables import dealt, read_pages
+    one = read_pages(spark, "/root/testdata/sf0.001/pages.parquet")
+    out = dealt(one, "page_id")
+    assert "hashpartitioning(page_id" in plan(CV.convert_pages(out, "2024-01-01T00:00:00"))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, one.collect()))
+    assert "Exchange" not in plan(dealt(split_pages, "page_id"))  # as many files as cores: read as they are
+
+
+def test_passage_citations_deals_out_its_pages(spark, monkeypatch):
+    from pagesieve.plans import registry
+    seen = []
+    monkeypatch.setattr(registry, "materialize", lambda df: seen.append(plan(df)) or df)
+    registry.q_passage_citations(spark, "/root/testdata/sf0.001")
+    assert "hashpartitioning(page_id" in seen[0]
