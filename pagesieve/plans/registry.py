@@ -979,7 +979,7 @@ _INDEXED_CORPUS = """corpus AS (
 
 
 def _kept_index(spark, sf) -> IX.IndexStore:
-    docs = read_table(spark, sf, "documents").select("doc_id", "source", "text")
+    docs = dealt(read_table(spark, sf, "documents"), "doc_id").select("doc_id", "source", "text")
     store = IX.IndexStore(spark, scratch_path(spark, "index"), ["doc_id"], ["source"], fan_in=3)
     store.append(docs.where("doc_id % 3 = 0"))
     store.append(docs.where("doc_id % 3 <> 0"))

@@ -90,3 +90,17 @@ def test_passage_citations_deals_out_its_pages(spark, monkeypatch):
     monkeypatch.setattr(registry, "materialize", lambda df: seen.append(plan(df)) or df)
     registry.q_passage_citations(spark, "/root/testdata/sf0.001")
     assert "hashpartitioning(page_id" in seen[0]
+
+
+def test_the_kept_index_deals_out_its_documents(spark, monkeypatch):
+    from pagesieve.plans import registry
+    seen = []
+
+    class Store:
+        def __init__(self, *a, **b): pass
+        def append(self, df): seen.append(plan(df))
+        def drop_where(self, *a): pass
+
+    monkeypatch.setattr(registry.IX, "IndexStore", Store)
+    registry._kept_index(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 3 and all("hashpartitioning(doc_id" in p for p in seen)
