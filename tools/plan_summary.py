@@ -57,7 +57,7 @@ def main() -> None:
     out = ["# Physical plans (summary)", "",
            f"Generated by `tools/plan_summary.py` on `{os.path.basename(sf_dir)}` (local session, AQE on;",
            "initial plans, before AQE re-optimisation). Broadcasts of data-dependent sides come from the",
-           "planner's size threshold, not from hints.", ""]
+           "planner's size threshold, not from hints, except delete lists of up to 2**20 rows.", ""]
     for name, fn in registry.queries().items():
         if name == "stream_ingest":
             out += [f"## {name}", "", "- streaming: file source -> foreachBatch (dedupe, anti join, append)", ""]
